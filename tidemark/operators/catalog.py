@@ -52,8 +52,8 @@ def facet_values(catalog: DataFrame, facet: str) -> DataFrame:
 
 def after(df: DataFrame, key: list[str], last: tuple) -> DataFrame:
     """Rows behind `last` in key order; the leading bound reaches the scan."""
-    behind = F.struct(*[F.col(k) for k in key]) > F.struct(*[F.lit(v) for v in last])
-    return df.where((F.col(key[0]) >= F.lit(last[0])) & behind)
+    mark = [F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(key, last)]
+    return df.where((F.col(key[0]) >= mark[0]) & (F.struct(*key) > F.struct(*mark)))
 
 
 def page_after(df: DataFrame, key: list[str], last: tuple | None = None, size: int = PAGE_SIZE) -> DataFrame:

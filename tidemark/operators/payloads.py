@@ -115,8 +115,8 @@ def resolve_footnotes(
     again by its own key, so a group is as long as that row's list. An empty list
     gives an empty array, a missing list NULL.
     """
-    listed = rows.select(*row_key, "footnote_ids", F.posexplode_outer("footnote_ids"))
-    listed = listed.withColumnRenamed("col", "footnote_id")
+    kept = dict.fromkeys([*row_key, "uuid", "footnote_ids"])
+    listed = rows.select(*kept, F.posexplode_outer("footnote_ids").alias("pos", "footnote_id"))
     notes = footnotes.select("uuid", "footnote_id", F.col(text).alias("_text"))
     found = listed.join(notes, ["uuid", "footnote_id"], "left")
     gathered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "_text"))))

@@ -336,10 +336,8 @@ def item_dictionary_join(spark, folder):
 
 @query(
     "footnote_resolution",
-    """SELECT event_id, array_to_string(list_filter([
-         CASE WHEN value >= 10 THEN 'status ' || o_orderstatus END,
-         CASE WHEN event_type <> 'view' THEN 'priority ' || o_orderpriority END,
-         CASE WHEN value >= 20 THEN 'unknown' END], x -> x IS NOT NULL AND x <> 'unknown'), '; ')
+    """SELECT event_id, concat_ws('; ', CASE WHEN value >= 10 THEN 'status ' || o_orderstatus END,
+                CASE WHEN event_type <> 'view' THEN 'priority ' || o_orderpriority END)
          AS footnotes,
          (value >= 10)::INT + (event_type <> 'view')::INT + (value >= 20)::INT AS n_listed
        FROM events JOIN orders ON o_orderkey = event_id""",
@@ -360,15 +358,16 @@ def footnote_resolution(spark, folder):
         F.col("event_id"), F.col("event_id").alias("uuid"), marks.alias("footnote_ids")
     )
     rows = joins.member_rows(rows, filings, "uuid", unique=True)
+
+    def note(mark, text):
+        return F.struct(F.lit(mark).alias("footnote_id"), text.alias("footnote"))
+
     notes = filings.select(
         "uuid",
         F.inline(
             F.array(
-                F.struct(
-                    F.lit("F1").alias("footnote_id"),
-                    F.concat(F.lit("status "), "status").alias("footnote"),
-                ),
-                F.struct(F.lit("F2"), F.concat(F.lit("priority "), "form_type")),
+                note("F1", F.concat(F.lit("status "), "status")),
+                note("F2", F.concat(F.lit("priority "), "form_type")),
             )
         ),
     )

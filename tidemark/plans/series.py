@@ -360,7 +360,7 @@ def numbered_page(spark, folder):
 
 
 def _tokens_sql(text):
-    return f"list_filter(regexp_split_to_array(lower({text}), '[\\s-]+'), t -> t <> '')"
+    return f"[t for t in regexp_split_to_array(lower({text}), '[\\s-]+') if t <> '']"
 
 
 @query(

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The writer's own formats stop at milliseconds.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**MICROSECONDS).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
