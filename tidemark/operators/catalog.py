@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -74,11 +75,14 @@ def numbered_page(df: DataFrame, key: list[str], number: int, size: int = PAGE_S
 
 
 def pages(
-    df: DataFrame, key: list[str], size: int = PAGE_SIZE, pages_limit: int = 100
+    df: DataFrame, key: list[str], size: int = PAGE_SIZE, pages_limit: int | None = 100
 ) -> Iterator[DataFrame]:
-    """Pages in key order, each started from the last key of the one before."""
+    """Pages in key order, each started from the last key of the one before.
+
+    Only that one key comes to the driver.
+    """
     last = None
-    for _ in range(pages_limit):
+    for _ in itertools.count() if pages_limit is None else range(pages_limit):
         page = page_after(df, key, last, size)
         found = page.agg(F.max(F.struct(*key)).alias("last")).first()["last"]
         if found is None:

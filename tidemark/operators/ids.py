@@ -91,7 +91,7 @@ def find_filers(
     if not by_company_key:
         return filers.select("cik").distinct()
     mapped = mapping_as_of(id_map, gvk=gvk, as_of_date=gvk_date).select("cik").distinct()
-    return member_rows(mapped, filers, "cik") if by_attribute else mapped
+    return member_rows(mapped, filers, "cik", one_row_per_key=True) if by_attribute else mapped
 
 
 def padded_filer(column="cik"):

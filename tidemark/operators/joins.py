@@ -24,18 +24,27 @@ def with_key_hash(df: DataFrame, on) -> DataFrame:
 
 
 def member_rows(
-    rows: DataFrame, keys: DataFrame, on, unique: bool = False, negate: bool = False
+    rows: DataFrame,
+    keys: DataFrame,
+    on,
+    unique: bool = False,
+    one_row_per_key: bool = False,
+    negate: bool = False,
 ) -> DataFrame:
     """`rows` whose key is (or with `negate` is not) in `keys`.
 
-    `unique` states that `keys` is a stored table with one row per key; it then
-    needs neither the de-duplication nor the second key.
+    `unique` states that `keys` is a stored table with one row per key, so it needs
+    neither the de-duplication nor the second key. `one_row_per_key` states that
+    `rows` comes out of an aggregation by the key: nothing can be hot, and the join
+    then reuses the partitioning of both aggregations.
     """
     names = _names(on)
     how = "left_anti" if negate else "left_semi"
     keys = keys.select(*names)
     if unique:
         return rows.join(keys, names, how)
+    if one_row_per_key:
+        return rows.join(keys.distinct(), names, how)
     keys = with_key_hash(keys.distinct(), names)
     return with_key_hash(rows, names).join(keys, names + [_HASH], how).drop(_HASH)
 

@@ -89,21 +89,24 @@ def document_by_uuid(documents: DataFrame, uuid) -> DataFrame:
 
 
 def holdings_payload(
-    tables: dict[str, DataFrame], cik=None, cusip=None, **filters
+    tables: dict[str, DataFrame], cik=None, cusip=None, unique_ids: bool = False, **filters
 ) -> dict[str, DataFrame]:
-    """Holdings reports by filer, or the holdings of given securities in any report."""
+    """Holdings reports by filer, or the holdings of given securities in any report.
+
+    `unique_ids` states that a DataFrame of filers or securities holds each id once.
+    """
     guards.check_exclusive(cik=cik, cusip=cusip)
     filters.setdefault("form_type", schemas.FORM_FAMILIES["form13"])
-    parent = select_filings(tables["metadata"], cik=cik, **filters)
+    parent = select_filings(tables["metadata"], cik=cik, unique_ids=unique_ids, **filters)
     if cusip is None:
         return payload_tables(tables, parent)
-    lines = filter_ids(tables["information_table"], "cusip", cusip)
-    lines = children_of(parent, lines)
-    held = {"information_table": lines}
-    for name, table in tables.items():
-        if name != "information_table":
-            held[name] = children_of(lines, parent if name == "metadata" else table, unique=False)
-    return {name: held[name] for name in tables}
+    lines = filter_ids(tables["information_table"], "cusip", cusip, unique_ids)
+    holders = children_of(lines, parent, unique=False)
+    held = {"metadata": holders, "information_table": children_of(parent, lines)}
+    return {
+        name: held[name] if name in held else children_of(holders, table)
+        for name, table in tables.items()
+    }
 
 
 def resolve_footnotes(

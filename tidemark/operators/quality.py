@@ -104,4 +104,4 @@ def not_allowed_values(df: DataFrame, column: str, allowed: DataFrame) -> DataFr
     so the anti join meets one row per value."""
     counted = rows_per_key(df, column).where(F.col(column).isNotNull())
     keys = allowed.select(F.col(allowed.columns[0]).alias(column))
-    return member_rows(counted, keys, column, negate=True)
+    return member_rows(counted, keys, column, one_row_per_key=True, negate=True)

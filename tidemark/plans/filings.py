@@ -257,6 +257,7 @@ def security_holdings(spark, folder):
     return payloads.holdings_payload(
         holding_tables(spark, folder),
         cusip=economy_parts(spark, folder),
+        unique_ids=True,
         form_type=FORM_FAMILIES["slow"],
         valid_types=FORM_TYPES,
         **PUBLISHED,

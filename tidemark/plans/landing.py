@@ -15,6 +15,7 @@ from tidemark.sources.tables import read_table
 from tidemark.streaming import sync
 
 PAGE_ROWS = 500
+PAGE = "_page"
 BASE = "https://filings.example.org/headers"
 
 FILING_ROW = schemas.struct(
@@ -46,9 +47,10 @@ FACT_ROW = schemas.struct(
 def paged(rows: DataFrame, number: Column, request: Column, table: str | None = None) -> DataFrame:
     """Envelopes of at most 500 rows; `number` must give no page more than that.
 
-    With `table`, the rows sit under that name, as in multi-table payloads.
+    With `table`, the rows sit under that name, as in multi-table payloads. There
+    are at most five requests (one per form type), so their totals are broadcast.
     """
-    body = F.struct(*[F.col(c) for c in rows.columns])
+    body = F.struct(*[F.col(c) for c in rows.columns if c != PAGE])
     listed = rows.groupBy(request.alias("request"), number.alias("page")).agg(
         F.collect_list(body).alias("data")
     )
@@ -60,7 +62,7 @@ def paged(rows: DataFrame, number: Column, request: Column, table: str | None =
         return F.concat("request", F.lit("&offset="), (page * PAGE_ROWS).cast("string"))
 
     data = F.struct(F.col("data").alias(table)).alias("data") if table else F.col("data")
-    return listed.join(totals, "request").select(
+    return listed.join(F.broadcast(totals), "request").select(
         F.struct(
             link(F.col("page")).alias("self"),
             link(F.col("first_page")).alias("first"),
@@ -146,8 +148,8 @@ def land_tables(spark, folder) -> list[str]:
     landed = {
         "metadata": paged(tables.filings(spark, folder), by_key("uuid"), request, "metadata"),
         "information_table": paged(
-            tables.holding_lines(spark, folder).withColumn("_page", by_row()),
-            F.col("_page"),
+            tables.holding_lines(spark, folder).withColumn(PAGE, by_row()),
+            F.col(PAGE),
             request,
             "information_table",
         ),
