@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_TOKEN = "NA"
+# Texts of these shapes are cast, others are NULL at once: a failing cast costs as
+# much as fifty good ones, and raw columns can hold many unreadable values.
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 
 
@@ -21,7 +25,7 @@ def pad_key(column, width: int) -> Column:
 
 
 def unpad_key(column) -> Column:
-    return _column(column).try_cast("bigint")
+    return _readable(_column(column), "bigint")
 
 
 def clean_token(column, empty_too: bool = False) -> Column:
@@ -33,9 +37,15 @@ def clean_token(column, empty_too: bool = False) -> Column:
 def typed(column, dtype: str, strict: bool = False) -> Column:
     """Cleaned text as `dtype`; an unreadable value is NULL, or an error if strict."""
     text = clean_token(column, empty_too=dtype != "string")
-    if dtype in ("timestamp", "timestamp_ntz", "date") and not strict:
-        return text.try_cast(dtype)
-    return text.cast(dtype) if strict else text.try_cast(dtype)
+    return text.cast(dtype) if strict else _readable(text, dtype)
+
+
+def _readable(text: Column, dtype: str) -> Column:
+    if dtype in ("int", "bigint"):
+        return F.when(text.rlike(INTEGER_TEXT), text.try_cast(dtype))
+    if dtype in ("float", "double") or dtype.startswith("decimal"):
+        return F.when(text.rlike(NUMBER_TEXT), text.try_cast(dtype))
+    return text.try_cast(dtype)
 
 
 def typed_columns(df: DataFrame, casts: dict[str, str], strict: bool = False) -> DataFrame:
@@ -58,16 +68,14 @@ def cast_failures(df: DataFrame, casts: dict[str, str]) -> DataFrame:
 
 def integer(column) -> Column:
     """`1091`, `"1091.0"` and blanks to bigint without passing through double."""
-    return F.nullif(F.trim(_column(column).cast("string")), F.lit("")).try_cast(
-        "decimal(38,4)"
-    ).cast("bigint")
+    return _readable(_column(column).cast("string"), "decimal(38,4)").cast("bigint")
 
 
 def integer_list(column) -> Column:
     """`"(2, 3)"`, `"(4,)"`, `"[1, 2]"` to an int array; blank to NULL."""
-    inner = F.regexp_replace(_column(column), r"[()\[\]\s]|,\s*\)?$", "")
+    inner = F.regexp_replace(_column(column), r"[()\[\]\s]", "")
     parts = F.split(F.regexp_replace(inner, ",$", ""), ",")
-    return F.when(inner != "", F.transform(parts, lambda x: x.try_cast("int")))
+    return F.when(inner != "", F.transform(parts, lambda x: _readable(x, "int")))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

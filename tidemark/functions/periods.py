@@ -79,5 +79,10 @@ def period_shape(column) -> Column:
 
 def rejected_periods(df: DataFrame, source: str = "original_period") -> DataFrame:
     """Number of strings that give no date, per shape."""
-    rejects = df.where(period_date(source).isNull() & F.col(source).isNotNull())
-    return rejects.groupBy(period_shape(source).alias("shape")).agg(F.count("*").alias("n_rows"))
+    dated = with_period(df.select(source), source, "_period")
+    rejected = F.col("_period").isNull() & F.col(source).isNotNull()
+    return (
+        dated.groupBy(F.when(rejected, period_shape(source)).alias("shape"))
+        .agg(F.count_if(rejected).alias("n_rows"))
+        .where("n_rows > 0")
+    )

@@ -19,9 +19,8 @@ def explode_lines(df: DataFrame, text: str, line: str = "line", position: str =
 def collapse_blanks(column) -> Column:
     """Runs of blanks to one space, line ends trimmed, empty lines dropped."""
     c = F.replace(F.replace(_column(column), F.lit("\\n"), F.lit("\n")), F.lit("\\t"), F.lit("\t"))
-    c = F.regexp_replace(c, r"[^\S\n]+", " ")
-    c = F.regexp_replace(c, "(?md)^ | $", "")
-    return F.regexp_replace(F.regexp_replace(c, "\n{2,}", "\n"), r"^\n|\n\z", "")
+    c = F.regexp_replace(c, r"[ \t\x0B\f\r]+", " ")
+    return F.trim(F.regexp_replace(c, " ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def remove_path_prefix(column, prefix: str) -> Column:

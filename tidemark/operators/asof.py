@@ -36,19 +36,28 @@ def cik_from_gvk(id_map: DataFrame, gvk, as_of_date: str | None = None) -> DataF
 
 
 def attach_as_of(
-    facts: DataFrame, id_map: DataFrame, key: str, at: str, how: str = "left"
+    facts: DataFrame,
+    id_map: DataFrame,
+    key: str,
+    at: str,
+    how: str = "left",
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Facts with the mapping row valid at the instant `at`.
 
     Key and calendar year form the equi-join key: each interval is laid out over
     the years it shares with the facts, which spreads a hot key over its years,
     bounds the candidates a fact meets and keeps the join a hash or merge join.
+    `years` states the first and last year of the facts; without it one more scan
+    of the single column `at` finds them.
     """
-    year_of_facts = facts.agg(
-        F.struct(F.min(F.year(at)).alias("low"), F.max(F.year(at)).alias("high"))
-    ).scalar()
+    if years is None:
+        ends = F.struct(F.min(F.year(at)).alias("low"), F.max(F.year(at)).alias("high"))
+        span = facts.agg(ends).scalar()
+    else:
+        span = F.struct(F.lit(years[0]).alias("low"), F.lit(years[1]).alias("high"))
     laid_out = (
-        id_map.withColumn("_span", year_of_facts)
+        id_map.withColumn("_span", span)
         .withColumn("_first", F.greatest(F.year("effdate"), F.col("_span.low")))
         .withColumn("_last", F.least(F.year("thrudate"), F.col("_span.high")))
         .where("_first <= _last")

@@ -109,6 +109,12 @@ def holdings_payload(
     }
 
 
+def ordered_holdings(lines: DataFrame) -> DataFrame:
+    """Lines by filing and security. The other columns break ties, which lets the
+    range partitioning of the sort cut a filing with very many equal keys."""
+    return lines.orderBy(*HOLDING_ORDER, *[c for c in lines.columns if c not in HOLDING_ORDER])
+
+
 def resolve_footnotes(
     rows: DataFrame, footnotes: DataFrame, row_key: list[str], text: str = "footnote"
 ) -> DataFrame:

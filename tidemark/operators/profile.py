@@ -73,14 +73,25 @@ def column_profile(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def facet_profile(df: DataFrame, *columns: str) -> DataFrame:
-    """`column_profile` of columns with a closed domain, plus their sorted values
-    in one string; meant for codes and flags, not for keys."""
+LISTED_VALUES = 1000
+
+
+def facet_profile(df: DataFrame, *columns: str, listed: int = LISTED_VALUES) -> DataFrame:
+    """Per column: distinct values, and their sorted list in one string.
+
+    The string is made for columns of at most `listed` values and NULL for others,
+    whose values `column_values` gives in full.
+    """
     values = column_values(df, *columns).where(F.col("value").isNotNull())
-    return values.groupBy("column_name").agg(
-        F.count("*").alias("n_distinct"),
-        F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("values"),
+    counts = values.groupBy("column_name").agg(F.count("*").alias("n_distinct"))
+    # One row per column.
+    short = F.broadcast(counts.where(F.col("n_distinct") <= listed).select("column_name"))
+    lists = (
+        values.join(short, "column_name")
+        .groupBy("column_name")
+        .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("values"))
     )
+    return counts.join(F.broadcast(lists), "column_name", "left")
 
 
 def rows_per_key(df: DataFrame, *keys: str) -> DataFrame:

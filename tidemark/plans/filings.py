@@ -278,7 +278,7 @@ _HELD_SQL = f"""SELECT l_orderkey FROM lineitem
           AND l_orderkey IN ({_SLOW_SQL}) ORDER BY uuid, cusip""",
 )
 def holdings_by_security(spark, folder):
-    return security_holdings(spark, folder)["information_table"].orderBy(*payloads.HOLDING_ORDER)
+    return payloads.ordered_holdings(security_holdings(spark, folder)["information_table"])
 
 
 @query(

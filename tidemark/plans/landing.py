@@ -79,9 +79,9 @@ def by_key(key: str) -> Column:
     return F.floor(F.col(key) / PAGE_ROWS)
 
 
-def by_row() -> Column:
-    """Page number from the row's place in its partition, for rows without a key."""
-    return F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
+def by_row(rows: DataFrame) -> DataFrame:
+    """Rows with a page number from their place in the scan, which needs no key."""
+    return rows.withColumn(PAGE, F.floor(F.monotonically_increasing_id() / PAGE_ROWS))
 
 
 def form_request() -> Column:
@@ -89,6 +89,7 @@ def form_request() -> Column:
 
 
 def land_filings(spark, folder) -> str:
+    """Pages of the filings of each form type, numbered by filing."""
     path = shared_folder(spark, "filing-pages")
     files.write_json(paged(tables.filings(spark, folder), by_key("uuid"), form_request()), path)
     return path
@@ -100,8 +101,10 @@ _FILING_SQL = """o_orderkey AS uuid, o_custkey AS cik, o_orderdate AS filing_dat
 
 @query("page_ingest", f"SELECT {_FILING_SQL} FROM orders")
 def page_ingest(spark, folder):
-    landed = land_filings(spark, folder)
-    return pages.page_rows(pages.read_pages(spark, landed, FILING_ROW))
+    path = shared_folder(spark, "filing-pages")
+    filings = by_row(tables.filings(spark, folder))
+    files.write_json(paged(filings, F.col(PAGE), form_request()), path)
+    return pages.page_rows(pages.read_pages(spark, path, FILING_ROW))
 
 
 @query(
@@ -146,18 +149,13 @@ def land_tables(spark, folder) -> list[str]:
     """Multi-table pages, each holding one of the two tables."""
     request = F.lit(f"{BASE}?table=all")
     landed = {
-        "metadata": paged(tables.filings(spark, folder), by_key("uuid"), request, "metadata"),
-        "information_table": paged(
-            tables.holding_lines(spark, folder).withColumn(PAGE, by_row()),
-            F.col(PAGE),
-            request,
-            "information_table",
-        ),
+        "metadata": by_row(tables.filings(spark, folder)),
+        "information_table": by_row(tables.holding_lines(spark, folder)),
     }
     paths = []
-    for name, envelopes in landed.items():
+    for name, rows in landed.items():
         paths.append(shared_folder(spark, f"{name}-pages"))
-        files.write_json(envelopes, paths[-1])
+        files.write_json(paged(rows, F.col(PAGE), request, name), paths[-1])
     return paths
 
 
@@ -330,7 +328,7 @@ def stream_sync(spark, folder):
         "second": facts.where("item_name IN ('view', 'click', 'error')"),
     }
     for name, rows in drops.items():
-        envelopes = paged(rows, by_key("form_uuid"), F.lit(f"{BASE}?drop={name}"))
+        envelopes = paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}"))
         files.write_json(envelopes, f"{root}/landing/{name}")
         sync.sync_pages(
             spark,

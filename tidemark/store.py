@@ -91,8 +91,10 @@ class FilingStore:
             end_datetime=end_datetime,
             date_mode=date_mode,
         )
-        lines = held["information_table"].orderBy(*payloads.HOLDING_ORDER)
-        return {**held, "information_table": lines}
+        return {
+            **held,
+            "information_table": payloads.ordered_holdings(held["information_table"]),
+        }
 
     def get_cik(
         self, gvk=None, gvk_date=None, ticker=None, cusip=None, company=None

@@ -83,7 +83,9 @@ def append_new(
             new = fresh.join(known.select(*key), key, "left_anti")
         else:
             new = fresh
-        new.write.mode("overwrite").partitionBy(DAY).parquet(f"{target}/{BATCH}={batch_id}")
+        # Ranges keep the files per day few; the key splits a crowded day.
+        laid_out = new.repartitionByRange(DAY, *key).write.mode("overwrite").partitionBy(DAY)
+        laid_out.parquet(f"{target}/{BATCH}={batch_id}")
     finally:
         fresh.unpersist()
 
