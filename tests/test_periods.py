@@ -34,6 +34,7 @@ CASES = {
     "991231": "1999-12-31",
     "junk": None,
     "2020-13": None,
+    "2020-1": None,
     "2020-02-30": None,
     "2020-Q5": None,
     "2020-B7": None,

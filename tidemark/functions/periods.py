@@ -53,7 +53,7 @@ def period_date(column) -> Column:
             p.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
             F.try_to_date(F.substring(p, 1, 10), "yyyy-MM-dd"),
         )
-        .when(p.rlike(r"^\d{4}[-/.]M?(0?[1-9]|1[0-2])$"), _month_end(year, tail))
+        .when(p.rlike(r"^\d{4}[-/.](M?0[1-9]|M[1-9]|M?1[0-2])$"), _month_end(year, tail))
         .when(p.rlike(r"^\d{4}M(0?[1-9]|1[0-2])$"), _month_end(year, tail))
         .when(p.rlike(r"^\d{4}-?Q[1-4]$"), _month_end(year, quarter * 3))
         .when(p.rlike(r"^\d{4}$"), F.make_date(year, F.lit(12), F.lit(31)))
