@@ -36,12 +36,18 @@ def _week_saturday(year: Column, week: Column) -> Column:
 
 
 def period_date(column) -> Column:
-    """Date of the period named by a string column."""
+    """Date of the period named by a string column.
+
+    Each format is recognised by a regular expression behind a cheap test of length
+    or of one character, so a row meets about one expression.
+    """
     p = F.col(column) if isinstance(column, str) else column
+    size, fifth, sixth = F.length(p), F.substring(p, 5, 1), F.substring(p, 6, 1)
     year = _number(F.substring(p, 1, 4))
     last_year = _number(F.right(p, F.lit(4)))
     tail = _number(F.regexp_extract(p, r"(\d{1,2})$", 1))
-    quarter = _number(F.regexp_extract(p, r"Q(\d)", 1))
+    last = _number(F.right(p, F.lit(1)))
+    quarter = _number(F.substring(p, 2, 1))
     name_start = F.lower(F.regexp_extract(p, "([A-Za-z]{3})", 1))
     named_month = F.floor((F.instr(F.lit(_MONTH_STARTS), name_start) + 2) / 3).cast("int")
     short_year = _number(F.substring(p, 1, 2))
@@ -50,20 +56,43 @@ def period_date(column) -> Column:
     january = F.lit(1)
     return (
         F.when(
-            p.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
-            F.try_to_date(F.substring(p, 1, 10), "yyyy-MM-dd"),
+            (size >= 10) & p.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
+            F.substring(p, 1, 10).try_cast("date"),
+        )
+        .when(
+            sixth.isin("0", "1", "M") & p.rlike(r"^\d{4}[-/.](M?0[1-9]|M[1-9]|M?1[0-2])$"),
+            _month_end(year, tail),
+        )
+        .when(
+            (fifth == "M") & p.rlike(r"^\d{4}M(0?[1-9]|1[0-2])$"),
+            _month_end(year, tail),
+        )
+        .when(
+            ((fifth == "Q") | (sixth == "Q")) & p.rlike(r"^\d{4}-?Q[1-4]$"),
+            _month_end(year, last * 3),
+        )
+        .when((size == 4) & p.rlike(r"^\d{4}$"), F.make_date(year, F.lit(12), F.lit(31)))
+        .when(
+            (sixth == "W") & p.rlike(r"^\d{4}-W([0-4]?\d|5[0-3])$"),
+            _week_saturday(year, tail),
+        )
+        .when((sixth == "S") & p.rlike(r"^\d{4}-S[12]$"), _month_end(year, last * 6))
+        .when(
+            (sixth == "B") & p.rlike(r"^\d{4}-B[1-6]$"),
+            F.make_date(year, last * 2 - 1, january),
+        )
+        .when(
+            (F.left(p, F.lit(1)) == "Q") & p.rlike(r"^Q[1-4] \d{4}$"),
+            _month_end(last_year, quarter * 3),
+        )
+        .when((size == 6) & p.rlike(r"^\d{6}$"), short_date.try_cast("date"))
+        .when(
+            (size >= 8) & p.rlike(rf"(?i)^({_MONTHS}) \d{{4}}$"),
+            _month_end(last_year, named_month),
+        )
+        .when(
+            (size >= 8) & p.rlike(rf"(?i)^\d{{4}} ({_MONTHS})$"), _month_end(year, named_month)
         )
-        .when(p.rlike(r"^\d{4}[-/.](M?0[1-9]|M[1-9]|M?1[0-2])$"), _month_end(year, tail))
-        .when(p.rlike(r"^\d{4}M(0?[1-9]|1[0-2])$"), _month_end(year, tail))
-        .when(p.rlike(r"^\d{4}-?Q[1-4]$"), _month_end(year, quarter * 3))
-        .when(p.rlike(r"^\d{4}$"), F.make_date(year, F.lit(12), F.lit(31)))
-        .when(p.rlike(rf"(?i)^({_MONTHS}) \d{{4}}$"), _month_end(last_year, named_month))
-        .when(p.rlike(rf"(?i)^\d{{4}} ({_MONTHS})$"), _month_end(year, named_month))
-        .when(p.rlike(r"^Q[1-4] \d{4}$"), _month_end(last_year, quarter * 3))
-        .when(p.rlike(r"^\d{4}-W([0-4]?\d|5[0-3])$"), _week_saturday(year, tail))
-        .when(p.rlike(r"^\d{4}-S[12]$"), _month_end(year, tail * 6))
-        .when(p.rlike(r"^\d{4}-B[1-6]$"), F.make_date(year, tail * 2 - 1, january))
-        .when(p.rlike(r"^\d{6}$"), F.try_to_date(short_date, "yyyy-MM-dd"))
     )
 
 
