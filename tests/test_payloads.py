@@ -43,6 +43,8 @@ def test_insider_payload_keeps_every_table(frame, metadata):
         cik=1, start_datetime="2020-01-02T00:00:00+00:00", date_mode="publication_date"
     )
     assert list(found) == list(tables)
+    kept = payloads.insider_payload(tables, keep_parent=True, cik=1)
+    assert {n: uuids(df) for n, df in kept.items()} == {n: uuids(df) for n, df in found.items()}
     assert {name: uuids(df) for name, df in found.items()} == {
         "metadata": ["u1"],
         "derivative_table": [],

@@ -36,8 +36,8 @@ def keyword_matches(df: DataFrame, text: str, keywords) -> DataFrame:
     return (
         df.where(F.lower(F.col(text)).rlike(rf"(^|[\s-])({any_token})([\s-]|$)"))
         .withColumn("_tokens", tokens(text))
-        .withColumn("score", held)
-        .withColumn("n_tokens", F.size("_tokens"))
+        .withColumn("score", held.cast("bigint"))
+        .withColumn("n_tokens", F.size("_tokens").cast("bigint"))
         .drop("_tokens")
     )
 

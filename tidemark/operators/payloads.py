@@ -9,6 +9,7 @@ from tidemark import guards, schemas
 from tidemark.operators.ids import filter_filers, filter_form_types, filter_ids, filter_item
 from tidemark.operators.joins import member_rows
 from tidemark.operators.windows import date_window
+from tidemark.session import stored
 
 HEADER_ORDER = ["filing_date", "cik", "uuid"]
 ITEM_ORDER = ["filing_date", "cik", "item_name", "form_uuid"]
@@ -47,18 +48,28 @@ def children_of(parent: DataFrame, child: DataFrame, unique: bool = True) -> Dat
     return member_rows(child, parent, "uuid", unique=unique)
 
 
-def payload_tables(tables: dict[str, DataFrame], parent: DataFrame) -> dict[str, DataFrame]:
-    """All tables of a payload cut to the filings in `parent`; no key is ever absent."""
+def payload_tables(
+    tables: dict[str, DataFrame], parent: DataFrame, keep_parent: bool = False
+) -> dict[str, DataFrame]:
+    """All tables of a payload cut to the filings in `parent`; no key is ever absent.
+
+    `keep_parent` writes the chosen filings to the checkpoint folder once, for
+    callers who go on to read every table and whose filter is dear.
+    """
+    if keep_parent:
+        parent = stored(parent)
     return {
         name: parent if name == "metadata" else children_of(parent, table)
         for name, table in tables.items()
     }
 
 
-def insider_payload(tables: dict[str, DataFrame], **filters) -> dict[str, DataFrame]:
+def insider_payload(
+    tables: dict[str, DataFrame], keep_parent: bool = False, **filters
+) -> dict[str, DataFrame]:
     """Forms 3, 4, 5 and their amendments: six tables of the chosen filings."""
     filters.setdefault("form_type", schemas.FORM_FAMILIES["form4"])
-    return payload_tables(tables, select_filings(tables["metadata"], **filters))
+    return payload_tables(tables, select_filings(tables["metadata"], **filters), keep_parent)
 
 
 def item_payload(

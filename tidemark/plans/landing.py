@@ -145,26 +145,21 @@ def page_completeness(spark, folder):
     return pages.page_completeness(read.where(~lost))
 
 
-def land_tables(spark, folder) -> list[str]:
-    """Multi-table pages, each holding one of the two tables."""
-    request = F.lit(f"{BASE}?table=all")
-    landed = {
-        "metadata": by_row(tables.filings(spark, folder)),
-        "information_table": by_row(tables.holding_lines(spark, folder)),
-    }
-    paths = []
-    for name, rows in landed.items():
-        paths.append(shared_folder(spark, f"{name}-pages"))
-        files.write_json(paged(rows, F.col(PAGE), request, name), paths[-1])
-    return paths
+TABLE_ROWS = {"metadata": FILING_ROW, "information_table": LINE_ROW}
 
 
-TABLE_ROWS = {"metadata": FILING_ROW, "information_table": LINE_ROW}
+def land_table(spark, folder, name) -> str:
+    """Multi-table pages that hold one of the tables."""
+    source = {"metadata": tables.filings, "information_table": tables.holding_lines}[name]
+    rows = by_row(source(spark, folder))
+    path = shared_folder(spark, f"{name}-pages")
+    files.write_json(paged(rows, F.col(PAGE), F.lit(f"{BASE}?table=all"), name), path)
+    return path
 
 
 @query("table_merge_metadata", f"SELECT {_FILING_SQL} FROM orders")
 def table_merge_metadata(spark, folder):
-    return pages.read_tables(spark, land_tables(spark, folder), TABLE_ROWS)["metadata"]
+    return pages.read_tables(spark, land_table(spark, folder, "metadata"), TABLE_ROWS)["metadata"]
 
 
 @query(
@@ -174,8 +169,9 @@ def table_merge_metadata(spark, folder):
               l_shipdate AS form_availability_timestamp FROM lineitem""",
 )
 def table_merge_lines(spark, folder):
+    """Two page sets, of which one lacks the table."""
     payloads = [
-        pages.read_tables(spark, path, TABLE_ROWS) for path in land_tables(spark, folder)
+        pages.read_tables(spark, land_table(spark, folder, name), TABLE_ROWS) for name in TABLE_ROWS
     ]
     return pages.merge_tables(payloads)["information_table"]
 

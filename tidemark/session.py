@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on: skewed join partitions are split by
 # AQE even where the split costs one more shuffle downstream.
@@ -50,3 +50,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _local_folders[app] = tempfile.mkdtemp(prefix="tidemark-")
         base = _local_folders[app]
     return f"{base.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written to and read back from the shared folder."""
+    path = shared_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,10 +36,12 @@ def late_rows(df: DataFrame, filing_date: str, window_start) -> DataFrame:
 
 
 def one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key, the smallest, so that a replay picks the same one."""
+    """One row per key, the smallest, so that a replay picks the same one; rows with
+    a column that has no order, such as a document body, give any of their copies."""
     others = [c for c in rows.columns if c not in key]
-    if not others:
-        return rows.distinct()
+    unordered = (T.VariantType, T.MapType)
+    if not others or any(isinstance(rows.schema[c].dataType, unordered) for c in others):
+        return rows.dropDuplicates(key)
     picked = rows.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row"))
     return picked.select(*key, "_row.*").select(*rows.columns)
 
