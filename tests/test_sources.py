@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tidemark import schemas
+from tidemark.operators.payloads import children_of, form_headers
 from tidemark.sources import files, pages, tables
 
 ROW = schemas.struct(uuid=schemas.STRING, cik=schemas.LONG)
@@ -109,15 +110,33 @@ def test_universe_and_file_selection(spark, tmp_path):
     assert files.select_files(spark, root, "*.json", schema, regex="/x/").count() == 2
 
 
-def test_filing_layout_prunes(spark, frame, tmp_path):
-    rows = frame(
-        [("u1", 1, dt.date(2020, 1, 2)), ("u2", 2, dt.date(2020, 2, 2))],
-        "uuid string, cik bigint, filing_date date",
-    )
+def test_stored_filings_are_pruned_by_family_and_month(spark, frame, tmp_path):
+    columns = "uuid string, cik bigint, form_type string, filing_date date"
+    rows = [
+        (f"{family}-{month}", month, form, dt.date(2020, month, 2))
+        for family, form in (("form4", "4"), ("form13", "13F-HR"))
+        for month in range(1, 7)
+    ]
     path = str(tmp_path / "lake")
-    tables.write_filings(rows, path, "form4")
-    tables.write_filings(rows, path, "form8")
-    stored = spark.read.parquet(path)
-    assert stored.count() == 4
-    assert stored.where("family = 'form4' AND filing_month = '2020-01'").inputFiles() != []
-    assert [r["uuid"] for r in stored.where("family = 'form8' AND uuid = 'u2'").collect()] == ["u2"]
+    for family, form in (("form4", "4"), ("form13", "13F-HR")):
+        tables.write_filings(frame([r for r in rows if r[2] == form], columns), path, family)
+    stored = tables.read_filings(spark, path, frame([], columns).schema)
+    assert stored.count() == 12
+    found = form_headers(
+        stored,
+        form_type="4",
+        start_datetime="2020-02-02T00:00:00+00:00",
+        end_datetime="2020-04-02T00:00:00+00:00",
+        date_mode="publication_date",
+    )
+    assert [r["uuid"] for r in found.collect()] == ["form4-2", "form4-3"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "family" in pruned and "filing_month" in pruned
+    lines = frame([(r[0], r[3], n) for r in rows for n in range(3)], "uuid string, filing_date date, n int")
+    tables.write_filings(lines, str(tmp_path / "lines"), "form4")
+    child = tables.read_filings(spark, str(tmp_path / "lines"), lines.schema)
+    held = children_of(found, child)
+    assert sorted(r["uuid"] for r in held.collect()) == ["form4-2"] * 3 + ["form4-3"] * 3
+    scans = held._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]
+    assert all("filing_month" in scan.split("PushedFilters")[0] for scan in scans)

@@ -46,8 +46,14 @@ def filter_membership(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 def filter_form_types(
     df: DataFrame, form_type=None, valid=None, column: str = "form_type"
 ) -> DataFrame:
+    """Rows of the asked form types; a table stored by family is pruned to theirs."""
     forms = guards.check_form_types(form_type, valid)
-    return df if forms is None else df.where(F.col(column).isin(forms))
+    if forms is None:
+        return df
+    if valid is None and schemas.FAMILY in df.columns:
+        asked = [f for f, types in schemas.FORM_FAMILIES.items() if set(types) & set(forms)]
+        df = df.where(F.col(schemas.FAMILY).isin(asked))
+    return df.where(F.col(column).isin(forms))
 
 
 def filter_family(

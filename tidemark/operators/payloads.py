@@ -44,8 +44,17 @@ def form_headers(headers: DataFrame, ordered: bool = True, **filters) -> DataFra
 
 
 def children_of(parent: DataFrame, child: DataFrame, unique: bool = True) -> DataFrame:
-    """Child rows of the chosen filings; `unique` states one parent row per uuid."""
-    return member_rows(child, parent, "uuid", unique=unique)
+    """Child rows of the chosen filings; `unique` states one parent row per uuid.
+
+    Where both are stored by family and month, these join too, so that the window of
+    the parent prunes the scan of the child.
+    """
+    layout = [
+        c
+        for c in (schemas.FAMILY, schemas.FILING_MONTH)
+        if c in parent.columns and c in child.columns
+    ]
+    return member_rows(child, parent, ["uuid", *layout], unique=unique)
 
 
 def payload_tables(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import guards
+from tidemark import guards, schemas
 
 FILING_ZONE = zoneinfo.ZoneInfo("America/New_York")
 
@@ -41,9 +41,16 @@ def date_window(
 
     Publication bounds are cut to their UTC day, knowledge bounds are not. Only
     the bounds are transformed, so the predicate reaches the scan as it stands.
+    A table stored by filing month is pruned to the months of the window.
     """
     low, high = guards.check_window(start_datetime, end_datetime, date_mode)
     column = publication if date_mode == "publication_date" else knowledge
+    if date_mode == "publication_date" and schemas.FILING_MONTH in df.columns:
+        month = F.col(schemas.FILING_MONTH)
+        if low is not None:
+            df = df.where(month >= low.strftime("%Y-%m"))
+        if high is not None:
+            df = df.where(month <= high.strftime("%Y-%m"))
     for bound, keep in ((low, Column.__ge__), (high, Column.__lt__)):
         if bound is not None:
             dtype = df.schema[column].dataType

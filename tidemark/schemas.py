@@ -24,6 +24,9 @@ FACETS = {
     "COUNTRIES": "country",
     "FREQUENCIES": "frequency",
 }
+# Partition columns of the stored filing tables; filters use them when present.
+FAMILY = "family"
+FILING_MONTH = "filing_month"
 INSIDER_TABLES = [
     "metadata",
     "derivative_table",

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas
+
 
 def read_table(
     spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None
@@ -13,20 +16,28 @@ def read_table(
     return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def write_filings(df: DataFrame, path: str, family: str, filing_date: str = "filing_date") -> None:
+def write_filings(df: DataFrame, path: str, family: str) -> None:
     """Store a filing table by family and filing month, sorted so that scans for a
     filer or a window skip row groups, with bloom filters for the look-up keys."""
-    month = f"date_format({filing_date}, 'yyyy-MM')"
-    keys = [c for c in ("cik", filing_date, "uuid") if c in df.columns]
-    # The uuid spreads a crowded month over several writers.
-    spread = ["family", "filing_month", *keys]
+    layout = [schemas.FAMILY, schemas.FILING_MONTH]
+    # Filer, day and uuid spread a crowded month over several writers.
+    order = layout + [c for c in ("cik", "filing_date", "uuid") if c in df.columns]
     (
-        df.selectExpr("*", f"'{family}' AS family", f"{month} AS filing_month")
-        .repartitionByRange(*spread)
-        .sortWithinPartitions(*spread)
+        df.withColumn(schemas.FAMILY, F.lit(family))
+        .withColumn(schemas.FILING_MONTH, F.date_format("filing_date", "yyyy-MM"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("append")
-        .partitionBy("family", "filing_month")
+        .partitionBy(*layout)
         .option("parquet.bloom.filter.enabled#uuid", "true")
         .option("parquet.bloom.filter.enabled#cusip", "true")
         .parquet(path)
     )
+
+
+def read_filings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored filing table with its two layout columns, which filters prune by."""
+    layout = schemas.struct(
+        **{schemas.FAMILY: schemas.STRING, schemas.FILING_MONTH: schemas.STRING}
+    )
+    return spark.read.schema(T.StructType([*schema.fields, *layout.fields])).parquet(path)
