@@ -22,6 +22,7 @@ def test_long_lists_short_lists_and_tables_agree(spark, rows):
     few = wanted[:3]
     assert ids.filter_filers(rows, few).count() == 9
     assert ids.filter_filers(rows, None).count() == 3000
+    assert ids.filter_filers(rows, []).count() == 0
     assert ids.filter_filers(rows, few[0]).count() == 3
 
 

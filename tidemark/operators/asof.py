@@ -52,7 +52,7 @@ def attach_as_of(
     of the single column `at` finds them.
     """
     if years is None:
-        ends = F.struct(F.min(F.year(at)).alias("low"), F.max(F.year(at)).alias("high"))
+        ends = F.struct(F.year(F.min(at)).alias("low"), F.year(F.max(at)).alias("high"))
         span = facts.agg(ends).scalar()
     else:
         span = F.struct(F.lit(years[0]).alias("low"), F.lit(years[1]).alias("high"))

@@ -16,7 +16,10 @@ IN_LIST_LIMIT = 500
 
 
 def filter_ids(df: DataFrame, column: str, ids, unique: bool = False) -> DataFrame:
-    """Rows whose `column` is in `ids`: a scalar, a list or a DataFrame of ids."""
+    """Rows whose `column` is in `ids`: a scalar, a list or a DataFrame of ids.
+
+    None filters nothing, an empty list leaves nothing.
+    """
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
@@ -25,9 +28,12 @@ def filter_ids(df: DataFrame, column: str, ids, unique: bool = False) -> DataFra
     ids = guards.clean_ids(column, ids)
     if len(ids) <= IN_LIST_LIMIT:
         return df.where(F.col(column).isin(ids))
-    # An Arrow table becomes a local relation of known size for the planner.
+    # An Arrow table becomes a local relation of known size for the planner; the
+    # range of the sorted list lets the scan skip row groups.
     keys = df.sparkSession.createDataFrame(pa.table({column: ids}))
-    return member_rows(df, keys, column, unique=True)
+    return member_rows(
+        df.where(F.col(column).between(ids[0], ids[-1])), keys, column, unique=True
+    )
 
 
 def filter_filers(df: DataFrame, cik, column: str = "cik", unique: bool = False) -> DataFrame:

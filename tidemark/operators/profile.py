@@ -91,7 +91,7 @@ def facet_profile(df: DataFrame, *columns: str, listed: int = LISTED_VALUES) ->
         .groupBy("column_name")
         .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("values"))
     )
-    return counts.join(F.broadcast(lists), "column_name", "left")
+    return counts.join(lists, "column_name", "left")
 
 
 def rows_per_key(df: DataFrame, *keys: str) -> DataFrame:

@@ -291,6 +291,15 @@ def holdings_by_security_metadata(spark, folder):
     return security_holdings(spark, folder)["metadata"]
 
 
+@query(
+    "holdings_by_security_headers",
+    f"""SELECT o_orderkey AS uuid, o_custkey AS cik, o_totalprice AS total
+        FROM orders WHERE o_orderkey IN ({_HELD_SQL})""",
+)
+def holdings_by_security_headers(spark, folder):
+    return security_holdings(spark, folder)["header_data"]
+
+
 @query(
     "holdings_by_filer",
     f"""SELECT {_LINE_SQL} FROM lineitem WHERE l_orderkey IN

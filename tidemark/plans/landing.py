@@ -35,6 +35,8 @@ LINE_ROW = schemas.struct(
     line_status=schemas.STRING,
     form_availability_timestamp=schemas.ZONELESS,
 )
+# Page bookkeeping counts rows and parses no more of them than the key.
+KEY_ROW = schemas.struct(uuid=schemas.LONG)
 FACT_ROW = schemas.struct(
     form_uuid=schemas.LONG,
     cik=schemas.LONG,
@@ -116,7 +118,7 @@ def page_ingest(spark, folder):
         FROM orders GROUP BY o_orderpriority[1], o_orderkey // 500""",
 )
 def page_offsets(spark, folder):
-    read = pages.read_pages(spark, land_filings(spark, folder), FILING_ROW)
+    read = pages.read_pages(spark, land_filings(spark, folder), KEY_ROW)
     return read.select(
         pages.page_request().alias("request"),
         pages.page_offset().alias("page_start"),
@@ -140,7 +142,7 @@ def page_offsets(spark, folder):
 )
 def page_completeness(spark, folder):
     """The last page of one request is lost and must be noticed."""
-    read = pages.read_pages(spark, land_filings(spark, folder), FILING_ROW)
+    read = pages.read_pages(spark, land_filings(spark, folder), KEY_ROW)
     lost = F.col("links.self").contains("form_type=5") & F.col("links.next").isNull()
     return pages.page_completeness(read.where(~lost))
 

@@ -10,6 +10,7 @@ from tidemark.operators import catalog
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.registry import query
 from tidemark.sources.tables import read_table
+from tidemark.store import ItemDictionary
 
 # Format name -> (text of a date column, SQL text, SQL period date).
 _QUARTER_END = "last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)"
@@ -356,7 +357,21 @@ def numbered_page(spark, folder):
     return catalog.numbered_page(tables.catalog(spark, folder), _PAGE_KEY, 3, 300)
 
 
-# Keyword search.
+# Item dictionary and keyword search.
+
+
+def dictionary(spark, folder) -> ItemDictionary:
+    """Parts as items, their names as descriptions."""
+    return ItemDictionary(
+        read_table(spark, folder, "part").select(
+            F.col("p_partkey").alias("item"), F.col("p_name").alias("description")
+        )
+    )
+
+
+@query("item_mapping", "SELECT p_partkey AS item, p_name AS description FROM part")
+def item_mapping(spark, folder):
+    return dictionary(spark, folder).get_mapping()
 
 
 def _tokens_sql(text):
@@ -372,10 +387,7 @@ def _tokens_sql(text):
         WHERE score > 0 ORDER BY score DESC, n_tokens, item""",
 )
 def keyword_search(spark, folder):
-    items = read_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("item"), F.col("p_name").alias("description")
-    )
-    return keywords.search_items(items, "Red-Ring blue ring")
+    return keywords.search_items(dictionary(spark, folder).get_mapping(), "Red-Ring blue ring")
 
 
 @query(
