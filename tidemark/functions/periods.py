@@ -18,81 +18,65 @@ MONTH_NAMES = [
 ]
 _MONTHS = "|".join(MONTH_NAMES)
 _MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTH = r"^\d{4}([-/.]?M(0?[1-9]|1[0-2])|[-/.](0[1-9]|1[0-2]))$"
+_NAMED_MONTH = rf"(?i)^(({_MONTHS}) \d{{4}}|\d{{4}} ({_MONTHS}))$"
 
 
 def _number(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def _month_end(year: Column, month: Column) -> Column:
-    return F.last_day(F.make_date(year, month, F.lit(1)))
-
-
 def _week_saturday(year: Column, week: Column) -> Column:
     new_year = F.make_date(year, F.lit(1), F.lit(1))
-    first_monday = F.next_day(F.date_sub(new_year, 1), "MON")
-    saturday = F.date_add(first_monday, (week - 1) * 7 + 5)
-    return F.when((week > 0) | (first_monday > new_year), saturday)
+    saturday = F.date_add(F.trunc(F.date_add(new_year, week * 7 - 1), "week"), 5)
+    # A year that starts on a Monday has no week 0, which would end on 30 December.
+    return F.when((week > 0) | (F.dayofmonth(saturday) != 30), saturday)
 
 
 def period_date(column) -> Column:
     """Date of the period named by a string column.
 
     Each format is recognised by a regular expression behind a cheap test of length
-    or of one character, so a row meets about one expression.
+    or of one character, so a row meets about one expression. All formats that end
+    with a month share one date expression, which keeps the generated code below
+    the size from which the JVM leaves it uncompiled.
     """
     p = F.col(column) if isinstance(column, str) else column
     size, fifth, sixth = F.length(p), F.substring(p, 5, 1), F.substring(p, 6, 1)
     year = _number(F.substring(p, 1, 4))
-    last_year = _number(F.right(p, F.lit(4)))
     tail = _number(F.regexp_extract(p, r"(\d{1,2})$", 1))
     last = _number(F.right(p, F.lit(1)))
-    quarter = _number(F.substring(p, 2, 1))
-    name_start = F.lower(F.regexp_extract(p, "([A-Za-z]{3})", 1))
-    named_month = F.floor((F.instr(F.lit(_MONTH_STARTS), name_start) + 2) / 3).cast("int")
-    short_year = _number(F.substring(p, 1, 2))
-    full_year = short_year + F.when(short_year >= 69, 1900).otherwise(2000)
-    short_date = F.concat_ws("-", full_year, F.substring(p, 3, 2), F.substring(p, 5, 2))
-    january = F.lit(1)
+    month_start = F.lower(F.regexp_extract(p, "([A-Za-z]{3})", 1))
+    named_month = F.floor((F.instr(F.lit(_MONTH_STARTS), month_start) + 2) / 3).cast("int")
+    last_month = (
+        F.when((sixth.isin("0", "1", "M") | (fifth == "M")) & p.rlike(_MONTH), tail)
+        .when(((fifth == "Q") | (sixth == "Q")) & p.rlike(r"^\d{4}-?Q[1-4]$"), last * 3)
+        .when((size == 4) & p.rlike(r"^\d{4}$"), F.lit(12))
+        .when((sixth == "S") & p.rlike(r"^\d{4}-S[12]$"), last * 6)
+        .when((size == 7) & p.rlike(r"^Q[1-4] \d{4}$"), _number(F.substring(p, 2, 1)) * 3)
+        .when((size >= 8) & p.rlike(_NAMED_MONTH), named_month)
+    )
+    leading = F.when(p.rlike(r"^\d{4}"), F.substring(p, 1, 4))
+    year_of_month = _number(leading.when(p.rlike(r"\d{4}$"), F.right(p, F.lit(4))))
+    short_year = F.substring(p, 1, 2)
+    century = F.when(short_year >= "69", "19").otherwise("20")
+    short_date = F.concat(
+        century, short_year, F.lit("-"), F.substring(p, 3, 2), F.lit("-"), F.right(p, F.lit(2))
+    )
     return (
         F.when(
             (size >= 10) & p.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
             F.substring(p, 1, 10).try_cast("date"),
         )
         .when(
-            sixth.isin("0", "1", "M") & p.rlike(r"^\d{4}[-/.](M?0[1-9]|M[1-9]|M?1[0-2])$"),
-            _month_end(year, tail),
-        )
-        .when(
-            (fifth == "M") & p.rlike(r"^\d{4}M(0?[1-9]|1[0-2])$"),
-            _month_end(year, tail),
-        )
-        .when(
-            ((fifth == "Q") | (sixth == "Q")) & p.rlike(r"^\d{4}-?Q[1-4]$"),
-            _month_end(year, last * 3),
+            (sixth == "W") & p.rlike(r"^\d{4}-W([0-4]?\d|5[0-3])$"), _week_saturday(year, tail)
         )
-        .when((size == 4) & p.rlike(r"^\d{4}$"), F.make_date(year, F.lit(12), F.lit(31)))
-        .when(
-            (sixth == "W") & p.rlike(r"^\d{4}-W([0-4]?\d|5[0-3])$"),
-            _week_saturday(year, tail),
-        )
-        .when((sixth == "S") & p.rlike(r"^\d{4}-S[12]$"), _month_end(year, last * 6))
         .when(
             (sixth == "B") & p.rlike(r"^\d{4}-B[1-6]$"),
-            F.make_date(year, last * 2 - 1, january),
-        )
-        .when(
-            (F.left(p, F.lit(1)) == "Q") & p.rlike(r"^Q[1-4] \d{4}$"),
-            _month_end(last_year, quarter * 3),
+            F.make_date(year, last * 2 - 1, F.lit(1)),
         )
         .when((size == 6) & p.rlike(r"^\d{6}$"), short_date.try_cast("date"))
-        .when(
-            (size >= 8) & p.rlike(rf"(?i)^({_MONTHS}) \d{{4}}$"),
-            _month_end(last_year, named_month),
-        )
-        .when(
-            (size >= 8) & p.rlike(rf"(?i)^\d{{4}} ({_MONTHS})$"), _month_end(year, named_month)
-        )
+        .otherwise(F.last_day(F.make_date(year_of_month, last_month, F.lit(1))))
     )
 
 
