@@ -96,6 +96,10 @@ def test_ragged_columns_line_up(spark, tmp_path):
     schema = schemas.struct(a=schemas.LONGS, b=schemas.LONGS)
     got = {tuple(r) for r in files.read_ragged_columns(spark, str(tmp_path), schema).collect()}
     assert got == {(1, 9), (2, None), (3, None), (None, 7)}
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "r.json").write_text('{\n "a": [1, 2],\n "b": [9]\n}')
+    one = files.read_ragged_columns(spark, str(tmp_path / "one"), schema, multi_line=True)
+    assert {tuple(r) for r in one.collect()} == {(1, 9), (2, None)}
 
 
 def test_universe_and_file_selection(spark, tmp_path):

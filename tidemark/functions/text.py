@@ -35,6 +35,10 @@ def drop_lines(df: DataFrame, regex: str | None, line: str = "line") -> DataFram
 
 
 def clean_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """Blanks collapsed and trimmed, empty lines dropped."""
+    """Blanks collapsed and trimmed, blank lines dropped.
+
+    The test for blank lines reads the raw line: a test of the cleaned one would be
+    pushed below and clean every line twice.
+    """
     cleaned = F.trim(F.regexp_replace(F.col(line), r"\s+", " "))
-    return df.withColumn(line, cleaned).where(F.col(line) != "")
+    return df.where(F.col(line).rlike(r"\S")).withColumn(line, cleaned)

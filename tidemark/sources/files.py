@@ -18,8 +18,11 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**MICROSECONDS).json(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def read_json(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """One object per line, or one per file with `multi_line`."""
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def write_text(lines: DataFrame, path: str, gzip: bool = False, append: bool = False) -> None:
@@ -42,11 +45,13 @@ def read_universe(spark: SparkSession, path: str, name: str = "cik") -> DataFram
     return spark.read.text(path).select(F.trim("value").cast("bigint").alias(name))
 
 
-def read_ragged_columns(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """`{column: [values]}` documents with columns of unequal length, one per line;
-    the rows of a document line up by position, short columns end in NULL."""
+def read_ragged_columns(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """`{column: [values]}` documents with columns of unequal length; the rows of a
+    document line up by position, short columns end in NULL."""
     columns = [f.name for f in schema.fields]
-    documents = spark.read.schema(schema).json(path)
+    documents = read_json(spark, path, schema, multi_line)
     full = [
         F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) for f in schema.fields
     ]
