@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import warnings
 
 import pytest
@@ -127,6 +128,30 @@ def test_headers_filter_and_order(frame):
         form_headers(rows, form_type="nonsense")
 
 
+def test_random_windows_equal_brute_force(frame):
+    rng = random.Random(11)
+    zero = dt.datetime(2020, 3, 1, tzinfo=dt.timezone.utc)
+
+    def moment():
+        return zero + dt.timedelta(minutes=rng.randrange(60 * 24 * 60))
+
+    instants = [moment() for _ in range(300)]
+    rows = frame(
+        [(i, t.date(), t.replace(tzinfo=None)) for i, t in enumerate(instants)],
+        "id int, filing_date date, form_availability_timestamp timestamp_ntz",
+    ).cache()
+    for _ in range(12):
+        low, high = sorted([moment(), moment()])
+        zone = dt.timezone(dt.timedelta(hours=rng.randrange(-5, 6)))
+        bounds = [b.astimezone(zone).strftime(guards.INSTANT_FORMAT) for b in (low, high)]
+        known = {r["id"] for r in date_window(rows, *bounds, "knowledge_date").collect()}
+        assert known == {i for i, t in enumerate(instants) if low <= t < high}
+        published = {r["id"] for r in date_window(rows, *bounds, "publication_date").collect()}
+        assert published == {
+            i for i, t in enumerate(instants) if low.date() <= t.date() < high.date()
+        }
+
+
 def test_bounds_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).select(

@@ -21,7 +21,7 @@ def query_tokens(keywords) -> list[str]:
 
 def tokens(column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
-    return F.filter(F.split(F.lower(c), SEPARATORS), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(c), SEPARATORS), "")
 
 
 def keyword_matches(df: DataFrame, text: str, keywords) -> DataFrame:

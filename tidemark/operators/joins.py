@@ -35,8 +35,8 @@ def member_rows(
 
     `unique` states that `keys` is a stored table with one row per key, so it needs
     neither the de-duplication nor the second key. `one_row_per_key` states that
-    `rows` comes out of an aggregation by the key: nothing can be hot, and the join
-    then reuses the partitioning of both aggregations.
+    `rows` has one row per key: nothing can be hot, and the join reuses the
+    partitioning of the de-duplicated keys.
     """
     names = _names(on)
     how = "left_anti" if negate else "left_semi"

@@ -43,18 +43,24 @@ def form_headers(headers: DataFrame, ordered: bool = True, **filters) -> DataFra
     return chosen.orderBy(*HEADER_ORDER) if ordered else chosen
 
 
-def children_of(parent: DataFrame, child: DataFrame, unique: bool = True) -> DataFrame:
-    """Child rows of the chosen filings; `unique` states one parent row per uuid.
+def _link(left: DataFrame, right: DataFrame) -> list[str]:
+    """Columns that tie rows of one filing: its uuid, and the layout of both tables."""
+    layout = (schemas.FAMILY, schemas.FILING_MONTH)
+    return ["uuid", *[c for c in layout if c in left.columns and c in right.columns]]
+
+
+def children_of(parent: DataFrame, child: DataFrame) -> DataFrame:
+    """Child rows of the chosen filings; `parent` has one row per uuid.
 
     Where both are stored by family and month, these join too, so that the window of
     the parent prunes the scan of the child.
     """
-    layout = [
-        c
-        for c in (schemas.FAMILY, schemas.FILING_MONTH)
-        if c in parent.columns and c in child.columns
-    ]
-    return member_rows(child, parent, ["uuid", *layout], unique=unique)
+    return member_rows(child, parent, _link(parent, child), unique=True)
+
+
+def parents_of(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """Filings that have a row in `child`; `parent` has one row per uuid."""
+    return member_rows(parent, child, _link(parent, child), one_row_per_key=True)
 
 
 def payload_tables(
@@ -121,7 +127,7 @@ def holdings_payload(
     if cusip is None:
         return payload_tables(tables, parent)
     lines = filter_ids(tables["information_table"], "cusip", cusip, unique_ids)
-    holders = children_of(lines, parent, unique=False)
+    holders = parents_of(lines, parent)
     held = {"metadata": holders, "information_table": children_of(parent, lines)}
     return {
         name: held[name] if name in held else children_of(holders, table)
