@@ -98,3 +98,8 @@ def test_aggregates_combine_before_the_shuffle(spark):
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_module.queries()["rows_per_filer"](spark, FOLDER))
     assert "ReadSchema: struct<o_custkey:bigint>" in plan
+
+
+def test_high_water_mark_reaches_the_scan(spark):
+    plan = plan_of(entry_module.queries()["incremental_since"](spark, FOLDER))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,ScalarSubquery" in plan

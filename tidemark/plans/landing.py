@@ -78,12 +78,12 @@ def paged(rows: DataFrame, number: Column, request: Column, table: str | None =
 
 def by_key(key: str) -> Column:
     """Page number from a unique integer key."""
-    return F.floor(F.col(key) / PAGE_ROWS)
+    return F.expr(f"{key} div {PAGE_ROWS}")
 
 
 def by_row(rows: DataFrame) -> DataFrame:
     """Rows with a page number from their place in the scan, which needs no key."""
-    return rows.withColumn(PAGE, F.floor(F.monotonically_increasing_id() / PAGE_ROWS))
+    return rows.withColumn(PAGE, F.expr(f"monotonically_increasing_id() div {PAGE_ROWS}"))
 
 
 def form_request() -> Column:
