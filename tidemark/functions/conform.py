@@ -36,8 +36,10 @@ def clean_token(column, empty_too: bool = False) -> Column:
 
 def typed(column, dtype: str, strict: bool = False) -> Column:
     """Cleaned text as `dtype`; an unreadable value is NULL, or an error if strict."""
-    text = clean_token(column, empty_too=dtype != "string")
-    return text.cast(dtype) if strict else _readable(text, dtype)
+    if strict or dtype == "string":
+        return clean_token(column, empty_too=dtype != "string").cast(dtype)
+    # Null tokens are unreadable too.
+    return _readable(_column(column), dtype)
 
 
 def _readable(text: Column, dtype: str) -> Column:
@@ -75,7 +77,7 @@ def integer_list(column) -> Column:
     """`"(2, 3)"`, `"(4,)"`, `"[1, 2]"` to an int array; blank to NULL."""
     inner = F.regexp_replace(_column(column), r"[()\[\]\s]", "")
     parts = F.split(F.regexp_replace(inner, ",$", ""), ",")
-    return F.when(inner != "", F.transform(parts, lambda x: _readable(x, "int")))
+    return F.when(inner != "", parts.try_cast("array<int>"))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
