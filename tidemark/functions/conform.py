@@ -116,7 +116,8 @@ def iso_conformance(df: DataFrame, *columns: str) -> DataFrame:
     pairs, aggs = [], []
     for name in columns:
         fits = F.col(name).rlike(ISO_DATETIME) & F.col(name).try_cast("timestamp").isNotNull()
-        aggs.append(F.count_if(F.col(name).isNotNull() & ~F.coalesce(fits, F.lit(False))).alias(name))
+        violates = F.col(name).isNotNull() & ~F.coalesce(fits, F.lit(False))
+        aggs.append(F.count_if(violates).alias(name))
         pairs.append(
             F.struct(
                 F.lit(name).alias("column_name"),

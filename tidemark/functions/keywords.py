@@ -42,7 +42,9 @@ def keyword_matches(df: DataFrame, text: str, keywords) -> DataFrame:
     )
 
 
-def search_items(items: DataFrame, keywords, key: str = "item", text: str = "description") -> DataFrame:
+def search_items(
+    items: DataFrame, keywords, key: str = "item", text: str = "description"
+) -> DataFrame:
     """Best match first: most tokens held, then shortest text, then key."""
     found = keyword_matches(items, text, keywords)
     return found.orderBy(F.desc("score"), "n_tokens", key)

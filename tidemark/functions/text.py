@@ -10,7 +10,9 @@ def _column(column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def explode_lines(df: DataFrame, text: str, line: str = "line", position: str = "line_no") -> DataFrame:
+def explode_lines(
+    df: DataFrame, text: str, line: str = "line", position: str = "line_no"
+) -> DataFrame:
     """One row per line of a text, numbered from 0."""
     others = [c for c in df.columns if c != text]
     return df.select(*others, F.posexplode(F.split(F.col(text), "\n")).alias(position, line))

@@ -15,7 +15,9 @@ CIK_WIDTH = 10
 GVK_WIDTH = 6
 
 
-def mapping_as_of(id_map: DataFrame, cik=None, gvk=None, as_of_date: str | None = None) -> DataFrame:
+def mapping_as_of(
+    id_map: DataFrame, cik=None, gvk=None, as_of_date: str | None = None
+) -> DataFrame:
     """Mapping rows of the given keys, valid on the day; no day means all rows."""
     for column, width, value in (("cik", CIK_WIDTH, cik), ("gvk", GVK_WIDTH, gvk)):
         keys = guards.clean_ids(column, value)

@@ -57,7 +57,9 @@ def after(df: DataFrame, key: list[str], last: tuple) -> DataFrame:
     return df.where((F.col(key[0]) >= mark[0]) & (F.struct(*key) > F.struct(*mark)))
 
 
-def page_after(df: DataFrame, key: list[str], last: tuple | None = None, size: int = PAGE_SIZE) -> DataFrame:
+def page_after(
+    df: DataFrame, key: list[str], last: tuple | None = None, size: int = PAGE_SIZE
+) -> DataFrame:
     """The page behind `last` (the first page without it) by a unique key."""
     rest = df if last is None else after(df, key, last)
     return rest.orderBy(*key).limit(size)

@@ -154,10 +154,10 @@ def resolve_footnotes(
     listed = rows.select(*kept, F.posexplode_outer("footnote_ids").alias("pos", "footnote_id"))
     notes = footnotes.select("uuid", "footnote_id", F.col(text).alias("_text"))
     found = listed.join(notes, ["uuid", "footnote_id"], "left")
-    gathered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "_text"))))
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "_text"))
+    texts = F.transform(F.array_sort(F.collect_list(entry)), lambda n: n["_text"])
     return found.groupBy(*row_key).agg(
-        F.when(F.bool_or(F.col("footnote_ids").isNotNull()), F.transform(gathered, lambda n: n["_text"]))
-        .alias("footnotes")
+        F.when(F.bool_or(F.col("footnote_ids").isNotNull()), texts).alias("footnotes")
     )
 
 

@@ -30,7 +30,9 @@ def missing_counts(df: DataFrame, *columns: str) -> DataFrame:
     aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
     pairs = [
         F.struct(
-            F.lit(c).alias("column_name"), F.col(c).alias("n_missing"), F.col("_rows").alias("n_rows")
+            F.lit(c).alias("column_name"),
+            F.col(c).alias("n_missing"),
+            F.col("_rows").alias("n_rows"),
         )
         for c in columns
     ]

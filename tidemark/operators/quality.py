@@ -23,7 +23,9 @@ def duplicate_rows(df: DataFrame, *keys: str) -> DataFrame:
     return member_rows(df, duplicated_values(df, *keys), list(keys))
 
 
-def unexpected_missing(df: DataFrame, expected: dict[str, int] | None = None, *columns: str) -> DataFrame:
+def unexpected_missing(
+    df: DataFrame, expected: dict[str, int] | None = None, *columns: str
+) -> DataFrame:
     """Missing counts with the allowed number and whether it is met."""
     expected = expected or {}
     names = columns or tuple(expected)
@@ -78,12 +80,10 @@ def monotonic_violations(
     )
     across = Window.partitionBy(*series).orderBy("_range")
     seam = ranges.withColumn("_before", F.lag("_tail").over(across))
-    falls = F.col("falls") + F.coalesce((F.col("_head") < F.col("_before")).cast("int"), F.lit(0))
-    repeats = F.col("repeats") + F.coalesce((F.col("_head") == F.col("_before")).cast("int"), F.lit(0))
+    falls = F.sum("falls") + F.count_if(F.col("_head") < F.col("_before"))
+    repeats = F.sum("repeats") + F.count_if(F.col("_head") == F.col("_before"))
     return seam.groupBy(*series).agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(falls).alias("n_falls"),
-        F.sum(repeats).alias("n_repeats"),
+        F.sum("n").alias("n_rows"), falls.alias("n_falls"), repeats.alias("n_repeats")
     )
 
 

@@ -78,7 +78,8 @@ def frame_diff(left: DataFrame, right: DataFrame, fuzzy: bool = False) -> DataFr
     """
     columns = left.columns
     if fuzzy:
-        left, right = (df.select(*[blank_blind(c).alias(c) for c in columns]) for df in (left, right))
+        blind = [blank_blind(c).alias(c) for c in columns]
+        left, right = left.select(*blind), right.select(*blind)
     return _sides(left, right, columns).where("n_left <> n_right")
 
 

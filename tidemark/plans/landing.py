@@ -57,7 +57,9 @@ def paged(rows: DataFrame, number: Column, request: Column, table: str | None =
         F.collect_list(body).alias("data")
     )
     totals = rows.groupBy(request.alias("request")).agg(
-        F.count("*").alias("count"), F.max(number).alias("last_page"), F.min(number).alias("first_page")
+        F.count("*").alias("count"),
+        F.max(number).alias("last_page"),
+        F.min(number).alias("first_page"),
     )
 
     def link(page):

@@ -113,7 +113,8 @@ MIXED = {
 def _mixed_text(d):
     text = _text("FY", F.year(d))
     for priority, name in MIXED.items():
-        text = F.when(F.col("o_orderpriority") == priority, PERIOD_FORMATS[name][0](d)).otherwise(text)
+        chosen = PERIOD_FORMATS[name][0](d)
+        text = F.when(F.col("o_orderpriority") == priority, chosen).otherwise(text)
     return text
 
 

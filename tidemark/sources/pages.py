@@ -92,7 +92,9 @@ def merge_tables(payloads: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
     }
 
 
-def parse_rows(bodies: DataFrame, row: T.StructType, body: str = "value") -> tuple[DataFrame, DataFrame]:
+def parse_rows(
+    bodies: DataFrame, row: T.StructType, body: str = "value"
+) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of JSON texts; a text that does not fit goes to the rejects.
 
     The parsed row passes through a generator, which the filters stay above: they
@@ -100,7 +102,8 @@ def parse_rows(bodies: DataFrame, row: T.StructType, body: str = "value") -> tup
     """
     fields = T.StructType([*row.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = bodies.select("*", F.explode(F.array(F.from_json(body, fields, options))).alias("_row"))
+    read = F.array(F.from_json(body, fields, options))
+    parsed = bodies.select("*", F.explode(read).alias("_row"))
     bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
     others = [c for c in bodies.columns if c != body]
     rows = parsed.where(~bad).select(*others, *[f"_row.{f.name}" for f in row.fields])
