@@ -45,6 +45,15 @@ def test_lost_page_is_noticed(spark, landed):
     assert (row["n_rows"], row["n_last_pages"], row["complete"]) == (4, 0, False)
 
 
+def test_error_bodies_are_rejected(spark, landed):
+    (landed / "3.json").write_text('{"message": "no such form"}')
+    (landed / "4.json").write_text('{"links": {"self": "x"}, "data": [{"uu')
+    good, rejects = pages.split_pages(spark, str(landed), ROW, multi_line=True)
+    assert pages.page_rows(good).count() == 5
+    assert pages.page_completeness(good).first()["complete"]
+    assert sorted(r["value"][:8] for r in rejects.collect()) == ['{"links"', '{"messag']
+
+
 def test_tables_merge_over_pages(spark, tmp_path):
     bodies = [
         page(0, {"metadata": rows_of(1), "lines": [{"uuid": "u1", "v": 1}]}, 1),

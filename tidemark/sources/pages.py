@@ -93,9 +93,10 @@ def merge_tables(payloads: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
 
 
 def parse_rows(
-    bodies: DataFrame, row: T.StructType, body: str = "value"
+    bodies: DataFrame, row: T.StructType, body: str = "value", required: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of JSON texts; a text that does not fit goes to the rejects.
+    """(rows, rejects) of JSON texts; a text that does not fit, or lacks a required
+    field, goes to the rejects.
 
     The parsed row passes through a generator, which the filters stay above: they
     would otherwise move below it and parse each text again.
@@ -105,6 +106,16 @@ def parse_rows(
     read = F.array(F.from_json(body, fields, options))
     parsed = bodies.select("*", F.explode(read).alias("_row"))
     bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
+    for name in required:
+        bad = bad | F.col(f"_row.{name}").isNull()
     others = [c for c in bodies.columns if c != body]
     rows = parsed.where(~bad).select(*others, *[f"_row.{f.name}" for f in row.fields])
     return rows, parsed.where(bad).select(*others, body)
+
+
+def split_pages(
+    spark: SparkSession, path: str, row: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(pages, rejects) of a landing folder; error bodies and cut-off files are rejected."""
+    bodies = spark.read.text(path, wholetext=multi_line)
+    return parse_rows(bodies, schemas.envelope(row), required=("data",))
