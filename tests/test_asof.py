@@ -30,8 +30,13 @@ def test_mapping_by_either_key(id_map):
     assert row["cik"] == "0000940800" and row["thrudate"] == dt.datetime(2100, 12, 31)
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_attach_as_of_equals_brute_force(frame, how):
+SPAN = (dt.date(1998, 1, 1), dt.date(2004, 12, 31))
+
+
+@pytest.mark.parametrize(
+    "how, span, days", [("left", None, 365), ("inner", None, 1), ("left", SPAN, 30)]
+)
+def test_attach_as_of_equals_brute_force(frame, how, span, days):
     """Overlapping intervals, gaps, unknown keys and one key with a third of the facts."""
     rng = random.Random(7)
     start = dt.datetime(1998, 1, 1)
@@ -51,6 +56,8 @@ def test_attach_as_of_equals_brute_force(frame, how):
         "cik",
         "at",
         how,
+        span,
+        days,
     )
     expected = []
     for i, key, at in facts:

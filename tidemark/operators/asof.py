@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import guards
@@ -43,34 +45,40 @@ def attach_as_of(
     key: str,
     at: str,
     how: str = "left",
-    years: tuple[int, int] | None = None,
+    span: tuple[dt.date, dt.date] | None = None,
+    bucket_days: int = 365,
 ) -> DataFrame:
     """Facts with the mapping row valid at the instant `at`.
 
-    Key and calendar year form the equi-join key: each interval is laid out over
-    the years it shares with the facts, which spreads a hot key over its years,
-    bounds the candidates a fact meets and keeps the join a hash or merge join.
-    `years` states the first and last year of the facts; without it one more scan
-    of the single column `at` finds them.
+    Key and time bucket form the equi-join key: each interval is laid out over the
+    buckets it shares with the facts, which spreads a hot key over time, bounds the
+    candidates a fact meets and keeps the join a hash or merge join. Keys that change
+    often want small buckets. `span` states the first and last day of the facts;
+    without it one more scan of the single column `at` finds them.
     """
-    if years is None:
-        ends = F.struct(F.year(F.min(at)).alias("low"), F.year(F.max(at)).alias("high"))
-        span = facts.agg(ends).scalar()
+
+    def bucket(moment) -> Column:
+        return F.floor(F.unix_date(F.to_date(moment)) / bucket_days).cast("int")
+
+    if span is None:
+        ends = F.struct(bucket(F.min(at)).alias("low"), bucket(F.max(at)).alias("high"))
+        limits = facts.agg(ends).scalar()
     else:
-        span = F.struct(F.lit(years[0]).alias("low"), F.lit(years[1]).alias("high"))
+        low, high = (bucket(F.lit(day)) for day in span)
+        limits = F.struct(low.alias("low"), high.alias("high"))
     laid_out = (
-        id_map.withColumn("_span", span)
-        .withColumn("_first", F.greatest(F.year("effdate"), F.col("_span.low")))
-        .withColumn("_last", F.least(F.year("thrudate"), F.col("_span.high")))
+        id_map.withColumn("_limits", limits)
+        .withColumn("_first", F.greatest(bucket("effdate"), F.col("_limits.low")))
+        .withColumn("_last", F.least(bucket("thrudate"), F.col("_limits.high")))
         .where("_first <= _last")
-        .withColumn("_year", F.explode(F.sequence("_first", "_last")))
-        .drop("_span", "_first", "_last")
+        .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
+        .drop("_limits", "_first", "_last")
         .alias("m")
     )
-    left = facts.withColumn("_year", F.year(at)).alias("f")
+    left = facts.withColumn("_bucket", bucket(at)).alias("f")
     match = (
         (F.col(f"f.{key}") == F.col(f"m.{key}"))
-        & (F.col("f._year") == F.col("m._year"))
+        & (F.col("f._bucket") == F.col("m._bucket"))
         & (F.col("m.effdate") <= F.col(f"f.{at}"))
         & (F.col(f"f.{at}") <= F.col("m.thrudate"))
     )
