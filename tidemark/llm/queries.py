@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sql
+from tidemark.llm import mixing, packing, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    pieces = packing.pack(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query("op7_mixing", sql.MIXING)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of each document when sources weigh 3, 1, 2 and share 150% of all words."""
