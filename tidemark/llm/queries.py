@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, sql
+from tidemark.llm import maxscore, mixing, packing, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,13 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_topk", sql.TOP_K)
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 rows of largest integer inner product for every 50th vector."""
+    rows = maxscore.quantised(table(spark, folder, "embeddings"))
+    return maxscore.top_k(rows.filter("vec_id % 50 = 0"), rows, k=5)
+
+
 @query("op7_mixing", sql.MIXING)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of each document when sources weigh 3, 1, 2 and share 150% of all words."""

@@ -30,3 +30,21 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN unit < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated
 """
+
+TOP_K = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+         list_inner_product(q.vector, r.vector)::BIGINT AS score
+  FROM usable q JOIN usable r ON q.vec_id <> r.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
