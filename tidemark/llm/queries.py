@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import maxscore, mixing, packing, sql
+from tidemark.llm import licenses, maxscore, mixing, packing, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,15 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "target",
         (F.col("size") * F.col("copies")).alias("taken"),
     )
+
+
+@query("op9_licenses", sql.licences())
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence sentences of every document and the licences their rules yield."""
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc.doc_id",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )

@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries that SQL can express, over the same tables."""
 
+from __future__ import annotations
+
+from tidemark.llm import licenses
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -48,3 +52,57 @@ WITH usable AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def licences() -> str:
+    """Sentences are unnested with their places and joined with the dictionary; one step a rule."""
+    known = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in licenses.dictionary().items())
+    normal = (
+        "trim(regexp_replace(translate({}, '" + licenses.UPPER + "', '" + licenses.LOWER + "'),"
+        " '[^a-z0-9]+', ' ', 'g'))"
+    )
+    steps, before = [], "sequences"
+    for n, (name, rule) in enumerate(licenses.RULES):
+        form = _text(licenses.rule_pattern(rule))
+        steps.append(
+            f"r{n} AS (SELECT doc_id, ids, regexp_replace(rest, {form}, '', 'g') AS rest,"
+            f" CASE WHEN regexp_matches(rest, {form})"
+            f" THEN list_append(found, {_text(name)}) ELSE found END AS found FROM {before})"
+        )
+        before = f"r{n}"
+    return f"""
+WITH known(sentence, id) AS (VALUES {known}),
+sentences AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence
+  FROM (SELECT doc_id, string_split(regexp_replace(text, {_text(licenses.BOUNDARY)},
+               '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents)
+), whole AS (
+  SELECT s.*, k.id FROM sentences s LEFT JOIN known k ON k.sentence = {normal.format("s.sentence")}
+), lines AS (
+  SELECT doc_id, place, generate_subscripts(parts, 1) AS line, parts
+  FROM (SELECT doc_id, place, string_split(sentence, chr(10)) AS parts
+        FROM whole WHERE id IS NULL AND contains(sentence, chr(10)))
+), hits AS (
+  SELECT doc_id, place, 0 AS line, id FROM whole WHERE id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, place, line, coalesce(a.id, b.id)
+  FROM lines
+  LEFT JOIN known a ON a.sentence = {normal.format("parts[line]")}
+  LEFT JOIN known b ON len(parts) - line + 1 <= {licenses.WRAPPED_LINES}
+    AND b.sentence = {normal.format("array_to_string(parts[line:], ' ')")}
+  WHERE coalesce(a.id, b.id) IS NOT NULL
+), sequences AS (
+  SELECT d.doc_id, list(h.id ORDER BY place, line) FILTER (WHERE h.id IS NOT NULL) AS ids,
+         '<' || string_agg(h.id, '><' ORDER BY place, line) || '>' AS rest,
+         []::VARCHAR[] AS found
+  FROM documents d LEFT JOIN hits h USING (doc_id) GROUP BY d.doc_id
+), {", ".join(steps)}
+SELECT doc_id, coalesce(len(ids), 0) AS n_sentences,
+       coalesce(array_to_string(ids, ','), '') AS sentences,
+       array_to_string(list_sort(list_distinct(found)), ',') AS licences
+FROM {before}
+"""
