@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import workers
+
 EXACT = 2.0**53  # products below this are exact in double precision
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
@@ -141,6 +143,7 @@ def top_k(
     Rows are cut into shards and queries into blocks by hash, both of bounded size; every block
     meets every shard once, which yields k rows a query, and the shards' lists are merged by score.
     """
+    workers.ready(rows.sparkSession)
     partaking = usable(F.col("vector")) & F.col("vec_id").isNotNull()
     rows = one_row_per_id(rows.select("vec_id", "vector").filter(partaking))
     queries = one_row_per_id(queries.select("vec_id", "vector").filter(partaking))

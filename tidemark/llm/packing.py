@@ -13,6 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm import workers
+
 # Fixed value: the splitting pattern of byte-level BPE vocabularies.
 PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -263,6 +265,7 @@ def pack(
     """
     if window < 1 or window & (window - 1):
         raise ValueError("window must be a power of two")
+    workers.ready(docs.sparkSession)
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
         + [

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, maxscore, mixing, packing, sql
+from tidemark.llm import licenses, maxscore, mixing, packing, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,23 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_secrets")
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: counts by fixed pattern, their digest, and all spans."""
+    found = secrets.find(table(spark, folder, "documents"))
+    counts = [
+        secrets.of_kind(F.col("spans"), kind).alias(f"n_{kind}")
+        for kind in ("assign", "access", "hex")
+    ]
+    base = secrets.listed(secrets.base_only(F.col("spans")))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op3_topk", sql.TOP_K)
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 rows of largest integer inner product for every 50th vector."""
