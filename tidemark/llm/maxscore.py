@@ -3,41 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import workers
+from tidemark.llm import vectors
 
 EXACT = 2.0**53  # products below this are exact in double precision
-SHARD_ROWS = 8192
-QUERY_ROWS = 2048
-
-
-def usable(vector: Column) -> Column:
-    """Not null, not empty, and without null or non-finite components."""
-    bad = F.exists(
-        vector,
-        lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))),
-    )
-    return F.coalesce((F.size(vector) > 0) & ~bad, F.lit(False))
-
-
-def one_row_per_id(rows: DataFrame) -> DataFrame:
-    """(vec_id, vector) with repeated ids resolved: the smallest vector stands for its id."""
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-
-
-def _dense(vectors: pd.Series) -> np.ndarray:
-    """Rows of equal width; shorter vectors end in zeros."""
-    width = max(map(len, vectors))
-    out = np.zeros((len(vectors), width))
-    for k, v in enumerate(vectors):
-        out[k, : len(v)] = v
-    return out
 
 
 class Postings:
@@ -105,22 +79,21 @@ def _exactly(rows: np.ndarray, ids: np.ndarray, query_id: int, query: np.ndarray
     return [i for _, i in found], [-s for s, _ in found]
 
 
-def _shard_top(k: int, columns: list[str]):
-    def search(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+def _best_in_shard(k: int) -> vectors.Search:
+    def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
-        if len(queries) and len(rows):
-            both = _dense(pd.concat([queries.vector, rows.vector]))
-            asked, held = both[: len(queries)], both[len(queries) :]
-            ids = rows.vec_id.to_numpy()
-            limit = np.abs(asked).max(initial=0) * np.abs(held).max(initial=0) * both.shape[1]
-            postings = Postings(ids, held) if limit < EXACT else None
-            for query_id, query in zip(queries.vec_id, asked, strict=True):
-                if postings:
-                    best = postings.top(query_id, query, k)
-                else:
-                    best = _exactly(held, ids, query_id, query, k)
-                found += [(query_id, int(i), int(s)) for i, s in zip(*best, strict=True)]
-        return pd.DataFrame(found, columns=columns).astype("int64")
+        both = vectors.dense(pd.concat([queries.vector, rows.vector]))
+        asked, held = both[: len(queries)], both[len(queries) :]
+        ids = rows.vec_id.to_numpy()
+        limit = np.abs(asked).max() * np.abs(held).max() * both.shape[1]
+        postings = Postings(ids, held) if limit < EXACT else None
+        for query_id, query in zip(queries.vec_id, asked, strict=True):
+            if postings:
+                best = postings.top(query_id, query, k)
+            else:
+                best = _exactly(held, ids, query_id, query, k)
+            found += [(query_id, int(i), int(s)) for i, s in zip(*best, strict=True)]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return search
 
@@ -129,39 +102,29 @@ def top_k(
     queries: DataFrame,
     rows: DataFrame,
     k: int = 5,
-    shard_rows: int = SHARD_ROWS,
-    query_rows: int = QUERY_ROWS,
+    shard_rows: int = vectors.SHARD_ROWS,
+    query_rows: int = vectors.QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product for every query.
 
     Both frames hold (vec_id, vector) with whole-number components. A row with the query's own id
     is no candidate. Ties go to the smaller vec_id; fewer than k candidates are all returned;
     repeated ids count once (the smallest vector); null ids and vectors that are null, empty or
-    hold null or non-finite components take no part; shorter vectors are read as ending in zeros. Empty frames
-    give an empty result. Other columns are not read.
+    hold null or non-finite components take no part; shorter vectors are read as ending in zeros.
+    Empty frames give an empty result. Other columns are not read.
 
     Rows are cut into shards and queries into blocks by hash, both of bounded size; every block
     meets every shard once, which yields k rows a query, and the shards' lists are merged by score.
     """
-    workers.ready(rows.sparkSession)
-    partaking = usable(F.col("vector")) & F.col("vec_id").isNotNull()
-    rows = one_row_per_id(rows.select("vec_id", "vector").filter(partaking))
-    queries = one_row_per_id(queries.select("vec_id", "vector").filter(partaking))
-    shards = max(1, math.ceil(rows.count() / shard_rows))
-    blocks = max(1, math.ceil(queries.count() / query_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    columns = ["query_id", "vec_id", "score"]
-    found = (
-        queries.groupBy("shard", "block")
-        .cogroup(rows.groupBy("shard", "block"))
-        .applyInPandas(_shard_top(k, columns), "query_id long, vec_id long, score long")
+    return vectors.search(
+        vectors.partaking(queries),
+        vectors.partaking(rows),
+        k,
+        _best_in_shard(k),
+        "long",
+        shard_rows,
+        query_rows,
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def quantised(embeddings: DataFrame, levels: float = 256.0) -> DataFrame:
@@ -172,5 +135,5 @@ def quantised(embeddings: DataFrame, levels: float = 256.0) -> DataFrame:
     scaled = F.transform(
         "embedding", lambda x: F.floor(F.lit(levels) * x.cast("double")).cast("double")
     )
-    vector = F.when(usable(F.col("embedding")), scaled)
+    vector = F.when(vectors.usable(F.col("embedding")), scaled)
     return embeddings.select("vec_id", vector.alias("vector"))

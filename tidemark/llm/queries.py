@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, maxscore, mixing, packing, secrets, sql
+from tidemark.llm import ann, licenses, maxscore, mixing, packing, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,6 +69,13 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(rows.filter("vec_id % 50 = 0"), rows, k=5)
 
 
+@query("op6_ann")
+def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows found for every 20th vector."""
+    rows = table(spark, folder, "embeddings").withColumnRenamed("embedding", "vector")
+    return ann.nearest(rows.filter("vec_id % 20 = 0"), rows, k=20)
+
+
 @query("op7_mixing", sql.MIXING)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of each document when sources weigh 3, 1, 2 and share 150% of all words."""
