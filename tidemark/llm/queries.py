@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, licenses, maxscore, mixing, packing, secrets, sql
+from tidemark.llm import ann, jaccard_join, licenses, maxscore, mixing, packing, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,6 +69,12 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(rows.filter("vec_id % 50 = 0"), rows, k=5)
 
 
+@query("op4_jaccard", sql.JACCARD)
+def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share three quarters of their 5-word shingles."""
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op6_ann")
 def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest rows found for every 20th vector."""

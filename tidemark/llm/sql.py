@@ -53,6 +53,35 @@ WITH usable AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+JACCARD = r"""
+WITH RECURSIVE tokens AS MATERIALIZED (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(array_to_string(words[i:i + 4], ' ')) AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
+        FROM tokens WHERE len(words) > 0)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY ALL
+  ) JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * common >= 75 * (s.size + t.size - common)
+), reached(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.node
+)
+SELECT r.doc_id, coalesce(max(s.size), 0)::BIGINT AS n_shingles, min(node) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id
+GROUP BY r.doc_id
+"""
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"

@@ -45,3 +45,53 @@ def runs(member: np.ndarray, breaks: np.ndarray, least: int) -> tuple[np.ndarray
     starts, ends = at[:-1], at[1:]
     long = (ends - starts >= least) & member[starts] if len(at) else np.zeros(0, bool)
     return starts[long], ends[long]
+
+
+_random = np.random.default_rng(20240229)
+_BYTE = _random.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACE = _random.integers(1, 2**63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every input bit (the splitmix64 finish)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _place_factors(length: int) -> np.ndarray:
+    """Random odd factors by place in a word."""
+    rounds = np.full((length + 63) // 64, _ODD, dtype=np.uint64)
+    if len(rounds):
+        rounds[0] = 1
+    return np.outer(np.cumprod(rounds), _PLACE).ravel()[:length]
+
+
+def words(content: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, start, end) of every word of the texts, and each text's first word (n + 1 places).
+
+    Words are maximal runs of bytes that are not blank; starts and ends are byte positions.
+    """
+    inside = ~BLANK[content]
+    starts, ends = runs(inside, offsets[:-1][offsets[:-1] < len(content)], 1)
+    if not len(starts):
+        return np.empty(0, np.uint64), starts, ends, np.zeros(len(offsets), np.int64)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    letters = content[inside]
+    place = np.arange(len(letters)) - np.repeat(first, lengths)
+    weighted = _BYTE[letters] * _place_factors(int(lengths.max()))[place]
+    hashes = mixed(np.add.reduceat(weighted, first) + lengths.astype(np.uint64))
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each word on (texts are not told apart)."""
+    count = len(hashes) - n + 1
+    if count <= 0:
+        return np.empty(0, np.uint64)
+    total = np.zeros(count, np.uint64)
+    for k, factor in enumerate(_place_factors(n)):
+        total += hashes[k : k + count] * factor
+    return mixed(total)
