@@ -166,8 +166,7 @@ def prefix_blobs(
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 bucket, keys, names, bands = (x[order] for x in (bucket, keys, names, bands))
-                start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                end = np.append(start[1:], len(bucket))
+                start, end = texts.groups(bucket)
                 blobs = [
                     keys[a:b].tobytes() + names[a:b].tobytes() + bands[a:b].astype(np.uint8).tobytes()
                     for a, b in zip(start, end, strict=True)
@@ -199,13 +198,10 @@ def _shared_lists(frame: pd.DataFrame) -> pd.DataFrame:
     new = np.ones(len(keys), dtype=bool)
     new[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
     keys, names, bands = keys[new], names[new], bands[new]
-    run = np.ones(len(keys) + 1, dtype=bool)
-    run[1:-1] = keys[1:] != keys[:-1]
-    at = np.flatnonzero(run)
+    begin, end = texts.groups(keys)
+    several = end - begin > 1
     lists = set()
-    for a, b in zip(at[:-1], at[1:], strict=True):
-        if b - a < 2:
-            continue
+    for a, b in zip(begin[several], end[several], strict=True):
         held, own = names[a:b], bands[a:b]
         here = np.bincount(own, minlength=own.max() + 2)
         near = here[own] + here[own + 1] + np.where(own > 0, here[own - 1], 0)

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, jaccard_join, licenses, maxscore, mixing, packing, secrets, sql
+from tidemark.llm import (
+    ann,
+    jaccard_join,
+    licenses,
+    maxscore,
+    mixing,
+    packing,
+    recompression,
+    secrets,
+    sql,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +115,12 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("sentences", ",").alias("sentences"),
         F.array_join("licences", ",").alias("licences"),
     )
+
+
+@query("op10_substrings", sql.SUBSTRINGS)
+def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without the 35-word windows that occur elsewhere."""
+    found = recompression.deduplicated(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

@@ -82,6 +82,33 @@ FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id
 GROUP BY r.doc_id
 """
 
+SUBSTRINGS = r"""
+WITH tokens AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS content
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i
+        FROM tokens WHERE len(words) >= 35)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY content) AS times FROM windows)
+  WHERE times > 1
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM repeated
+), gone AS (
+  SELECT doc_id, count(*) AS n_removed, list(place) AS places FROM removed GROUP BY doc_id
+), kept AS (
+  SELECT t.doc_id, count(*) AS n_kept,
+         string_agg(t.word, ' ' ORDER BY t.place) AS words
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM tokens) t
+  ANTI JOIN removed r ON r.doc_id = t.doc_id AND r.place = t.place
+  GROUP BY t.doc_id
+)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(g.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.words, '')) AS kept_sha256
+FROM tokens t LEFT JOIN gone g ON g.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"

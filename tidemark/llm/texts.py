@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,10 +48,17 @@ def runs(member: np.ndarray, breaks: np.ndarray, least: int) -> tuple[np.ndarray
     return starts[long], ends[long]
 
 
-_random = np.random.default_rng(20240229)
-_BYTE = _random.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACE = _random.integers(1, 2**63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the stretches of equal values."""
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    begin = np.flatnonzero(new)
+    return begin, np.append(begin[1:], len(values))[: len(begin)]
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_KEPT = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=np.uint64)
+LONG_WORD = 1024
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -60,30 +68,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _place_factors(length: int) -> np.ndarray:
-    """Random odd factors by place in a word."""
-    rounds = np.full((length + 63) // 64, _ODD, dtype=np.uint64)
-    if len(rounds):
-        rounds[0] = 1
-    return np.outer(np.cumprod(rounds), _PLACE).ravel()[:length]
-
-
 def words(content: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(hash, start, end) of every word of the texts, and each text's first word (n + 1 places).
 
-    Words are maximal runs of bytes that are not blank; starts and ends are byte positions.
+    Words are maximal runs of bytes that are not blank; starts and ends are byte positions. A word
+    is hashed eight bytes at a time, all words at once; a very long one by BLAKE2.
     """
-    inside = ~BLANK[content]
-    starts, ends = runs(inside, offsets[:-1][offsets[:-1] < len(content)], 1)
-    if not len(starts):
-        return np.empty(0, np.uint64), starts, ends, np.zeros(len(offsets), np.int64)
+    starts, ends = runs(~BLANK[content], offsets[:-1][offsets[:-1] < len(content)], 1)
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    letters = content[inside]
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
-    weighted = _BYTE[letters] * _place_factors(int(lengths.max()))[place]
-    hashes = mixed(np.add.reduceat(weighted, first) + lengths.astype(np.uint64))
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    padded = np.concatenate([content, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(content) + 1,), "<u8", padded, strides=(1,))
+    hashes = lengths.astype(np.uint64) * _ODD
+    rest, at = np.flatnonzero(lengths <= LONG_WORD), 0
+    while len(rest):
+        begin = starts[rest] + at
+        piece = eights[begin] & _KEPT[np.minimum(lengths[rest] - at, 8)]
+        hashes[rest] = mixed(hashes[rest] + piece) * _ODD
+        at += 8
+        rest = rest[lengths[rest] > at]
+    for k in np.flatnonzero(lengths > LONG_WORD):
+        digest = hashlib.blake2b(content[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        hashes[k] = int.from_bytes(digest, "little")
+    return mixed(hashes), starts, ends, np.searchsorted(starts, offsets)
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -92,6 +98,7 @@ def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     if count <= 0:
         return np.empty(0, np.uint64)
     total = np.zeros(count, np.uint64)
-    for k, factor in enumerate(_place_factors(n)):
-        total += hashes[k : k + count] * factor
+    for k in range(n):  # by Horner's rule, so the order of the words counts
+        total *= _ODD
+        total += hashes[k : k + count]
     return mixed(total)
