@@ -15,6 +15,7 @@ from tidemark.llm import (
     maxscore,
     mixing,
     packing,
+    quality,
     recompression,
     secrets,
     sql,
@@ -85,6 +86,13 @@ def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    return quality.scored(table(spark, folder, "documents"), labels)
+
+
 @query("op6_ann")
 def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest rows found for every 20th vector."""
