@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     ann,
     jaccard_join,
+    langid,
     licenses,
     maxscore,
     mixing,
@@ -113,6 +114,12 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_langid")
+def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from the documents that are not held out."""
+    return langid.predicted(table(spark, folder, "documents"))
+
+
 @query("op9_licenses", sql.licences())
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence sentences of every document and the licences their rules yield."""
