@@ -4,23 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import jaccard_join, mixing, packing, quality, secrets
 from tidemark.session import stored
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted to `labels`, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality.accepted(docs, labels)
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group that 5-word shingles link at 0.75."""
+    return jaccard_join.one_per_group(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark, and n_chars counted anew."""
+    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return secrets.redact(docs).withColumn("n_chars", size)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that the sources come near their target weights."""
     return mixing.mix(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2048 ids; copies of a document are packed separately."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_near_duplicates),
+    ("secrets", without_secrets),
     ("mixing", mixed_sources),
+    ("packing", packed),
 ]
 
-# The classifier, the joins and the packing of the stages are beyond SQL; tests hold each stage
-# against a brute-force version.
+# SQL cannot express the classifier, the randomness tests or the packing; tests/llm holds every
+# stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -431,3 +431,21 @@ def _unnested(lists: DataFrame) -> DataFrame:
 
     named = lists.select(F.xxhash64("members").alias("list"), "members")
     return named.mapInArrow(unnest, "list long, sig long")
+
+
+def one_per_group(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` whose doc_id is their component's (see near_duplicates).
+
+    Rows that repeat a doc_id count as one document: the one with the smallest text stays. Rows
+    without a doc_id stay.
+    """
+    groups = near_duplicates(docs, n, percent)
+    stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    stay = stored(stay)
+    single = docs.join(stay.filter("rows = 1"), "doc_id", "left_semi")
+    kept = single.unionByName(docs.filter("doc_id is null"))
+    if stay.filter("rows > 1").isEmpty():
+        return kept
+    several = docs.join(stay.filter("rows > 1"), "doc_id", "left_semi")
+    first = several.groupBy("doc_id").agg(F.min_by(F.struct("*"), F.struct("text")).alias("row"))
+    return kept.unionByName(first.select("row.*"))

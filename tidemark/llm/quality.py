@@ -229,6 +229,17 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.crc32(name.cast("binary")) % parts == part
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, seed: int) -> tuple[DataFrame, Model]:
+    """The table of statistics, with held_out, and the model of its labelled rows."""
+    workers.ready(docs.sparkSession)
+    rows = stored(described(docs))
+    rows = rows.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+    known = labels.filter("quality is not null").groupBy("doc_id")
+    known = known.agg(F.avg(F.col("quality").cast("double")).alias("quality"))
+    examples = rows.filter("not held_out").join(known, "doc_id").select("statistics", "quality")
+    return rows, fit(stored(examples), seed)
+
+
 def scored(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of (doc_id, text).
 
@@ -241,15 +252,7 @@ def scored(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     alike. Null doc_ids have no label. Without labels of both kinds every score is their mean, or 0.5.
     An empty table gives an empty result; other columns are not read.
     """
-    workers.ready(docs.sparkSession)
-    rows = stored(described(docs))
-    rows = rows.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
-    known = labels.filter("quality is not null").groupBy("doc_id")
-    known = known.agg(F.avg(F.col("quality").cast("double")).alias("quality"))
-    examples = stored(
-        rows.filter("not held_out").join(known, "doc_id").select("statistics", "quality")
-    )
-    model = fit(examples, seed)
+    rows, model = _fitted(docs, labels, seed)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,3 +271,19 @@ def scored(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     return rows.select("doc_id", "held_out", "statistics").mapInArrow(
         score, f"doc_id {kind}, held_out boolean, score double, predicted int"
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
+    """The rows of `docs` that score 0.5 or more (see scored); all their columns.
+
+    The rows are scored where they are read, so nothing is joined by id.
+    """
+    _, model = _fitted(docs, labels, seed)
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = model.score(statistics(batch.column(place))) >= 0.5
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
