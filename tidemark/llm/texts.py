@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 # Whether a byte is one of space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = np.zeros(256, dtype=bool)
