@@ -76,7 +76,7 @@ def _exactly(rows: np.ndarray, ids: np.ndarray, query_id: int, query: np.ndarray
         for i, row in zip(ids, rows, strict=True)
         if i != query_id
     )[:k]
-    return [i for _, i in found], [-s for s, _ in found]
+    return [i for _, i in found], [min(max(-s, -(2**63)), 2**63 - 1) for s, _ in found]
 
 
 def _best_in_shard(k: int) -> vectors.Search:
@@ -111,7 +111,8 @@ def top_k(
     is no candidate. Ties go to the smaller vec_id; fewer than k candidates are all returned;
     repeated ids count once (the smallest vector); null ids and vectors that are null, empty or
     hold null or non-finite components take no part; shorter vectors are read as ending in zeros.
-    Empty frames give an empty result. Other columns are not read.
+    A score beyond 64 bits is shown as the last one that fits. Empty frames give an empty result.
+    Other columns are not read.
 
     Rows are cut into shards and queries into blocks by hash, both of bounded size; every block
     meets every shard once, which yields k rows a query, and the shards' lists are merged by score.

@@ -58,7 +58,7 @@ class Symbols:
         high[self.opens[last + 1]] = OUTSIDE
         name = self.name[begin]
         run = times > 1
-        name[run] = texts.mixed(name[run] * _RUN + times[run])
+        name[run] = texts.mixed(name[run] * _PAIR + texts.mixed(times[run] + _RUN))
         self.name, self.low, self.high = name, low, high
         self.start, self.end = self.start[begin], self.end[last]
         self.opens = np.append(self.opens[begin], True)
