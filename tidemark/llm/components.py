@@ -38,6 +38,7 @@ def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _local_forests(edges: DataFrame) -> DataFrame:
     """Fewer edges with the same components: forests of the edges that a task holds at a time."""
 
+    @workers.lean
     def forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
         for frame in frames:

@@ -16,9 +16,9 @@ from tidemark.llm.components import components
 from tidemark.session import stored
 
 WORDS, PERCENT = 5, 75
-BUCKET_KEYS = 1 << 20  # shingles sorted by one task at a time
+BUCKET_KEYS = 1 << 19  # shingles sorted by one task at a time
 TILE_ROWS = 1024  # of one size band; a tile holds two such parts at most
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 FREQUENT_IN_PART, FREQUENT, FREQUENT_MOST = 4, 32, 1 << 18
 
 # A to Z in lower case, other bytes as they are.
@@ -84,6 +84,7 @@ def described(docs: DataFrame, n: int) -> DataFrame:
     A shingle is reported by a part of the texts where several different sets hold it.
     """
 
+    @workers.lean
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs, sizes, bits, often = [], [], [], []
@@ -151,6 +152,7 @@ def prefix_blobs(
 ) -> DataFrame:
     """(bucket, blob): the prefix shingles of every set, its name and its size band, by bucket."""
 
+    @workers.lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sets in _by_part(batch.column(0), n):
@@ -187,6 +189,7 @@ def _unpacked(blobs: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(names), np.concatenate(bands)
 
 
+@workers.lean_group
 def _shared_lists(frame: pd.DataFrame) -> pd.DataFrame:
     """Sorted names of the sets that share a prefix shingle, each different list once.
 
@@ -310,6 +313,7 @@ def _forests(
 ) -> DataFrame:
     """(a, b): pairs of names that join the linked sets of every tile."""
 
+    @workers.lean_group
     def link(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["list", "tile", "size", "sig"]).drop_duplicates(
             ["list", "tile", "sig"]
@@ -339,6 +343,7 @@ def _forests(
 
 
 def _set_arrays(docs: DataFrame, n: int) -> DataFrame:
+    @workers.lean
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sets in _by_part(batch.column(0), n):
@@ -420,6 +425,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
 def _unnested(lists: DataFrame) -> DataFrame:
     """(list, sig) of lists of names."""
 
+    @workers.lean
     def unnest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]

@@ -214,6 +214,7 @@ def examples(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list:
     drawn = drawn.withColumn("turn", F.row_number().over(order))
     drawn = stored(drawn.filter(F.col("turn") <= per_language).select("doc_id").distinct())
 
+    @workers.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, parts = [], []
@@ -259,6 +260,7 @@ def predicted(docs: DataFrame, seed: int = 3) -> DataFrame:
     workers.ready(docs.sparkSession)
     net = fit(docs, seed)
 
+    @workers.lean
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             content, offsets = texts.flat(batch.column(1))

@@ -182,6 +182,7 @@ def top_up(windows: list[list[Piece]], window: int) -> list[list[Piece]]:
 
 
 def _packer(path: str, end_id: int, window: int, block_tokens: int):
+    @workers.lean
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         sequence = TaskContext.get().partitionId() << 32

@@ -84,6 +84,7 @@ def statistics(column: pa.Array) -> np.ndarray:
 def described(docs: DataFrame) -> DataFrame:
     """(doc_id, statistics as little-endian doubles) of each row of (doc_id, text)."""
 
+    @workers.lean
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = statistics(batch.column(1))
@@ -108,6 +109,7 @@ def _summed(rows: DataFrame, partial) -> dict[int, np.ndarray]:
     Each row of the matrix is a group of its own, so the size of what comes to the driver is fixed.
     """
 
+    @workers.lean
     def in_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for frame in frames:
@@ -254,6 +256,7 @@ def scored(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """
     rows, model = _fitted(docs, labels, seed)
 
+    @workers.lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = model.score(_matrix(batch.column(2).to_pylist())) if len(batch) else np.empty(0)
@@ -281,6 +284,7 @@ def accepted(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     _, model = _fitted(docs, labels, seed)
     place = docs.columns.index("text")
 
+    @workers.lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = model.score(statistics(batch.column(place))) >= 0.5

@@ -163,6 +163,7 @@ def _dealt(names: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[pa.Recor
 def shared_places(named: DataFrame, buckets: int) -> DataFrame:
     """(key, places): the places, as sorted 4-byte numbers, whose names occur at two places."""
 
+    @workers.lean_group
     def find(frame: pd.DataFrame) -> pd.DataFrame:
         with_names = frame.names.notna()
         parts = [np.frombuffer(x, AT) for x in frame["at"][~with_names]]
@@ -185,6 +186,7 @@ def shared_places(named: DataFrame, buckets: int) -> DataFrame:
         blobs = [found[a:b].tobytes() for a, b in zip(begin, end, strict=True)]
         return pd.DataFrame({"owner": owner[begin], "at": blobs})
 
+    @workers.lean_group
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         found = np.unique(np.concatenate([np.frombuffer(x, AT) for x in frame["at"]]))
         keys, begin = np.unique(found["key"], return_index=True)
@@ -196,6 +198,7 @@ def shared_places(named: DataFrame, buckets: int) -> DataFrame:
 
 
 def _named_symbols(window: int, buckets: int) -> Callable:
+    @workers.lean
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, names, first, keys in _parts(batch.column(1), batch.column(0).to_numpy()):
@@ -208,6 +211,7 @@ def _named_symbols(window: int, buckets: int) -> Callable:
 
 
 def _named_windows(window: int, buckets: int) -> Callable:
+    @workers.lean
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column(2)
@@ -282,6 +286,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     several = each.filter("copies > 1").select("key", F.lit(True).alias("several"))
     repeated = stored(repeated.join(several, "key", "full"))
 
+    @workers.lean
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []

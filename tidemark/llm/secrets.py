@@ -178,6 +178,7 @@ def randomness_histogram(docs: DataFrame, least: int = 20) -> DataFrame:
 
     workers.ready(docs.sparkSession)
 
+    @workers.lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, int, int], int] = {}
         for batch in batches:
@@ -223,6 +224,7 @@ def find(docs: DataFrame, rate: float = 0.05, least: int = 20) -> DataFrame:
     """
     limits = fitted_cutoffs(docs, rate, least)
 
+    @workers.lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = spans_of(batch.column(1), limits, least)
@@ -252,6 +254,7 @@ def redact(
             at = max(at, end)
         return "".join(kept) + text[at:]
 
+    @workers.lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(place)

@@ -78,7 +78,9 @@ def search(
 
     def meet(block: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         if len(block) and len(shard):
-            return within(block, shard)
+            found = within(block, shard)
+            workers.release()
+            return found
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     found = (

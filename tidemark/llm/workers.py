@@ -1,12 +1,17 @@
-"""Makes the package importable in Python workers, whatever path the driver was started from."""
+"""Python workers: the package at hand, and memory given back after each batch."""
 
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 import tidemark
@@ -29,3 +34,38 @@ def ready(spark: SparkSession) -> None:
     )
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: workers stay alive between tasks, and what a large
+    batch took would otherwise stay with each of them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a partition that releases memory after each output."""
+
+    @functools.wraps(work)
+    def over_batches(batches: Iterator) -> Iterator:
+        for found in work(batches):
+            yield found
+            del found
+            release()
+
+    return over_batches
+
+
+def lean_group(work: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable:
+    """A function of a group that releases memory after each group."""
+
+    @functools.wraps(work)
+    def over_group(frame: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return work(frame)
+        finally:
+            release()
+
+    return over_group
