@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import oracle
+from tidemark.plans import registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -15,10 +16,10 @@ def db():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, db, name):
-    sql = entry_module.oracle_sql()[name]
-    assert oracle.compare(spark, FOLDER, db, entry_module.queries()[name], sql) is None
+    sql = registry.ORACLES[name]
+    assert oracle.compare(spark, FOLDER, db, registry.QUERIES[name], sql) is None
 
 
 def test_entry(spark):

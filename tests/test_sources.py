@@ -45,6 +45,23 @@ def test_lost_page_is_noticed(spark, landed):
     assert (row["n_rows"], row["n_last_pages"], row["complete"]) == (4, 0, False)
 
 
+def test_request_is_the_link_without_its_offset(frame):
+    links = {
+        "x?offset=500&form=3": "x?form=3", "x?form=3": "x?form=3", "x?form=3&offset=1": "x?form=3",
+        "x?a=1&offset=2&b=3": "x?a=1&b=3", "x?offset=7": "x", "x": "x", "x?page_offset=1": "x?page_offset=1",
+    }
+    df = frame([(k,) for k in links], "self string")
+    assert {r[0]: r[1] for r in df.select("self", pages.page_request("self")).collect()} == links
+
+
+def test_unreadable_page_stops_strict_readers(spark, landed):
+    (landed / "3.json").write_text('{"message": "no such form"}')
+    with pytest.raises(PySparkException):
+        pages.read_pages(spark, str(landed), ROW, multi_line=True).collect()
+    with pytest.raises(ValueError):
+        pages.read_tables(spark, str(landed / "3.json"), {"metadata": ROW})
+
+
 def test_error_bodies_are_rejected(spark, landed):
     (landed / "3.json").write_text('{"message": "no such form"}')
     (landed / "4.json").write_text('{"links": {"self": "x"}, "data": [{"uu')

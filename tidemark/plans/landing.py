@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.operators.windows import date_window
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.registry import query
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, written_once
 from tidemark.sources import files, pages
 from tidemark.sources.tables import read_table
 from tidemark.streaming import sync
@@ -93,10 +93,11 @@ def form_request() -> Column:
 
 
 def land_filings(spark, folder) -> str:
-    """Pages of the filings of each form type, numbered by filing."""
-    path = shared_folder(spark, "filing-pages")
-    files.write_json(paged(tables.filings(spark, folder), by_key("uuid"), form_request()), path)
-    return path
+    """Pages of the filings of each form type, numbered by filing, the offset amid the link."""
+    pages = paged(tables.filings(spark, folder), by_key("uuid"), form_request())
+    moved = F.regexp_replace("links.self", r"\?(form_type=\d)&(offset=\d+)$", "?$2&$1")
+    pages = pages.withColumn("links", F.col("links").withField("self", moved))
+    return written_once(spark, "filing-pages", folder, lambda path: files.write_json(pages, path))
 
 
 _FILING_SQL = """o_orderkey AS uuid, o_custkey AS cik, o_orderdate AS filing_date,
@@ -105,12 +106,38 @@ _FILING_SQL = """o_orderkey AS uuid, o_custkey AS cik, o_orderdate AS filing_dat
 
 @query("page_ingest", f"SELECT {_FILING_SQL} FROM orders")
 def page_ingest(spark, folder):
-    path = shared_folder(spark, "filing-pages")
     filings = by_row(tables.filings(spark, folder))
-    files.write_json(paged(filings, F.col(PAGE), form_request()), path)
+    landed = paged(filings, F.col(PAGE), form_request())
+    path = written_once(spark, "row-pages", folder, lambda path: files.write_json(landed, path))
     return pages.page_rows(pages.read_pages(spark, path, FILING_ROW))
 
 
+@query(
+    "page_rejects",
+    """WITH p AS (SELECT o_orderpriority[1] IN ('3', '4') AS bad, count(*) AS n
+                  FROM orders GROUP BY o_orderpriority, o_orderkey // 500, bad)
+       SELECT CASE WHEN bad THEN 'rejected' ELSE 'read' END AS fate, count(*) AS n_pages,
+              CASE WHEN NOT bad THEN sum(n)::BIGINT END AS n_rows FROM p GROUP BY bad""",
+)
+def page_rejects(spark, folder):
+    """Landed pages, those of one request cut off, those of another error bodies."""
+    whole = spark.read.text(land_filings(spark, folder))
+    body = F.col("value")
+    broken = whole.select(
+        F.when(body.contains("form_type=3"), F.expr("left(value, length(value) - 9)"))
+        .when(body.contains("form_type=4"), F.lit('{"message": "no such form"}'))
+        .otherwise(body)
+        .alias("value")
+    )
+    path = written_once(spark, "broken-pages", folder, broken.write.text)
+    good, rejects = pages.split_pages(spark, path, KEY_ROW)
+    read = good.agg(F.count("*").alias("n_pages"), F.sum(F.size("data")).alias("n_rows"))
+    lost = rejects.agg(F.count("*").alias("n_pages"), F.lit(None).cast("bigint").alias("n_rows"))
+    return read.select(F.lit("read").alias("fate"), "*").unionByName(
+        lost.select(F.lit("rejected").alias("fate"), "*")
+    )
+
+
 @query(
     "page_offsets",
     f"""SELECT '{BASE}?form_type=' || o_orderpriority[1] AS request,
@@ -156,9 +183,8 @@ def land_table(spark, folder, name) -> str:
     """Multi-table pages that hold one of the tables."""
     source = {"metadata": tables.filings, "information_table": tables.holding_lines}[name]
     rows = by_row(source(spark, folder))
-    path = shared_folder(spark, f"{name}-pages")
-    files.write_json(paged(rows, F.col(PAGE), F.lit(f"{BASE}?table=all"), name), path)
-    return path
+    landed = paged(rows, F.col(PAGE), F.lit(f"{BASE}?table=all"), name)
+    return written_once(spark, f"{name}-pages", folder, lambda path: files.write_json(landed, path))
 
 
 @query("table_merge_metadata", f"SELECT {_FILING_SQL} FROM orders")
@@ -221,8 +247,9 @@ def ragged_json(spark, folder):
         F.sort_array(F.collect_list("event_id")).alias("event_id"),
         F.sort_array(F.collect_list(clicked)).alias("clicked"),
     )
-    path = shared_folder(spark, "ragged")
-    files.write_json(documents.drop("page"), path)
+    path = written_once(
+        spark, "ragged", folder, lambda path: files.write_json(documents.drop("page"), path)
+    )
     return files.read_ragged_columns(
         spark, path, schemas.struct(event_id=schemas.LONGS, clicked=schemas.LONGS)
     )
@@ -314,30 +341,96 @@ def late_knowledge(spark, folder):
     return sync.late_rows(dated, "filing_date", F.lit("1998-01-01").cast("timestamp_ntz"))
 
 
-@query(
-    "stream_sync",
-    """SELECT event_id AS form_uuid, user_id AS cik, event_type AS item_name, value AS item_value,
-              ts AS form_availability_timestamp FROM events""",
-)
-def stream_sync(spark, folder):
-    """Two landings that overlap, the second with older rows, synced one after the other."""
-    root = shared_folder(spark, "sync")
+def land_drops(spark, folder, root) -> None:
+    """Two drops of pages that overlap. The second has older rows too; its pages of one item are
+    pretty-printed, one a file, and among them lie error bodies and cut-off pages."""
     facts = tables.item_facts(spark, folder).select(*FACT_ROW.names)
-    drops = {
-        "first": facts.where("item_name IN ('purchase', 'signup', 'view')"),
-        "second": facts.where("item_name IN ('view', 'click', 'error')"),
-    }
-    for name, rows in drops.items():
-        envelopes = paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}"))
-        files.write_json(envelopes, f"{root}/landing/{name}")
+
+    def page_texts(items, name):
+        rows = facts.where(F.col("item_name").isin(items))
+        return paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}"))
+
+    files.write_json(page_texts(["purchase", "signup", "view"], "first"), f"{root}/first/lines")
+    files.write_json(page_texts(["view", "error"], "second"), f"{root}/second/lines")
+    form = {"pretty": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    pretty = page_texts(["click"], "third").select(
+        F.to_json(F.struct("links", "count", "data"), form).alias("value")
+    )
+    pretty.write.option("maxRecordsPerFile", 1).text(f"{root}/second/pretty")
+    message = F.format_string('{"message": "nothing on %s"}', F.to_date("filing_date").cast("string"))
+    dated = tables.item_facts(spark, folder).select(message.alias("value")).distinct()
+    cut = facts.select(F.format_string('{"links": {"self": "%s', "item_name").alias("value"))
+    dated.unionByName(cut.distinct()).write.text(f"{root}/second/bad")
+
+
+def synced(spark, folder) -> str:
+    """Both drops synced one after the other by one feed, then all of it by another feed."""
+    drops = written_once(spark, "drops", folder, lambda path: land_drops(spark, folder, path))
+    root = shared_folder(spark, "sync")
+    for landing, feed in ((f"{drops}/first", "a"), (drops, "b"), (drops, "c")):
         sync.sync_pages(
             spark,
-            landing=f"{root}/landing",
+            landing=landing,
             target=f"{root}/target",
-            checkpoint=f"{root}/checkpoint",
+            checkpoint=f"{root}/{feed}",
             row=FACT_ROW,
             key=["form_uuid", "item_name"],
             knowledge="form_availability_timestamp",
             key_fixes_day=True,
         )
-    return sync.read_target(spark, f"{root}/target", FACT_ROW)
+    return f"{root}/target"
+
+
+@query(
+    "stream_sync",
+    """SELECT event_id AS form_uuid, user_id AS cik, event_type AS item_name, value AS item_value,
+              ts AS form_availability_timestamp FROM events""",
+)
+def stream_sync(spark, folder):
+    return sync.read_target(spark, synced(spark, folder), FACT_ROW)
+
+
+@query(
+    "stream_sync_rejects",
+    """SELECT DISTINCT '{"message": "nothing on ' || ts::DATE || '"}' AS value FROM events
+       UNION ALL SELECT DISTINCT '{"links": {"self": "' || event_type FROM events""",
+)
+def stream_sync_rejects(spark, folder):
+    """Pages no row could be read from, each once."""
+    return sync.read_rejects(spark, synced(spark, folder)).select("value")
+
+
+SYNCED = {
+    "metadata": sync.SyncedTable(FILING_ROW, ("uuid",), "filing_date"),
+    "information_table": sync.SyncedTable(LINE_ROW, ("uuid", "line", "cusip"), "form_availability_timestamp"),
+}
+
+
+@query(
+    "stream_sync_tables",
+    """SELECT 'metadata' AS name, o_orderkey AS uuid, count(*) AS n_rows FROM orders GROUP BY 2
+       UNION ALL SELECT 'information_table', l_orderkey, count(*) FROM
+         (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem) GROUP BY 2""",
+)
+def stream_sync_tables(spark, folder):
+    """Multi-table pages, each with one of two tables, synced into two targets."""
+    root = shared_folder(spark, "sync-tables")
+    targets = {name: f"{root}/{name}" for name in SYNCED}
+    for name in SYNCED:
+        sync.sync_tables(
+            spark,
+            land_table(spark, folder, name),
+            targets,
+            f"{root}/{name}-checkpoint",
+            SYNCED,
+            f"{root}/rejects",
+            schemas.table_envelope({n: t.row for n, t in SYNCED.items()}),
+        )
+    counted = [
+        sync.read_target(spark, targets[name], SYNCED[name].row)
+        .groupBy("uuid")
+        .agg(F.count("*").alias("n_rows"))
+        .select(F.lit(name).alias("name"), "uuid", "n_rows")
+        for name in SYNCED
+    ]
+    return counted[0].unionByName(counted[1])

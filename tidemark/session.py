@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,10 +18,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_folders: dict[str, str] = {}
+_own_folders: dict[str, str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Gives a session that is being set up the settings the operators count on."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -39,17 +44,48 @@ def local_session(cores: str = "8", name: str = "tidemark") -> SparkSession:
     return configure(spark)
 
 
+def _base(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`; where it is unset and all runs in this process, a folder of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is not None:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    app = context.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _own_folders[app], ignore_errors=True)
+    return _own_folders[app]
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{_base(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder the cluster shares (`spark.checkpoint.dir`)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="tidemark-")
-        base = _local_folders[app]
-    return f"{base.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_shared_folders(spark: SparkSession) -> None:
+    """Deletes all that this application wrote to shared folders; frames that read it end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for key in [k for k in _written if k[0] == spark.sparkContext.applicationId]:
+        del _written[key]
+
+
+def written_once(
+    spark: SparkSession, purpose: str, source: str, write: Callable[[str], None]
+) -> str:
+    """Path of what `write` puts there for a source, written by the first call of an application."""
+    key = (spark.sparkContext.applicationId, purpose, source)
+    if key not in _written:
+        path = shared_folder(spark, purpose)
+        write(path)
+        _written[key] = path
+    return _written[key]
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Landed response pages: row ingest, multi-table merge, completeness, rejects."""
+"""Landed response pages: row ingest, multi-table merge, completeness, rejects.
+
+Pages are read as text and parsed once, so a page that cannot be read is seen:
+it goes to the rejects or, where a caller takes no rejects, stops the job.
+"""
 
 from __future__ import annotations
 
@@ -9,16 +13,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.session import stored
 
 CORRUPT = "_corrupt"
 
 
+def _parsed(
+    bodies: DataFrame, row: T.StructType, body: str, required: tuple[str, ...]
+) -> tuple[DataFrame, Column]:
+    """Bodies with the parsed `_row`, and whether a body does not fit.
+
+    The parsed row passes through a generator, which filters stay above: they
+    would otherwise move below it and parse each text again.
+    """
+    fields = T.StructType([*row.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = bodies.select("*", F.explode(F.array(F.from_json(body, fields, options))).alias("_row"))
+    bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
+    for name in required:
+        bad = bad | F.col(f"_row.{name}").isNull()
+    return parsed, bad
+
+
+def parse_rows(
+    bodies: DataFrame, row: T.StructType, body: str = "value", required: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of JSON texts; a text that does not fit, or lacks a required
+    field, goes to the rejects."""
+    parsed, bad = _parsed(bodies, row, body, required)
+    others = [c for c in bodies.columns if c != body]
+    rows = parsed.where(~bad).select(*others, *[f"_row.{f.name}" for f in row.fields])
+    return rows, parsed.where(bad).select(*others, body)
+
+
+def split_pages(
+    spark: SparkSession, path: str, row: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(pages, rejects) of a landing folder; error bodies and cut-off files are rejected."""
+    bodies = spark.read.text(path, wholetext=multi_line)
+    return parse_rows(bodies, schemas.envelope(row), required=("data",))
+
+
 def read_pages(
     spark: SparkSession, path: str, row: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """Page envelopes: one per line, or one per file with `multi_line`."""
-    reader = spark.read.schema(schemas.envelope(row)).option("multiLine", multi_line)
-    return reader.json(path)
+    """Page envelopes: one per line, or one per file with `multi_line`.
+
+    A page that cannot be read raises an error; `split_pages` sets such pages aside.
+    """
+    bodies = spark.read.text(path, wholetext=multi_line)
+    parsed, bad = _parsed(bodies, schemas.envelope(row), "value", ("data",))
+    message = F.concat(F.lit("unreadable page: "), F.left("value", F.lit(200)))
+    checked = F.when(bad, F.raise_error(message)).otherwise(F.col("_row"))
+    pages = parsed.select(F.explode(F.array(checked)).alias("page"))
+    return pages.select(*[f"page.{f.name}" for f in schemas.envelope(row).fields])
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -34,9 +82,17 @@ def page_offset(self_link="links.self") -> Column:
 
 
 def page_request(self_link="links.self") -> Column:
-    """Link without its offset: the request a page belongs to."""
+    """Link without its offset: the request a page belongs to.
+
+    The parameter goes wherever it stands; the others keep their order.
+    """
     c = F.col(self_link) if isinstance(self_link, str) else self_link
-    return F.regexp_replace(c, r"[?&]offset=\d+", "")
+    address = F.substring_index(c, "?", 1)
+    asked = F.split(F.substring(c, F.length(address) + 2, F.length(c)), "&")
+    kept = F.filter(asked, lambda part: (part != "") & ~part.startswith("offset="))
+    return F.when(F.size(kept) == 0, address).otherwise(
+        F.concat(address, F.lit("?"), F.array_join(kept, "&"))
+    )
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
@@ -62,22 +118,40 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_tables(
+def split_tables(
     spark: SparkSession, paths, tables: dict[str, T.StructType], multi_line: bool = False
-) -> dict[str, DataFrame]:
-    """One DataFrame per table name of multi-table pages.
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(rows of every table, rejects) of multi-table pages, parsed once.
 
-    Each table is read with the part of the schema it needs, so the parser skips
-    the others; a page without a table adds no rows to it.
+    The parsed pages are written to the shared folder by columns, so each table is read from
+    there without the others; a page without a table adds no rows to it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    bodies = spark.read.text(paths, wholetext=multi_line)
+    parsed, bad = _parsed(bodies, schemas.table_envelope(tables), "value", ("data",))
+    landed = stored(
+        parsed.select(
+            F.when(~bad, F.col("_row.data")).alias("data"), F.when(bad, F.col("value")).alias("value")
+        )
+    )
+    rejects = landed.where("value is not null").select("value")
+    return table_rows(landed, tables), rejects
+
 
-    def one(name: str, row: T.StructType) -> DataFrame:
-        wanted = schemas.table_envelope({name: row})
-        reader = spark.read.schema(wanted).option("multiLine", multi_line)
-        return reader.json(paths).select(F.inline(F.col(f"data.{name}")))
+def table_rows(landed: DataFrame, tables: dict[str, T.StructType]) -> dict[str, DataFrame]:
+    """The rows of each table of parsed multi-table pages."""
+    return {name: landed.select(F.inline(F.col(f"data.{name}"))) for name in tables}
 
-    return {name: one(name, row) for name, row in tables.items()}
+
+def read_tables(
+    spark: SparkSession, paths, tables: dict[str, T.StructType], multi_line: bool = False
+) -> dict[str, DataFrame]:
+    """One DataFrame per table name of multi-table pages; an unreadable page raises an error."""
+    found, rejects = split_tables(spark, paths, tables, multi_line)
+    bad = rejects.first()
+    if bad is not None:
+        raise ValueError(f"unreadable page: {(bad['value'] or '')[:200]}")
+    return found
 
 
 def merge_tables(payloads: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
@@ -90,32 +164,3 @@ def merge_tables(payloads: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
         )
         for name in names
     }
-
-
-def parse_rows(
-    bodies: DataFrame, row: T.StructType, body: str = "value", required: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of JSON texts; a text that does not fit, or lacks a required
-    field, goes to the rejects.
-
-    The parsed row passes through a generator, which the filters stay above: they
-    would otherwise move below it and parse each text again.
-    """
-    fields = T.StructType([*row.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    read = F.array(F.from_json(body, fields, options))
-    parsed = bodies.select("*", F.explode(read).alias("_row"))
-    bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
-    for name in required:
-        bad = bad | F.col(f"_row.{name}").isNull()
-    others = [c for c in bodies.columns if c != body]
-    rows = parsed.where(~bad).select(*others, *[f"_row.{f.name}" for f in row.fields])
-    return rows, parsed.where(bad).select(*others, body)
-
-
-def split_pages(
-    spark: SparkSession, path: str, row: T.StructType, multi_line: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """(pages, rejects) of a landing folder; error bodies and cut-off files are rejected."""
-    bodies = spark.read.text(path, wholetext=multi_line)
-    return parse_rows(bodies, schemas.envelope(row), required=("data",))

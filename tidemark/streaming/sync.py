@@ -6,14 +6,35 @@ filing day are valid, so nothing here drops a row for its age.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.sources.pages import parse_rows
+
+FEED, BATCH, BUCKET = "sync_feed", "sync_batch", "sync_bucket"
+BUCKETS = 64
+REJECTS = "_rejects"
+REJECT_ROW = schemas.struct(file_path=schemas.STRING, value=schemas.STRING)
+
+
+@dataclass(frozen=True)
+class SyncedTable:
+    """How a table is kept: its columns, its key, and the column of its knowledge instant.
+
+    `key_fixes_day` states that rows of equal key are known on the same day.
+    """
 
-BATCH = "sync_batch"
-DAY = "sync_day"
+    row: T.StructType
+    key: tuple[str, ...]
+    knowledge: str
+    key_fixes_day: bool = False
+    buckets: int = BUCKETS
 
 
 def high_water(df: DataFrame, column: str) -> DataFrame:
@@ -46,82 +67,169 @@ def one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:
     return picked.select(*key, "_row.*").select(*rows.columns)
 
 
+def _layout(row: T.StructType) -> T.StructType:
+    parts = [
+        T.StructField(FEED, T.StringType()),
+        T.StructField(BATCH, T.LongType()),
+        T.StructField(BUCKET, T.IntegerType()),
+    ]
+    return T.StructType([*row.fields, *parts])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def _stored(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
+    if not _exists(spark, target):
+        return spark.createDataFrame([], _layout(row))
+    return spark.read.schema(_layout(row)).parquet(target)
+
+
 def read_target(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
     """The synced table, without the columns it is laid out by."""
     return _stored(spark, target, row).select(*row.names)
 
 
-def _stored(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
-    layout = [T.StructField(BATCH, T.LongType()), T.StructField(DAY, T.DateType())]
-    return spark.read.schema(T.StructType([*row.fields, *layout])).parquet(target)
+def read_rejects(spark: SparkSession, target: str) -> DataFrame:
+    """(file_path, value) of the pages no row could be read from."""
+    return read_target(spark, f"{target}/{REJECTS}", REJECT_ROW)
+
+
+def _day(column: str) -> Column:
+    return F.col(column).try_cast("date")
+
+
+def page_bodies(files: DataFrame) -> DataFrame:
+    """(value, file_path) of every page: a file is one page, unless all its lines begin with a
+    brace, then each line is one."""
+    lines = F.filter(F.split("value", "\n"), lambda line: F.trim(line) != "")
+    by_line = (F.size(lines) > 0) & F.forall(lines, lambda line: line.startswith("{"))
+    found = F.when(by_line, lines).otherwise(F.array("value"))
+    return files.select(F.explode(found).alias("value"), "file_path")
 
 
 def append_new(
-    rows: DataFrame,
-    batch_id: int,
-    target: str,
-    row: T.StructType,
-    key: list[str],
-    knowledge: str,
-    key_fixes_day: bool,
+    rows: DataFrame, feed: str, batch_id: int, target: str, table: SyncedTable
 ) -> None:
-    """Write the rows of one batch whose key the target lacks.
+    """Write the rows of one batch of a feed whose key the target lacks.
 
-    Each batch owns one folder and overwrites it, so a replayed batch leaves the
-    table as it was. With `key_fixes_day`, equal keys have equal knowledge days
-    and only the days of the batch are read back.
+    A batch owns one folder, named by its feed too, and overwrites it: a replayed batch leaves the
+    table as it was, and no feed touches the rows of another. The target is laid out by a hash of
+    the key and sorted by knowledge, so the look for equal keys reads only the buckets the batch
+    has, and with `key_fixes_day` only row groups of its days. Null keys equal each other.
     """
-    spark = rows.sparkSession
-    # Rows without a knowledge instant share one day of their own.
-    day = F.coalesce(F.to_date(knowledge), F.lit("1970-01-01").cast("date"))
-    fresh = one_per_key(rows, key).withColumn(DAY, day).persist()
+    spark, key = rows.sparkSession, list(table.key)
+    bucket = F.pmod(F.xxhash64(*key), F.lit(table.buckets)).cast("int")
+    fresh = one_per_key(rows.select(*table.row.names), key).withColumn(BUCKET, bucket).persist()
     try:
-        if batch_id > 0:
-            known = _stored(spark, target, row).where(F.col(BATCH) < batch_id)
-            if key_fixes_day:
-                # One value per calendar day.
-                days = [r[0] for r in fresh.select(DAY).distinct().collect()]
-                known = known.where(F.col(DAY).isin(days))
-            new = fresh.join(known.select(*key), key, "left_anti")
-        else:
-            new = fresh
-        # Ranges keep the files per day few; the key splits a crowded day.
-        laid_out = new.repartitionByRange(DAY, *key).write.mode("overwrite").partitionBy(DAY)
-        laid_out.parquet(f"{target}/{BATCH}={batch_id}")
+        known = _stored(spark, target, table.row)
+        known = known.where(~((F.col(FEED) == feed) & (F.col(BATCH) == batch_id)))
+        day = _day(table.knowledge)
+        met = fresh.agg(  # at most one number a bucket
+            F.collect_set(BUCKET).alias("buckets"),
+            F.min(day).alias("first"),
+            F.max(day).alias("last"),
+            F.count_if(day.isNull()).alias("undated"),
+        ).first()
+        known = known.where(F.col(BUCKET).isin(met["buckets"]))
+        if table.key_fixes_day:
+            at, kind = F.col(table.knowledge), table.row[table.knowledge].dataType
+            dated = (at >= F.lit(met["first"]).cast(kind)) & (
+                at < F.date_add(F.lit(met["last"]), 1).cast(kind)
+            )
+            known = known.where(dated | at.isNull() if met["undated"] else dated)
+        same = reduce(
+            Column.__and__,
+            [fresh[BUCKET] == known[BUCKET], *[fresh[k].eqNullSafe(known[k]) for k in key]],
+        )
+        new = fresh.join(known.select(BUCKET, *key), same, "left_anti")
+        # Ranges of the key split a crowded bucket over several writers.
+        laid_out = new.repartitionByRange(BUCKET, *key).sortWithinPartitions(
+            BUCKET, table.knowledge, *key
+        )
+        path = f"{target}/{FEED}={feed}/{BATCH}={batch_id}"
+        laid_out.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
     finally:
         fresh.unpersist()
 
 
-def sync_pages(
+def _feed_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id a checkpoint keeps for its stream: a new checkpoint is a new feed."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
+def sync_tables(
     spark: SparkSession,
     landing: str,
-    target: str,
+    targets: dict[str, str],
     checkpoint: str,
-    row: T.StructType,
-    key: list[str],
-    knowledge: str,
-    key_fixes_day: bool = False,
+    tables: dict[str, SyncedTable],
+    rejects: str,
+    envelope: T.StructType,
     files_per_batch: int = 1000,
 ) -> None:
-    """Append the new rows of all pages landed since the last call.
-
-    Progress is kept in `checkpoint`; run it again whenever pages have landed.
+    """Append the new rows of all pages landed since the last call, table by table.
+
+    Files are read whole: each is one page, however it is laid out, or holds a page on each line.
+    `data` of the envelope maps table names to row lists, or is one list if there is one table.
+    Error bodies, blank files, cut-off pages and pages whose values do not fit go to the rejects, with the name
+    of their file.
+    Progress is kept in `checkpoint`. Should it be lost, all pages are read again as a new feed;
+    rows and rejects that are there already are not added again.
     """
-    pages = (
-        spark.readStream.schema(schemas.envelope(row))
+    found = (
+        spark.readStream.format("text")
+        .option("wholetext", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
-        .json(landing)
+        .load(landing)
+        .select("value", F.col("_metadata.file_path").alias("file_path"))
     )
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        append_new(rows, batch_id, target, row, key, knowledge, key_fixes_day)
+    reject_table = SyncedTable(REJECT_ROW, ("file_path", "value"), "file_path")
+    single = isinstance(envelope["data"].dataType, T.ArrayType)
+
+    def write(bodies: DataFrame, batch_id: int) -> None:
+        feed = _feed_of(bodies.sparkSession, checkpoint)
+        bodies = bodies.persist()
+        try:
+            pages, bad = parse_rows(page_bodies(bodies), envelope, required=("data",))
+            for name, table in tables.items():
+                rows = pages.select(F.inline("data" if single else F.col(f"data.{name}")))
+                append_new(rows, feed, batch_id, targets[name], table)
+            append_new(bad, feed, batch_id, rejects, reject_table)
+        finally:
+            bodies.unpersist()
 
     query = (
-        pages.select(F.inline("data"))
-        .writeStream.foreachBatch(write)
+        found.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def sync_pages(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    checkpoint: str,
+    row: T.StructType,
+    key: list[str],
+    knowledge: str,
+    key_fixes_day: bool = False,
+    files_per_batch: int = 1000,
+) -> None:
+    """`sync_tables` for pages whose `data` is one list; rejects lie below the target."""
+    sync_tables(
+        spark,
+        landing,
+        {"rows": f"{target}"},
+        checkpoint,
+        {"rows": SyncedTable(row, tuple(key), knowledge, key_fixes_day)},
+        f"{target}/{REJECTS}",
+        schemas.envelope(row),
+        files_per_batch,
+    )
