@@ -377,7 +377,9 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
        shingle arrays exactly, unless two sets are already joined. The forests' components are the
        result.
 
-    No pairs are listed: tiles return forests. Lists and clusters of any size are cut into tiles.
+    The texts meet the ids by hash, whatever the number of ids: texts are not sorted, and no plan
+    depends on a broadcast that the next size no longer allows. No pairs are listed: tiles return
+    forests. Lists and clusters of any size are cut into tiles.
 
     Null and empty texts have no shingles and link with nothing. Repeated rows and equal texts have
     equal sets and so one component. Null doc_ids do not count as smallest; a component without
@@ -406,7 +408,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     clusters = stored(clusters.join(known.select("sig", "doc_id", "size"), "sig"))
     wanted = clusters.select("doc_id").distinct()
     texts_of = docs.select("doc_id", "text").join(
-        wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi"
+        wanted.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi"
     )
     arrays = _set_arrays(texts_of, n)
     members = tiled(clusters.select("list", "sig", "size"), percent).join(arrays, "sig")
@@ -448,7 +450,7 @@ def one_per_group(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> Da
     groups = near_duplicates(docs, n, percent)
     stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     stay = stored(stay)
-    single = docs.join(stay.filter("rows = 1"), "doc_id", "left_semi")
+    single = docs.join(stay.filter("rows = 1").hint("shuffle_hash"), "doc_id", "left_semi")
     kept = single.unionByName(docs.filter("doc_id is null"))
     if stay.filter("rows > 1").isEmpty():
         return kept
