@@ -30,13 +30,8 @@ def test_mapping_by_either_key(id_map):
     assert row["cik"] == "0000940800" and row["thrudate"] == dt.datetime(2100, 12, 31)
 
 
-SPAN = (dt.date(1998, 1, 1), dt.date(2004, 12, 31))
-
-
-@pytest.mark.parametrize(
-    "how, span, days", [("left", None, 365), ("inner", None, 1), ("left", SPAN, 30)]
-)
-def test_attach_as_of_equals_brute_force(frame, how, span, days):
+@pytest.mark.parametrize("how, days", [("left", 365), ("inner", 1), ("left", 30)])
+def test_attach_as_of_equals_brute_force(frame, how, days):
     """Overlapping intervals, gaps, unknown keys and one key with a third of the facts."""
     rng = random.Random(7)
     start = dt.datetime(1998, 1, 1)
@@ -56,7 +51,6 @@ def test_attach_as_of_equals_brute_force(frame, how, span, days):
         "cik",
         "at",
         how,
-        span,
         days,
     )
     expected = []

@@ -78,3 +78,10 @@ def test_item_dictionary(frame):
     items = ItemDictionary(frame([("A", "Net Income"), ("B", "Income Tax")], "item string, description string"))
     assert items.get_mapping().count() == 2
     assert [r["item"] for r in items.get_item_from_keywords("net income").collect()] == ["A", "B"]
+
+
+def test_paging_goes_on_behind_null_keys(frame):
+    rows = frame([(None, 1), (None, 2), (None, 3), ("a", 4), ("b", 5)], "name string, id int")
+    found = [[r["id"] for r in page.collect()] for page in catalog.pages(rows, ["name", "id"], 2)]
+    assert found == [[1, 2], [3, 4], [5]]
+    assert len(list(catalog.pages(frame([(i,) for i in range(105)], "id int"), ["id"], 1))) == 105

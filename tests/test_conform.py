@@ -91,11 +91,31 @@ def test_keyword_search_ranks_by_tokens_held(frame):
 
 def test_text_cleaning(frame):
     rows = frame([(1, "  a \t b\n\n  \nc\\nd  \n")], "id int, txt string")
-    assert rows.select(text.collapse_blanks("txt")).first()[0] == "a b\nc\nd"
+    assert rows.select(text.tidy_lines("txt")).first()[0] == "a b\nc\\nd"
     lines = text.explode_lines(rows, "txt")
     assert lines.count() == 5
     assert [r["line"] for r in text.clean_lines(lines).orderBy("line_no").collect()] == ["a b", "c\\nd"]
     kept = text.drop_lines(lines, r"^\s*$")
     assert kept.count() == 2 and text.drop_lines(lines, None).count() == 5
-    paths = frame([("amp/x/amp/y\namp/z/amp:3",)], "p string")
-    assert paths.select(text.remove_path_prefix("p", "amp")).first()[0] == "x/y\nz:3"
+
+
+def test_whole_numbers_read_and_fractions_are_counted(frame):
+    texts = ["1091", "1091.0", " -7. ", "1091.9", "1.5E3", "1.5E0", "x", "", None, "9007199254740993.0", "3000000000"]
+    rows = frame([(t, t) for t in texts], "a string, b string")
+    schema = schemas.struct(a=schemas.LONG, b=schemas.INT)
+    got = conform.conform(rows, schema).collect()
+    assert [r["a"] for r in got] == [
+        1091, 1091, -7, None, 1500, None, None, None, None, 9007199254740993, 3000000000,
+    ]
+    assert [r["b"] for r in got][-2:] == [None, None] and got[0]["b"] == 1091
+    failed = {r[0]: r[1] for r in conform.conform_failures(rows, schema).collect()}
+    assert failed == {"a": 3, "b": 5}
+    doubles = frame([(1.5,), (2.0,), (float("nan"),)], "a double")
+    assert [r[0] for r in conform.conform(doubles, schemas.struct(a=schemas.LONG)).collect()] == [None, 2, None]
+    assert conform.conform_failures(doubles, schemas.struct(a=schemas.LONG)).first()["n_failed"] == 1
+
+
+def test_null_tokens_of_unlisted_columns(frame):
+    rows = frame([("NA", "NA", 1), ("2", "x", 2)], "n string, t string, k int")
+    got = conform.typed_columns(rows, {"n": "int"}).collect()
+    assert [tuple(r) for r in got] == [(None, None, 1), (2, "x", 2)]

@@ -36,8 +36,13 @@ def test_families_and_live_rows(frame):
     assert len(schemas.FORM_TYPES) == 14
 
 
-def test_form_family_table(spark):
-    assert schemas.form_family_table(spark).count() == 14
+@pytest.mark.parametrize("limit", [0, 100])
+def test_ids_of_another_type_are_cast(frame, monkeypatch, limit):
+    monkeypatch.setattr(ids, "IN_LIST_LIMIT", limit)
+    rows = frame([("7",), ("8",), ("07",), (None,)], "uuid string")
+    assert [r[0] for r in ids.filter_ids(rows, "uuid", [7, 9]).collect()] == ["7"]
+    numbers = frame([(7,), (8,)], "uuid bigint")
+    assert [r[0] for r in ids.filter_ids(numbers, "uuid", ["7", "30"]).collect()] == [7]
 
 
 def test_find_filers(frame):

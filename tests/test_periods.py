@@ -71,3 +71,15 @@ def test_rejects_by_shape(frame):
 @pytest.mark.parametrize("value", [None])
 def test_null_stays_null(frame, value):
     assert periods.with_period(frame([(value,)], "original_period string")).first()["period"] is None
+
+
+def test_full_dates_and_outer_blanks(frame):
+    texts = {
+        "2020/05/31": "2020-05-31", "2020.05.31": "2020-05-31", "20200531": "2020-05-31",
+        "May 31, 2020": "2020-05-31", "September 3, 1999": "1999-09-03", "Sep. 03,1999": "1999-09-03",
+        " 2020-12": "2020-12-31", "2020-12-30 ": "2020-12-30", "2020/05.31": None, "20201331": None,
+        "May 32, 2020": None, "2020/13/01": None, "31 May 2020": None,
+    }
+    df = frame([(t,) for t in texts], "p string")
+    got = {r["p"]: r["d"] for r in df.select("p", periods.period_date("p").cast("string").alias("d")).collect()}
+    assert got == texts

@@ -14,6 +14,10 @@ def test_duplicates(frame):
     ]
     assert {tuple(r) for r in quality.duplicated_values(rows, "k").collect()} == {(1, 2), (3, 2)}
     assert quality.duplicated_values(rows.distinct(), "v").count() == 0
+    gaps = frame([(None, "a"), (None, "a"), (None, "b"), (1, None), (1, None)], "k int, v string")
+    assert sorted(map(str, quality.duplicate_rows(gaps, "k", "v").collect())) == [
+        "Row(k=1, v=None)", "Row(k=1, v=None)", "Row(k=None, v='a')", "Row(k=None, v='a')",
+    ]
 
 
 @pytest.mark.parametrize("ranges", [1, 3, 40])
@@ -66,9 +70,16 @@ def test_profiles(frame):
     }
     assert {tuple(r) for r in profile.column_values(rows, "v").collect()} == {("v", "1", 2), ("v", None, 1)}
     assert {tuple(r) for r in profile.distinct_counts(rows, "k", "v").collect()} == {("k", 2), ("v", 1)}
-    assert {tuple(r) for r in profile.facet_profile(rows, "k").collect()} == {("k", 2, "a, b")}
-    long = profile.facet_profile(rows, "k", "v", listed=1)
-    assert {tuple(r) for r in long.collect()} == {("k", 2, None), ("v", 1, "1")}
+    assert {tuple(r) for r in profile.facet_profile(rows, "k", "v").collect()} == {
+        ("k", "a", 2), ("k", "b", 2), ("v", "1", 1),
+    }
+    many = frame([(f"v{i}",) for i in range(1500)], "k string")
+    assert profile.facet_profile(many, "k").count() == 1500
+    numbers = frame([(9, 1.5), (10, float("nan")), (None, None)], "v int, d double")
+    assert {tuple(r) for r in profile.column_profile(numbers).collect()} == {
+        ("v", 2, "9", "10", 1, 3), ("d", 1, "1.5", "1.5", 2, 3),
+    }
+    assert profile.column_profile(numbers.where("v < 0"), "v").first()["n_distinct"] == 0
     assert tuple(profile.corner_values(rows, "v").first()) == (1, 1)
     assert profile.row_count(rows).first()[0] == 3
 
@@ -96,6 +107,15 @@ def test_fuzzy_and_ordered(frame):
     a = frame([(1, " x  y\n"), (2, "z")], "k int, v string")
     b = frame([(1, "x y"), (2, "zz")], "k int, v string")
     assert setops.frame_diff(a, b, fuzzy=True).count() == 2
+    c, d = frame([("a\n\n b ",)], "v string"), frame([("a b",)], "v string")
+    assert setops.frame_diff(c, d, fuzzy=True).count() == 2
+    assert setops.frames_equal(c, frame([("a\nb",)], "v string"), fuzzy=True)
+    more = a.withColumn("x", F.lit(None).cast("int"))
+    assert setops.frame_diff(a, more).count() == 4 and not setops.frames_equal(a.limit(0), more.limit(0))
+    assert [tuple(r) for r in setops.schema_diff(a, more).collect()] == [("x", None, "int")]
+    other = a.withColumn("k", F.col("k").cast("bigint"))
+    assert setops.frame_diff(a, other).count() == 4 and not setops.frames_equal(a, other)
+    assert setops.frames_equal(a, other, fuzzy=True) and setops.frames_equal(a, a.select("v", "k"))
     got = {tuple(r) for r in setops.ordered_diff(a, b, ["k"], "v").collect()}
     assert got == {(1, " x  y\n", "x y"), (2, "z", "zz")}
     longer = b.unionAll(frame([(3, None)], "k int, v string"))

@@ -6,8 +6,9 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tidemark import schemas
-from tidemark.operators.payloads import children_of, form_headers
+from tidemark.operators.payloads import children_of, document_by_uuid, form_headers
 from tidemark.sources import files, pages, tables
+from tidemark.store import FilingStore
 
 ROW = schemas.struct(uuid=schemas.STRING, cik=schemas.LONG)
 URL = "http://host.example/headers?form_type=3"
@@ -170,3 +171,65 @@ def test_stored_filings_are_pruned_by_family_and_month(spark, frame, tmp_path):
     assert sorted(r["uuid"] for r in held.collect()) == ["form4-2"] * 3 + ["form4-3"] * 3
     scans = held._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]
     assert all("filing_month" in scan.split("PushedFilters")[0] for scan in scans)
+
+
+def test_month_is_that_of_the_filing_zone(spark, frame, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            rows = spark.sql(
+                "SELECT 'a' AS uuid, 1L AS cik, '4' AS form_type, timestamp'2021-03-01T05:30:00Z' AS filing_date"
+                " UNION ALL SELECT 'b', 1L, '4', timestamp'2021-03-01T04:30:00Z'"
+            )
+            path = str(tmp_path / name.replace("/", "-"))
+            tables.write_filings(rows, path, "form4")
+            stored = tables.read_filings(spark, path, rows.schema)
+            assert {r["uuid"]: r["filing_month"] for r in stored.collect()} == {"a": "2021-03", "b": "2021-02"}
+            window = dict(start_datetime="2021-03-01T00:00:00+00:00", date_mode="publication_date")
+            for source in (rows, stored):
+                assert [r["uuid"] for r in form_headers(source, **window).collect()] == ["a"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_uuid_look_up_skips_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr(
+        "uuid(7) AS uuid", "id AS cik", "date'2021-03-05' AS filing_date", "id % 97 AS n"
+    )
+    path = str(tmp_path / "lake")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(64 << 10))
+    try:
+        tables.write_filings(rows, path, "form10")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    stored = tables.read_filings(spark, path, rows.schema)
+    wanted = stored.first()["uuid"]
+    found = document_by_uuid(stored, wanted)
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "EqualTo(uuid" in plan.toString() or "In(uuid" in plan.toString()
+    # count what the scan hands on: only the row groups that may hold the uuid
+    node = found.select("uuid", "n")
+    node.collect()
+    executed = node._jdf.queryExecution().executedPlan()
+    leaves = executed.collectLeaves()
+    read = leaves.apply(0).metrics().get("numOutputRows").get().value()
+    assert 1 <= read < 20_000
+
+
+def test_window_prunes_the_lines_of_a_security(spark):
+    from tidemark.plans import lake
+
+    held = lake.holdings_lake(spark, "/root/testdata/sf0.001")
+    lines = FilingStore(holdings=held).get_form13_payload(cusip=["3"], ordered=False, **lake.WINDOW)
+    plan = lines["information_table"]._jdf.queryExecution().executedPlan().toString()
+    scans = [s.split("PushedFilters")[0] for s in plan.split("PartitionFilters: ")[1:]]
+    assert len(scans) >= 2 and all("filing_month" in s for s in scans)
+
+
+def test_child_rows_get_the_day_of_their_filing(frame):
+    parent = frame([("u1", dt.date(2020, 1, 2)), ("u2", dt.date(2020, 2, 3))], "uuid string, filing_date date")
+    child = frame([("u1", 1), ("u1", 2), ("u3", 3)], "uuid string, n int")
+    got = sorted(tuple(r) for r in tables.with_filing_day(child, parent).collect())
+    assert got == [("u1", 1, dt.date(2020, 1, 2)), ("u1", 2, dt.date(2020, 1, 2))]

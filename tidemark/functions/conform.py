@@ -11,6 +11,8 @@ NULL_TOKEN = "NA"
 # much as fifty good ones, and raw columns can hold many unreadable values.
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE_TEXT = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
+POWER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+\s*$"
 ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 
 
@@ -51,7 +53,15 @@ def _readable(text: Column, dtype: str) -> Column:
 
 
 def typed_columns(df: DataFrame, casts: dict[str, str], strict: bool = False) -> DataFrame:
-    return df.withColumns({name: typed(name, dtype, strict) for name, dtype in casts.items()})
+    """The listed columns cleaned and cast; in all other text columns `NA` is NULL too."""
+    others = {
+        f.name: clean_token(f.name)
+        for f in df.schema
+        if f.name not in casts and isinstance(f.dataType, T.StringType)
+    }
+    return df.withColumns(
+        others | {name: typed(name, dtype, strict) for name, dtype in casts.items()}
+    )
 
 
 def cast_failures(df: DataFrame, casts: dict[str, str]) -> DataFrame:
@@ -68,9 +78,14 @@ def cast_failures(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*pairs)))
 
 
-def integer(column) -> Column:
-    """`1091`, `"1091.0"` and blanks to bigint without passing through double."""
-    return _readable(_column(column).cast("string"), "decimal(38,4)").cast("bigint")
+def integer(column, dtype: str = "bigint") -> Column:
+    """`1091`, `"1091.0"`, `"1.091E3"` as a whole number, without passing through double; a number
+    with a fraction is unreadable, so NULL."""
+    text = _column(column).cast("string")
+    plain = F.when(text.rlike(WHOLE_TEXT), F.regexp_extract(text, WHOLE_TEXT, 1))
+    power = F.when(text.rlike(POWER_TEXT), text.try_cast("decimal(38,10)"))
+    whole = F.when(power == F.round(power), power).cast("decimal(28,0)").cast("string")
+    return F.coalesce(plain, whole).try_cast(dtype)
 
 
 def integer_list(column) -> Column:
@@ -93,8 +108,8 @@ def _conform(field: T.StructField, found: T.DataType | None) -> Column:
         return F.lit(None).cast(want)
     if found == want and not isinstance(want, T.StringType):
         return c
-    if isinstance(want, T.LongType):
-        return integer(c)
+    if isinstance(want, T.IntegralType):
+        return integer(c, want.simpleString())
     if isinstance(want, T.ArrayType):
         return c.cast(want) if isinstance(found, T.ArrayType) else integer_list(c)
     if isinstance(want, T.StringType):
@@ -102,6 +117,25 @@ def _conform(field: T.StructField, found: T.DataType | None) -> Column:
     return c.try_cast(want)
 
 
+def conform_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per declared column that a vintage has: how many values it holds that do not read as the
+    declared type. Blanks and NaN are no values."""
+    found = {f.name: f.dataType for f in df.schema.fields}
+    fields = [f for f in schema.fields if f.name in found]
+    counts = []
+    for field in fields:
+        text = F.col(field.name)
+        if not isinstance(found[field.name], (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+            text = F.nullif(F.trim(text.cast("string")), F.lit(""))
+            text = F.when(text != "NaN", text)
+        lost = text.isNotNull() & _conform(field, found[field.name]).isNull()
+        counts.append(F.count_if(lost).alias(field.name))
+    pairs = [
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("n_failed")) for f in fields
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*pairs)))
+
+
 def conform_union(vintages: list[DataFrame], schema: T.StructType) -> DataFrame:
     """Vintages conformed first and stacked second."""
     conformed = [conform(df, schema) for df in vintages]

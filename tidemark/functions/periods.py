@@ -3,7 +3,7 @@
 The format is decided row by row, so a column may mix frequencies. Every period
 maps to its last day, except two-month periods, which map to their first day, and
 weeks, which map to their Saturday (weeks start on Monday, week 0 holds the days
-before the first Monday). A string of no known format gives NULL.
+before the first Monday), and full dates, which stay. Blanks around a period do not count. A string of no known format gives NULL.
 """
 
 from __future__ import annotations
@@ -21,6 +21,14 @@ _MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = r"^\d{4}([-/.]?M(0?[1-9]|1[0-2])|[-/.](0[1-9]|1[0-2]))$"
 _NAMED_MONTH = rf"(?i)^(({_MONTHS}) \d{{4}}|\d{{4}} ({_MONTHS}))$"
 
+_SPLIT_DATE = r"^\d{4}([/.])\d{2}\1\d{2}$"
+_NAMED_DATE = rf"(?i)^({_MONTHS})\.? \d{{1,2}}, ?\d{{4}}$"
+
+
+def _dashed(digits: Column) -> Column:
+    parts = (F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+    return F.concat_ws("-", *parts)
+
 
 def _number(text: Column) -> Column:
     return text.try_cast("int")
@@ -41,7 +49,7 @@ def period_date(column) -> Column:
     with a month share one date expression, which keeps the generated code below
     the size from which the JVM leaves it uncompiled.
     """
-    p = F.col(column) if isinstance(column, str) else column
+    p = F.trim(F.col(column) if isinstance(column, str) else column)
     size, fifth, sixth = F.length(p), F.substring(p, 5, 1), F.substring(p, 6, 1)
     year = _number(F.substring(p, 1, 4))
     tail = _number(F.regexp_extract(p, r"(\d{1,2})$", 1))
@@ -59,6 +67,9 @@ def period_date(column) -> Column:
     leading = F.when(p.rlike(r"^\d{4}"), F.substring(p, 1, 4))
     year_of_month = _number(leading.when(p.rlike(r"\d{4}$"), F.right(p, F.lit(4))))
     short_year = F.substring(p, 1, 2)
+    day = F.lpad(F.regexp_extract(p, r"(\d+),", 1), 2, "0")
+    month = F.lpad(named_month.cast("string"), 2, "0")
+    named_date = F.concat_ws("-", F.right(p, F.lit(4)), month, day).try_cast("date")
     century = F.when(short_year >= "69", "19").otherwise("20")
     short_date = F.concat(
         century, short_year, F.lit("-"), F.substring(p, 3, 2), F.lit("-"), F.right(p, F.lit(2))
@@ -68,6 +79,12 @@ def period_date(column) -> Column:
             (size >= 10) & p.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
             F.substring(p, 1, 10).try_cast("date"),
         )
+        .when(
+            (size == 10) & fifth.isin("/", ".") & p.rlike(_SPLIT_DATE),
+            F.translate(p, "/.", "--").try_cast("date"),
+        )
+        .when((size == 8) & p.rlike(r"^\d{8}$"), _dashed(p).try_cast("date"))
+        .when((size >= 10) & p.rlike(_NAMED_DATE), named_date)
         .when(
             (sixth == "W") & p.rlike(r"^\d{4}-W([0-4]?\d|5[0-3])$"), _week_saturday(year, tail)
         )

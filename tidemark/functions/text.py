@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# White space within a line.
+INNER_BLANKS = r"[\t\x0B\f\r ]+"
+
 
 def _column(column) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -18,17 +21,15 @@ def explode_lines(
     return df.select(*others, F.posexplode(F.split(F.col(text), "\n")).alias(position, line))
 
 
-def collapse_blanks(column) -> Column:
-    """Runs of blanks to one space, line ends trimmed, empty lines dropped."""
-    c = F.replace(F.replace(_column(column), F.lit("\\n"), F.lit("\n")), F.lit("\\t"), F.lit("\t"))
-    c = F.regexp_replace(c, r"[ \t\x0B\f\r]+", " ")
-    return F.trim(F.regexp_replace(c, " ?\n[ \n]*", "\n"), F.lit(" \n"))
+def tidy_line(line: Column) -> Column:
+    """Runs of blanks as one space, none at the ends."""
+    return F.trim(F.regexp_replace(line, INNER_BLANKS, " "))
 
 
-def remove_path_prefix(column, prefix: str) -> Column:
-    """Drop a module name from the front and the inside of paths, line by line."""
-    c = F.regexp_replace(_column(column), rf"(?m)^{prefix}/", "")
-    return F.regexp_replace(F.regexp_replace(c, f"/{prefix}/", "/"), f"/{prefix}:", ":")
+def tidy_lines(column) -> Column:
+    """Every line of a text tidied, blank lines left out; lines stay apart."""
+    lines = F.transform(F.split(_column(column), "\n"), tidy_line)
+    return F.array_join(F.filter(lines, lambda line: line != ""), "\n")
 
 
 def drop_lines(df: DataFrame, regex: str | None, line: str = "line") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
+from collections import Counter
 
 from tidemark import schemas
 
@@ -42,14 +43,15 @@ def as_list(value):
 
 
 def clean_ids(name: str, value):
-    """Sorted distinct list of ids, or None for `no filter`."""
-    ids = as_list(value)
-    if ids is None:
+    """What a filter on `name` means: None is no filter, one id is a list of it, and a list stands
+    for the set of its ids, given in order. A repeated id is worth a warning."""
+    if value is None:
         return None
-    distinct = sorted(set(ids))
-    if len(distinct) < len(ids):
-        warnings.warn(f"{name} holds duplicated values", stacklevel=3)
-    return distinct
+    times = Counter(as_list(value))
+    repeated = [i for i, n in times.items() if n > 1]
+    if repeated:
+        warnings.warn(f"{name}: {len(repeated)} ids are given more than once", stacklevel=3)
+    return sorted(times)
 
 
 def clean_filers(value):

@@ -5,8 +5,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +43,6 @@ def attach_as_of(
     key: str,
     at: str,
     how: str = "left",
-    span: tuple[dt.date, dt.date] | None = None,
     bucket_days: int = 365,
 ) -> DataFrame:
     """Facts with the mapping row valid at the instant `at`.
@@ -53,19 +50,15 @@ def attach_as_of(
     Key and time bucket form the equi-join key: each interval is laid out over the
     buckets it shares with the facts, which spreads a hot key over time, bounds the
     candidates a fact meets and keeps the join a hash or merge join. Keys that change
-    often want small buckets. `span` states the first and last day of the facts;
-    without it one more scan of the single column `at` finds them.
+    often want small buckets. One more scan of the single column `at` finds the first and
+    last day of the facts.
     """
 
     def bucket(moment) -> Column:
         return F.floor(F.unix_date(F.to_date(moment)) / bucket_days).cast("int")
 
-    if span is None:
-        ends = F.struct(bucket(F.min(at)).alias("low"), bucket(F.max(at)).alias("high"))
-        limits = facts.agg(ends).scalar()
-    else:
-        low, high = (bucket(F.lit(day)) for day in span)
-        limits = F.struct(low.alias("low"), high.alias("high"))
+    ends = F.struct(bucket(F.min(at)).alias("low"), bucket(F.max(at)).alias("high"))
+    limits = facts.agg(ends).scalar()
     laid_out = (
         id_map.withColumn("_limits", limits)
         .withColumn("_first", F.greatest(bucket("effdate"), F.col("_limits.low")))

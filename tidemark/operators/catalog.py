@@ -52,9 +52,11 @@ def facet_values(catalog: DataFrame, facet: str) -> DataFrame:
 
 
 def after(df: DataFrame, key: list[str], last: tuple) -> DataFrame:
-    """Rows behind `last` in key order; the leading bound reaches the scan."""
+    """Rows behind `last` in key order, NULL first as in the sort; the leading bound
+    reaches the scan, where there is one."""
     mark = [F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(key, last)]
-    return df.where((F.col(key[0]) >= mark[0]) & (F.struct(*key) > F.struct(*mark)))
+    behind = F.struct(*key) > F.struct(*mark)
+    return df.where(behind if last[0] is None else (F.col(key[0]) >= mark[0]) & behind)
 
 
 def page_after(
@@ -77,19 +79,23 @@ def numbered_page(df: DataFrame, key: list[str], number: int, size: int = PAGE_S
 
 
 def pages(
-    df: DataFrame, key: list[str], size: int = PAGE_SIZE, pages_limit: int | None = 100
+    df: DataFrame, key: list[str], size: int = PAGE_SIZE, pages_limit: int | None = None
 ) -> Iterator[DataFrame]:
     """Pages in key order, each started from the last key of the one before.
 
-    Only that one key comes to the driver.
+    A page is kept until the next one is asked for, so its last key, all that comes to the
+    driver, and its rows are of one computation.
     """
     last = None
     for _ in itertools.count() if pages_limit is None else range(pages_limit):
-        page = page_after(df, key, last, size)
-        found = page.agg(F.max(F.struct(*key)).alias("last")).first()["last"]
-        if found is None:
-            return
-        yield page
+        page = page_after(df, key, last, size).persist()
+        try:
+            found = page.agg(F.max(F.struct(*key)).alias("last")).first()["last"]
+            if found is None:
+                return
+            yield page
+        finally:
+            page.unpersist()
         last = tuple(found)
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import guards, schemas
-from tidemark.functions.conform import pad_key
 from tidemark.operators.asof import mapping_as_of
 from tidemark.operators.joins import lookup, member_rows
 
@@ -26,14 +25,16 @@ def filter_ids(df: DataFrame, column: str, ids, unique: bool = False) -> DataFra
         keys = ids.select(F.col(ids.columns[0]).alias(column))
         return member_rows(df, keys, column, unique=unique)
     ids = guards.clean_ids(column, ids)
+    kind = df.schema[column].dataType
     if len(ids) <= IN_LIST_LIMIT:
-        return df.where(F.col(column).isin(ids))
+        return df.where(F.col(column).isin([F.lit(i).cast(kind) for i in ids]))
     # An Arrow table becomes a local relation of known size for the planner; the
     # range of the sorted list lets the scan skip row groups.
     keys = df.sparkSession.createDataFrame(pa.table({column: ids}))
-    return member_rows(
-        df.where(F.col(column).between(ids[0], ids[-1])), keys, column, unique=True
-    )
+    keys = keys.select(F.col(column).cast(kind).alias(column))
+    ends = keys.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    low, high = (F.lit(end).cast(kind) for end in ends)
+    return member_rows(df.where(F.col(column).between(low, high)), keys, column)
 
 
 def filter_filers(df: DataFrame, cik, column: str = "cik", unique: bool = False) -> DataFrame:
@@ -104,7 +105,3 @@ def find_filers(
         return filers.select("cik").distinct()
     mapped = mapping_as_of(id_map, gvk=gvk, as_of_date=gvk_date).select("cik").distinct()
     return member_rows(mapped, filers, "cik", one_row_per_key=True) if by_attribute else mapped
-
-
-def padded_filer(column="cik"):
-    return pad_key(column, 10)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HASH = "_key_hash"
+KEY_HASH = "_key_hash"
 
 
 def _names(on) -> list[str]:
@@ -20,7 +20,7 @@ def _names(on) -> list[str]:
 
 
 def with_key_hash(df: DataFrame, on) -> DataFrame:
-    return df.withColumn(_HASH, F.xxhash64(*_names(on)))
+    return df.withColumn(KEY_HASH, F.xxhash64(*_names(on)))
 
 
 def member_rows(
@@ -46,7 +46,7 @@ def member_rows(
     if one_row_per_key:
         return rows.join(keys.distinct(), names, how)
     keys = with_key_hash(keys.distinct(), names)
-    return with_key_hash(rows, names).join(keys, names + [_HASH], how).drop(_HASH)
+    return with_key_hash(rows, names).join(keys, names + [KEY_HASH], how).drop(KEY_HASH)
 
 
 def lookup(
@@ -59,6 +59,6 @@ def lookup(
         return rows.join(table, names, how)
     return (
         with_key_hash(rows, names)
-        .join(with_key_hash(table, names), names + [_HASH], how)
-        .drop(_HASH)
+        .join(with_key_hash(table, names), names + [KEY_HASH], how)
+        .drop(KEY_HASH)
     )

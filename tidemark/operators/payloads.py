@@ -115,19 +115,31 @@ def document_by_uuid(documents: DataFrame, uuid) -> DataFrame:
 
 
 def holdings_payload(
-    tables: dict[str, DataFrame], cik=None, cusip=None, unique_ids: bool = False, **filters
+    tables: dict[str, DataFrame],
+    cik=None,
+    cusip=None,
+    unique_ids: bool = False,
+    keep_parent: bool = False,
+    **filters,
 ) -> dict[str, DataFrame]:
     """Holdings reports by filer, or the holdings of given securities in any report.
 
-    `unique_ids` states that a DataFrame of filers or securities holds each id once.
+    `unique_ids` states that a DataFrame of filers or securities holds each id once;
+    `keep_parent` is that of `payload_tables`. Lines that carry their filing day are cut to a
+    window of publication before the reports are looked up, which prunes a table stored by month.
     """
     guards.check_exclusive(cik=cik, cusip=cusip)
     filters.setdefault("form_type", schemas.FORM_FAMILIES["form13"])
     parent = select_filings(tables["metadata"], cik=cik, unique_ids=unique_ids, **filters)
     if cusip is None:
-        return payload_tables(tables, parent)
+        return payload_tables(tables, parent, keep_parent)
     lines = filter_ids(tables["information_table"], "cusip", cusip, unique_ids)
+    if filters.get("date_mode") == "publication_date" and "filing_date" in lines.columns:
+        window = ("start_datetime", "end_datetime", "date_mode")
+        lines = date_window(lines, **{k: filters.get(k) for k in window})
     holders = parents_of(lines, parent)
+    if keep_parent:
+        holders = stored(holders)
     held = {"metadata": holders, "information_table": children_of(parent, lines)}
     return {
         name: held[name] if name in held else children_of(holders, table)

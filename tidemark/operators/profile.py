@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN, which stands for a missing number, as NULL."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), c)
+    return c
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
@@ -26,8 +35,8 @@ def corner_values(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def missing_counts(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows (column_name, n_missing, n_rows) from one pass."""
-    aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    """Rows (column_name, n_missing, n_rows) from one pass; NaN is missing too."""
+    aggs = [F.count_if(known(df, c).isNull()).alias(c) for c in columns]
     pairs = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -40,7 +49,7 @@ def missing_counts(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def column_values(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows (column_name, value, n_rows): each column's distinct values as text.
+    """Rows (column_name, value, n_rows): each column's distinct values as text, NaN as NULL.
 
     The whole list of values stays a distributed table, so a column may hold any
     number of them.
@@ -48,7 +57,7 @@ def column_values(df: DataFrame, *columns: str) -> DataFrame:
     columns = columns or tuple(df.columns)
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+            F.struct(F.lit(c).alias("column_name"), known(df, c).cast("string").alias("value"))
             for c in columns
         ]
     )
@@ -60,40 +69,46 @@ def column_values(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def column_profile(df: DataFrame, *columns: str) -> DataFrame:
-    """Per column: distinct values, smallest and largest as text, missing, rows."""
-    present = F.col("value").isNotNull()
-    return (
-        column_values(df, *columns)
-        .groupBy("column_name")
-        .agg(
-            F.count_if(present).alias("n_distinct"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-            F.coalesce(F.sum(F.when(~present, F.col("n_rows"))), F.lit(0)).alias("n_missing"),
-            F.sum("n_rows").alias("n_rows"),
+    """Per column: distinct values, smallest and largest, missing, rows.
+
+    The corners are those of the typed values, rendered as text afterwards; they and the missing
+    count come from one pass, and only the distinct counts spread the cells out.
+    """
+    columns = columns or tuple(df.columns)
+    aggs = [F.count("*").alias("_rows")]
+    pairs = []
+    for i, c in enumerate(columns):
+        value = known(df, c)
+        aggs += [
+            F.min(value).cast("string").alias(f"_min{i}"),
+            F.max(value).cast("string").alias(f"_max{i}"),
+            F.count_if(value.isNull()).alias(f"_missing{i}"),
+        ]
+        pairs.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.col(f"_min{i}").alias("min_value"),
+                F.col(f"_max{i}").alias("max_value"),
+                F.col(f"_missing{i}").alias("n_missing"),
+                F.col("_rows").alias("n_rows"),
+            )
         )
+    corners = df.agg(*aggs).select(F.inline(F.array(*pairs)))
+    return corners.join(distinct_counts(df, *columns), "column_name", "left").select(
+        "column_name",
+        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
+        "min_value",
+        "max_value",
+        "n_missing",
+        "n_rows",
     )
 
 
-LISTED_VALUES = 1000
-
-
-def facet_profile(df: DataFrame, *columns: str, listed: int = LISTED_VALUES) -> DataFrame:
-    """Per column: distinct values, and their sorted list in one string.
-
-    The string is made for columns of at most `listed` values and NULL for others,
-    whose values `column_values` gives in full.
-    """
+def facet_profile(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows (column_name, value, n_distinct): every value of each column beside their number."""
     values = column_values(df, *columns).where(F.col("value").isNotNull())
     counts = values.groupBy("column_name").agg(F.count("*").alias("n_distinct"))
-    # One row per column.
-    short = F.broadcast(counts.where(F.col("n_distinct") <= listed).select("column_name"))
-    lists = (
-        values.join(short, "column_name")
-        .groupBy("column_name")
-        .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("values"))
-    )
-    return counts.join(lists, "column_name", "left")
+    return values.select("column_name", "value").join(counts, "column_name")
 
 
 def rows_per_key(df: DataFrame, *keys: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import member_rows
+from tidemark.operators.joins import KEY_HASH, member_rows, with_key_hash
 from tidemark.operators.profile import missing_counts, rows_per_key
 
 
@@ -18,9 +18,13 @@ def duplicate_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Every row whose key occurs more than once.
 
     Keys are counted with map-side combine and joined back; a window per key
-    would put all copies of one key into one task.
+    would put all copies of one key into one task. NULL equals NULL, as in the count:
+    the hash of the key is the equi key, which spreads the rows, and decides nothing.
     """
-    return member_rows(df, duplicated_values(df, *keys), list(keys))
+    found = with_key_hash(duplicated_values(df, *keys).drop("n_rows"), keys)
+    rows = with_key_hash(df, keys)
+    same = [rows[k].eqNullSafe(found[k]) for k in keys]
+    return rows.join(found, [rows[KEY_HASH] == found[KEY_HASH], *same], "left_semi").drop(KEY_HASH)
 
 
 def unexpected_missing(
@@ -92,11 +96,11 @@ def type_agreement(left: DataFrame, right: DataFrame, left_column: str, right_co
     return left.schema[left_column].dataType == right.schema[right_column].dataType
 
 
-def variant_types(df: DataFrame, column: str) -> DataFrame:
-    """Types a variant column holds, with their row counts; one row means one type."""
-    return df.groupBy(F.schema_of_variant(F.col(column)).alias("value_type")).agg(
-        F.count("*").alias("n_rows")
-    )
+def variant_types(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """Types a variant column holds, of all rows or per group, with their row counts; one row
+    means one type."""
+    kind = F.schema_of_variant(F.col(column)).alias("value_type")
+    return df.groupBy(*by, kind).agg(F.count("*").alias("n_rows"))
 
 
 def not_allowed_values(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import tidy_lines
+
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """Bag union, columns by name, absent columns NULL."""
@@ -66,21 +68,60 @@ def reconcile(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
 
 
 def blank_blind(column) -> Column:
-    """Value as text with blank runs collapsed, for fuzzy comparison."""
+    """Value as text for fuzzy comparison: line by line, blanks tidied, blank lines left out."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.trim(F.regexp_replace(c.cast("string"), r"\s+", " "))
+    return tidy_lines(c.cast("string"))
+
+
+def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows (column_name, left_type, right_type) of columns that only one frame has, or that differ
+    in type."""
+    here, there = ({f.name: f.dataType.simpleString() for f in df.schema} for df in (left, right))
+    rows = [(n, here.get(n), there.get(n)) for n in here | there if here.get(n) != there.get(n)]
+    return left.sparkSession.createDataFrame(
+        rows, "column_name string, left_type string, right_type string"
+    )
 
 
 def frame_diff(left: DataFrame, right: DataFrame, fuzzy: bool = False) -> DataFrame:
-    """Rows whose number of copies differs, with both counts; empty means equal.
+    """Rows whose number of copies differs, with both counts.
 
-    Copies stay a count, so a row repeated a billion times is one result row.
+    Copies stay a count, so a row repeated a billion times is one result row. Frames with other
+    columns, or other types unless `fuzzy`, share no row: all their rows differ, shown with the
+    columns of both, as text where the types differ. Empty frames have no rows to show, so equality
+    is `frames_equal`.
     """
-    columns = left.columns
     if fuzzy:
-        blind = [blank_blind(c).alias(c) for c in columns]
-        left, right = left.select(*blind), right.select(*blind)
-    return _sides(left, right, columns).where("n_left <> n_right")
+        left, right = (df.select(*[blank_blind(c).alias(c) for c in df.columns]) for df in (left, right))
+    here, there = ({f.name: f.dataType for f in df.schema} for df in (left, right))
+    columns = list(here | there)
+    if here == there:
+        return _sides(left, right, columns).where("n_left <> n_right")
+
+    def shown(df, own, other):
+        return df.select(
+            *[
+                (F.col(c) if other.get(c, own.get(c)) == own.get(c) else F.col(c).cast("string"))
+                .alias(c)
+                if c in own
+                else F.lit(None).cast(other[c]).alias(c)
+                for c in columns
+            ]
+        )
+
+    shape = "_columns"
+    left = shown(left, here, there).withColumn(shape, F.lit(0))
+    right = shown(right, there, here).withColumn(shape, F.lit(1))
+    return _sides(left, right, [*columns, shape]).drop(shape)
+
+
+def frames_equal(left: DataFrame, right: DataFrame, fuzzy: bool = False) -> bool:
+    """Do two frames have the same columns, the same types unless `fuzzy`, and the same rows."""
+    if set(left.columns) != set(right.columns):
+        return False
+    if not fuzzy and not schema_diff(left, right).isEmpty():
+        return False
+    return frame_diff(left, right, fuzzy).isEmpty()
 
 
 def ordered_diff(left: DataFrame, right: DataFrame, position: list[str], value: str) -> DataFrame:

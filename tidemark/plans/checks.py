@@ -69,6 +69,19 @@ def missing_expectation(spark, folder):
     )
 
 
+@query(
+    "missing_nan",
+    """SELECT 'value' AS column_name, count(*) FILTER (event_type IN ('view', 'error')) AS n_missing,
+              count(*) AS n_rows FROM events""",
+)
+def missing_nan(spark, folder):
+    """Numbers of which some are NaN and some NULL."""
+    value = F.when(F.col("event_type") == "view", F.lit(float("nan"))).when(
+        F.col("event_type") != "error", F.col("value")
+    )
+    return profile.missing_counts(read_table(spark, folder, "events").select(value.alias("value")), "value")
+
+
 _PROFILED = {
     "uuid": "o_orderkey::VARCHAR",
     "cik": "o_custkey::VARCHAR",
@@ -88,29 +101,34 @@ def column_values(spark, folder):
     return profile.column_values(tables.filings(spark, folder), *_PROFILED)
 
 
+_TYPED = {"uuid": "o_orderkey", "total": "o_totalprice::DECIMAL(12, 2)", "form_type": "o_orderpriority"}
+
+
 @query(
     "column_profile",
     " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, count(DISTINCT {sql}) AS n_distinct,
-            min({sql}) AS min_value, max({sql}) AS max_value,
+            min({sql})::VARCHAR AS min_value, max({sql})::VARCHAR AS max_value,
             count(*) FILTER ({sql} IS NULL) AS n_missing, count(*) AS n_rows FROM orders"""
-        for name, sql in _PROFILED.items()
+        for name, sql in _TYPED.items()
     ),
 )
 def column_profile(spark, folder):
-    return profile.column_profile(tables.filings(spark, folder), *_PROFILED)
+    """Corners of numbers are those of the numbers, not of their texts."""
+    filings = tables.filings(spark, folder)
+    filings = filings.withColumn("total", F.col("total").cast("decimal(12,2)"))
+    return profile.column_profile(filings, *_TYPED)
 
 
 @query(
     "facet_profile",
-    """SELECT 'form_type' AS column_name, count(DISTINCT o_orderpriority) AS n_distinct,
-              string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS "values"
-       FROM orders
-       UNION ALL SELECT 'status', count(DISTINCT o_orderstatus),
-              string_agg(DISTINCT o_orderstatus, ', ' ORDER BY o_orderstatus) FROM orders""",
+    """SELECT 'cik' AS column_name, o_custkey::VARCHAR AS value,
+              (SELECT count(DISTINCT o_custkey) FROM orders) AS n_distinct FROM orders GROUP BY 2
+       UNION ALL SELECT 'status', o_orderstatus,
+              (SELECT count(DISTINCT o_orderstatus) FROM orders) FROM orders GROUP BY 2""",
 )
 def facet_profile(spark, folder):
-    return profile.facet_profile(tables.filings(spark, folder), "form_type", "status")
+    return profile.facet_profile(tables.filings(spark, folder), "cik", "status")
 
 
 @query("rows_per_filer", "SELECT o_custkey AS cik, count(*) AS n_rows FROM orders GROUP BY 1")
@@ -138,6 +156,21 @@ def dup_keys(spark, folder):
     return quality.duplicate_rows(lines, "uuid", "line")
 
 
+@query(
+    "dup_keys_null",
+    """SELECT uuid, flag, line FROM (
+         SELECT l_orderkey AS uuid, nullif(l_returnflag, 'N') AS flag, l_linenumber AS line,
+                count(*) OVER (PARTITION BY l_orderkey, nullif(l_returnflag, 'N')) AS n
+         FROM lineitem) WHERE n > 1""",
+)
+def dup_keys_null(spark, folder):
+    """A key with a NULL in it repeats like any other."""
+    lines = tables.holding_lines(spark, folder).select(
+        "uuid", F.nullif("put_call", F.lit("N")).alias("flag"), "line"
+    )
+    return quality.duplicate_rows(lines, "uuid", "flag")
+
+
 @query(
     "dup_values",
     """SELECT l_orderkey AS uuid, l_partkey AS cusip, count(*) AS n_rows FROM lineitem
@@ -199,13 +232,14 @@ def monotonic_violations(spark, folder):
 @query(
     "strictly_increasing",
     """SELECT count(*) FILTER (event_id <= prev) = 0 AS increases, count(*) AS n_rows
-       FROM (SELECT event_id, lag(event_id) OVER (ORDER BY ts) AS prev FROM events)""",
+       FROM (SELECT event_id, lag(event_id) OVER (ORDER BY ts, event_id) AS prev
+             FROM events)""",
 )
 def strictly_increasing(spark, folder):
     """Event ids increase with time."""
     facts = tables.item_facts(spark, folder).withColumn("all", F.lit(0))
     checked = quality.monotonic_violations(
-        facts, ["all"], ["form_availability_timestamp"], "form_uuid"
+        facts, ["all"], ["form_availability_timestamp", "form_uuid"], "form_uuid"
     )
     return checked.select(
         ((F.col("n_falls") == 0) & (F.col("n_repeats") == 0)).alias("increases"), "n_rows"
@@ -214,8 +248,13 @@ def strictly_increasing(spark, folder):
 
 @query(
     "type_agreement",
-    """SELECT event_type, CASE WHEN event_type = 'click' THEN 'OBJECT<k: BIGINT>' ELSE 'BIGINT' END
-              AS value_type, count(*) AS n_rows FROM events GROUP BY 1, 2""",
+    """WITH v AS (SELECT event_type, CASE WHEN event_type = 'click' THEN props
+                    ELSE props->'$.k' END AS body FROM events),
+            t AS (SELECT event_type, json_type(body) AS kind, json_keys(body) AS keys, body FROM v)
+       SELECT event_type, CASE WHEN kind = 'OBJECT' THEN 'OBJECT<' || array_to_string(
+                [k || ': ' || replace(json_type(body, '$.' || k), 'UBIGINT', 'BIGINT') FOR k IN keys],
+                ', ') || '>' ELSE replace(kind, 'UBIGINT', 'BIGINT') END AS value_type,
+              count(*) AS n_rows FROM t GROUP BY 1, 2""",
 )
 def type_agreement(spark, folder):
     """Types found in a variant column, per event type."""
@@ -224,9 +263,7 @@ def type_agreement(spark, folder):
     values = read_table(spark, folder, "events").select(
         "event_type", F.when(F.col("event_type") == "click", body).otherwise(number).alias("body")
     )
-    return values.groupBy("event_type", F.schema_of_variant("body").alias("value_type")).agg(
-        F.count("*").alias("n_rows")
-    )
+    return quality.variant_types(values, "body", "event_type")
 
 
 @query(
@@ -262,9 +299,11 @@ def set_diff_report(spark, folder):
 
 @query(
     "set_relations",
-    """SELECT true AS is_subset, NOT EXISTS (SELECT o_custkey FROM orders EXCEPT
-                SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS is_equal,
-              false AS is_disjoint""",
+    """WITH a AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'),
+            b AS (SELECT o_custkey FROM orders)
+       SELECT NOT EXISTS (FROM a EXCEPT FROM b) AS is_subset,
+              NOT EXISTS (FROM a EXCEPT FROM b) AND NOT EXISTS (FROM b EXCEPT FROM a) AS is_equal,
+              NOT EXISTS (FROM a INTERSECT FROM b) AS is_disjoint""",
 )
 def set_relations(spark, folder):
     filings = tables.filings(spark, folder)
@@ -296,20 +335,15 @@ def frame_diff(spark, folder):
 
 
 @query(
-    "frame_diff_fuzzy",
-    """WITH d AS (SELECT doc_id::VARCHAR AS doc_id,
-                         trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, lang FROM documents)
-       SELECT doc_id, text, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM d WHERE lang = 'de'
-       UNION ALL SELECT doc_id, text || ' #', 0, 1 FROM d WHERE lang = 'de'""",
+    "frame_diff_columns",
+    """SELECT o_orderkey AS uuid, o_custkey AS cik, NULL::VARCHAR AS status, 1::BIGINT AS n_left,
+              0::BIGINT AS n_right FROM orders
+       UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, 0, 1 FROM orders""",
 )
-def frame_diff_fuzzy(spark, folder):
-    """Documents against a copy with other blanks and, in one language, one more mark."""
-    documents = read_table(spark, folder, "documents")
-    spaced = F.concat(F.lit("\t"), F.replace("text", F.lit(" "), F.lit("  ")))
-    marked = F.concat(spaced, F.when(F.col("lang") == "de", " #\n").otherwise("\n"))
-    left = documents.select("doc_id", "text")
-    right = documents.select("doc_id", marked.alias("text"))
-    return setops.frame_diff(left, right, fuzzy=True)
+def frame_diff_columns(spark, folder):
+    """Frames of which one has a column more share no row."""
+    filings = tables.filings(spark, folder)
+    return setops.frame_diff(filings.select("uuid", "cik"), filings.select("uuid", "cik", "status"))
 
 
 @query(
@@ -368,23 +402,38 @@ def line_filter(spark, folder):
     return text.drop_lines(document_lines(spark, folder), "[0-9]{3,}|^$")
 
 
-@query(
-    "path_clean",
-    """SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '^en/', ''),
-              '/en/', '/', 'g'), '/en:', ':', 'g') AS url FROM pages""",
-)
-def path_clean(spark, folder):
-    pages = read_table(spark, folder, "pages")
-    return pages.select("page_id", text.remove_path_prefix("url", "en").alias("url"))
+def _tidy_sql(value: str) -> str:
+    """Lines of a text, each trimmed and with single blanks, blank ones left out."""
+    return rf"""array_to_string([t FOR t IN
+      [trim(regexp_replace(l, '[\t\v\f\r ]+', ' ', 'g')) FOR l IN string_split({value}, chr(10))]
+      IF t <> ''], chr(10))"""
+
+
+@query("text_collapse", f"SELECT doc_id, {_tidy_sql('text')} AS text FROM documents")
+def text_collapse(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    return documents.select("doc_id", text.tidy_lines("text").alias("text"))
 
 
 @query(
-    "text_collapse",
-    r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-          replace(replace(text, '\n', chr(10)), '\t', chr(9)),
-          '[^\S\n]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '\n{2,}', chr(10), 'g'),
-          '\A\n|\n\z', '', 'g') AS text FROM documents""",
+    "frame_diff_fuzzy",
+    f"""WITH d AS (SELECT doc_id::VARCHAR AS doc_id, {_tidy_sql('text')} AS here,
+                 CASE lang WHEN 'de' THEN {_tidy_sql("text || ' #'")}
+                           WHEN 'fr' THEN {_tidy_sql("replace(text, chr(10), ' ')")}
+                           ELSE {_tidy_sql('text')} END AS there FROM documents)
+        SELECT doc_id, here AS text, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM d
+        WHERE here <> there
+        UNION ALL SELECT doc_id, there, 0, 1 FROM d WHERE here <> there""",
 )
-def text_collapse(spark, folder):
+def frame_diff_fuzzy(spark, folder):
+    """Documents against a copy with other blanks; in one language with one more mark, in another
+    with the lines joined, which is a difference."""
     documents = read_table(spark, folder, "documents")
-    return documents.select("doc_id", text.collapse_blanks("text").alias("text"))
+    spaced = F.concat(F.lit("\t"), F.replace("text", F.lit(" "), F.lit("  ")))
+    changed = (
+        F.when(F.col("lang") == "de", F.concat(spaced, F.lit(" #\n\n")))
+        .when(F.col("lang") == "fr", F.replace("text", F.lit("\n"), F.lit(" ")))
+        .otherwise(F.replace(spaced, F.lit("\n"), F.lit("\n \n")))
+    )
+    left = documents.select("doc_id", "text")
+    return setops.frame_diff(left, documents.select("doc_id", changed.alias("text")), fuzzy=True)

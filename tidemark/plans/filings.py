@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, ids, joins, payloads, windows
+from tidemark.operators import asof, ids, payloads, windows
 from tidemark.functions import conform
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.driver_tables import FORM_FAMILIES, FORM_TYPES, ID_MAP_SQL
+from tidemark.plans.ordering import with_position
 from tidemark.plans.registry import query
 from tidemark.sources.tables import read_table
 
@@ -30,6 +31,9 @@ _LINE_SQL = """l_orderkey AS uuid, l_partkey AS cusip, l_linenumber AS line, l_q
        l_shipdate AS form_availability_timestamp"""
 
 
+_PLACE_SQL = "row_number() OVER (ORDER BY o_orderdate, o_custkey, o_orderkey) AS position"
+
+
 def segment_filers(spark, folder, segment="BUILDING"):
     customers = read_table(spark, folder, "customer").where(F.col("c_mktsegment") == segment)
     return customers.select(F.col("c_custkey").alias("cik"))
@@ -37,13 +41,12 @@ def segment_filers(spark, folder, segment="BUILDING"):
 
 @query(
     "header_query",
-    f"""SELECT {_FILING_SQL} FROM orders
+    f"""SELECT {_FILING_SQL}, {_PLACE_SQL} FROM orders
         WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND {_PUBLISHED_SQL}
-          AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-        ORDER BY filing_date, cik, uuid""",
+          AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def header_query(spark, folder):
-    return payloads.form_headers(
+    headers = payloads.form_headers(
         tables.filings(spark, folder),
         form_type=["1-URGENT", "2-HIGH"],
         cik=segment_filers(spark, folder),
@@ -51,6 +54,7 @@ def header_query(spark, folder):
         valid_types=FORM_TYPES,
         **PUBLISHED,
     )
+    return with_position(headers)
 
 
 @query("publication_window", f"SELECT {_FILING_SQL} FROM orders WHERE {_PUBLISHED_SQL}")
@@ -95,19 +99,25 @@ def id_semi_join(spark, folder):
     """WITH m AS (SELECT o_orderkey FROM orders JOIN
                     (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase') e
                     ON o_custkey = user_id)
-       SELECT count(*) AS n_listed, count(*) AS n_flagged, true AS is_equal FROM m""",
+       , l AS (SELECT o_orderkey FROM orders WHERE EXISTS
+                 (SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = o_custkey))
+       SELECT (SELECT count(*) FROM l) AS n_listed, (SELECT count(*) FROM m) AS n_flagged,
+              NOT EXISTS (FROM l EXCEPT ALL FROM m) AND NOT EXISTS (FROM m EXCEPT ALL FROM l)
+                AS is_equal""",
 )
 def id_list_equivalence(spark, folder):
     """Filtering by a list with repeats, and flagging members, keep the same rows."""
     filings = tables.filings(spark, folder)
     buyers = read_table(spark, folder, "events").where("event_type = 'purchase'").select("user_id")
-    marked = ids.filter_filers(filings, buyers).select(F.lit(1).alias("listed"))
-    flagged = ids.filter_membership(filings, "cik", buyers).select(F.lit(0).alias("listed"))
-    counts = marked.unionAll(flagged).agg(
-        F.count_if(F.col("listed") == 1).alias("n_listed"),
-        F.count_if(F.col("listed") == 0).alias("n_flagged"),
+    listed = ids.filter_filers(filings, buyers).select("uuid", F.lit(1).alias("l"), F.lit(0).alias("f"))
+    flagged = ids.filter_membership(filings, "cik", buyers)
+    both = listed.unionAll(flagged.select("uuid", F.lit(0).alias("l"), F.lit(1).alias("f")))
+    times = both.groupBy("uuid").agg(F.sum("l").alias("l"), F.sum("f").alias("f"))
+    return times.agg(
+        F.sum("l").alias("n_listed"),
+        F.sum("f").alias("n_flagged"),
+        F.bool_and(F.col("l") == F.col("f")).alias("is_equal"),
     )
-    return counts.withColumn("is_equal", F.col("n_listed") == F.col("n_flagged"))
 
 
 @query(
@@ -123,22 +133,26 @@ def form_family_filter(spark, folder):
     "real_time_split",
     """SELECT ts >= TIMESTAMP '2024-01-16' AS is_real_time, event_type AS item_name,
               count(*) AS n_rows
-       FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY 1, 2""",
+       FROM events GROUP BY 1, 2""",
 )
 def real_time_split(spark, folder):
     loaded = F.lit("2024-01-16").cast("timestamp_ntz")
     facts = tables.item_facts(spark, folder).withColumn(
         "is_real_time", F.col("form_availability_timestamp") >= loaded
     )
-    live = ids.filter_real_time(facts, live=True)
-    return live.groupBy("is_real_time", "item_name").agg(F.count("*").alias("n_rows"))
+    halves = [
+        ids.filter_real_time(facts, live=live).groupBy("is_real_time", "item_name")
+        for live in (True, False)
+    ]
+    counts = [half.agg(F.count("*").alias("n_rows")) for half in halves]
+    return counts[0].unionByName(counts[1])
 
 
 @query(
     "asof_key_lookup",
     f"""WITH m AS ({ID_MAP_SQL})
         SELECT o_orderkey AS uuid, lpad(o_custkey::VARCHAR, 10, '0') AS cik,
-               o_orderdate AS filing_date, gvk, effdate
+               o_orderdate AS filing_date, gvk, effdate, thrudate
         FROM orders LEFT JOIN m ON m.cik = lpad(o_custkey::VARCHAR, 10, '0')
          AND effdate <= o_orderdate AND o_orderdate <= thrudate""",
 )
@@ -147,9 +161,7 @@ def asof_key_lookup(spark, folder):
     filings = asof.padded_keys(
         tables.filings(spark, folder).select("uuid", "cik", "filing_date")
     )
-    return asof.attach_as_of(filings, tables.id_map(spark, folder), "cik", "filing_date").drop(
-        "thrudate"
-    )
+    return asof.attach_as_of(filings, tables.id_map(spark, folder), "cik", "filing_date")
 
 
 @query(
@@ -273,12 +285,14 @@ _HELD_SQL = f"""SELECT l_orderkey FROM lineitem
 
 @query(
     "holdings_by_security",
-    f"""SELECT {_LINE_SQL} FROM lineitem
+    f"""SELECT {_LINE_SQL}, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_linenumber,
+          l_quantity, l_returnflag, l_linestatus, l_shipdate) AS position FROM lineitem
         WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY')
-          AND l_orderkey IN ({_SLOW_SQL}) ORDER BY uuid, cusip""",
+          AND l_orderkey IN ({_SLOW_SQL})""",
 )
 def holdings_by_security(spark, folder):
-    return payloads.ordered_holdings(security_holdings(spark, folder)["information_table"])
+    lines = security_holdings(spark, folder)["information_table"]
+    return with_position(payloads.ordered_holdings(lines))
 
 
 @query(
@@ -320,12 +334,13 @@ def holdings_by_filer(spark, folder):
 @query(
     "item_payload",
     f"""SELECT event_id AS form_uuid, user_id AS cik, event_type AS item_name,
-        value AS item_value, ts AS filing_date, ts AS form_availability_timestamp
-        FROM events WHERE event_type = 'purchase' AND {_KNOWN_SQL}
-        ORDER BY filing_date, cik, item_name, form_uuid""",
+        value AS item_value, ts AS filing_date, ts AS form_availability_timestamp,
+        row_number() OVER (ORDER BY ts, user_id, event_type, event_id) AS position
+        FROM events WHERE event_type = 'purchase' AND {_KNOWN_SQL}""",
 )
 def item_payload(spark, folder):
-    return payloads.item_payload(tables.item_facts(spark, folder), item="purchase", **KNOWN)
+    found = payloads.item_payload(tables.item_facts(spark, folder), item="purchase", **KNOWN)
+    return with_position(found)
 
 
 @query(
@@ -350,10 +365,10 @@ def item_dictionary_join(spark, folder):
                 CASE WHEN event_type <> 'view' THEN 'priority ' || o_orderpriority END)
          AS footnotes,
          (value >= 10)::INT + (event_type <> 'view')::INT + (value >= 20)::INT AS n_listed
-       FROM events JOIN orders ON o_orderkey = event_id""",
+       FROM events LEFT JOIN orders ON o_orderkey = event_id""",
 )
 def footnote_resolution(spark, folder):
-    """Events carry a footnote list into the filing of the same number; `F9` is a
+    """Events carry a footnote list into the filing of the same number, which some lack; `F9` is a
     mark no filing explains."""
     events = read_table(spark, folder, "events")
     marks = F.array_compact(
@@ -367,7 +382,6 @@ def footnote_resolution(spark, folder):
     rows = events.select(
         F.col("event_id"), F.col("event_id").alias("uuid"), marks.alias("footnote_ids")
     )
-    rows = joins.member_rows(rows, filings, "uuid", unique=True)
 
     def note(mark, text):
         return F.struct(F.lit(mark).alias("footnote_id"), text.alias("footnote"))
@@ -391,28 +405,31 @@ def footnote_resolution(spark, folder):
 
 @query(
     "multi_key_sort",
-    f"SELECT {_FILING_SQL} FROM orders ORDER BY form_type, filing_date, cik, uuid",
+    f"""SELECT {_FILING_SQL}, row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_custkey,
+          o_orderkey) AS position FROM orders""",
 )
 def multi_key_sort(spark, folder):
-    return tables.filings(spark, folder).orderBy("form_type", *payloads.HEADER_ORDER)
+    filings = tables.filings(spark, folder)
+    return with_position(filings.orderBy("form_type", *payloads.HEADER_ORDER))
 
 
-@query("first_rows", f"SELECT {_FILING_SQL} FROM orders ORDER BY filing_date, cik, uuid LIMIT 100")
+@query(
+    "first_rows",
+    f"SELECT {_FILING_SQL}, {_PLACE_SQL} FROM orders ORDER BY position LIMIT 100",
+)
 def first_rows(spark, folder):
-    return tables.filings(spark, folder).orderBy(*payloads.HEADER_ORDER).limit(100)
+    return with_position(tables.filings(spark, folder).orderBy(*payloads.HEADER_ORDER).limit(100))
 
 
 @query(
     "last_rows",
-    f"""SELECT {_FILING_SQL} FROM orders
-        ORDER BY filing_date DESC, cik DESC, uuid DESC LIMIT 100""",
+    f"""SELECT * REPLACE (position - (SELECT count(*) FROM orders) + 100 AS position) FROM
+        (SELECT {_FILING_SQL}, {_PLACE_SQL} FROM orders) ORDER BY position DESC LIMIT 100""",
 )
 def last_rows(spark, folder):
-    return (
-        tables.filings(spark, folder)
-        .orderBy(*[F.desc(c) for c in payloads.HEADER_ORDER])
-        .limit(100)
-    )
+    """The last rows, in ascending order."""
+    last = tables.filings(spark, folder).orderBy(*[F.desc(c) for c in payloads.HEADER_ORDER])
+    return with_position(last.limit(100).orderBy(*payloads.HEADER_ORDER))
 
 
 # Documents: event bodies as variants.

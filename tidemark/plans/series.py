@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import conform, keywords, periods
 from tidemark.operators import catalog
 from tidemark.plans import driver_tables as tables
+from tidemark.plans.ordering import with_position
 from tidemark.plans.registry import query
 from tidemark.sources.tables import read_table
 from tidemark.store import ItemDictionary
@@ -93,6 +97,31 @@ PERIOD_FORMATS = {
         "year(o_orderdate) || '-B' || ceil(month(o_orderdate) / 2)::INT",
         "make_date(year(o_orderdate), (ceil(month(o_orderdate) / 2)::INT * 2 - 1)::INT, 1)",
     ),
+    "full_date_slash": (
+        _formatted("yyyy/MM/dd"),
+        "strftime(o_orderdate, '%Y/%m/%d')",
+        "o_orderdate::DATE",
+    ),
+    "full_date_dot": (
+        _formatted("yyyy.MM.dd"),
+        "strftime(o_orderdate, '%Y.%m.%d')",
+        "o_orderdate::DATE",
+    ),
+    "full_date_compact": (
+        _formatted("yyyyMMdd"),
+        "strftime(o_orderdate, '%Y%m%d')",
+        "o_orderdate::DATE",
+    ),
+    "full_date_named": (
+        _formatted("MMM d, yyyy"),
+        "strftime(o_orderdate, '%b %-d, %Y')",
+        "o_orderdate::DATE",
+    ),
+    "month_blanks": (
+        lambda d: _text("  ", F.date_format(d, "yyyy-MM"), " "),
+        "'  ' || strftime(o_orderdate, '%Y-%m') || ' '",
+        "last_day(o_orderdate)",
+    ),
     "full_date": (
         _formatted("yyyy-MM-dd"),
         "strftime(o_orderdate, '%Y-%m-%d')",
@@ -155,14 +184,23 @@ query(
 
 @query(
     "period_rejects",
-    """SELECT 'AA9999' AS shape, count(*) AS n_rows FROM orders
-       WHERE o_orderpriority = '5-LOW' HAVING count(*) > 0""",
+    """WITH t AS (SELECT CASE o_custkey % 3 WHEN 0 THEN 'FY' || year(o_orderdate)
+                    WHEN 1 THEN month(o_orderdate) || '/' || day(o_orderdate) || '?' ELSE '-' END AS p
+                  FROM orders WHERE o_orderpriority = '5-LOW')
+       SELECT regexp_replace(regexp_replace(p, '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g') AS shape,
+              count(*) AS n_rows FROM t GROUP BY 1""",
 )
 def period_rejects(spark, folder):
-    mixed = read_table(spark, folder, "orders").select(
-        _mixed_text(F.col("o_orderdate")).alias("original_period")
+    """Strings of no known format, in several shapes, among others that are dates."""
+    day = F.col("o_orderdate")
+    odd = (
+        F.when(F.col("o_custkey") % 3 == 0, _text("FY", F.year(day)))
+        .when(F.col("o_custkey") % 3 == 1, _text(F.month(day), "/", F.dayofmonth(day), "?"))
+        .otherwise("-")
     )
-    return periods.rejected_periods(mixed)
+    text = F.when(F.col("o_orderpriority") == "5-LOW", odd).otherwise(_mixed_text(day))
+    points = read_table(spark, folder, "orders").select(text.alias("original_period"))
+    return periods.rejected_periods(points)
 
 
 def series(spark, folder):
@@ -170,7 +208,7 @@ def series(spark, folder):
     return read_table(spark, folder, "events").select(
         F.col("event_type").alias("payload_id"),
         F.date_format("ts", "yyyy-'M'MM").alias("original_period"),
-        F.col("value").cast("string").alias("original_value"),
+        F.col("value").cast("decimal(12,2)").cast("string").alias("original_value"),
         "value",
         "event_id",
     )
@@ -179,11 +217,12 @@ def series(spark, folder):
 @query(
     "series_payload",
     """SELECT event_id, event_type AS payload_id, strftime(ts, '%Y-M%m') AS original_period,
-              value, last_day(ts)::VARCHAR AS period
+              value::DECIMAL(12, 2)::VARCHAR AS original_value, value,
+              last_day(ts)::VARCHAR AS period
        FROM events WHERE event_type = 'purchase'""",
 )
 def series_payload(spark, folder):
-    points = catalog.series_payload(series(spark, folder), "purchase").drop("original_value")
+    points = catalog.series_payload(series(spark, folder), "purchase")
     return points.withColumn("period", F.col("period").cast("string"))
 
 
@@ -196,13 +235,18 @@ def raw_lines(spark, folder):
     return read_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("uuid"),
         F.col("l_linenumber").alias("line"),
-        F.when(flag == "N", "NA").when(flag == "R", "").otherwise(
-            F.col("l_quantity").cast("string")
-        ).alias("item_value"),
+        F.when(flag == "N", "NA")
+        .when(flag == "R", "")
+        .when(F.col("l_linenumber") == 6, "six")
+        .otherwise(F.col("l_quantity").cast("string"))
+        .alias("item_value"),
+        F.when(flag == "N", "NA").otherwise(flag).alias("flag"),
         F.when(F.col("l_linestatus") == "F", F.col("l_suppkey").cast("string")).otherwise(
             F.concat(F.lit("x"), F.col("l_suppkey"))
         ).alias("gvk"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("filing_date"),
+        F.when(F.col("l_linenumber") == 7, "n/a")
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"))
+        .alias("filing_date"),
     )
 
 
@@ -212,8 +256,10 @@ CASTS = {"item_value": "double", "gvk": "bigint", "filing_date": "timestamp_ntz"
 @query(
     "clean_cast",
     """SELECT l_orderkey AS uuid, l_linenumber AS line,
-              CASE WHEN l_returnflag = 'A' THEN l_quantity END AS item_value,
-              CASE WHEN l_linestatus = 'F' THEN l_suppkey END AS gvk, l_shipdate AS filing_date
+              CASE WHEN l_returnflag = 'A' AND l_linenumber <> 6 THEN l_quantity END AS item_value,
+              nullif(l_returnflag, 'N') AS flag,
+              CASE WHEN l_linestatus = 'F' THEN l_suppkey END AS gvk,
+              CASE WHEN l_linenumber <> 7 THEN l_shipdate END AS filing_date
        FROM lineitem""",
 )
 def clean_cast(spark, folder):
@@ -222,9 +268,10 @@ def clean_cast(spark, folder):
 
 @query(
     "cast_failures",
-    """SELECT 'item_value' AS column_name, 0::BIGINT AS n_failed
+    """SELECT 'item_value' AS column_name, count(*) AS n_failed FROM lineitem
+       WHERE l_returnflag = 'A' AND l_linenumber = 6
        UNION ALL SELECT 'gvk', count(*) FROM lineitem WHERE l_linestatus <> 'F'
-       UNION ALL SELECT 'filing_date', 0""",
+       UNION ALL SELECT 'filing_date', count(*) FROM lineitem WHERE l_linenumber = 7""",
 )
 def cast_failures(spark, folder):
     return conform.cast_failures(raw_lines(spark, folder), CASTS)
@@ -236,6 +283,7 @@ HOLDING_SCHEMA = schemas.struct(
     other_manager=schemas.INTS,
     put_call=schemas.STRING,
     ssh_prnamt=schemas.LONG,
+    line=schemas.INT,
 )
 
 
@@ -246,11 +294,32 @@ HOLDING_SCHEMA = schemas.struct(
                    WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN l_linenumber::VARCHAR
                    ELSE l_linenumber || ',' || l_suppkey END AS other_manager,
               CASE WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN 'Put' END AS put_call,
-              l_quantity::BIGINT AS ssh_prnamt
+              CASE WHEN l_linestatus <> 'F' OR l_linenumber <> 3 THEN l_quantity::BIGINT END
+                AS ssh_prnamt,
+              CASE WHEN l_linestatus <> 'F' OR l_linenumber <> 4 THEN l_linenumber END::INT AS line
        FROM lineitem""",
 )
 def conform_union(spark, folder):
     """Historical text rows and live typed rows of one table, in one schema."""
+    united = conform.conform_union(holding_vintages(spark, folder), HOLDING_SCHEMA)
+    managers = F.col("other_manager").cast("array<string>")
+    return united.withColumn("other_manager", F.array_join(managers, ","))
+
+
+@query(
+    "conform_failures",
+    """SELECT 'uuid' AS column_name, 0::BIGINT AS n_failed
+       UNION ALL SELECT 'cusip', 0 UNION ALL SELECT 'other_manager', 0 UNION ALL SELECT 'put_call', 0
+       UNION ALL SELECT 'ssh_prnamt', count(*) FROM lineitem WHERE l_linestatus = 'F' AND l_linenumber = 3
+       UNION ALL SELECT 'line', count(*) FROM lineitem WHERE l_linestatus = 'F' AND l_linenumber = 4""",
+)
+def conform_failures(spark, folder):
+    """Fractions and words where whole numbers are declared: NULL, and counted."""
+    return conform.conform_failures(holding_vintages(spark, folder)[0], HOLDING_SCHEMA)
+
+
+def holding_vintages(spark, folder):
+    """Historical rows as text, some unreadable, and live rows with types."""
     lines = read_table(spark, folder, "lineitem")
     flag = F.col("l_returnflag")
     historical = lines.where("l_linestatus = 'F'").select(
@@ -261,30 +330,44 @@ def conform_union(spark, folder):
         .otherwise(_text("(", F.col("l_linenumber"), ", ", F.col("l_suppkey"), ")"))
         .alias("other_manager"),
         F.when(flag == "A", "Put").otherwise("").alias("put_call"),
-        F.col("l_quantity").cast("string").alias("ssh_prnamt"),
+        F.when(F.col("l_linenumber") == 3, F.concat(F.col("l_quantity").cast("int"), F.lit(".25")))
+        .otherwise(F.col("l_quantity").cast("string"))
+        .alias("ssh_prnamt"),
+        F.when(F.col("l_linenumber") == 4, "four")
+        .otherwise(F.concat("l_linenumber", F.lit(".0")))
+        .alias("line"),
     )
     live = lines.where("l_linestatus <> 'F'").select(
         F.col("l_orderkey").alias("uuid"),
         F.col("l_partkey").cast("string").alias("cusip"),
         F.array("l_linenumber", F.col("l_suppkey").cast("int")).alias("other_manager"),
         F.col("l_quantity").cast("int").alias("ssh_prnamt"),
+        F.col("l_linenumber").alias("line"),
     )
-    united = conform.conform_union([historical, live], HOLDING_SCHEMA)
-    managers = F.col("other_manager").cast("array<string>")
-    return united.withColumn("other_manager", F.array_join(managers, ","))
+    return [historical, live]
 
 
 @query(
     "iso_conformance",
-    """SELECT 'known' AS column_name, true AS conforms, 0::BIGINT AS n_violations
-       UNION ALL SELECT 'day', count(*) = 0, count(*) FROM events""",
+    """WITH t AS (SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS known,
+                    CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d')
+                      WHEN 'error' THEN NULL WHEN 'click' THEN strftime(ts, '%Y-13-%dT%H:%M:%S')
+                      ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS mixed FROM events),
+            v AS (SELECT 'known' AS column_name, known AS p FROM t UNION ALL SELECT 'mixed', mixed FROM t)
+       SELECT column_name, count(*) FILTER (bad) = 0 AS conforms, count(*) FILTER (bad) AS n_violations
+       FROM (SELECT column_name, p IS NOT NULL AND NOT (regexp_matches(p, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T')
+                      AND TRY_CAST(p AS TIMESTAMP) IS NOT NULL) AS bad FROM v) GROUP BY 1""",
 )
 def iso_conformance(spark, folder):
-    texts = read_table(spark, folder, "events").select(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("known"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    """A column of date-times, and one with days, gaps and months beyond December among them."""
+    whole, kind = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.col("event_type")
+    mixed = (
+        F.when(kind == "view", F.date_format("ts", "yyyy-MM-dd"))
+        .when(kind == "click", F.date_format("ts", "yyyy-'13'-dd'T'HH:mm:ss"))
+        .when(kind != "error", whole)
     )
-    return conform.iso_conformance(texts, "known", "day")
+    texts = read_table(spark, folder, "events").select(whole.alias("known"), mixed.alias("mixed"))
+    return conform.iso_conformance(texts, "known", "mixed")
 
 
 # Catalog.
@@ -328,34 +411,71 @@ for _facet, _source in {
 _PAGE_KEY = ["name", "payload_id"]
 
 
-@query("search_page", f"SELECT {_CATALOG_SQL} FROM part ORDER BY name, payload_id LIMIT 1000")
+_PLACED_SQL = f"SELECT {_CATALOG_SQL}, row_number() OVER (ORDER BY p_name, p_partkey) AS position FROM part"
+
+
+@query("search_page", f"{_PLACED_SQL} ORDER BY position LIMIT 1000")
 def search_page(spark, folder):
-    return catalog.page_after(tables.catalog(spark, folder), _PAGE_KEY)
+    return with_position(catalog.page_after(tables.catalog(spark, folder), _PAGE_KEY))
 
 
 @query(
     "search_next_page",
-    f"""SELECT {_CATALOG_SQL} FROM part WHERE p_name > 'green' OR (p_name = 'green' AND p_partkey > 5)
-        ORDER BY name, payload_id LIMIT 1000""",
+    f"""{_PLACED_SQL} WHERE p_name > 'green' OR (p_name = 'green' AND p_partkey > 5)
+        ORDER BY position LIMIT 1000""",
 )
 def search_next_page(spark, folder):
-    return catalog.page_after(tables.catalog(spark, folder), _PAGE_KEY, last=("green", 5))
+    rows = tables.catalog(spark, folder)
+    return with_position(catalog.page_after(rows, _PAGE_KEY, last=("green", 5)))
 
 
 @query(
-    "offset_page",
-    f"SELECT {_CATALOG_SQL} FROM part ORDER BY name, payload_id LIMIT 500 OFFSET 750",
+    "search_null_page",
+    """SELECT p_partkey AS payload_id, nullif(p_type, 'ECONOMY') AS commodity,
+              row_number() OVER (ORDER BY nullif(p_type, 'ECONOMY') NULLS FIRST, p_partkey) AS position
+       FROM part WHERE p_type <> 'ECONOMY' OR p_partkey > 90 ORDER BY position LIMIT 700""",
 )
-def offset_page(spark, folder):
-    return catalog.offset_page(tables.catalog(spark, folder), _PAGE_KEY, 750, 500)
+def search_null_page(spark, folder):
+    """The page behind one that ended among rows without the leading key."""
+    rows = tables.catalog(spark, folder).select(
+        "payload_id", F.nullif("commodity", F.lit("ECONOMY")).alias("commodity")
+    )
+    key = ["commodity", "payload_id"]
+    return with_position(catalog.page_after(rows, key, last=(None, 90), size=700))
 
 
 @query(
-    "numbered_page",
-    f"SELECT {_CATALOG_SQL} FROM part ORDER BY name, payload_id LIMIT 300 OFFSET 600",
+    "search_all_pages",
+    """SELECT p_partkey AS payload_id,
+              (row_number() OVER (ORDER BY nullif(p_type, 'ECONOMY') NULLS FIRST, p_partkey) - 1) // 150
+                AS page
+       FROM part WHERE p_size <= 10""",
 )
+def search_all_pages(spark, folder):
+    """Every page of a catalog in which some rows lack the leading key."""
+    rows = tables.catalog(spark, folder).where("cast(country as int) <= 10").select(
+        "payload_id", F.nullif("commodity", F.lit("ECONOMY")).alias("commodity")
+    )
+    found = catalog.pages(rows, ["commodity", "payload_id"], 150)
+    numbered = [
+        page.select("payload_id", F.lit(k).cast("bigint").alias("page")) for k, page in enumerate(found)
+    ]
+    return reduce(DataFrame.unionByName, numbered)
+
+
+@query("offset_page", f"{_PLACED_SQL} ORDER BY position LIMIT 500 OFFSET 750")
+def offset_page(spark, folder):
+    return _from(catalog.offset_page(tables.catalog(spark, folder), _PAGE_KEY, 750, 500), 750)
+
+
+@query("numbered_page", f"{_PLACED_SQL} ORDER BY position LIMIT 300 OFFSET 600")
 def numbered_page(spark, folder):
-    return catalog.numbered_page(tables.catalog(spark, folder), _PAGE_KEY, 3, 300)
+    return _from(catalog.numbered_page(tables.catalog(spark, folder), _PAGE_KEY, 3, 300), 600)
+
+
+def _from(page, offset):
+    placed = with_position(page)
+    return placed.withColumn("position", F.col("position") + offset)
 
 
 # Item dictionary and keyword search.
@@ -381,14 +501,16 @@ def _tokens_sql(text):
 
 @query(
     "keyword_search",
-    f"""SELECT item, description, score, n_tokens FROM (
+    f"""SELECT item, description, score, n_tokens,
+               row_number() OVER (ORDER BY score DESC, n_tokens, item) AS position FROM (
           SELECT p_partkey AS item, p_name AS description,
                  len(list_intersect({_tokens_sql('p_name')}, ['blue', 'red', 'ring'])) AS score,
                  len({_tokens_sql('p_name')}) AS n_tokens FROM part)
-        WHERE score > 0 ORDER BY score DESC, n_tokens, item""",
+        WHERE score > 0""",
 )
 def keyword_search(spark, folder):
-    return keywords.search_items(dictionary(spark, folder).get_mapping(), "Red-Ring blue ring")
+    found = keywords.search_items(dictionary(spark, folder).get_mapping(), "Red-Ring blue ring")
+    return with_position(found)
 
 
 @query(

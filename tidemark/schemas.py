@@ -6,7 +6,6 @@ so every reader takes its schema from here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Form types by family, date modes, catalog facets.
@@ -90,11 +89,13 @@ FILING_METADATA = struct(
     filing_date=DAY,
     form_availability_timestamp=INSTANT,
 )
-FOOTNOTES = struct(uuid=STRING, footnote_id=STRING, footnote=STRING)
-INSIDER_CHILD = struct(uuid=STRING, footnote_ids=STRINGS)
-HOLDING_HEADER = struct(uuid=STRING, cik=LONG)
+# Child tables carry the filing day of their filing, by which they are stored.
+FOOTNOTES = struct(uuid=STRING, filing_date=DAY, footnote_id=STRING, footnote=STRING)
+INSIDER_CHILD = struct(uuid=STRING, filing_date=DAY, footnote_ids=STRINGS)
+HOLDING_HEADER = struct(uuid=STRING, filing_date=DAY, cik=LONG)
 INFORMATION_TABLE = struct(
     uuid=STRING,
+    filing_date=DAY,
     cusip=STRING,
     investment_discretion=STRING,
     name_of_issuer=STRING,
@@ -113,6 +114,7 @@ DOCUMENTS = struct(
     cik=LONG,
     filing_date=DAY,
     form_type=STRING,
+    form_availability_timestamp=INSTANT,
     is_real_time=BOOL,
     data=T.VariantType(),
 )
@@ -158,9 +160,3 @@ def _page(data: T.DataType) -> T.StructType:
         ]
     )
 
-
-def form_family_table(spark: SparkSession, families=None) -> DataFrame:
-    """One row per (family, form type)."""
-    families = families or FORM_FAMILIES
-    rows = [(family, form) for family, forms in families.items() for form in forms]
-    return spark.createDataFrame(rows, "family string, form_type string")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.conform import conform_failures, conform_union
+from tidemark.operators.windows import FILING_ZONE
 
 
 def read_table(
@@ -16,15 +20,44 @@ def read_table(
     return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def filing_day(df: DataFrame, column: str = "filing_date") -> Column:
+    """Day of a filing in the filing zone, whatever the zone of the session."""
+    if not isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.to_date(column)
+    seconds = (F.unix_micros(column) / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(str(FILING_ZONE)), utc))
+
+
+def with_filing_day(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """Child rows with the filing day of their filing, by which they are stored; `parent` has one
+    row per uuid."""
+    days = parent.select("uuid", "filing_date")
+    return child.drop("filing_date").join(days, "uuid")
+
+
+def store_vintages(
+    vintages: list[DataFrame], schema: T.StructType, path: str, family: str
+) -> DataFrame:
+    """Store the vintages of a table in its declared schema; the values that did not read as
+    declared come back as (vintage, column_name, n_failed)."""
+    write_filings(conform_union(vintages, schema), path, family)
+    counted = [
+        conform_failures(df, schema).select(F.lit(k).alias("vintage"), "*")
+        for k, df in enumerate(vintages)
+    ]
+    return reduce(DataFrame.unionByName, counted).where("n_failed > 0")
+
+
 def write_filings(df: DataFrame, path: str, family: str) -> None:
     """Store a filing table by family and filing month, sorted so that scans for a
-    filer or a window skip row groups, with bloom filters for the look-up keys."""
+    security, a filer or a window skip row groups, with bloom filters for the look-up keys."""
     layout = [schemas.FAMILY, schemas.FILING_MONTH]
-    # Filer, day and uuid spread a crowded month over several writers.
-    order = layout + [c for c in ("cik", "filing_date", "uuid") if c in df.columns]
+    # Security, filer, day and uuid spread a crowded month over several writers.
+    order = layout + [c for c in ("cusip", "cik", "filing_date", "uuid") if c in df.columns]
     (
         df.withColumn(schemas.FAMILY, F.lit(family))
-        .withColumn(schemas.FILING_MONTH, F.date_format("filing_date", "yyyy-MM"))
+        .withColumn(schemas.FILING_MONTH, F.date_format(filing_day(df), "yyyy-MM"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("append")

@@ -37,10 +37,17 @@ class FilingStore:
         return list(schemas.FORM_TYPES)
 
     def get_form_headers(
-        self, form_type=None, cik=None, start_datetime=None, end_datetime=None, date_mode=None
+        self,
+        form_type=None,
+        cik=None,
+        start_datetime=None,
+        end_datetime=None,
+        date_mode=None,
+        ordered: bool = True,
     ) -> DataFrame:
         return payloads.form_headers(
             self.headers,
+            ordered=ordered,
             form_type=form_type,
             cik=cik,
             start_datetime=start_datetime,
@@ -49,10 +56,16 @@ class FilingStore:
         )
 
     def get_form4_payload(
-        self, cik=None, start_datetime=None, end_datetime=None, date_mode=None
+        self,
+        cik=None,
+        start_datetime=None,
+        end_datetime=None,
+        date_mode=None,
+        keep_parent: bool = False,
     ) -> dict[str, DataFrame]:
         return payloads.insider_payload(
             self.insider,
+            keep_parent=keep_parent,
             cik=cik,
             start_datetime=start_datetime,
             end_datetime=end_datetime,
@@ -60,10 +73,16 @@ class FilingStore:
         )
 
     def get_form8_payload(
-        self, cik=None, start_datetime=None, end_datetime=None, date_mode=None, item=None
+        self,
+        cik=None,
+        start_datetime=None,
+        end_datetime=None,
+        date_mode=None,
+        item=None,
+        ordered: bool = True,
     ) -> DataFrame:
         return payloads.item_payload(
-            self.items, cik, start_datetime, end_datetime, date_mode, item
+            self.items, cik, start_datetime, end_datetime, date_mode, item, ordered
         )
 
     def get_form10_payload(
@@ -81,19 +100,28 @@ class FilingStore:
         return payloads.document_by_uuid(self.documents, uuid)
 
     def get_form13_payload(
-        self, cik=None, cusip=None, start_datetime=None, end_datetime=None, date_mode=None
+        self,
+        cik=None,
+        cusip=None,
+        start_datetime=None,
+        end_datetime=None,
+        date_mode=None,
+        ordered: bool = True,
+        keep_parent: bool = False,
     ) -> dict[str, DataFrame]:
         held = payloads.holdings_payload(
             self.holdings,
+            keep_parent=keep_parent,
             cik=cik,
             cusip=cusip,
             start_datetime=start_datetime,
             end_datetime=end_datetime,
             date_mode=date_mode,
         )
+        lines = held["information_table"]
         return {
             **held,
-            "information_table": payloads.ordered_holdings(held["information_table"]),
+            "information_table": payloads.ordered_holdings(lines) if ordered else lines,
         }
 
     def get_cik(
