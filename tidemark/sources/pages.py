@@ -18,7 +18,7 @@ from tidemark.session import stored
 CORRUPT = "_corrupt"
 
 
-def _parsed(
+def parsed_bodies(
     bodies: DataFrame, row: T.StructType, body: str, required: tuple[str, ...]
 ) -> tuple[DataFrame, Column]:
     """Bodies with the parsed `_row`, and whether a body does not fit.
@@ -40,7 +40,7 @@ def parse_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of JSON texts; a text that does not fit, or lacks a required
     field, goes to the rejects."""
-    parsed, bad = _parsed(bodies, row, body, required)
+    parsed, bad = parsed_bodies(bodies, row, body, required)
     others = [c for c in bodies.columns if c != body]
     rows = parsed.where(~bad).select(*others, *[f"_row.{f.name}" for f in row.fields])
     return rows, parsed.where(bad).select(*others, body)
@@ -62,7 +62,7 @@ def read_pages(
     A page that cannot be read raises an error; `split_pages` sets such pages aside.
     """
     bodies = spark.read.text(path, wholetext=multi_line)
-    parsed, bad = _parsed(bodies, schemas.envelope(row), "value", ("data",))
+    parsed, bad = parsed_bodies(bodies, schemas.envelope(row), "value", ("data",))
     message = F.concat(F.lit("unreadable page: "), F.left("value", F.lit(200)))
     checked = F.when(bad, F.raise_error(message)).otherwise(F.col("_row"))
     pages = parsed.select(F.explode(F.array(checked)).alias("page"))
@@ -128,7 +128,7 @@ def split_tables(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     bodies = spark.read.text(paths, wholetext=multi_line)
-    parsed, bad = _parsed(bodies, schemas.table_envelope(tables), "value", ("data",))
+    parsed, bad = parsed_bodies(bodies, schemas.table_envelope(tables), "value", ("data",))
     landed = stored(
         parsed.select(
             F.when(~bad, F.col("_row.data")).alias("data"), F.when(bad, F.col("value")).alias("value")

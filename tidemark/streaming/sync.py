@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sources.pages import parse_rows
+from tidemark.sources.pages import parsed_bodies
 
 FEED, BATCH, BUCKET = "sync_feed", "sync_batch", "sync_bucket"
-BUCKETS = 64
+BUCKETS = 16
 REJECTS = "_rejects"
 REJECT_ROW = schemas.struct(file_path=schemas.STRING, value=schemas.STRING)
 
@@ -192,15 +192,16 @@ def sync_tables(
 
     def write(bodies: DataFrame, batch_id: int) -> None:
         feed = _feed_of(bodies.sparkSession, checkpoint)
-        bodies = bodies.persist()
+        parsed, bad = parsed_bodies(page_bodies(bodies), envelope, "value", ("data",))
+        parsed = parsed.withColumn("_bad", bad).persist()
         try:
-            pages, bad = parse_rows(page_bodies(bodies), envelope, required=("data",))
+            pages = parsed.where("not _bad")
             for name, table in tables.items():
-                rows = pages.select(F.inline("data" if single else F.col(f"data.{name}")))
-                append_new(rows, feed, batch_id, targets[name], table)
-            append_new(bad, feed, batch_id, rejects, reject_table)
+                listed = F.col("_row.data") if single else F.col(f"_row.data.{name}")
+                append_new(pages.select(F.inline(listed)), feed, batch_id, targets[name], table)
+            append_new(parsed.where("_bad"), feed, batch_id, rejects, reject_table)
         finally:
-            bodies.unpersist()
+            parsed.unpersist()
 
     query = (
         found.writeStream.foreachBatch(write)
