@@ -60,6 +60,7 @@ def corpus():
 
 def test_links_of_a_corpus_with_many_borderline_pairs(spark, corpus, monkeypatch):
     monkeypatch.setattr(jaccard_join, "TILE_ROWS", 8)  # so lists and clusters are cut into tiles
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 6)  # and some lists are compared first
     docs = spark.createDataFrame(corpus, "doc_id long, text string")
     assert table(jaccard_join.near_duplicates(docs)) == brute(corpus)
 

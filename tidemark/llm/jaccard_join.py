@@ -19,6 +19,7 @@ WORDS, PERCENT = 5, 75
 BUCKET_KEYS = 1 << 19  # shingles sorted by one task at a time
 TILE_ROWS = 1024  # of one size band; a tile holds two such parts at most
 GROUP_BYTES = 16 << 20
+LONG_LIST, SEED_LISTS = 64, 8  # of the lists so long, one in so many is compared first
 FREQUENT_IN_PART, FREQUENT, FREQUENT_MOST = 4, 32, 1 << 18
 
 # A to Z in lower case, other bytes as they are.
@@ -244,12 +245,18 @@ class Tile:
         total = self.sizes[i] + self.sizes[others]
         return others[(100 + self.percent) * most >= self.percent * total]
 
-    def forest(self, exact: Callable[[int, int], bool] | None, cross: np.ndarray | None):
+    def forest(
+        self,
+        exact: Callable[[int, int], bool] | None,
+        cross: np.ndarray | None,
+        label: np.ndarray,
+    ):
         """Pairs that join the sets linked in this tile; sets already joined are not compared.
 
-        `cross` marks the two parts of a tile whose inner pairs other tiles compare.
+        `label` tells which sets are joined from the start; `cross` marks the two parts of a tile
+        whose inner pairs other tiles compare.
         """
-        label = np.arange(len(self.sizes))
+        label = label.copy()
         # 100 * smaller >= percent * larger
         window = np.searchsorted(self.sizes, self.sizes * 100 // self.percent, side="right")
         links = []
@@ -276,20 +283,20 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def tiled(members: DataFrame, percent: int, most: int = TILE_ROWS) -> DataFrame:
-    """(task group, tile, part, all columns) of members (list, sig, size, ...).
+def tiled(members: DataFrame, percent: int) -> DataFrame:
+    """(tile, part, all columns) of members (list, sig, size, ...).
 
-    Lists are cut by size band, and a band of a list by hash into parts of about `most` rows. A tile
-    holds two parts whose bands allow links, or one part by itself; a list that is small as a whole
-    is one tile.
+    Lists are cut by size band, and a band of a list by hash into parts of about TILE_ROWS rows. A
+    tile holds two parts whose bands allow links, or one part by itself; a list that is small as a
+    whole is one tile.
     """
     members = members.withColumn("band", band(F.col("size"), percent))
     counts = stored(members.groupBy("list", "band").agg(F.count("*").alias("rows")))
     totals = counts.groupBy("list").agg(F.sum("rows").alias("all"))
-    long = counts.join(totals.filter(F.col("all") > 2 * most).select("list"), "list")
-    long = stored(long.withColumn("cuts", F.ceil(F.col("rows") / most).cast("int")).drop("rows"))
+    long = counts.join(totals.filter(F.col("all") > 2 * TILE_ROWS).select("list"), "list")
+    long = stored(long.withColumn("cuts", F.ceil(F.col("rows") / TILE_ROWS).cast("int")).drop("rows"))
     short = members.join(long.select("list").distinct(), "list", "left_anti")
-    one = short.withColumns({"part": F.lit(-1), "tile": F.lit("")})
+    one = short.withColumns({"part": F.lit(-1).cast("long"), "tile": F.lit("")})
     parts = members.join(long, ["list", "band"])
     parts = parts.withColumn("part", F.pmod(F.xxhash64("sig"), F.col("cuts").cast("long")).cast("int"))
     near = long.select(
@@ -303,7 +310,7 @@ def tiled(members: DataFrame, percent: int, most: int = TILE_ROWS) -> DataFrame:
     here = F.format_string("%d.%d", "band", "part")
     there = F.format_string("%d.%d", "band2", "part2")
     pairs = pairs.withColumn("tile", F.concat_ws("-", F.least(here, there), F.greatest(here, there)))
-    pairs = pairs.withColumn("part", F.xxhash64("band", "part").cast("int"))
+    pairs = pairs.withColumn("part", F.xxhash64("band", "part"))
     columns = [*members.columns, "part", "tile"]
     return one.select(*columns).unionByName(pairs.select(*columns))
 
@@ -320,7 +327,7 @@ def _forests(
         )
         kept = [np.frombuffer(x, np.uint64) for x in frame[payload]]
         sizes, names = frame["size"].to_numpy(), frame.sig.to_numpy()
-        parts = frame.part.to_numpy()
+        parts, joined = frame.part.to_numpy(), frame.joined.to_numpy()
         change = (frame.list != frame.list.shift()) | (frame.tile != frame.tile.shift())
         start = np.flatnonzero(change.to_numpy())
         found = []
@@ -334,7 +341,9 @@ def _forests(
 
             two = len(set(parts[a:b])) > 1
             tile = Tile(sizes[a:b], maps, percent)
-            links = tile.forest(enough if exact else None, parts[a:b] if two else None)
+            links = tile.forest(
+                enough if exact else None, parts[a:b] if two else None, joined[a:b]
+            )
             found += [(names[a + i], names[a + j]) for i, j in links]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
@@ -372,7 +381,8 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
        Sets that share a prefix shingle and lie in near size bands form a list; each different list
        is kept once.
     3. Tiles of a list compare bitmaps: the bits that differ bound the overlap from above. Only a
-       forest of the possible links is kept, and its components are clusters of candidates.
+       forest of the possible links is kept, and its components are clusters of candidates. Some
+       of the long lists go first; lists whose sets are joined by then need no comparison.
     4. The texts of these clusters are read again, and tiles of each cluster intersect the sorted
        shingle arrays exactly, unless two sets are already joined. The forests' components are the
        result.
@@ -398,10 +408,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     buckets = max(1, math.ceil(total * (100 - percent) / 100 / BUCKET_KEYS))
     blobs = prefix_blobs(docs, frequent, buckets, n, percent)
     lists = stored(blobs.groupBy("bucket").applyInPandas(_shared_lists, "members binary").distinct())
-    members = _unnested(lists).join(known.select("sig", "size", "bits"), "sig")
-    members = stored(tiled(stored(members), percent))
-    held = members.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
-    possible = _forests(members, 1 + held // GROUP_BYTES, percent, "bits", exact=False)
+    possible = _candidate_forest(stored(_unnested(lists)), known, percent)
     clusters = components(possible).select(
         F.col("node").alias("sig"), F.col("component").alias("list")
     )
@@ -411,7 +418,8 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         wanted.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi"
     )
     arrays = _set_arrays(texts_of, n)
-    members = tiled(clusters.select("list", "sig", "size"), percent).join(arrays, "sig")
+    members = clusters.select("list", "sig", "size", F.col("sig").alias("joined"))
+    members = tiled(members, percent).join(arrays, "sig")
     held = clusters.agg(F.sum(8 * F.col("size") + 64)).first()[0] or 0
     links = _forests(members, 1 + held // GROUP_BYTES, percent, "members", exact=True)
     linked = stored(components(links))
@@ -425,20 +433,55 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
 
 
 def _unnested(lists: DataFrame) -> DataFrame:
-    """(list, sig) of lists of names."""
+    """(list, sig, rows) of lists of names: one row a member, with the length of its list."""
 
     @workers.lean
     def unnest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
             if held:
-                names = np.repeat(batch.column(0).to_numpy(), [len(x) for x in held])
+                rows = [len(x) for x in held]
+                names = np.repeat(batch.column(0).to_numpy(), rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(np.concatenate(held))], names=["list", "sig"]
+                    [
+                        pa.array(names),
+                        pa.array(np.concatenate(held)),
+                        pa.array(np.repeat(np.array(rows, dtype=np.int64), rows)),
+                    ],
+                    names=["list", "sig", "rows"],
                 )
 
     named = lists.select(F.xxhash64("members").alias("list"), "members")
-    return named.mapInArrow(unnest, "list long, sig long")
+    return named.mapInArrow(unnest, "list long, sig long, rows long")
+
+
+def _candidate_forest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that join all sets whose bitmaps allow a link within a list.
+
+    Near copies share many lists that differ a little. So one in SEED_LISTS of the long lists is
+    compared first, and lists whose members that has joined already are left out of the rest.
+    """
+    described_sets = known.select("sig", "size", "bits")
+
+    def compared(members: DataFrame) -> DataFrame:
+        rows = stored(members.join(described_sets, "sig"))
+        rows = stored(tiled(rows, percent))
+        held = rows.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
+        return stored(_forests(rows, 1 + held // GROUP_BYTES, percent, "bits", exact=False))
+
+    seeds = lists.filter((F.col("rows") >= LONG_LIST) & (F.col("list") % SEED_LISTS == 0))
+    alone = lists.select("list", "sig", F.col("sig").alias("joined"))
+    if seeds.isEmpty():
+        return compared(alone)
+    first = compared(seeds.select("list", "sig", F.col("sig").alias("joined")))
+    joined = stored(components(first))
+    labelled = lists.join(joined, lists["sig"] == joined["node"], "left")
+    labelled = stored(
+        labelled.select("list", "sig", F.coalesce("component", "sig").alias("joined"))
+    )
+    apart = labelled.groupBy("list").agg(F.min("joined").alias("low"), F.max("joined").alias("high"))
+    apart = stored(apart.filter("low <> high").select("list"))
+    return first.unionByName(compared(labelled.join(apart, "list", "left_semi")))
 
 
 def one_per_group(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
