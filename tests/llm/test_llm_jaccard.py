@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import components, jaccard_join
+from tidemark.llm import components, jaccard_join, texts
 
 
 def shingles(text):
@@ -83,17 +84,26 @@ def test_one_row_of_each_group_stays(spark):
     ]
 
 
-@pytest.mark.parametrize("frequent", [0, 60])
-def test_prefixes_of_linked_sets_meet(frequent):
-    rng = np.random.default_rng(3)
-    often = np.sort(rng.integers(0, 200, frequent).astype(np.uint64))
-    for _ in range(500):
-        a = np.unique(rng.integers(0, 200, rng.integers(1, 60)).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 200, 3).astype(np.uint64)]))
-        common, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-        if 100 * common >= 75 * union:
-            heads = [jaccard_join.prefix(x, often, 75) for x in (a, b)]
-            assert len(np.intersect1d(*heads))
+@pytest.mark.parametrize("hints", [0, 30])
+def test_prefixes_of_linked_sets_meet(hints):
+    rng, linked = random.Random(hints), 0
+    words = [f"w{i}" for i in range(40)]
+    for _ in range(150):
+        base = [rng.choice(words) for _ in range(rng.randint(1, 90))]
+        other = [w if rng.random() < 0.97 else "new" for w in base] + ["more"] * rng.randint(0, 3)
+        content, offsets = texts.flat(pa.array([" ".join(base), "", " ".join(other)]))
+        held = jaccard_join.Sets(content, offsets, 5)
+        a, _, b = held.sets
+        order = jaccard_join.Order(
+            np.sort(np.array(rng.sample(list(held.grams), min(hints, len(held.grams))), np.uint64)),
+            np.sort(np.array(rng.sample(list(held.words), min(hints, len(held.words))), np.uint64)),
+        )
+        heads = held.prefixes(order, 75)
+        assert len(heads[1]) == 0
+        if 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)):
+            linked += 1
+            assert len(np.intersect1d(heads[0], heads[2]))
+    assert linked > 30
 
 
 def test_bitmaps_bound_overlaps_from_above():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,31 +21,70 @@ BUCKET_KEYS = 1 << 19  # shingles sorted by one task at a time
 TILE_ROWS = 1024  # of one size band; a tile holds two such parts at most
 GROUP_BYTES = 16 << 20
 LONG_LIST, SEED_LISTS = 64, 8  # of the lists so long, one in so many is compared first
-FREQUENT_IN_PART, FREQUENT, FREQUENT_MOST = 4, 32, 1 << 18
+FREQUENT_IN_PART, FREQUENT, FREQUENT_MOST, COMMON_WORDS = 4, 32, 1 << 18, 1 << 10
 
 # A to Z in lower case, other bytes as they are.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
+
+
+class Order(NamedTuple):
+    """What is put last among the members of a set: frequent shingles, and those of common words.
+
+    Any order gives the same links; this one keeps apart sets that share common phrases only.
+    """
+
+    shingles: np.ndarray
+    words: np.ndarray
+
+
 class Sets:
     """Sorted distinct shingle hashes of a part of the texts."""
 
     def __init__(self, content: np.ndarray, offsets: np.ndarray, n: int):
-        hashes, _, _, first = texts.words(_LOWER[content], offsets)
-        grams = texts.ngrams(hashes, n)
-        self.sets: list[np.ndarray] = []
-        for a, b in zip(first[:-1], first[1:], strict=True):
-            if b - a >= n:
-                own = np.sort(grams[a : b - n + 1])
-                keep = np.ones(len(own), dtype=bool)
-                np.not_equal(own[1:], own[:-1], out=keep[1:])
-                self.sets.append(own[keep])
-            elif b > a:  # fewer words than a shingle: the whole sequence, told apart by length
-                short = texts.ngrams(hashes[a:b], int(b - a)) ^ np.uint64(b - a)
-                self.sets.append(texts.mixed(short))
-            else:
-                self.sets.append(hashes[:0])
+        self.n = n
+        self.words, _, _, self.first = texts.words(_LOWER[content], offsets)
+        self.grams = texts.ngrams(self.words, n)
+        self.sets = [self._distinct(self.grams, a, b) for a, b in self._texts()]
+
+    def _texts(self) -> Iterator[tuple[int, int]]:
+        return zip(self.first[:-1], self.first[1:], strict=True)
+
+    def _distinct(self, grams: np.ndarray, a: int, b: int) -> np.ndarray:
+        if b - a >= self.n:
+            own = np.sort(grams[a : b - self.n + 1])
+            keep = np.ones(len(own), dtype=bool)
+            np.not_equal(own[1:], own[:-1], out=keep[1:])
+            return own[keep]
+        if b > a:  # fewer words than a shingle: the whole sequence, told apart by length
+            return texts.mixed(texts.ngrams(self.words[a:b], int(b - a)) ^ np.uint64(b - a))
+        return self.words[:0]
+
+    def prefixes(self, order: Order, percent: int) -> list[np.ndarray]:
+        """The first size - ceil(size * percent / 100) + 1 members of each set, as sortable keys.
+
+        A key puts frequent shingles last, and others the later the more common words they hold;
+        its lower bits are the hash. As it depends on the shingle alone, two sets at or above the
+        threshold, which share that many members, share one within their prefixes.
+        """
+        common = np.concatenate([[0], np.cumsum(_among(self.words, order.words))])
+        held = np.minimum(common[self.n :] - common[: -self.n], 7)[: len(self.grams)]
+        last = _among(self.grams, order.shingles).astype(np.uint64) << np.uint64(63)
+        keys = last | (held.astype(np.uint64) << np.uint64(60)) | (self.grams >> np.uint64(4))
+        found = []
+        for own, (a, b) in zip(self.sets, self._texts(), strict=True):
+            length = len(own) - (len(own) * percent + 99) // 100 + 1
+            found.append(self._distinct(keys, a, b)[: length if len(own) else 0])
+        return found
 
 
 def set_hash(own: np.ndarray) -> int:
@@ -71,104 +111,99 @@ def _bands(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(sizes) / (math.log(100 / percent) + 1e-9)).astype(np.int32)
 
 
-def _by_part(column: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _by_part(column: pa.Array, n: int) -> Iterator[Sets]:
     content, offsets = texts.flat(column)
     for first, last in texts.parts(offsets):
         base = offsets[first]
         part = content[base : offsets[last]]
-        yield first, Sets(part, offsets[first : last + 1] - base, n).sets
+        yield Sets(part, offsets[first : last + 1] - base, n)
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """One row a document (doc_id, sig, size, bits); besides, (shingle, seen) of frequent shingles.
+    """One row a document (doc_id, sig, size, bits); besides, (kind, hash, seen) of frequent shingles
+    and words.
 
-    A shingle is reported by a part of the texts where several different sets hold it.
+    A part of the texts reports the shingles that several of its different sets hold, and the words
+    that are a thousandth of its words.
     """
 
     @workers.lean
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, sizes, bits, often = [], [], [], []
-            for _, sets in _by_part(batch.column(1), n):
+            sigs, sizes, bits = [], [], []
+            kinds, hashes, counts = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for part in _by_part(batch.column(1), n):
                 different = {}
-                for own in sets:
+                for own in part.sets:
                     sizes.append(len(own))
                     sigs.append(set_hash(own) if len(own) else None)
                     bits.append(bitmap(own).tobytes() if len(own) else None)
                     different[sigs[-1]] = own
-                seen, times = np.unique(np.concatenate(list(different.values())), return_counts=True)
-                many = times >= FREQUENT_IN_PART
-                often.append((seen[many].view(np.int64), times[many]))
-            shingles = np.concatenate([s for s, _ in often]) if often else np.empty(0, np.int64)
-            counts = np.concatenate([c for _, c in often]) if often else np.empty(0, np.int64)
-            none, blank = len(shingles), len(sizes)
+                for kind, values, least in (
+                    ("shingle", np.concatenate(list(different.values())), FREQUENT_IN_PART),
+                    ("word", part.words, max(len(part.words) // 1000, FREQUENT_IN_PART)),
+                ):
+                    seen, times = np.unique(values, return_counts=True)
+                    many = times >= least
+                    kinds += [kind] * int(many.sum())
+                    hashes.append(seen[many].view(np.int64))
+                    counts.append(times[many])
+            none, blank = len(kinds), len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column(0), pa.nulls(none, batch.column(0).type)]),
                     pa.array(sigs + [None] * none, pa.int64()),
                     pa.array(sizes + [None] * none, pa.int64()),
                     pa.array(bits + [None] * none, pa.binary()),
-                    pa.concat_arrays([pa.nulls(blank, pa.int64()), pa.array(shingles)]),
-                    pa.concat_arrays([pa.nulls(blank, pa.int64()), pa.array(counts)]),
+                    pa.array([None] * blank + kinds, pa.string()),
+                    pa.concat_arrays([pa.nulls(blank, pa.int64()), pa.array(np.concatenate(hashes))]),
+                    pa.concat_arrays([pa.nulls(blank, pa.int64()), pa.array(np.concatenate(counts))]),
                 ],
-                names=["doc_id", "sig", "size", "bits", "shingle", "seen"],
+                names=["doc_id", "sig", "size", "bits", "kind", "hash", "seen"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        describe, f"doc_id {kind}, sig long, size long, bits binary, shingle long, seen long"
+        describe,
+        f"doc_id {kind}, sig long, size long, bits binary, kind string, hash long, seen long",
     )
 
 
-def frequent_shingles(described_rows: DataFrame) -> np.ndarray:
-    """At most FREQUENT_MOST of the most frequent shingles, sorted.
+def frequency_order(described_rows: DataFrame) -> Order:
+    """At most FREQUENT_MOST of the most frequent shingles and COMMON_WORDS of the commonest words."""
 
-    They only order the prefixes: any order gives the same links, this one keeps lists short.
-    """
-    found = described_rows.filter("shingle is not null").groupBy("shingle")
-    found = found.agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT)
-    most = found.orderBy(F.col("seen").desc(), "shingle").limit(FREQUENT_MOST)
-    return np.sort(np.array([r.shingle for r in most.collect()], dtype=np.int64).view(np.uint64))
+    def most(kind: str, count: int) -> np.ndarray:
+        found = described_rows.filter(F.col("kind") == kind).groupBy("hash")
+        found = found.agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT)
+        rows = found.orderBy(F.col("seen").desc(), "hash").limit(count).collect()
+        return np.sort(np.array([r["hash"] for r in rows], dtype=np.int64).view(np.uint64))
 
+    return Order(most("shingle", FREQUENT_MOST), most("word", COMMON_WORDS))
 
-def prefix(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The first size - ceil(size * percent / 100) + 1 members, frequent ones ordered last.
 
-    Two sets at or above the threshold share so many members that their prefixes share one.
-    """
-    length = len(own) - (len(own) * percent + 99) // 100 + 1
-    if not len(frequent):
-        return own[:length]
-    at = np.searchsorted(frequent, own)
-    at[at == len(frequent)] = 0
-    rare = frequent[at] != own
-    ordered = own[rare][:length]
-    if len(ordered) < length:
-        ordered = np.concatenate([ordered, own[~rare][: length - len(ordered)]])
-    return ordered
-
-
-def prefix_blobs(
-    docs: DataFrame, frequent: np.ndarray, buckets: int, n: int, percent: int
-) -> DataFrame:
-    """(bucket, blob): the prefix shingles of every set, its name and its size band, by bucket."""
+def prefix_blobs(docs: DataFrame, order: Order, buckets: int, n: int, percent: int) -> DataFrame:
+    """(bucket, blob): the prefix keys of every set, its name and its size band, by bucket."""
 
     @workers.lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sets in _by_part(batch.column(0), n):
-                different = {set_hash(own): own for own in sets if len(own)}
+            for part in _by_part(batch.column(0), n):
+                heads = part.prefixes(order, percent)
+                different = {
+                    set_hash(own): (head, len(own))
+                    for own, head in zip(part.sets, heads, strict=True)
+                    if len(own)
+                }
                 if not different:
                     continue
-                heads = [prefix(own, frequent, percent) for own in different.values()]
+                heads, sizes = zip(*different.values(), strict=True)
                 lengths = [len(h) for h in heads]
-                sizes = np.array([len(own) for own in different.values()])
                 keys = np.concatenate(heads)
                 names = np.repeat(np.array(list(different), dtype=np.int64), lengths)
-                bands = np.repeat(_bands(sizes, percent), lengths)
-                bucket = (keys % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, keys, names, bands = (x[order] for x in (bucket, keys, names, bands))
+                bands = np.repeat(_bands(np.array(sizes), percent), lengths)
+                bucket = (texts.mixed(keys) % np.uint64(buckets)).astype(np.int64)
+                by_bucket = np.argsort(bucket, kind="stable")
+                bucket, keys, names, bands = (x[by_bucket] for x in (bucket, keys, names, bands))
                 start, end = texts.groups(bucket)
                 blobs = [
                     keys[a:b].tobytes() + names[a:b].tobytes() + bands[a:b].astype(np.uint8).tobytes()
@@ -355,8 +390,8 @@ def _set_arrays(docs: DataFrame, n: int) -> DataFrame:
     @workers.lean
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sets in _by_part(batch.column(0), n):
-                held = [own for own in sets if len(own)]
+            for part in _by_part(batch.column(0), n):
+                held = [own for own in part.sets if len(own)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_hash(own) for own in held], pa.int64()),
@@ -376,8 +411,8 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     100 * intersection >= percent * union; component_id is the smallest doc_id reachable by links.
 
     1. One scan gives each set's name (a 64-bit hash; equal sets are one from here on), size and
-       bitmap, and the shingles that are frequent somewhere.
-    2. A second scan deals the prefix of each set, frequent shingles last, to buckets as arrays.
+       bitmap, and the shingles and words that are frequent somewhere.
+    2. A second scan deals the prefix of each set, common phrases last, to buckets as arrays.
        Sets that share a prefix shingle and lie in near size bands form a list; each different list
        is kept once.
     3. Tiles of a list compare bitmaps: the bits that differ bound the overlap from above. Only a
@@ -397,7 +432,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     """
     workers.ready(docs.sparkSession)
     rows = stored(described(docs, n))
-    frequent = frequent_shingles(rows)
+    order = frequency_order(rows)
     each = rows.filter("size is not null").select("doc_id", "sig", "size", "bits")
     known = stored(
         each.filter("sig is not null")
@@ -406,7 +441,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     )
     total = known.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, math.ceil(total * (100 - percent) / 100 / BUCKET_KEYS))
-    blobs = prefix_blobs(docs, frequent, buckets, n, percent)
+    blobs = prefix_blobs(docs, order, buckets, n, percent)
     lists = stored(blobs.groupBy("bucket").applyInPandas(_shared_lists, "members binary").distinct())
     possible = _candidate_forest(stored(_unnested(lists)), known, percent)
     clusters = components(possible).select(
