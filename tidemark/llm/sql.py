@@ -24,15 +24,23 @@ WITH sized AS (
 ), targets AS (
   SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM levels
 ), rated AS (
-  SELECT doc_id, size, source_size, target,
-         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         CAST('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12) AS BIGINT)
-           / 281474976710656.0::DOUBLE AS unit
+  SELECT doc_id, targets.source, size, source_size, target,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), drawn AS (
+  SELECT *, CAST('0x' || substr(md5('7:' || draw || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 12)
+                 AS BIGINT) / 281474976710656.0::DOUBLE < rate % 1 AS extra
+  FROM rated, range(32) r(draw)
+), sums AS (
+  SELECT source, draw, abs(floor(any_value(rate)) * any_value(source_size)
+                           + coalesce(sum(size) FILTER (extra), 0) - any_value(target)) AS miss
+  FROM drawn GROUP BY source, draw
+), best AS (
+  SELECT source, min({'miss': miss, 'draw': draw}).draw AS draw FROM sums GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       CAST(size * (floor(rate) + CASE WHEN unit < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rated
+       CAST(size * (floor(rate) + extra::INT) AS BIGINT) AS taken
+FROM drawn JOIN best ON drawn.source IS NOT DISTINCT FROM best.source AND drawn.draw = best.draw
 """
 
 TOP_K = """
