@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from tidemark import schemas
 from tidemark.operators.payloads import children_of, document_by_uuid, form_headers
 from tidemark.sources import files, pages, tables
-from tidemark.store import FilingStore
+from tidemark.store import FilingStore, ItemDictionary, KeyMapper, SeriesCatalog
 
 ROW = schemas.struct(uuid=schemas.STRING, cik=schemas.LONG)
 URL = "http://host.example/headers?form_type=3"
@@ -221,8 +221,9 @@ def test_uuid_look_up_skips_row_groups(spark, tmp_path):
 def test_window_prunes_the_lines_of_a_security(spark):
     from tidemark.plans import lake
 
-    held = lake.holdings_lake(spark, "/root/testdata/sf0.001")
-    lines = FilingStore(holdings=held).get_form13_payload(cusip=["3"], ordered=False, **lake.WINDOW)
+    store = FilingStore.open(spark, lake.holdings_lake(spark, "/root/testdata/sf0.001"))
+    assert store.headers is None and store.insider is None
+    lines = store.get_form13_payload(cusip=["3"], ordered=False, **lake.WINDOW)
     plan = lines["information_table"]._jdf.queryExecution().executedPlan().toString()
     scans = [s.split("PushedFilters")[0] for s in plan.split("PartitionFilters: ")[1:]]
     assert len(scans) >= 2 and all("filing_month" in s for s in scans)
@@ -233,3 +234,22 @@ def test_child_rows_get_the_day_of_their_filing(frame):
     child = frame([("u1", 1), ("u1", 2), ("u3", 3)], "uuid string, n int")
     got = sorted(tuple(r) for r in tables.with_filing_day(child, parent).collect())
     assert got == [("u1", 1, dt.date(2020, 1, 2)), ("u1", 2, dt.date(2020, 1, 2))]
+
+
+def test_stored_lookup_tables_open_in_their_schemas(spark, frame, tmp_path):
+    folder = str(tmp_path)
+    samples = {
+        "id_map": ([("1", dt.datetime(2000, 1, 1), dt.datetime(2100, 12, 31), "7")], schemas.ID_MAP),
+        "items": ([("AT", "Total assets")], schemas.ITEMS),
+        "catalog": ([("gdp", "c", "p1", "b", "x", "M", "usd", "1999")], schemas.CATALOG),
+        "series": ([("p1", "1999-01", "2.5", 2.5)], schemas.SERIES_VALUES),
+    }
+    for name, (rows, schema) in samples.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    assert KeyMapper.open(spark, folder).id_map.count() == 1
+    assert ItemDictionary.open(spark, folder).get_mapping().first()["item"] == "AT"
+    found = SeriesCatalog.open(spark, folder)
+    assert found.search_count(text="GDP").first()[0] == 1
+    assert found.get_payload("p1").first()["period"] == dt.date(1999, 1, 31)
+    store = FilingStore.open(spark, folder)
+    assert store.id_map.schema == schemas.ID_MAP and store.headers is None

@@ -102,8 +102,8 @@ def headers_lake(spark, folder) -> str:
 )
 def stored_headers(spark, folder):
     """Headers of two forms in a window, from pages over conforming to the stored table."""
-    headers = read_filings(spark, f"{headers_lake(spark, folder)}/headers", schemas.HEADERS)
-    found = FilingStore(headers=headers).get_form_headers(form_type=["3", "4"], ordered=False, **WINDOW)
+    store = FilingStore.open(spark, headers_lake(spark, folder))
+    found = store.get_form_headers(form_type=["3", "4"], ordered=False, **WINDOW)
     accepted = F.col("acceptance_datetime").cast("timestamp_ntz").alias("accepted")
     return found.select("uuid", "cik", "filing_date", "form_type", "company", accepted)
 
@@ -145,29 +145,19 @@ def store_holdings(spark, folder, path) -> None:
         F.concat(F.lit("("), "line", F.lit(",)")).alias("other_manager"),
     )
     dated = with_filing_day(lines, reports)
-    stored = (
-        ("metadata", reports, schemas.FILING_METADATA),
-        ("header_data", reports, schemas.HOLDING_HEADER),
-        ("information_table", dated, schemas.INFORMATION_TABLE),
-    )
-    for name, rows, schema in stored:
+    for name, schema in schemas.HOLDINGS.items():
+        rows = dated if name == "information_table" else reports
         kept = [f.name for f in schema if f.name in rows.columns]
         landing = shared_folder(spark, f"{name}-pages")
         land(rows.select(*kept), landing, name)
         landed = pages.read_tables(spark, landing, {name: as_text(schema)})[name]
-        store_vintages([landed], schema, f"{path}/{name}", "form13")
+        store_vintages([landed], schema, f"{path}/holdings/{name}", "form13")
 
 
-def holdings_lake(spark, folder) -> dict[str, DataFrame]:
-    path = written_once(
+def holdings_lake(spark, folder) -> str:
+    return written_once(
         spark, "holdings-lake", folder, lambda path: store_holdings(spark, folder, path)
     )
-    declared = {
-        "metadata": schemas.FILING_METADATA,
-        "header_data": schemas.HOLDING_HEADER,
-        "information_table": schemas.INFORMATION_TABLE,
-    }
-    return {n: read_filings(spark, f"{path}/{n}", declared[n]) for n in schemas.HOLDING_TABLES}
 
 
 @query(
@@ -180,7 +170,7 @@ def holdings_lake(spark, folder) -> dict[str, DataFrame]:
 )
 def stored_holdings(spark, folder):
     """Holdings of given securities in a window, read from the stored tables."""
-    store = FilingStore(holdings=holdings_lake(spark, folder))
+    store = FilingStore.open(spark, holdings_lake(spark, folder))
     wanted = [str(n) for n in (3, 5, 8, 13, 21, 34, 55, 89)]
     lines = store.get_form13_payload(cusip=wanted, ordered=False, **WINDOW)["information_table"]
     manager = F.element_at("other_manager", 1).alias("manager")

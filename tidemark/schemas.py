@@ -34,7 +34,6 @@ INSIDER_TABLES = [
     "non_derivative_table",
     "reporting_owner_info",
 ]
-HOLDING_TABLES = ["metadata", "header_data", "information_table"]
 
 
 STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
@@ -109,6 +108,15 @@ INFORMATION_TABLE = struct(
     voting_authority_shared=LONG,
     voting_authority_sole=LONG,
 )
+INSIDER = {
+    name: {"metadata": FILING_METADATA, "footnotes": FOOTNOTES}.get(name, INSIDER_CHILD)
+    for name in INSIDER_TABLES
+}
+HOLDINGS = {
+    "metadata": FILING_METADATA,
+    "header_data": HOLDING_HEADER,
+    "information_table": INFORMATION_TABLE,
+}
 DOCUMENTS = struct(
     uuid=STRING,
     cik=LONG,

@@ -20,6 +20,11 @@ def read_table(
     return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def filing_day(df: DataFrame, column: str = "filing_date") -> Column:
     """Day of a filing in the filing zone, whatever the zone of the session."""
     if not isinstance(df.schema[column].dataType, T.TimestampType):

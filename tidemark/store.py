@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import keywords as words
 from tidemark.operators import asof, catalog, ids, payloads
+from tidemark.sources.tables import exists, read_filings, read_table
 
 
 class FilingStore:
@@ -32,6 +34,28 @@ class FilingStore:
         self.id_map = id_map
         self.filers = filers
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> FilingStore:
+        """The tables stored below a folder, in their declared schemas; the absent ones are None."""
+
+        def stored(name: str, schema: T.StructType) -> DataFrame | None:
+            path = f"{folder}/{name}"
+            return read_filings(spark, path, schema) if exists(spark, path) else None
+
+        def several(group: str, declared: dict[str, T.StructType]) -> dict[str, DataFrame] | None:
+            found = {name: stored(f"{group}/{name}", schema) for name, schema in declared.items()}
+            return None if any(df is None for df in found.values()) else found
+
+        mapped = exists(spark, f"{folder}/id_map.parquet")
+        return cls(
+            headers=stored("headers", schemas.HEADERS),
+            items=stored("items", schemas.FORM8_ITEMS),
+            documents=stored("documents", schemas.DOCUMENTS),
+            insider=several("insider", schemas.INSIDER),
+            holdings=several("holdings", schemas.HOLDINGS),
+            id_map=read_table(spark, folder, "id_map", schemas.ID_MAP) if mapped else None,
+        )
+
     @property
     def form_types(self) -> list[str]:
         return list(schemas.FORM_TYPES)
@@ -136,6 +160,10 @@ class KeyMapper:
     def __init__(self, id_map: DataFrame):
         self.id_map = id_map
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> KeyMapper:
+        return cls(read_table(spark, folder, "id_map", schemas.ID_MAP))
+
     def get_gvk_from_cik(self, cik, as_of_date: str | None = None) -> DataFrame:
         return asof.gvk_from_cik(self.id_map, cik, as_of_date)
 
@@ -149,6 +177,10 @@ class ItemDictionary:
     def __init__(self, items: DataFrame):
         self.items = items
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> ItemDictionary:
+        return cls(read_table(spark, folder, "items", schemas.ITEMS))
+
     def get_mapping(self) -> DataFrame:
         return self.items
 
@@ -167,6 +199,13 @@ class SeriesCatalog:
         self.page_size = page_size
         self._pages: Iterator[DataFrame] | None = None
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> SeriesCatalog:
+        return cls(
+            read_table(spark, folder, "catalog", schemas.CATALOG),
+            read_table(spark, folder, "series", schemas.SERIES_VALUES),
+        )
+
     @property
     def list_of_metadata(self) -> list[str]:
         return catalog.list_of_metadata()

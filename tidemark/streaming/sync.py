@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.sources.pages import parsed_bodies
+from tidemark.sources.tables import exists
 
 FEED, BATCH, BUCKET = "sync_feed", "sync_batch", "sync_bucket"
 BUCKETS = 16
@@ -76,13 +77,8 @@ def _layout(row: T.StructType) -> T.StructType:
     return T.StructType([*row.fields, *parts])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def _stored(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
-    if not _exists(spark, target):
+    if not exists(spark, target):
         return spark.createDataFrame([], _layout(row))
     return spark.read.schema(_layout(row)).parquet(target)
 
