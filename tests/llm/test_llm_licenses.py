@@ -96,3 +96,25 @@ def test_every_sentence_holds_a_marker_and_names_are_known():
 @pytest.mark.parametrize("name", sorted(licenses.SENTENCES))
 def test_identifiers_fit_the_rule_pattern(name):
     assert re.fullmatch("[a-z0-9_]+", name)
+
+
+def test_every_form_of_every_sentence_is_found_alone(spark):
+    forms = [(name, form) for name, forms in licenses.SENTENCES.items() for form in forms]
+    docs = spark.createDataFrame(forms, "doc_id string, text string")
+    found = [(r.doc.doc_id, r.doc.text, r.sentences) for r in licenses.scan(docs).collect()]
+    assert sorted(found) == sorted((name, form, [name]) for name, form in forms)
+
+
+def test_spdx_lines(spark):
+    tag = "SPDX-License-Identifier:"
+    texts = {
+        f"// {tag} MIT\npragma solidity;": ["MIT"],
+        f"/* Copyright X. {tag}\tBSD-2-Clause */\nint main": ["BSD-2-Clause"],
+        f"<!-- head\n  spdx-license-identifier : BSD-3-Clause -->\nprose": ["BSD-3-Clause"],
+        f"dnl {tag} GPL-2.0-only\n# {tag} Apache-2.0\n": ["Apache-2.0", "GPL-2.0"],
+        f"{tag}\nISC": ["ISC"],
+        f"{tag}\n\nISC": [],
+        f"{tag} MITRE": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r.doc.text: r.licences for r in licenses.scan(docs).collect()} == texts

@@ -12,6 +12,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CUT = "\x01"
 # A sentence ends at a mark before white space, or at a blank line.
 BOUNDARY = r"([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09\x0B-\x0D]*\n"
+# The colon of this tag ends no sentence, and whatever stands before the tag is another sentence.
+SPDX_TAG = r"(?i)(SPDX-License-Identifier)[\x20\x09]*:"
 # A sentence after a heading is looked for among the last lines of a passage, at most so many.
 WRAPPED_LINES = 24
 
@@ -277,7 +279,8 @@ def _in_lines(sentence: Column) -> Column:
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in its order."""
-    sentences = F.split(F.regexp_replace(text, BOUNDARY, "$1" + CUT), CUT)
+    tagged = F.regexp_replace(text, SPDX_TAG, CUT + "$1 ")
+    sentences = F.split(F.regexp_replace(tagged, BOUNDARY, "$1" + CUT), CUT)
     found = F.flatten(
         F.transform(
             sentences,
