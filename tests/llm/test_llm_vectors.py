@@ -125,3 +125,23 @@ def test_equal_vectors_rank_by_id(spark):
     given = spark.createDataFrame(rows, "vec_id long, vector array<double>")
     found = table(ann.nearest(given.filter("vec_id = 20"), given, k=5, shard_rows=40))
     assert [f[2] for f in found] == [2, 5, 8, 11, 14]
+
+
+@pytest.mark.parametrize(("count", "longer"), [(3000, 10.0), (15, 1.0), (21, 1.0)])
+def test_nearest_beside_a_long_vector_and_among_few(spark, count, longer):
+    rng = np.random.default_rng(4)
+    held = rng.normal(size=(count, 64))
+    held /= np.linalg.norm(held, axis=1)[:, None]
+    held[7] *= longer
+    rows = spark.createDataFrame(list(enumerate(held.tolist())), "vec_id long, vector array<double>")
+    every = 20 if count > 100 else 1
+    found: dict = {}
+    for r in ann.nearest(rows.filter(f"vec_id % {every} = 0"), rows, k=20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    asked, wanted, hits = range(0, count, every), min(20, count - 1), 0
+    for q in asked:
+        score = held @ held[q]
+        score[q] = -np.inf
+        assert len(found[q]) == wanted
+        hits += len(found[q] & set(np.argsort(-score)[:wanted].tolist()))
+    assert hits >= (0.95 if count > 100 else 1) * wanted * len(asked)

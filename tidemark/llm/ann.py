@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,19 +14,22 @@ from tidemark.llm import vectors
 
 MOST_FUNCTIONS = 10  # a query weighs 3 ** functions buckets
 PENDING = 1 << 21
+RANGE = 1.25  # the norms of rows that are hashed together differ by this factor at most
+FEW = 256  # rows that are scored exactly, as they are too few to hash
 SLACK = 1e-9
 
 
 class Hashes:
-    """Tables of p-stable functions floor((a x + b) / width) over vectors of norm `norm`.
+    """Tables of p-stable functions floor((a x + b) / width) over vectors of norm 1.
 
-    Vectors are lifted to that norm by one more component, so that the nearest lifted vectors are
-    those of largest inner product; queries are scaled to it, which leaves their order as it is.
+    Rows are divided by the largest norm of those hashed together and lifted to norm 1 by one more
+    component, so that the nearest lifted rows are those of largest inner product; queries are
+    scaled to norm 1, which leaves their order as it is.
     """
 
-    def __init__(self, dims: int, norm: float, tables: int, functions: int, width: float, seed: int):
+    def __init__(self, dims: int, tables: int, functions: int, width: float, seed: int):
         random = np.random.default_rng(seed)
-        self.norm, self.width = norm, width * norm
+        self.width = width
         self.axes = random.normal(size=(tables, dims + 1, functions))
         self.shift = random.uniform(0, self.width, size=(tables, 1, functions))
         self.odd = random.integers(1, 2**62, size=(tables, functions), dtype=np.int64) * 2 + 1
@@ -33,12 +37,10 @@ class Hashes:
         self.offsets = [steps @ odd for odd in self.odd]  # key differences, modulo 2 ** 64
         self.functions = functions
 
-    def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
-        length = (x * x).sum(axis=1)
-        if query:
-            x, more = x * (self.norm / np.sqrt(length))[:, None], np.zeros(len(x))
-        else:
-            more = np.sqrt(np.maximum(self.norm**2 - length, 0))
+    def lift(self, x: np.ndarray, norm: np.ndarray | float) -> np.ndarray:
+        """`x` divided by `norm`, one number or one a row, and lifted."""
+        x = x / norm
+        more = np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))
         return np.concatenate([x, more[:, None]], axis=1)
 
     def place(self, lifted: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,46 +85,92 @@ def _compact(parts: list[tuple], k: int, queries: int) -> tuple[tuple, np.ndarra
     return (q[keep], r[keep], s[keep]), least
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    most = np.abs(x).max(axis=1)
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(axis=1))
+
+
+def _ranges(norms: np.ndarray) -> Iterator[tuple[int, int, bool]]:
+    """(begin, end, few) of the rows taken together, of norms in falling order."""
+    begin = 0
+    while begin < len(norms):
+        end = int(np.searchsorted(-norms, -norms[begin] / RANGE, side="right"))
+        few = end - begin <= FEW
+        if few:
+            end = min(begin + FEW, len(norms))
+        yield begin, end, few
+        begin = end
+
+
 def _nearest_in_shard(k: int, probes: int, hashes: Hashes) -> vectors.Search:
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
         both = vectors.dense(pd.concat([queries.vector, rows.vector]))
         both = np.pad(both, ((0, 0), (0, hashes.axes.shape[1] - 1 - both.shape[1])))
         asked, held = both[: len(queries)], both[len(queries) :]
-        lifted_queries, lifted_rows = hashes.lift(asked, True), hashes.lift(held, False)
+        lengths, norms = _norms(asked), _norms(held)
+        lifted_queries = hashes.lift(asked, lengths[:, None])
         own = pd.Index(rows.vec_id).get_indexer(queries.vec_id)
         least = np.full(len(asked), -np.inf)
-        found: list[tuple] = []
+        none = np.array([], dtype=np.int64)
+        found: list[tuple] = [(none, none, np.array([]))]
         pending = 0
-        for table in range(len(hashes.axes)):
-            keys, _ = hashes.place(lifted_rows, table)
-            members = np.argsort(keys, kind="stable")
-            buckets, begin = np.unique(keys[members], return_index=True)
-            end = np.append(begin[1:], len(members))
-            visited = hashes.probes(lifted_queries, table, probes)
-            bucket = np.searchsorted(buckets, visited.ravel())
-            bucket[bucket == len(buckets)] = 0
-            hit = np.flatnonzero(buckets[bucket] == visited.ravel())
-            visitor, bucket = hit // visited.shape[1], bucket[hit]
-            order = np.argsort(bucket, kind="stable")
-            visitor, bucket = visitor[order], bucket[order]
-            for group in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
-                if not len(group):
-                    continue
-                b, asking = bucket[group[0]], visitor[group]
-                inside = members[begin[b] : end[b]]
-                score = asked[asking] @ held[inside].T
-                i, j = np.nonzero(
-                    (score >= least[asking][:, None]) & (own[asking][:, None] != inside[None, :])
-                )
-                found.append((asking[i], inside[j], score[i, j]))
-                pending += len(i)
-                if pending > PENDING:
-                    kept, least = _compact(found, k, len(asked))
-                    found, pending = [kept], 0
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        (q, r, _), _ = _compact(found, k, len(asked))
+
+        def compact() -> None:
+            nonlocal found, least, pending
+            kept, least = _compact(found, k, len(asked))
+            found, pending = [kept], 0
+
+        def score(asking: np.ndarray, inside: np.ndarray) -> None:
+            nonlocal pending
+            score = asked[asking] @ held[inside].T
+            i, j = np.nonzero(
+                (score >= least[asking][:, None]) & (own[asking][:, None] != inside[None, :])
+            )
+            found.append((asking[i], inside[j], score[i, j]))
+            pending += len(i)
+            if pending > PENDING:
+                compact()
+
+        def score_all(asking: np.ndarray, inside: np.ndarray) -> None:
+            for at in range(0, len(inside), FEW):
+                score(asking, inside[at : at + FEW])
+
+        def score_hashed(asking: np.ndarray, together: np.ndarray) -> None:
+            lifted_rows = hashes.lift(held[together], norms[together].max())
+            for table in range(len(hashes.axes)):
+                keys, _ = hashes.place(lifted_rows, table)
+                members = np.argsort(keys, kind="stable")
+                buckets, begin = np.unique(keys[members], return_index=True)
+                end = np.append(begin[1:], len(members))
+                visited = hashes.probes(lifted_queries[asking], table, probes)
+                bucket = np.searchsorted(buckets, visited.ravel())
+                bucket[bucket == len(buckets)] = 0
+                hit = np.flatnonzero(buckets[bucket] == visited.ravel())
+                visitor, bucket = asking[hit // visited.shape[1]], bucket[hit]
+                order = np.argsort(bucket, kind="stable")
+                visitor, bucket = visitor[order], bucket[order]
+                for group in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
+                    if len(group):
+                        b = bucket[group[0]]
+                        score(visitor[group], together[members[begin[b] : end[b]]])
+
+        falling = np.argsort(-norms, kind="stable")
+        for begin, end, few in _ranges(norms[falling]):
+            together = np.sort(falling[begin:end])
+            # a row's score is at most the product of both norms
+            best = lengths * norms[together].max()
+            asking = np.flatnonzero(best + SLACK * np.maximum(best, 1) >= least)
+            if len(asking):
+                (score_all if few else score_hashed)(asking, together)
+                compact()
+        # queries whose probes found too few rows
+        wanted = np.minimum(k, len(held) - (own >= 0))
+        short = np.flatnonzero(np.bincount(found[0][0], minlength=len(asked)) < wanted)
+        if len(short):
+            score_all(short, np.arange(len(held)))
+        compact()
+        q, r, _ = found[0]
         # the same sum in the same order for equal vectors, so that ties are ties
         exact = (asked[q] * held[r]).sum(axis=1)
         best = pd.DataFrame(
@@ -153,13 +201,15 @@ def nearest(
 
     Every row is hashed into `tables` tables of `functions` p-stable functions; a query visits its
     own bucket and the perturbed ones in the order of estimated success, `probes` in each table,
-    and the union of their rows is ranked by the exact inner product in double precision. Hash
-    widths are relative to the largest norm, which one aggregate over all rows gives. No bucket is
-    capped: rows are cut into shards by hash of their id, so a bucket that holds a third of all
-    rows is spread over all shards.
-
-    A row with the query's own id is no candidate. Ties go to the smaller vec_id; fewer than k rows
-    found are all returned; repeated ids count once (the smallest vector); null ids and vectors
+    and the union of their rows is ranked by the exact inner product in double precision. Rows are
+    hashed by ranges of norm, with widths relative to the largest norm of a range, from large to
+    small; a query leaves out ranges whose norms are too small for its k rows so far. Ranges of few
+    rows are scored exactly, and so are all rows of a shard for a query that found fewer than k of
+    them. No bucket is capped: rows are cut into shards by hash of their id, so a bucket that holds
+    a third of all rows is spread over all shards.
+
+    A row with the query's own id is no candidate. Ties go to the smaller vec_id; all candidates
+    are returned, if fewer than k; repeated ids count once (the smallest vector); null ids and vectors
     that are null, empty, zero or hold null or non-finite components take no part; shorter vectors
     are read as ending in zeros. Empty frames give an empty result. Other columns are not read.
     """
@@ -173,11 +223,9 @@ def nearest(
         )
 
     queries, rows = nonzero(queries), nonzero(rows)
-    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    known = rows.agg(F.max(square).alias("square"), F.max(F.size("vector")).alias("rows")).first()
+    known = rows.agg(F.max(F.size("vector")).alias("dims")).first()
     asked = queries.agg(F.max(F.size("vector")).alias("dims")).first()
-    dims = max(known["rows"] or 1, asked["dims"] or 1)
-    norm = float(np.sqrt(known["square"] or 1.0)) or 1.0
-    hashes = Hashes(dims, norm, tables, functions, width, seed)
+    dims = max(known["dims"] or 1, asked["dims"] or 1)
+    hashes = Hashes(dims, tables, functions, width, seed)
     within = _nearest_in_shard(k, probes, hashes)
     return vectors.search(queries, rows, k, within, "double", shard_rows, query_rows)
