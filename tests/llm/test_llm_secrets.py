@@ -113,3 +113,50 @@ def test_cutoff_grows_where_a_band_holds_other_tokens():
     mixed[:10] += 400
     limits = secrets.cutoffs({("hex", 9): even, ("hex", 10): mixed})
     assert limits["hex", 9] == 0.02 and limits["hex", 10] >= 0.15
+
+
+def of_probability(rng, low, high):
+    """A random hexadecimal token (of upper case, so no fixed pattern) within a range of the test."""
+    while True:
+        token = "".join(rng.choice(HEX.upper()) for _ in range(40))
+        tested = secrets.candidate(token)
+        if tested and low <= tested[2] < high:
+            return token
+
+
+def random_spans(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: [s for s in r.spans if s["kind"] == "random"] for r in secrets.find(docs).collect()}
+    return [bool(found[i]) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("low", [0.3, 0.48])
+def test_copies_of_a_token_move_no_cutoff(spark, low):
+    rng = random.Random(3)
+    own = ["word " + of_probability(rng, 0, 1.01) for _ in range(200)]
+    copies = ["word " + of_probability(rng, low, low + 0.02)] * 100
+    found = random_spans(spark, own + copies)
+    assert found[:200] == random_spans(spark, own) and sum(found[:200]) >= 180 and all(found[200:])
+
+
+def test_copies_of_a_token_let_no_others_through(spark):
+    rng = random.Random(6)
+    own = ["word " + of_probability(rng, 0.04, 0.2) for _ in range(150)]
+    copies = ["word " + of_probability(rng, 0.8, 0.9)] * 1000
+    assert sum(random_spans(spark, own + copies)[:150]) <= 8
+
+
+@pytest.mark.parametrize("low", [0.06, 0.3, 0.48, 0.7])
+def test_a_lone_token_is_found(spark, low):
+    token = of_probability(random.Random(9), low, low + 0.02)
+    others = [f"aaaaaaaaaaaaaaazzzzzzz1111Bbbbb{i}" for i in range(3)]
+    assert random_spans(spark, [f"word {token} word", *others]) == [True, False, False, False]
+
+
+def test_few_tokens_are_judged_with_their_neighbours():
+    even, few, tail = np.full(secrets.BINS, 20.0), np.zeros(secrets.BINS), np.zeros(secrets.BINS)
+    few[[4, 9, 11, 14, 17, 20]] = 1
+    tail[:8] = 30
+    assert secrets.cutoffs({("hex", 9): even, ("hex", 10): few})["hex", 10] <= 0.08
+    assert secrets.cutoffs({("hex", 9): tail, ("hex", 10): few / 3})["hex", 10] >= 0.16
+    assert secrets.cutoffs({("hex", 9): tail})["hex", 9] >= 0.16

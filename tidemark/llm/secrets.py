@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -25,6 +27,8 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 BINS = 50
+ENOUGH = 50  # tokens by which a band is judged without its neighbours
+REMEMBERED = 1 << 18  # tokens whose copies a task drops itself
 _ARROW_SPANS = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 )
@@ -105,6 +109,23 @@ def candidate(token: str) -> tuple[str, int, float] | None:
     return name, length_band(len(body)), battery(symbols, len(ENCODINGS[name][0]))
 
 
+def _pooled(
+    counts: dict[tuple[str, int], np.ndarray], key: tuple[str, int]
+) -> np.ndarray:
+    """The histogram of a band; one of few tokens is joined by the nearest bands of its encoding
+    and, should these not do, by all others."""
+
+    def distance(other: tuple[str, int]) -> float:
+        return abs(other[1] - key[1]) if other[0] == key[0] else math.inf
+
+    pool = np.zeros(BINS)
+    for _, ring in itertools.groupby(sorted(counts, key=distance), distance):
+        pool += sum(counts[other] for other in ring)
+        if pool.sum() >= ENOUGH:
+            break
+    return pool
+
+
 def cutoffs(
     counts: dict[tuple[str, int], np.ndarray], rate: float = 0.05, least: float = 0.02
 ) -> dict[tuple[str, int], float]:
@@ -113,11 +134,17 @@ def cutoffs(
     Random tokens spread evenly over [0, 1]; others gather near 0, the closer the longer they are.
     So the upper half of a band's histogram tells how many of its tokens are random, and the cut-off
     is the lowest at which the tokens above it exceed their random share by no more than `rate` of
-    them (or by no more than two standard deviations, where a band has few).
+    them (or by no more than two standard deviations, where a band has few). Where the upper half is
+    empty but as many random tokens as lie above `least` would leave it so with a probability of
+    `rate` or more, the cut-off is `rate`. Bands of few tokens are judged with their neighbours.
     """
     found = {}
-    for key, histogram in counts.items():
+    for key in counts:
+        histogram = _pooled(counts, key)
         random_per_bin = histogram[BINS // 2 :].sum() / (BINS / 2)
+        if not random_per_bin and 0.5 ** histogram[round(least * BINS) :].sum() >= rate:
+            found[key] = max(rate, least)
+            continue
         kept, bins = 0.0, BINS
         best = 1.0
         for bins in range(BINS - 1, -1, -1):
@@ -174,30 +201,38 @@ def spans_of(
 
 
 def randomness_histogram(docs: DataFrame, least: int = 20) -> DataFrame:
-    """(encoding, band, bin, tokens) over all candidate tokens of all texts, summed by Spark."""
+    """(encoding, band, bin, tokens) over all distinct candidate tokens of all texts.
+
+    Copies of a token, by its 64-bit hash, count once: they say nothing more of how many tokens are
+    random. Each task drops most of its copies, Spark the others.
+    """
 
     workers.ready(docs.sparkSession)
+    types = {"token": pa.int64(), "encoding": pa.string(), "band": pa.int32(), "bin": pa.int32()}
 
     @workers.lean
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, int, int], int] = {}
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            rows = []
             for _, _, _, token in _long_tokens(batch.column(0), TOKEN, least):
-                tested = candidate(token)
-                if tested:
-                    key = (*tested[:2], min(int(tested[2] * BINS), BINS - 1))
-                    seen[key] = seen.get(key, 0) + 1
-        rows = pd.DataFrame(
-            [(*k, n) for k, n in seen.items()], columns=["encoding", "band", "bin", "tokens"]
-        )
-        types = {"encoding": "str", "band": "int32", "bin": "int32", "tokens": "int64"}
-        schema = [(k, pa.string() if v == "str" else pa.type_for_alias(v)) for k, v in types.items()]
-        yield pa.RecordBatch.from_pandas(rows, pa.schema(schema), preserve_index=False)
-
-    counted = docs.select("text").mapInArrow(
-        count, "encoding string, band int, bin int, tokens long"
-    )
-    return counted.groupBy("encoding", "band", "bin").agg(F.sum("tokens").alias("tokens"))
+                digest = hashlib.blake2b(token.rstrip("=").encode(), digest_size=8).digest()
+                name = int.from_bytes(digest, "little", signed=True)
+                if name in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(name)
+                found = candidate(token)
+                if found:
+                    rows.append((name, *found[:2], min(int(found[2] * BINS), BINS - 1)))
+            columns = zip(*rows, strict=True) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], list(types)
+            )
+
+    found = docs.select("text").mapInArrow(tested, "token long, encoding string, band int, bin int")
+    return found.distinct().groupBy("encoding", "band", "bin").agg(F.count("*").alias("tokens"))
 
 
 def fitted_cutoffs(
@@ -216,7 +251,7 @@ def find(docs: DataFrame, rate: float = 0.05, least: int = 20) -> DataFrame:
 
     Kinds are those of the fixed patterns and `random`: maximal tokens of at least `least`
     characters that fit an encoding, overlap no fixed pattern and pass the battery at the cut-off
-    of their encoding and length band. Two scans, no shuffle but of the histogram.
+    of their encoding and length band. Two scans, no shuffle but of the hashes of candidates.
 
     A null or empty text has no spans. Repeated rows are treated alike (and counted as often as
     they occur); spans that start together go by kind. An empty table gives an empty result.
