@@ -253,3 +253,14 @@ def test_stored_lookup_tables_open_in_their_schemas(spark, frame, tmp_path):
     assert found.get_payload("p1").first()["period"] == dt.date(1999, 1, 31)
     store = FilingStore.open(spark, folder)
     assert store.id_map.schema == schemas.ID_MAP and store.headers is None
+
+
+def test_a_body_with_more_behind_it_is_rejected(spark, tmp_path):
+    first = '{"data": []}'
+    texts = [first, first + "\n", f"{first}\nBad Gateway\n{first}", f"{first} {first}", first + "}"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(text)
+    good, rejects = pages.split_pages(spark, str(tmp_path), ROW, multi_line=True)
+    assert good.count() == 2 and sorted(r["value"] for r in rejects.collect()) == sorted(texts[2:])
+    with pytest.raises(Exception, match="unreadable page"):
+        pages.read_pages(spark, str(tmp_path), ROW, multi_line=True).collect()

@@ -16,20 +16,39 @@ from tidemark import schemas
 from tidemark.session import stored
 
 CORRUPT = "_corrupt"
+# A body is parsed as one member of an object whose other member follows it: the parser would stop
+# after the first value of a text and pass over the rest, here that is an error.
+BODY, END = "tidemark_body", "tidemark_end"
+
+
+def _closed(body: Column) -> Column:
+    return F.concat(F.lit(f'{{"{BODY}":'), body, F.lit(f',"{END}":true}}'))
+
+
+def is_one_value(body: Column) -> Column:
+    """Whether a text is one JSON value, with nothing behind it."""
+    closed = F.from_json(_closed(body), schemas.struct(**{END: T.BooleanType()}))
+    return F.coalesce(closed[END], F.lit(False))
 
 
 def parsed_bodies(
     bodies: DataFrame, row: T.StructType, body: str, required: tuple[str, ...]
 ) -> tuple[DataFrame, Column]:
-    """Bodies with the parsed `_row`, and whether a body does not fit.
+    """Bodies with the parsed `_row`, and whether a body does not fit or has more behind it.
 
     The parsed row passes through a generator, which filters stay above: they
     would otherwise move below it and parse each text again.
     """
-    fields = T.StructType([*row.fields, T.StructField(CORRUPT, T.StringType())])
+    fields = schemas.struct(**{BODY: row, END: T.BooleanType(), CORRUPT: T.StringType()})
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = bodies.select("*", F.explode(F.array(F.from_json(body, fields, options))).alias("_row"))
-    bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
+    closed = F.from_json(_closed(F.col(body)), fields, options)
+    parsed = bodies.select("*", F.explode(F.array(closed)).alias("_closed"))
+    parsed = parsed.select("*", F.col(f"_closed.{BODY}").alias("_row"))
+    bad = (
+        F.col("_row").isNull()
+        | F.col(f"_closed.{END}").isNull()
+        | F.col(f"_closed.{CORRUPT}").isNotNull()
+    )
     for name in required:
         bad = bad | F.col(f"_row.{name}").isNull()
     return parsed, bad

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sources.pages import parsed_bodies
+from tidemark.sources.pages import is_one_value, parsed_bodies
 from tidemark.sources.tables import exists
 
 FEED, BATCH, BUCKET = "sync_feed", "sync_batch", "sync_bucket"
@@ -98,10 +98,17 @@ def _day(column: str) -> Column:
 
 
 def page_bodies(files: DataFrame) -> DataFrame:
-    """(value, file_path) of every page: a file is one page, unless all its lines begin with a
-    brace, then each line is one."""
-    lines = F.filter(F.split("value", "\n"), lambda line: F.trim(line) != "")
-    by_line = (F.size(lines) > 0) & F.forall(lines, lambda line: line.startswith("{"))
+    """(value, file_path) of every page: a file that is one JSON value is one page; of another, each
+    line is one if any can be a page, so a bad line takes no other with it."""
+
+    def bare(line: Column) -> Column:
+        return F.trim(line, F.lit(" \t\r"))
+
+    lines = F.filter(F.split("value", "\n"), lambda line: bare(line) != "")
+    braced = F.forall(lines, lambda line: bare(line).startswith("{"))
+    whole = F.exists(lines, lambda line: bare(line).startswith("{") & bare(line).endswith("}"))
+    one = (F.size(lines) > 1) & is_one_value(F.col("value"))
+    by_line = (F.size(lines) > 0) & (braced | whole) & ~one
     found = F.when(by_line, lines).otherwise(F.array("value"))
     return files.select(F.explode(found).alias("value"), "file_path")
 
@@ -168,10 +175,11 @@ def sync_tables(
 ) -> None:
     """Append the new rows of all pages landed since the last call, table by table.
 
-    Files are read whole: each is one page, however it is laid out, or holds a page on each line.
+    Files are read whole: each is one page, however it is laid out, or holds a page on each line,
+    among which may be lines that are none.
     `data` of the envelope maps table names to row lists, or is one list if there is one table.
-    Error bodies, blank files, cut-off pages and pages whose values do not fit go to the rejects, with the name
-    of their file.
+    Error bodies, blank files, cut-off pages, pages with more text behind them and pages whose values
+    do not fit go to the rejects, with the name of their file.
     Progress is kept in `checkpoint`. Should it be lost, all pages are read again as a new feed;
     rows and rejects that are there already are not added again.
     """
