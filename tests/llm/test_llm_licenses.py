@@ -118,3 +118,19 @@ def test_spdx_lines(spark):
     }
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     assert {r.doc.text: r.licences for r in licenses.scan(docs).collect()} == texts
+
+
+def test_wrapped_sentences_of_any_number_of_lines_between_others(spark):
+    grant = licenses.SENTENCES["mit_grant"][0]
+    texts = {
+        "Heading\n" + grant.replace(" ", "\n"): ["mit_grant"],
+        "Heading\n * " + grant.replace(" ", "\n *\n * "): ["mit_grant"],
+        "One\n// Released under\n// the Apache License,\n// Version 2.0\nprose": ["apache_reference"],
+        "Licensed under CC\n\tBY-NC 4.0\nprose\nLicensed\nunder CC BY 4.0\nprose": [
+            "cc_by_nc_reference", "cc_by_reference",
+        ],
+        "not Released\nunder CC0 1.0\nprose\nReleased under CC0\n1.0 not": [],
+        "prose\n" + "---\n" * 20_000 + "Released under\nCC0 1.0\n" + "---\n" * 20_000 + "x": ["cc0_reference"],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r.doc.text: r.sentences for r in licenses.scan(docs).collect()} == texts

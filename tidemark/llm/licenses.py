@@ -14,7 +14,7 @@ CUT = "\x01"
 BOUNDARY = r"([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09\x0B-\x0D]*\n"
 # The colon of this tag ends no sentence, and whatever stands before the tag is another sentence.
 SPDX_TAG = r"(?i)(SPDX-License-Identifier)[\x20\x09]*:"
-# A sentence after a heading is looked for among the last lines of a passage, at most so many.
+# Lines without a word before a sentence that ends a passage, at most so many less one, count as it.
 WRAPPED_LINES = 24
 
 # Sentences of public licence texts and notices.
@@ -265,16 +265,23 @@ def _known(sentence: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), _normal(sentence))
 
 
-def _in_lines(sentence: Column) -> Column:
-    """Identifiers of the lines, or of the rest from a line on, where the whole is not known."""
-    lines = F.split(sentence, "\n")
+def _from_line() -> str:
+    """Matches at every line of a normalised passage from which a known sentence goes to the end of
+    that line or of a later one, the line alone before the longest; and at lines without a word, of
+    which at most so many lead to a sentence that ends the passage."""
+    known = "|".join(sorted(dictionary(), key=lambda s: (-len(s), s)))
+    wrapped = known.replace(" ", r"(?: |\n++)")
+    return rf"(?m)^(?=((?:{known})$|(?:{wrapped})$|\n{{1,{WRAPPED_LINES - 1}}}+(?:{wrapped})\n*+\z))"
+
 
-    def rest(line: Column, i: Column) -> Column:
-        left = F.size(lines) - i
-        joined = F.array_join(F.slice(lines, i + 1, F.greatest(left, F.lit(1))), " ")
-        return F.coalesce(_known(line), F.when(left <= WRAPPED_LINES, _known(joined)))
+def _in_lines(sentence: Column) -> Column:
+    """Identifiers of the known sentences that begin with a line, where the whole is not known.
 
-    return F.transform(lines, rest)
+    A sentence may be wrapped over any number of lines, and other lines may follow it.
+    """
+    lowered = F.translate(sentence, UPPER, LOWER)
+    blanks = F.regexp_replace(F.regexp_replace(lowered, "[^a-z0-9\n]+", " "), " ?\n ?", "\n")
+    return F.transform(F.regexp_extract_all(F.trim(blanks), F.lit(_from_line()), F.lit(1)), _known)
 
 
 def sentence_ids(text: Column) -> Column:
