@@ -1,4 +1,4 @@
-"""Exact top-k inner products: MaxScore over signed impact postings, shard by shard."""
+"""Exact top-k inner products: rows pruned by MaxScore's bounds over signed impact lists."""
 
 from __future__ import annotations
 
@@ -29,9 +29,9 @@ class Postings:
 
         Every component adds |q| times the impact list of the query's sign and takes off as much
         of the opposite list. The lists that add are the terms. They are taken by falling bound.
-        The essential terms come first: until the rest cannot lift a row without any of them over
-        the threshold, all rows of their lists are scored. The other terms are only probed for
-        rows that remain competitive.
+        The lists are dense, so no border of essential terms is computed: all rows are scored on
+        the first terms, and after every fourth those drop out that the bounds of the rest cannot
+        lift over the threshold.
         """
         width = len(query)
         terms = [(abs(q), int(q < 0), c) for c, q in enumerate(query) if q]
