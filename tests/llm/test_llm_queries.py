@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, db, name):
 def test_all_are_registered():
     names = set(entry_module.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_pipeline_stage_by_stage(spark):

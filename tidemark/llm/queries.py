@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     ann,
+    conversations,
     jaccard_join,
     langid,
     licenses,
@@ -20,6 +21,8 @@ from tidemark.llm import (
     recompression,
     secrets,
     sql,
+    toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +142,23 @@ def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 8 whitened components of every vector."""
+    rows = table(spark, folder, "embeddings").withColumnRenamed("embedding", "vector")
+    return whitening.whitened(rows, 8).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op12_prefix_trie", sql.PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return conversations.trie(table(spark, folder, "conversations"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    return toxicity.scored(table(spark, folder, "documents"), labels)

