@@ -59,6 +59,17 @@ class Part:
     at: np.ndarray
 
 
+def _beyond_ascii_marks(content: np.ndarray) -> np.ndarray:
+    """Bytes of U+0080 to U+00BF and of U+2000 to U+207F: marks and blanks, among them quotes."""
+    out = np.zeros(len(content), bool)
+    two = np.flatnonzero(content[:-1] == 0xC2)
+    three = np.flatnonzero((content[:-2] == 0xE2) & (content[1:-1] >> 1 == 0x40))
+    for at, size in ((two, 2), (three, 3)):
+        for k in range(size):
+            out[at + k] = True
+    return out
+
+
 def read(column: pa.Array) -> Iterator[Part]:
     """Lower-cased texts in parts of whole texts. A word is a run of letters and digits; `*`, `@`
     and `$` between two of them belong to it too."""
@@ -66,7 +77,7 @@ def read(column: pa.Array) -> Iterator[Part]:
     for first, last in texts.parts(offsets):
         base = offsets[first]
         part, own = content[base : offsets[last]], offsets[first : last + 1] - base
-        inner = _LETTER[part]
+        inner = _LETTER[part] & ~_beyond_ascii_marks(part)
         veiled = np.zeros(len(part), bool)
         veiled[1:-1] = _VEILED[part[1:-1]] & inner[:-2] & inner[2:]
         words = np.where(inner | veiled, part, np.uint8(32))
@@ -88,7 +99,7 @@ class Lexicon:
     def __init__(self, weights: dict[str, float]):
         self.terms = sorted(weights)
         self.weights = np.array([weights[t] for t in self.terms])
-        self.longest = max(map(len, self.terms), default=0) + 2
+        self.longest = max(map(len, self.terms), default=0) + 3
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
         self.allowed: list[int] = [0]  # most errors of any term below a node
@@ -123,7 +134,7 @@ class Lexicon:
         length = (codes != 0).sum(axis=1).astype(np.uint64)
         everything = (np.uint64(1) << (length + np.uint64(1))) - np.uint64(1)
         whole = np.uint64(1) << length
-        # a word cut at `longest` letters is too long to be a whole match
+        # a word of `longest` letters, cut or not, is too long to be a whole match
         whole[length == self.longest] = 0
         masks = {}
         for letter in {c for kids in self.children for c in kids}:
