@@ -97,7 +97,7 @@ def integer_list(column) -> Column:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Any vintage of a table in its declared schema: absent columns are NULL,
-    number and list texts are read, blanks in text columns are NULL."""
+    number and list texts are read, `NA` and blanks in text columns are NULL."""
     found = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[_conform(f, found.get(f.name)).alias(f.name) for f in schema.fields])
 
@@ -113,20 +113,20 @@ def _conform(field: T.StructField, found: T.DataType | None) -> Column:
     if isinstance(want, T.ArrayType):
         return c.cast(want) if isinstance(found, T.ArrayType) else integer_list(c)
     if isinstance(want, T.StringType):
-        return F.nullif(F.trim(c.cast("string")), F.lit(""))
+        return F.nullif(clean_token(F.trim(c.cast("string"))), F.lit(""))
     return c.try_cast(want)
 
 
 def conform_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per declared column that a vintage has: how many values it holds that do not read as the
-    declared type. Blanks and NaN are no values."""
+    declared type. Blanks, `NA` and NaN are no values."""
     found = {f.name: f.dataType for f in df.schema.fields}
     fields = [f for f in schema.fields if f.name in found]
     counts = []
     for field in fields:
         text = F.col(field.name)
         if not isinstance(found[field.name], (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
-            text = F.nullif(F.trim(text.cast("string")), F.lit(""))
+            text = clean_token(F.trim(text.cast("string")), empty_too=True)
             text = F.when(text != "NaN", text)
         lost = text.isNotNull() & _conform(field, found[field.name]).isNull()
         counts.append(F.count_if(lost).alias(field.name))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import guards
 from tidemark.functions.conform import pad_key
+from tidemark.operators import sweep
 
 CIK_WIDTH = 10
 GVK_WIDTH = 6
@@ -81,6 +82,35 @@ def attach_as_of(
     )
 
 
+def mapping_conflicts(
+    id_map: DataFrame, key: str, step: str = "1 DAY", low: str = "effdate", high: str = "thrudate"
+) -> DataFrame:
+    """(key, kind, first, last): what keeps a key from having one mapping row on every day between its
+    first and its last.
+
+    `overlap`: days that an earlier row covers too; `gap`: days that no row covers; `inverted`: a
+    row that ends before it begins, which covers nothing. Both ends are inclusive and move in
+    steps of `step`. Rows of a key are swept in order over as many tasks as they need; equal rows
+    overlap each other, rows without an end point take no part.
+    """
+    rows = id_map.select(key, F.col(low).alias("first"), F.col(high).alias("last"))
+    one = F.expr(f"INTERVAL {step}")
+    kind = rows.schema["first"].dataType
+    inverted = rows.where("last < first").select(key, F.lit("inverted").alias("kind"), "first", "last")
+    swept = sweep.with_reach(rows.where("first <= last"), [key], ["first", "last"], "last")
+    swept, reached = swept.where("reached is not null"), F.col("reached")
+    overlap = F.struct(
+        F.lit("overlap").alias("kind"), F.col("first"), F.least("last", reached).alias("last")
+    )
+    gap = F.struct(
+        F.lit("gap").alias("kind"),
+        (reached + one).cast(kind).alias("first"),
+        (F.col("first") - one).cast(kind).alias("last"),
+    )
+    found = swept.select(key, F.explode(F.array(overlap, gap)).alias("_found")).select(key, "_found.*")
+    return found.where("first <= last").unionByName(inverted)
+
+
 def padded_keys(df: DataFrame, cik: str = "cik", gvk: str | None = None) -> DataFrame:
     """Integer keys in the padded form the mapping tables use."""
     df = df.withColumn(cik, pad_key(cik, CIK_WIDTH))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark import guards, schemas
 from tidemark.functions.periods import with_period
+from tidemark.operators import paging
 
-PAGE_SIZE = 1000
+PAGE_SIZE = paging.PAGE_SIZE
 TEXT_COLUMNS = ["name", "commodity", "business_category", "country", "frequency", "unit"]
 
 
@@ -68,14 +69,13 @@ def page_after(
 
 
 def offset_page(df: DataFrame, key: list[str], offset: int, size: int = PAGE_SIZE) -> DataFrame:
-    return df.orderBy(*key).offset(offset).limit(size)
+    """Rows from `offset` on in key order, sought in the key ranges that hold them."""
+    return paging.rows_between(df, key, offset, size)
 
 
 def numbered_page(df: DataFrame, key: list[str], number: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Page `number`, counted from 1. Deep pages are cheaper with `page_after`."""
-    if number < 1:
-        raise ValueError("pages are counted from 1")
-    return offset_page(df, key, (number - 1) * size, size)
+    """Page `number`, counted from 1, at any depth."""
+    return paging.page_by_number(df, key, number, size)
 
 
 def pages(
@@ -83,6 +83,7 @@ def pages(
 ) -> Iterator[DataFrame]:
     """Pages in key order, each started from the last key of the one before.
 
+    For interactive use, page by page; `paging.numbered_pages` numbers all pages in one job.
     A page is kept until the next one is asked for, so its last key, all that comes to the
     driver, and its rows are of one computation.
     """

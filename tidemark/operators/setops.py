@@ -10,8 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import tidy_lines
+from tidemark.session import stored
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
@@ -83,6 +85,108 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _holds(kind: T.DataType, *kinds: type) -> bool:
+    """Whether a type is, or has inside it, one of the kinds."""
+    if isinstance(kind, kinds):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _holds(kind.elementType, *kinds)
+    if isinstance(kind, T.MapType):
+        return _holds(kind.keyType, *kinds) or _holds(kind.valueType, *kinds)
+    return isinstance(kind, T.StructType) and any(_holds(f.dataType, *kinds) for f in kind.fields)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Columns that cannot be grouped by in a form that can: documents, and what holds documents or maps,
+    as JSON (of a document, keys are in order); a map of plain values as its sorted entries."""
+
+    def form(field: T.StructField) -> Column:
+        c, kind = F.col(field.name), field.dataType
+        if not _holds(kind, T.VariantType, T.MapType):
+            return c
+        if isinstance(kind, T.MapType) and not _holds(
+            T.StructType([T.StructField("k", kind.keyType), T.StructField("v", kind.valueType)]),
+            T.VariantType,
+            T.MapType,
+        ):
+            return F.array_sort(F.map_entries(c)).alias(field.name)
+        return F.to_json(c, {"ignoreNullFields": "false"}).alias(field.name)
+
+    return df.select(*[form(f) for f in df.schema.fields])
+
+
+def _restored(found: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of `comparable` in their own types again."""
+
+    def own(field: T.StructField) -> Column:
+        c, kind = F.col(field.name), field.dataType
+        if found.schema[field.name].dataType == kind:
+            return c
+        if isinstance(kind, T.VariantType):
+            return F.parse_json(c).alias(field.name)
+        if isinstance(found.schema[field.name].dataType, T.ArrayType):
+            return F.map_from_entries(c).alias(field.name)
+        return F.from_json(c, kind).alias(field.name)
+
+    counts = [c for c in found.columns if c not in schema.names]
+    return found.select(*[own(f) for f in schema.fields], *counts)
+
+
+def bucket_digests(df: DataFrame, buckets: int = 4096) -> DataFrame:
+    """(bucket, n_rows, digest1, digest2): per bucket of row hashes, the count of its rows and the sums
+    of two hashes of each, whatever their order; one row a bucket, added up in every task first."""
+    columns = sorted(df.columns)
+    rows = comparable(df)
+    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    hashed = rows.select(
+        F.pmod(one, F.lit(buckets)).cast("int").alias("bucket"),
+        one.cast("decimal(20,0)").alias("one"),
+        two.cast("decimal(20,0)").alias("two"),
+    )
+    return hashed.groupBy("bucket").agg(
+        F.count("*").alias("n_rows"), F.sum("one").alias("digest1"), F.sum("two").alias("digest2")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = 4096) -> DataFrame:
+    """Buckets in which the digests of two frames of the same columns and types differ."""
+    sides = bucket_digests(left, buckets).unionByName(bucket_digests(right, buckets))
+    figures = F.struct("n_rows", "digest1", "digest2")
+    found = sides.groupBy("bucket").agg(
+        F.count("*").alias("sides"), F.min(figures).alias("low"), F.max(figures).alias("high")
+    )
+    return found.where("sides = 1 OR low <> high").select("bucket")
+
+
+def frame_digest_diff(left: DataFrame, right: DataFrame, buckets: int = 4096) -> DataFrame:
+    """`frame_diff` that shuffles only rows of buckets whose digests differ.
+
+    Both frames are scanned for their digests, of which `buckets` rows a side are shuffled. Equal
+    frames end there: their rows are filtered away in the scan, before any exchange. Frames of other
+    columns or types go to `frame_diff`.
+    """
+    here, there = ({f.name: f.dataType for f in df.schema} for df in (left, right))
+    if here != there:
+        return frame_diff(left, right)
+    # written, so that the digests are computed once; at most one row a bucket
+    found = F.broadcast(stored(differing_buckets(left, right, buckets)))
+    columns = sorted(left.columns)
+
+    def of_them(df: DataFrame) -> DataFrame:
+        rows = comparable(df).withColumn("_bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"))
+        return rows.join(found, F.col("_bucket") == F.col("bucket"), "left_semi").drop("_bucket")
+
+    differing = _sides(of_them(left), of_them(right), left.columns).where("n_left <> n_right")
+    return _restored(differing, left.schema)
+
+
+def frames_digest_equal(left: DataFrame, right: DataFrame, buckets: int = 4096) -> bool:
+    """Do two frames have the same columns, types and rows, by their digests alone."""
+    if not schema_diff(left, right).isEmpty():
+        return False
+    return differing_buckets(left, right, buckets).isEmpty()
+
+
 def frame_diff(left: DataFrame, right: DataFrame, fuzzy: bool = False) -> DataFrame:
     """Rows whose number of copies differs, with both counts.
 
@@ -96,20 +200,21 @@ def frame_diff(left: DataFrame, right: DataFrame, fuzzy: bool = False) -> DataFr
     here, there = ({f.name: f.dataType for f in df.schema} for df in (left, right))
     columns = list(here | there)
     if here == there:
-        return _sides(left, right, columns).where("n_left <> n_right")
+        found = _sides(comparable(left), comparable(right), columns).where("n_left <> n_right")
+        return _restored(found, left.schema)
 
     def shown(df, own, other):
-        return df.select(
+        return comparable(df).select(
             *[
-                (F.col(c) if other.get(c, own.get(c)) == own.get(c) else F.col(c).cast("string"))
-                .alias(c)
+                (F.col(c) if c not in other or other[c] == own[c] else F.col(c).cast("string")).alias(c)
                 if c in own
-                else F.lit(None).cast(other[c]).alias(c)
+                else F.lit(None).cast(others[c]).alias(c)
                 for c in columns
             ]
         )
 
     shape = "_columns"
+    others = {f.name: f.dataType for df in (left, right) for f in comparable(df).schema}
     left = shown(left, here, there).withColumn(shape, F.lit(0))
     right = shown(right, there, here).withColumn(shape, F.lit(1))
     return _sides(left, right, [*columns, shape]).drop(shape)

@@ -437,3 +437,37 @@ def frame_diff_fuzzy(spark, folder):
     )
     left = documents.select("doc_id", "text")
     return setops.frame_diff(left, documents.select("doc_id", changed.alias("text")), fuzzy=True)
+
+
+@query(
+    "frame_digest_diff",
+    """SELECT l_orderkey AS uuid, l_linenumber AS line, l_quantity AS quantity,
+              count(*) FILTER (side = 0) AS n_left, count(*) FILTER (side = 1) AS n_right
+       FROM (SELECT l_orderkey, l_linenumber, l_quantity, 0 AS side FROM lineitem
+             UNION ALL
+             SELECT l_orderkey, l_linenumber, l_quantity + CASE WHEN l_orderkey % 997 = 0 THEN 1 ELSE 0 END, 1
+             FROM lineitem)
+       GROUP BY 1, 2, 3 HAVING n_left <> n_right""",
+)
+def frame_digest_diff(spark, folder):
+    """Lines against a copy in which those of a few filings changed."""
+    lines = tables.holding_lines(spark, folder).select("uuid", "line", "quantity")
+    changed = F.col("quantity") + F.when(F.col("uuid") % 997 == 0, 1).otherwise(0)
+    return setops.frame_digest_diff(lines, lines.withColumn("quantity", changed))
+
+
+@query(
+    "document_diff",
+    """SELECT event_id AS uuid, count(*) FILTER (side = 0) AS n_left, count(*) FILTER (side = 1) AS n_right
+       FROM (SELECT event_id, props AS body, 0 AS side FROM events
+             UNION ALL SELECT event_id, CASE WHEN event_type = 'error' THEN '{"k": -1}' ELSE props END, 1
+             FROM events)
+       GROUP BY event_id, body HAVING n_left <> n_right""",
+)
+def document_diff(spark, folder):
+    """Documents (VARIANT) against a copy in which those of one kind changed."""
+    events = read_table(spark, folder, "events")
+    body = F.when(F.col("event_type") == "error", '{"k": -1}').otherwise(F.col("props"))
+    left = events.select(F.col("event_id").alias("uuid"), F.parse_json("props").alias("data"))
+    right = events.select(F.col("event_id").alias("uuid"), F.parse_json(body).alias("data"))
+    return setops.frame_digest_diff(left, right).drop("data")

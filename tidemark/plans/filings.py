@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, ids, payloads, windows
+from tidemark.operators import asof, ids, payloads, versions, windows
 from tidemark.functions import conform
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.driver_tables import FORM_FAMILIES, FORM_TYPES, ID_MAP_SQL
@@ -188,6 +190,59 @@ def mapping_as_of(spark, folder):
     return asof.mapping_as_of(tables.id_map(spark, folder), as_of_date="1998-07-01")
 
 
+@query(
+    "mapping_conflicts",
+    """WITH m AS (SELECT o_custkey AS cik, o_orderdate AS first,
+                        o_orderdate + to_days((o_orderkey % 200 - 3)::INTEGER) AS last FROM orders),
+            s AS (SELECT *, max(last) OVER (PARTITION BY cik ORDER BY first, last
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+                  FROM m WHERE first <= last)
+       SELECT cik, 'overlap' AS kind, first, least(last, reached) AS last FROM s WHERE first <= reached
+       UNION ALL SELECT cik, 'gap', reached + INTERVAL 1 DAY, first - INTERVAL 1 DAY FROM s
+       WHERE reached + INTERVAL 1 DAY <= first - INTERVAL 1 DAY
+       UNION ALL SELECT cik, 'inverted', first, last FROM m WHERE last < first""",
+)
+def mapping_conflicts(spark, folder):
+    """Filings as mapping rows of varying length: days that several rows cover, or none."""
+    rows = tables.filings(spark, folder)
+    days = F.make_dt_interval((F.col("uuid") % 200 - 3).cast("int"))
+    rows = rows.select(
+        "cik", F.col("filing_date").alias("effdate"), (F.col("filing_date") + days).alias("thrudate")
+    )
+    return asof.mapping_conflicts(rows, "cik")
+
+
+@query(
+    "known_at",
+    """SELECT l_orderkey AS uuid, l_linenumber AS line, l_partkey AS cusip, l_quantity AS quantity,
+              l_shipdate AS form_availability_timestamp
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                     ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_quantity DESC) AS nth
+             FROM lineitem WHERE l_shipdate <= TIMESTAMP '1996-06-30') WHERE nth = 1""",
+)
+def known_at(spark, folder):
+    """Each filing in the version that was known of it on a day."""
+    lines = tables.holding_lines(spark, folder).select(
+        "uuid", "line", "cusip", "quantity", "form_availability_timestamp"
+    )
+    day, known = dt.datetime(1996, 6, 30), "form_availability_timestamp"
+    return versions.known_at(lines, ["uuid"], known, day, tie=["line", "cusip", "quantity"])
+
+
+@query(
+    "known_restated",
+    """SELECT * FROM (
+         SELECT l_orderkey AS uuid, count(*) AS n_versions, min(l_shipdate) AS first_known,
+                max(l_shipdate) AS last_known
+         FROM (SELECT DISTINCT l_orderkey, l_partkey, l_shipdate FROM lineitem) GROUP BY 1)
+       WHERE n_versions > 1""",
+)
+def known_restated(spark, folder):
+    """Filings of which several versions became known."""
+    lines = tables.holding_lines(spark, folder).select("uuid", "cusip", "form_availability_timestamp")
+    return versions.restated(lines, ["uuid"], "form_availability_timestamp")
+
+
 @query(
     "filer_multi_lookup",
     f"""SELECT DISTINCT m.cik FROM ({ID_MAP_SQL}) m

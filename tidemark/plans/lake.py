@@ -281,3 +281,64 @@ def document_known(spark, folder):
         date_mode="knowledge_date",
     )
     return found.select("uuid", "cik", payloads.document_path("data", "$.k", "bigint").alias("k"))
+
+
+def store_items(spark, folder, path) -> None:
+    """Pages of 8-K items of both vintages landed, read back, conformed and stored; in the historical
+    one values are texts, `NA` among them, and one of a hundred is a word."""
+    events = read_table(spark, folder, "events")
+    instant = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    number = F.col("event_id") % 100
+    rows = events.select(
+        F.col("event_id").cast("string").alias("form_uuid"),
+        instant.alias("form_publication_timestamp"),
+        F.date_format("ts", "yyyy-MM-dd").alias("filing_date"),
+        F.col("user_id").alias("cik"),
+        F.when(number < 30, "NA").otherwise(F.concat(F.lit(" T"), number, F.lit(" "))).alias("ticker"),
+        F.col("event_type").alias("item_name"),
+        F.col("value").alias("item_value"),
+        number.alias("_number"),
+    )
+    token = F.when(F.col("_number") == 7, "many").when(F.col("_number") < 20, "NA")
+    text = F.coalesce(token, F.col("item_value").cast("string"))
+    old = rows.where("_number % 2 = 1").withColumn("item_value", text)
+    old = old.withColumn("cik", F.when(F.col("_number") == 9, "NA").otherwise(F.concat("cik", F.lit(".0"))))
+    landing = shared_folder(spark, "item-pages")
+    land(old.drop("_number"), f"{landing}/old")
+    land(rows.where("_number % 2 = 0").drop("_number"), f"{landing}/live")
+    vintages = [
+        pages.page_rows(pages.read_pages(spark, f"{landing}/{name}", schema))
+        for name, schema in (("old", as_text(schemas.FORM8_ITEMS)), ("live", schemas.FORM8_ITEMS))
+    ]
+    lost = store_vintages(vintages, schemas.FORM8_ITEMS, f"{path}/items", "form8")
+    lost.write.mode("append").parquet(f"{path}/lost")
+
+
+def items_lake(spark, folder) -> str:
+    return written_once(spark, "items-lake", folder, lambda path: store_items(spark, folder, path))
+
+
+@query(
+    "stored_items",
+    """SELECT event_id::VARCHAR AS form_uuid, CASE WHEN event_id % 100 <> 9 THEN user_id END AS cik,
+              CASE WHEN event_id % 100 >= 30 THEN 'T' || event_id % 100 END AS ticker,
+              event_type AS item_name,
+              CASE WHEN event_id % 2 = 0 OR (event_id % 100 >= 20) THEN value END AS item_value,
+              ts::DATE AS filing_date
+       FROM events""",
+)
+def stored_items(spark, folder):
+    """8-K items from pages over conforming to the stored table: `NA` is no value in any column."""
+    items = read_filings(spark, f"{items_lake(spark, folder)}/items", schemas.FORM8_ITEMS)
+    return items.select("form_uuid", "cik", "ticker", "item_name", "item_value", "filing_date")
+
+
+@query(
+    "stored_item_failures",
+    """SELECT 0 AS vintage, 'item_value' AS column_name, count(*) AS n_failed FROM events
+       WHERE event_id % 100 = 7""",
+)
+def stored_item_failures(spark, folder):
+    """Only words fail to read as numbers; `NA` does not count as unreadable."""
+    lost = spark.read.parquet(f"{items_lake(spark, folder)}/lost")
+    return lost.select("vintage", "column_name", "n_failed")

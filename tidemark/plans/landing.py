@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.operators import versions
 from tidemark.operators.windows import date_window
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.registry import query
@@ -176,6 +177,36 @@ def page_completeness(spark, folder):
     return pages.page_completeness(read.where(~lost))
 
 
+@query(
+    "page_gaps",
+    f"""WITH p AS (SELECT '{BASE}?form_type=' || o_orderpriority[1] AS request,
+                          (o_orderkey // 500) * 500 AS low, count(*) AS n
+                   FROM orders GROUP BY ALL),
+             t AS (SELECT request, sum(n)::BIGINT AS announced FROM p GROUP BY 1),
+             r AS (SELECT request, low, low + n AS high, announced, 2 AS copies FROM p JOIN t USING (request)
+                   WHERE request LIKE '%=2' AND low % 1500 = 0
+                   UNION ALL
+                   SELECT request, low, low + n, announced, 1 FROM p JOIN t USING (request)
+                   WHERE NOT (request LIKE '%=2' AND low % 1500 = 0)
+                     AND NOT (request LIKE '%=4' AND low % 1000 = 0)),
+             s AS (SELECT *, coalesce(max(high) OVER (PARTITION BY request ORDER BY low
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached FROM r),
+             e AS (SELECT request, max(announced) AS announced, max(high) AS high FROM r GROUP BY 1)
+        SELECT request, 'missing' AS kind, reached AS low, least(low, announced) AS high
+        FROM s WHERE least(low, announced) > reached
+        UNION ALL SELECT request, 'missing', high, announced FROM e WHERE announced > high
+        UNION ALL SELECT request, 'doubled', low, high FROM s WHERE copies = 2
+        UNION ALL SELECT request, 'beyond', greatest(low, announced), high FROM s WHERE high > announced""",
+)
+def page_gaps(spark, folder):
+    """Pages of one request come twice, some of another are lost; offsets leave gaps by themselves."""
+    read = pages.read_pages(spark, land_filings(spark, folder), KEY_ROW)
+    offset, request = pages.page_offset(), pages.page_request()
+    lost = request.endswith("=4") & (offset % 1000 == 0)
+    twice = read.where(request.endswith("=2") & (offset % 1500 == 0))
+    return pages.page_gaps(read.where(~lost).unionByName(twice))
+
+
 TABLE_ROWS = {"metadata": FILING_ROW, "information_table": LINE_ROW}
 
 
@@ -376,7 +407,6 @@ def synced(spark, folder) -> str:
             row=FACT_ROW,
             key=["form_uuid", "item_name"],
             knowledge="form_availability_timestamp",
-            key_fixes_day=True,
         )
     return f"{root}/target"
 
@@ -400,6 +430,51 @@ def stream_sync_rejects(spark, folder):
     return sync.read_rejects(spark, synced(spark, folder)).select("value")
 
 
+@query(
+    "stream_sync_restated",
+    """SELECT event_id AS form_uuid, count(DISTINCT value) AS n_values, min(ts) AS first_known,
+              max(ts) AS last_known,
+              max_by(value, ts) AS last_value
+       FROM (SELECT event_id, value, ts FROM events
+             UNION ALL SELECT event_id, value + 1, ts + INTERVAL 400 DAY FROM events
+             WHERE event_type = 'purchase') GROUP BY event_id""",
+)
+def stream_sync_restated(spark, folder):
+    """Facts of one kind are restated later with another value; both versions stay."""
+    facts = tables.item_facts(spark, folder).select(*FACT_ROW.names)
+    later = facts.where("item_name = 'purchase'").withColumns(
+        {
+            "item_value": F.col("item_value") + 1,
+            "form_availability_timestamp": F.col("form_availability_timestamp") + F.expr("INTERVAL 400 DAY"),
+        }
+    )
+
+    def land(path):
+        for name, rows in (("first", facts), ("later", later), ("again", facts.where("form_uuid % 3 = 0"))):
+            files.write_json(paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}")), f"{path}/{name}")
+
+    drops = written_once(spark, "restated", folder, land)
+    root = shared_folder(spark, "sync-restated")
+    for name in ("first", "later", "again"):
+        sync.sync_pages(
+            spark,
+            landing=f"{drops}/{name}",
+            target=f"{root}/target",
+            checkpoint=f"{root}/{name}",
+            row=FACT_ROW,
+            key=["form_uuid", "item_name"],
+            knowledge="form_availability_timestamp",
+        )
+    rows = sync.read_target(spark, f"{root}/target", FACT_ROW)
+    known = "form_availability_timestamp"
+    return rows.groupBy("form_uuid").agg(
+        F.count_distinct("item_value").alias("n_values"),
+        F.min(known).alias("first_known"),
+        F.max(known).alias("last_known"),
+        F.max_by("item_value", known).alias("last_value"),
+    )
+
+
 SYNCED = {
     "metadata": sync.SyncedTable(FILING_ROW, ("uuid",), "filing_date"),
     "information_table": sync.SyncedTable(LINE_ROW, ("uuid", "line", "cusip"), "form_availability_timestamp"),
@@ -413,7 +488,7 @@ SYNCED = {
          (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem) GROUP BY 2""",
 )
 def stream_sync_tables(spark, folder):
-    """Multi-table pages, each with one of two tables, synced into two targets."""
+    """Multi-table pages, each with one of two tables, synced into two targets; keys as last known."""
     root = shared_folder(spark, "sync-tables")
     targets = {name: f"{root}/{name}" for name in SYNCED}
     for name in SYNCED:
@@ -427,10 +502,10 @@ def stream_sync_tables(spark, folder):
             schemas.table_envelope({n: t.row for n, t in SYNCED.items()}),
         )
     counted = [
-        sync.read_target(spark, targets[name], SYNCED[name].row)
+        versions.latest(sync.read_target(spark, targets[name], kept.row), list(kept.key), kept.knowledge)
         .groupBy("uuid")
         .agg(F.count("*").alias("n_rows"))
         .select(F.lit(name).alias("name"), "uuid", "n_rows")
-        for name in SYNCED
+        for name, kept in SYNCED.items()
     ]
     return counted[0].unionByName(counted[1])

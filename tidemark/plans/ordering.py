@@ -2,23 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from tidemark.operators.paging import with_position
 
-from tidemark.session import stored
-
-
-def with_position(df: DataFrame) -> DataFrame:
-    """The rows of a sorted frame with their place in it, from 1.
-
-    A sorted frame has its ranges in partition order, and so does the id that grows with it. The
-    ranges are counted and summed up, one row a range; no task sees more than its range.
-    """
-    numbered = stored(df.withColumn("_id", F.monotonically_increasing_id()))
-    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = numbered.withColumns({"_part": part, "_place": place})
-    counts = numbered.groupBy("_part").agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    position = F.col("_start") + F.col("_place") + 1
-    return numbered.join(starts, "_part").select(*df.columns, position.alias("position"))
+__all__ = ["with_position"]

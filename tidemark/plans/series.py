@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import conform, keywords, periods
-from tidemark.operators import catalog
+from tidemark.operators import catalog, paging, postings
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.ordering import with_position
 from tidemark.plans.registry import query
+from tidemark.session import written_once
 from tidemark.sources.tables import read_table
 from tidemark.store import ItemDictionary
 
@@ -449,18 +447,39 @@ def search_null_page(spark, folder):
     """SELECT p_partkey AS payload_id,
               (row_number() OVER (ORDER BY nullif(p_type, 'ECONOMY') NULLS FIRST, p_partkey) - 1) // 150
                 AS page
-       FROM part WHERE p_size <= 10""",
+       FROM part""",
 )
 def search_all_pages(spark, folder):
-    """Every page of a catalog in which some rows lack the leading key."""
-    rows = tables.catalog(spark, folder).where("cast(country as int) <= 10").select(
+    """Every page of a catalog in which some rows lack the leading key, numbered in one job."""
+    rows = tables.catalog(spark, folder).select(
         "payload_id", F.nullif("commodity", F.lit("ECONOMY")).alias("commodity")
     )
-    found = catalog.pages(rows, ["commodity", "payload_id"], 150)
-    numbered = [
-        page.select("payload_id", F.lit(k).cast("bigint").alias("page")) for k, page in enumerate(found)
-    ]
-    return reduce(DataFrame.unionByName, numbered)
+    found = paging.numbered_pages(rows, ["commodity", "payload_id"], 150)
+    return found.select("payload_id", (F.col("page") - 1).alias("page"))
+
+
+@query(
+    "deep_page",
+    """SELECT l_orderkey AS uuid, l_linenumber AS line, l_partkey AS cusip, position FROM (
+         SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey,
+                                      l_quantity, l_extendedprice) AS position,
+                count(*) OVER () AS n FROM lineitem)
+       WHERE position > (n * 9 // 10 // 500) * 500 AND position <= (n * 9 // 10 // 500) * 500 + 500""",
+)
+def deep_page(spark, folder):
+    """A page of 500 at nine tenths of a table, read from the key ranges that hold it."""
+    rows = read_table(spark, folder, "lineitem")
+    key = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    ranges = paging.key_ranges(rows, key)
+    number = ranges.agg(F.sum("n")).first()[0] * 9 // 10 // 500
+    page = paging.page_by_number(rows, key, number + 1, 500, ranges)
+    page = page.select(
+        F.col("l_orderkey").alias("uuid"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("cusip"),
+        *key,
+    )
+    return _from(page.orderBy(*key).drop(*key), number * 500)
 
 
 @query("offset_page", f"{_PLACED_SQL} ORDER BY position LIMIT 500 OFFSET 750")
@@ -524,3 +543,36 @@ def keyword_search_documents(spark, folder):
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     found = keywords.keyword_matches(documents, "text", ["the license", "and les"])
     return found.select("doc_id", "score", "n_tokens")
+
+
+@query(
+    "keyword_postings",
+    f"""SELECT doc_id, score, n_tokens FROM (
+          SELECT doc_id, len(list_intersect({_tokens_sql('text')}, ['and', 'les', 'license', 'the']))
+                 AS score, len({_tokens_sql('text')}) AS n_tokens FROM documents)
+        WHERE score > 0""",
+)
+def keyword_postings(spark, folder):
+    """The same search, read from stored postings of its tokens."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    path = written_once(
+        spark,
+        "keyword-postings",
+        folder,
+        lambda path: postings.write_keywords(documents, ["doc_id"], "text", path),
+    )
+    return postings.search_keywords(spark, path, ["doc_id"], ["the license", "and les"])
+
+
+@query(
+    "catalog_substring",
+    f"""SELECT {_CATALOG_SQL} FROM part
+        WHERE lower(concat_ws(' ', p_name, p_type, p_brand, p_size::VARCHAR)) LIKE '%ue ri%'""",
+)
+def catalog_substring(spark, folder):
+    """Series whose columns hold a text, from stored three-letter postings."""
+    rows = tables.catalog(spark, folder)
+    path = written_once(
+        spark, "grams", folder, lambda path: postings.write_grams(rows, ["payload_id"], path)
+    )
+    return postings.search_substring(rows, path, ["payload_id"], "UE ri")

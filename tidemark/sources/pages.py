@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators import sweep
+from tidemark.operators.joins import lookup
 from tidemark.session import stored
 
 CORRUPT = "_corrupt"
@@ -115,26 +117,88 @@ def page_request(self_link="links.self") -> Column:
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
-    """Per request: pages and rows received against the announced total."""
-    received = pages.select(
+    """Per request: pages and rows received against the announced total.
+
+    Complete are requests of which the row counts agree, one page is the last, no page came twice and
+    every page that another one names as the next came: a page that was repeated does not make up
+    for one that was lost. Pages are counted by where they start, then by request, so a request of
+    any number of pages is spread. `page_gaps` lists what is missing or doubled.
+    """
+    n = F.coalesce(F.size("data"), F.lit(0)).cast("bigint")
+    received = F.struct(
+        page_offset().alias("start"), F.lit(1).alias("came"), n.alias("n"), F.lit(0).alias("named")
+    )
+    following = F.struct(
+        page_offset("links.next").alias("start"),
+        F.lit(0).alias("came"),
+        F.lit(0).cast("bigint").alias("n"),
+        F.lit(1).alias("named"),
+    )
+    last = F.col("links.next").isNull()
+    starts = pages.select(
         page_request().alias("request"),
-        F.coalesce(F.size("data"), F.lit(0)).cast("bigint").alias("n"),
         F.col("count").alias("announced"),
-        F.col("links.next").isNull().alias("is_last"),
+        last.cast("int").alias("last"),
+        F.explode(F.when(last, F.array(received)).otherwise(F.array(received, following))).alias("_at"),
     )
-    return (
-        received.groupBy("request")
-        .agg(
-            F.count("*").alias("n_pages"),
-            F.sum("n").alias("n_rows"),
-            F.max("announced").alias("n_announced"),
-            F.count_if("is_last").alias("n_last_pages"),
-        )
-        .withColumn(
-            "complete",
-            (F.col("n_rows") == F.col("n_announced")) & (F.col("n_last_pages") == 1),
-        )
+    starts = starts.groupBy("request", "_at.start").agg(
+        F.sum("_at.came").alias("came"),
+        F.sum("_at.n").alias("n"),
+        F.max("_at.named").alias("named"),
+        F.max("announced").alias("announced"),
+        F.sum(F.col("last") * F.col("_at.came")).alias("last"),
+    )
+    lost, twice = (F.col("named") == 1) & (F.col("came") == 0), F.col("came") > 1
+    return starts.groupBy("request").agg(
+        F.sum("came").alias("n_pages"),
+        F.sum("n").alias("n_rows"),
+        F.max("announced").alias("n_announced"),
+        F.sum("last").alias("n_last_pages"),
+        (
+            (F.sum("n") == F.max("announced"))
+            & (F.sum("last") == 1)
+            & (F.count_if(lost) == 0)
+            & (F.count_if(twice) == 0)
+        ).alias("complete"),
+    )
+
+
+def page_gaps(pages: DataFrame) -> DataFrame:
+    """(request, kind, low, high): ranges of offsets, high exclusive, that are `missing` between 0 and
+    the announced total, that came more than once (`doubled`), or that lie `beyond` the total.
+
+    A page of n rows at an offset is the range from there to n rows on. Copies of a range are counted
+    first; the ranges of a request are then swept in order, over as many tasks as they need.
+    """
+    n = F.coalesce(F.size("data"), F.lit(0)).cast("bigint")
+    ranges = pages.select(
+        page_request().alias("request"), page_offset().alias("low"), n.alias("n"), F.col("count").alias("total")
+    ).groupBy("request", "low", (F.col("low") + F.col("n")).alias("high"))
+    ranges = ranges.agg(F.count("*").alias("copies"), F.max("total").alias("total"))
+    totals = ranges.groupBy("request").agg(
+        F.max("total").alias("announced"),
+        F.max(F.when(F.col("high") > F.col("low"), F.col("high"))).alias("top")
+    ).fillna(0, ["top"])
+    totals = stored(totals)
+    ranges = sweep.with_reach(ranges.where("high > low"), ["request"], ["low", "high"], "high")
+    ranges = lookup(ranges, totals.select("request", "announced"), "request")
+    total, reached = F.col("announced"), F.coalesce("reached", F.lit(0))
+
+    def found(kind: str, low: Column, high: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"))
+
+    at, end = F.col("low"), F.col("high")
+    again = F.when(F.col("copies") > 1, end).otherwise(F.least(end, reached))
+    kinds = F.array(
+        found("missing", reached, F.least(at, total)),
+        found("doubled", at, again),
+        found("beyond", F.greatest(at, total), F.when(end > total, end)),
+    )
+    inner = ranges.select("request", F.inline(F.filter(kinds, lambda k: k["high"] > k["low"])))
+    tail = totals.where("announced > top").select(
+        "request", F.lit("missing").alias("kind"), F.col("top").alias("low"), F.col("announced").alias("high")
     )
+    return inner.unionByName(tail)
 
 
 def split_tables(

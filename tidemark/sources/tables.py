@@ -25,6 +25,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def filing_day(df: DataFrame, column: str = "filing_date") -> Column:
     """Day of a filing in the filing zone, whatever the zone of the session."""
     if not isinstance(df.schema[column].dataType, T.TimestampType):

@@ -8,34 +8,36 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.sources.pages import is_one_value, parsed_bodies
-from tidemark.sources.tables import exists
+from tidemark.sources.tables import exists, make_folder
 
-FEED, BATCH, BUCKET = "sync_feed", "sync_batch", "sync_bucket"
-BUCKETS = 16
-REJECTS = "_rejects"
+BATCH = "sync_batch"
+STATE, LANDED, REJECTS = "_state", "_landed", "_rejects"
+ROW_DIGEST = "sync_row"
 REJECT_ROW = schemas.struct(file_path=schemas.STRING, value=schemas.STRING)
+# The state of a table outgrows memory: it lies in RocksDB, of which a batch saves what it changed.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 @dataclass(frozen=True)
 class SyncedTable:
-    """How a table is kept: its columns, its key, and the column of its knowledge instant.
-
-    `key_fixes_day` states that rows of equal key are known on the same day.
-    """
+    """How a table is kept: its columns, its key, and the column of its knowledge instant."""
 
     row: T.StructType
     key: tuple[str, ...]
     knowledge: str
-    key_fixes_day: bool = False
-    buckets: int = BUCKETS
 
 
 def high_water(df: DataFrame, column: str) -> DataFrame:
@@ -57,35 +59,21 @@ def late_rows(df: DataFrame, filing_date: str, window_start) -> DataFrame:
     return df.where(F.col(filing_date) < window_start)
 
 
-def one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key, the smallest, so that a replay picks the same one; rows with
-    a column that has no order, such as a document body, give any of their copies."""
-    others = [c for c in rows.columns if c not in key]
-    unordered = (T.VariantType, T.MapType)
-    if not others or any(isinstance(rows.schema[c].dataType, unordered) for c in others):
-        return rows.dropDuplicates(key)
-    picked = rows.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row"))
-    return picked.select(*key, "_row.*").select(*rows.columns)
-
-
-def _layout(row: T.StructType) -> T.StructType:
-    parts = [
-        T.StructField(FEED, T.StringType()),
-        T.StructField(BATCH, T.LongType()),
-        T.StructField(BUCKET, T.IntegerType()),
-    ]
-    return T.StructType([*row.fields, *parts])
-
-
-def _stored(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
-    if not exists(spark, target):
-        return spark.createDataFrame([], _layout(row))
-    return spark.read.schema(_layout(row)).parquet(target)
+def _state_id(spark: SparkSession, target: str) -> str | None:
+    """The id of the stream that keeps a table, which names the folder of its rows."""
+    if not exists(spark, f"{target}/{STATE}/metadata"):
+        return None
+    return json.loads(spark.read.text(f"{target}/{STATE}/metadata").first()["value"])["id"]
 
 
 def read_target(spark: SparkSession, target: str, row: T.StructType) -> DataFrame:
-    """The synced table, without the columns it is laid out by."""
-    return _stored(spark, target, row).select(*row.names)
+    """The synced table: every row that was landed, each version of a key, copies once."""
+    state = _state_id(spark, target)
+    path = f"{target}/{state}"
+    if state is None or not exists(spark, path):
+        return spark.createDataFrame([], row)
+    laid_out = T.StructType([*row.fields, T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(laid_out).parquet(path).select(*row.names)
 
 
 def read_rejects(spark: SparkSession, target: str) -> DataFrame:
@@ -93,8 +81,10 @@ def read_rejects(spark: SparkSession, target: str) -> DataFrame:
     return read_target(spark, f"{target}/{REJECTS}", REJECT_ROW)
 
 
-def _day(column: str) -> Column:
-    return F.col(column).try_cast("date")
+def row_digest(row: T.StructType) -> Column:
+    """MD5 of a row, null fields included; equal rows have equal digests."""
+    whole = F.to_json(F.struct(*row.names), {"ignoreNullFields": "false"})
+    return F.unhex(F.md5(whole))
 
 
 def page_bodies(files: DataFrame) -> DataFrame:
@@ -113,49 +103,52 @@ def page_bodies(files: DataFrame) -> DataFrame:
     return files.select(F.explode(found).alias("value"), "file_path")
 
 
-def append_new(
-    rows: DataFrame, feed: str, batch_id: int, target: str, table: SyncedTable
-) -> None:
-    """Write the rows of one batch of a feed whose key the target lacks.
+def land(rows: DataFrame, feed: str, batch_id: int, target: str) -> None:
+    """Adds the rows of one batch of a feed to what has been landed for a table. Nothing is looked
+    up or replaced: a replayed batch lands copies, which `keep_new` drops."""
+    rows.write.mode("append").parquet(f"{target}/{LANDED}/{feed}/{batch_id}")
+
 
-    A batch owns one folder, named by its feed too, and overwrites it: a replayed batch leaves the
-    table as it was, and no feed touches the rows of another. The target is laid out by a hash of
-    the key and sorted by knowledge, so the look for equal keys reads only the buckets the batch
-    has, and with `key_fixes_day` only row groups of its days. Null keys equal each other.
+def keep_new(spark: SparkSession, target: str, table: SyncedTable) -> StreamingQuery:
+    """Starts the stream that brings landed rows into the table, each once, and ends when all are in.
+
+    What the table holds is known from the state of the stream, 16 bytes a row, not from the table:
+    a batch reads the rows landed since the last one and meets the state of their digests, however
+    large the table is. All feeds pass through this one stream, so a page that two feeds land, or
+    one whose checkpoint was lost, adds its rows once. A batch owns a folder and overwrites it in a
+    replay. Should the state be lost, the table is built anew from all that was landed.
     """
-    spark, key = rows.sparkSession, list(table.key)
-    bucket = F.pmod(F.xxhash64(*key), F.lit(table.buckets)).cast("int")
-    fresh = one_per_key(rows.select(*table.row.names), key).withColumn(BUCKET, bucket).persist()
-    try:
-        known = _stored(spark, target, table.row)
-        known = known.where(~((F.col(FEED) == feed) & (F.col(BATCH) == batch_id)))
-        day = _day(table.knowledge)
-        met = fresh.agg(  # at most one number a bucket
-            F.collect_set(BUCKET).alias("buckets"),
-            F.min(day).alias("first"),
-            F.max(day).alias("last"),
-            F.count_if(day.isNull()).alias("undated"),
-        ).first()
-        known = known.where(F.col(BUCKET).isin(met["buckets"]))
-        if table.key_fixes_day:
-            at, kind = F.col(table.knowledge), table.row[table.knowledge].dataType
-            dated = (at >= F.lit(met["first"]).cast(kind)) & (
-                at < F.date_add(F.lit(met["last"]), 1).cast(kind)
-            )
-            known = known.where(dated | at.isNull() if met["undated"] else dated)
-        same = reduce(
-            Column.__and__,
-            [fresh[BUCKET] == known[BUCKET], *[fresh[k].eqNullSafe(known[k]) for k in key]],
-        )
-        new = fresh.join(known.select(BUCKET, *key), same, "left_anti")
-        # Ranges of the key split a crowded bucket over several writers.
-        laid_out = new.repartitionByRange(BUCKET, *key).sortWithinPartitions(
-            BUCKET, table.knowledge, *key
-        )
-        path = f"{target}/{FEED}={feed}/{BATCH}={batch_id}"
-        laid_out.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-    finally:
-        fresh.unpersist()
+    found = (
+        spark.readStream.schema(table.row)
+        .option("recursiveFileLookup", "true")
+        .parquet(f"{target}/{LANDED}")
+        .withColumn(ROW_DIGEST, row_digest(table.row))
+        .dropDuplicates([ROW_DIGEST])
+        .drop(ROW_DIGEST)
+    )
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        path = f"{target}/{_state_id(rows.sparkSession, target)}/{BATCH}={batch_id}"
+        order = [c for c in (table.knowledge, *table.key)]
+        rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+    return (
+        found.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{target}/{STATE}")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _state_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose streams keep their state in RocksDB; the settings of
+    the session given stay as they are."""
+    session = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        session.conf.set(key, spark.conf.get(key))
+    for key, value in STATE_CONF.items():
+        session.conf.set(key, value)
+    return session
 
 
 def _feed_of(spark: SparkSession, checkpoint: str) -> str:
@@ -180,18 +173,25 @@ def sync_tables(
     `data` of the envelope maps table names to row lists, or is one list if there is one table.
     Error bodies, blank files, cut-off pages, pages with more text behind them and pages whose values
     do not fit go to the rejects, with the name of their file.
-    Progress is kept in `checkpoint`. Should it be lost, all pages are read again as a new feed;
-    rows and rejects that are there already are not added again.
+    A row restated later, or with other values at the same instant, is a version of its own and kept;
+    only copies that agree in every column are left out (see `known_at` for one version a key).
+    Which files were read is kept in `checkpoint`, which rows a table has in the state below its
+    target. Should a checkpoint be lost, all pages are read again as a new feed, and no row is added
+    again. Two feeds of one target are run one after another.
     """
+    session = _state_session(spark)
+    kept = {targets[name]: table for name, table in tables.items()}
+    kept[rejects] = SyncedTable(REJECT_ROW, ("value",), "file_path")
+    for target, table in kept.items():
+        make_folder(spark, f"{target}/{LANDED}")
     found = (
-        spark.readStream.format("text")
+        session.readStream.format("text")
         .option("wholetext", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
         .load(landing)
         .select("value", F.col("_metadata.file_path").alias("file_path"))
     )
-    reject_table = SyncedTable(REJECT_ROW, ("file_path", "value"), "file_path")
     single = isinstance(envelope["data"].dataType, T.ArrayType)
 
     def write(bodies: DataFrame, batch_id: int) -> None:
@@ -202,8 +202,11 @@ def sync_tables(
             pages = parsed.where("not _bad")
             for name, table in tables.items():
                 listed = F.col("_row.data") if single else F.col(f"_row.data.{name}")
-                append_new(pages.select(F.inline(listed)), feed, batch_id, targets[name], table)
-            append_new(parsed.where("_bad"), feed, batch_id, rejects, reject_table)
+                rows = pages.select(F.inline(listed)).select(*table.row.names)
+                land(rows, feed, batch_id, targets[name])
+            unread = parsed.where("_bad").select(*REJECT_ROW.names)
+            if not unread.isEmpty():
+                land(unread, feed, batch_id, rejects)
         finally:
             parsed.unpersist()
 
@@ -214,6 +217,8 @@ def sync_tables(
         .start()
     )
     query.awaitTermination()
+    for started in [keep_new(session, target, table) for target, table in kept.items()]:
+        started.awaitTermination()
 
 
 def sync_pages(
@@ -224,16 +229,15 @@ def sync_pages(
     row: T.StructType,
     key: list[str],
     knowledge: str,
-    key_fixes_day: bool = False,
     files_per_batch: int = 1000,
 ) -> None:
     """`sync_tables` for pages whose `data` is one list; rejects lie below the target."""
     sync_tables(
         spark,
         landing,
-        {"rows": f"{target}"},
+        {"rows": target},
         checkpoint,
-        {"rows": SyncedTable(row, tuple(key), knowledge, key_fixes_day)},
+        {"rows": SyncedTable(row, tuple(key), knowledge)},
         f"{target}/{REJECTS}",
         schemas.envelope(row),
         files_per_batch,
