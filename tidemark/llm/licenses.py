@@ -14,8 +14,6 @@ CUT = "\x01"
 BOUNDARY = r"([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09\x0B-\x0D]*\n"
 # The colon of this tag ends no sentence, and whatever stands before the tag is another sentence.
 SPDX_TAG = r"(?i)(SPDX-License-Identifier)[\x20\x09]*:"
-# Lines without a word before a sentence that ends a passage, at most so many less one, count as it.
-WRAPPED_LINES = 24
 
 # Sentences of public licence texts and notices.
 SENTENCES: dict[str, tuple[str, ...]] = {
@@ -120,6 +118,87 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         " as published by the Free Software Foundation, either version 3 of the License, or (at"
         " your option) any later version.",
     ),
+    "lgpl3_free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License, or"
+        " (at your option) any later version.",
+    ),
+    "lgpl_free": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public"
+        " License as published by the Free Software Foundation;",
+    ),
+    "lgpl21_version": (
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "lgpl21_reference": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "lgpl3_reference": (
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
+    "agpl_free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License, or"
+        " (at your option) any later version.",
+    ),
+    "agpl_reference": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "epl2_terms": (
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "epl1_terms": (
+        "All rights reserved. This program and the accompanying materials are made available under"
+        " the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is"
+        " available at http://www.eclipse.org/legal/epl-v10.html",
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License v1.0 which accompanies this distribution, and is available at"
+        " http://www.eclipse.org/legal/epl-v10.html",
+        "SPDX-License-Identifier: EPL-1.0",
+    ),
+    "zlib_warranty": (
+        "This software is provided 'as-is', without any express or implied warranty.",
+    ),
+    "zlib_liable": (
+        "In no event will the authors be held liable for any damages arising from the use of this"
+        " software.",
+    ),
+    "zlib_grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial"
+        " applications, and to alter it and redistribute it freely, subject to the following"
+        " restrictions:",
+    ),
+    "zlib_reference": ("SPDX-License-Identifier: Zlib", "Licensed under the zlib License."),
+    "bsl_grant": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a"
+        " copy of the software and accompanying documentation covered by this license (the"
+        ' "Software") to use, reproduce, display, distribute, execute, and transmit the Software,'
+        " and to prepare derivative works of the Software, and to permit third-parties to whom the"
+        " Software is furnished to do so, all subject to the following:",
+    ),
+    "bsl_reference": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
+    "wtfpl_everyone": (
+        "Everyone is permitted to copy and distribute verbatim or modified copies of this license"
+        " document, and changing it is allowed as long as the name is changed.",
+        "SPDX-License-Identifier: WTFPL",
+    ),
     "gpl2_free": (
         "you can redistribute it and/or modify it under the terms of the GNU General Public License"
         " as published by the Free Software Foundation;",
@@ -204,6 +283,15 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary")),
     ("Apache-2.0", ("apache_header", "apache_comply", "apache_copy", "apache_basis")),
     ("Apache-2.0", ("apache_header", "apache_comply")),
+    ("AGPL-3.0", ("agpl_free",)),
+    ("LGPL-3.0", ("lgpl3_free",)),
+    ("LGPL-2.1", ("lgpl_free", "lgpl21_version")),
+    ("EPL-2.0", ("epl2_terms",)),
+    ("EPL-1.0", ("epl1_terms",)),
+    ("Zlib", ("zlib_warranty", "zlib_liable", "zlib_grant")),
+    ("Zlib", ("zlib_grant",)),
+    ("BSL-1.0", ("bsl_grant",)),
+    ("WTFPL", ("wtfpl_everyone",)),
     ("GPL-3.0", ("gpl_free", "gpl_hope", "gpl_merchant", "gpl_details")),
     ("GPL-3.0", ("gpl_free",)),
     ("GPL-2.0", ("gpl2_free", "gpl2_version", "gpl_hope", "gpl_merchant", "gpl_details")),
@@ -218,6 +306,11 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("BSD-2-Clause", ("bsd2_reference",)),
     ("BSD", ("bsd_reference",)),
     ("Apache-2.0", ("apache_reference",)),
+    ("AGPL-3.0", ("agpl_reference",)),
+    ("LGPL-3.0", ("lgpl3_reference",)),
+    ("LGPL-2.1", ("lgpl21_reference",)),
+    ("Zlib", ("zlib_reference",)),
+    ("BSL-1.0", ("bsl_reference",)),
     ("GPL-3.0", ("gpl3_reference",)),
     ("GPL-2.0", ("gpl2_reference",)),
     ("MPL-2.0", ("mpl_reference",)),
@@ -241,8 +334,18 @@ def dictionary() -> dict[str, str]:
 
 
 def rule_pattern(names: Sequence[str]) -> str:
-    """Matches these identifiers in this order, with any others between them."""
-    return "(?:<[a-z0-9_]+>)*?".join(f"<{name}>" for name in names)
+    """Matches these identifiers in this order; a group for the others between each two of them."""
+    return "((?:<[a-z0-9_]+>)*?)".join(f"<{name}>" for name in names)
+
+
+def rule_rest(names: Sequence[str], mark: str = "$") -> str:
+    """What a match of `rule_pattern` leaves: the identifiers that are not its own."""
+    return "".join(f"{mark}{k}" for k in range(1, len(names)))
+
+
+def longest() -> int:
+    """Words of the longest known sentence: it is wrapped over so many lines with words at most."""
+    return max(len(s.split()) for s in dictionary())
 
 
 def markers() -> list[str]:
@@ -266,18 +369,18 @@ def _known(sentence: Column) -> Column:
 
 
 def _from_line() -> str:
-    """Matches at every line of a normalised passage from which a known sentence goes to the end of
-    that line or of a later one, the line alone before the longest; and at lines without a word, of
-    which at most so many lead to a sentence that ends the passage."""
+    """Matches the lines of a normalised passage from a line's begin to the end of that line or of a
+    later one that hold a known sentence, the line alone before the longest."""
     known = "|".join(sorted(dictionary(), key=lambda s: (-len(s), s)))
     wrapped = known.replace(" ", r"(?: |\n++)")
-    return rf"(?m)^(?=((?:{known})$|(?:{wrapped})$|\n{{1,{WRAPPED_LINES - 1}}}+(?:{wrapped})\n*+\z))"
+    return rf"(?m)^((?:{known})$|(?:{wrapped})$)"
 
 
 def _in_lines(sentence: Column) -> Column:
     """Identifiers of the known sentences that begin with a line, where the whole is not known.
 
-    A sentence may be wrapped over any number of lines, and other lines may follow it.
+    A sentence may be wrapped over any number of lines, and other lines may follow it. Its lines are
+    used up, so it counts once, and none that begins inside it counts.
     """
     lowered = F.translate(sentence, UPPER, LOWER)
     blanks = F.regexp_replace(F.regexp_replace(lowered, "[^a-z0-9\n]+", " "), " ?\n ?", "\n")
@@ -299,9 +402,20 @@ def sentence_ids(text: Column) -> Column:
 
 
 def licences(ids: Column) -> Column:
-    """Licences whose rules match, rules in order; matched identifiers serve no later rule."""
+    """Licences whose rules match, rules in order.
+
+    Matches of a rule are taken from left to right. Their own identifiers serve no later rule;
+    those between them stay, as they may be of another licence.
+    """
     rules = F.array(
-        *[F.struct(F.lit(n).alias("name"), F.lit(rule_pattern(r)).alias("form")) for n, r in RULES]
+        *[
+            F.struct(
+                F.lit(n).alias("name"),
+                F.lit(rule_pattern(r)).alias("form"),
+                F.lit(rule_rest(r)).alias("rest"),
+            )
+            for n, r in RULES
+        ]
     )
     start = F.struct(
         F.concat(F.lit("<"), F.array_join(ids, "><"), F.lit(">")).alias("left"),
@@ -311,7 +425,7 @@ def licences(ids: Column) -> Column:
     def apply(state: Column, rule: Column) -> Column:
         hit = F.regexp_like(state["left"], rule["form"])
         return F.struct(
-            F.when(hit, F.regexp_replace(state["left"], rule["form"], F.lit("")))
+            F.when(hit, F.regexp_replace(state["left"], rule["form"], rule["rest"]))
             .otherwise(state["left"])
             .alias("left"),
             F.when(hit, F.array_append(state["found"], rule["name"]))

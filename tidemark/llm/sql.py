@@ -131,34 +131,52 @@ def licences() -> str:
     )
     steps, before = [], "sequences"
     for n, (name, rule) in enumerate(licenses.RULES):
-        form = _text(licenses.rule_pattern(rule))
+        form, rest = _text(licenses.rule_pattern(rule)), _text(licenses.rule_rest(rule, "\\"))
         steps.append(
-            f"r{n} AS (SELECT doc_id, ids, regexp_replace(rest, {form}, '', 'g') AS rest,"
+            f"r{n} AS (SELECT doc_id, ids, regexp_replace(rest, {form}, {rest}, 'g') AS rest,"
             f" CASE WHEN regexp_matches(rest, {form})"
             f" THEN list_append(found, {_text(name)}) ELSE found END AS found FROM {before})"
         )
         before = f"r{n}"
     return f"""
-WITH known(sentence, id) AS (VALUES {known}),
+WITH RECURSIVE known(sentence, id) AS (VALUES {known}),
 sentences AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence
-  FROM (SELECT doc_id, string_split(regexp_replace(text, {_text(licenses.BOUNDARY)},
-               '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents)
+  FROM (SELECT doc_id, string_split(regexp_replace(
+               regexp_replace(text, {_text(licenses.SPDX_TAG)}, chr(1) || '\\1 ', 'g'),
+               {_text(licenses.BOUNDARY)}, '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents)
 ), whole AS (
   SELECT s.*, k.id FROM sentences s LEFT JOIN known k ON k.sentence = {normal.format("s.sentence")}
+), passages AS (
+  SELECT doc_id, place,
+         list_filter(list_transform(string_split(sentence, chr(10)), lambda s: {normal.format("s")}),
+                     lambda s: s <> '') AS parts
+  FROM whole WHERE id IS NULL AND contains(sentence, chr(10))
 ), lines AS (
-  SELECT doc_id, place, generate_subscripts(parts, 1) AS line, parts
-  FROM (SELECT doc_id, place, string_split(sentence, chr(10)) AS parts
-        FROM whole WHERE id IS NULL AND contains(sentence, chr(10)))
+  SELECT doc_id, place, i, parts, split_part(parts[i], ' ', 1) AS word
+  FROM (SELECT *, generate_subscripts(parts, 1) AS i FROM passages)
+), begun AS (
+  SELECT doc_id, place, i, parts, array_to_string(parts[i:i + {licenses.longest()}], chr(10)) || chr(10) AS rest
+  FROM lines WHERE word IN (SELECT split_part(sentence, ' ', 1) FROM known)
+), candidates AS (
+  SELECT doc_id, place, i,
+         arg_min({{'id': k.id,
+                  'j': i + length(k.sentence) - length(replace(rest[:length(k.sentence)], chr(10), ''))}},
+                 CASE WHEN parts[i] = k.sentence THEN -1000000 ELSE -length(k.sentence) END) AS hit
+  FROM begun b JOIN known k
+    ON starts_with(replace(b.rest, chr(10), ' '), k.sentence || ' ')
+   AND substr(b.rest, length(k.sentence) + 1, 1) = chr(10)
+  GROUP BY doc_id, place, i
+), picked AS (
+  SELECT doc_id, place, min(i) AS i, arg_min(hit, i) AS hit FROM candidates GROUP BY doc_id, place
+  UNION ALL
+  SELECT c.doc_id, c.place, min(c.i), arg_min(c.hit, c.i)
+  FROM picked p JOIN candidates c ON c.doc_id = p.doc_id AND c.place = p.place AND c.i > p.hit.j
+  GROUP BY c.doc_id, c.place
 ), hits AS (
   SELECT doc_id, place, 0 AS line, id FROM whole WHERE id IS NOT NULL
   UNION ALL
-  SELECT doc_id, place, line, coalesce(a.id, b.id)
-  FROM lines
-  LEFT JOIN known a ON a.sentence = {normal.format("parts[line]")}
-  LEFT JOIN known b ON len(parts) - line + 1 <= {licenses.WRAPPED_LINES}
-    AND b.sentence = {normal.format("array_to_string(parts[line:], ' ')")}
-  WHERE coalesce(a.id, b.id) IS NOT NULL
+  SELECT doc_id, place, i, hit.id FROM picked
 ), sequences AS (
   SELECT d.doc_id, list(h.id ORDER BY place, line) FILTER (WHERE h.id IS NOT NULL) AS ids,
          '<' || string_agg(h.id, '><' ORDER BY place, line) || '>' AS rest,
