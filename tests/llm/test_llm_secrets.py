@@ -160,3 +160,46 @@ def test_few_tokens_are_judged_with_their_neighbours():
     assert secrets.cutoffs({("hex", 9): even, ("hex", 10): few})["hex", 10] <= 0.08
     assert secrets.cutoffs({("hex", 9): tail, ("hex", 10): few / 3})["hex", 10] >= 0.16
     assert secrets.cutoffs({("hex", 9): tail})["hex", 9] >= 0.16
+
+
+FORMS = {
+    "assigned": "DB_KEY={}",
+    "exported": "export SERVICE_URL={}\n",
+    "address": "https://example.org/static/{}/index.html",
+    "prefixed": "sk_live_{}",
+    "path": "Var/Cache/{}.bin",
+    "joined": "session-{}-end",
+    "query": "?a=1&key={}&b=2",
+}
+
+
+@pytest.mark.parametrize("form", sorted(FORMS))
+def test_random_values_inside_names_paths_and_addresses(spark, form):
+    rng = np.random.default_rng(11)
+    letters = np.array(list(secrets.SMALL + secrets.DIGITS))
+    values = ["".join(rng.choice(letters, 32)) for _ in range(200)]
+    clean = [
+        "a long-hyphenated-compound-word-of-several-parts and some/path/to/a/file_name_of_words here",
+        "SOME_CONSTANT_NAME=another_constant_name_without_numbers --with-a-long-option=true",
+        "0000000000000000000000000000 1111111111aaaaaaaaaaaaaaaaaa abcdef0123456789abcdef0123456789",
+    ] * 40
+    texts = [f"see {FORMS[form].format(v)} there" for v in values] + clean
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r.doc_id: r.spans for r in secrets.find(docs).collect()}
+    hit = sum(any(v in texts[k][s.start : s.end] for s in rows[k]) for k, v in enumerate(values))
+    assert hit >= 180
+    assert not any(s.kind == "random" for k in range(200, len(texts) - 40) for s in rows[k])
+
+
+def test_candidates_are_values_and_parts():
+    value = "q7d0x2k9v1b8n5m3z6c4r2t1"
+    base64 = "Aq7Bd0/xK2kZ9v+W1bL8nM5m3Z6="
+
+    def found(token):
+        return [[(at, text) for at, text, _ in choices] for choices in secrets.candidates(token, 20)]
+
+    assert found(f"KEY={value}") == [[(4, value)]]
+    assert found(f"KEY={base64}")[0][0] == (4, base64)
+    assert found(f"a={value}=b={value}==") == [[(2, value)], [(29, value + "==")]]
+    assert found(f"pre_{value}/x") == [[(4, value)]]
+    assert found("short=short") == [] and found("=" * 30) == []

@@ -23,6 +23,8 @@ ASSIGN = re.compile(
     re.ASCII | re.IGNORECASE,
 )
 ACCESS = re.compile("AKIA[A-Z0-9]+")
+# What `=` cuts a token into, with the padding at its end, and what other marks cut that into.
+VALUE, PART = re.compile("[^=]+(?:=+$)?"), re.compile("[^/_-]+")
 ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -94,6 +96,25 @@ def battery(symbols: list[int], k: int) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
+def candidates(token: str, least: int) -> Iterator[list[tuple[int, str, tuple[str, int, float]]]]:
+    """What of a token may be a secret: lists of (offset, text, candidate), the longest first.
+
+    A name and a value joined by `=` are two; marks at the end are padding and stay. Of each, the
+    whole comes first, if an encoding holds it, then the parts that `/`, `_` and `-` join, as in
+    addresses, paths and prefixed keys.
+    """
+    for piece in VALUE.finditer(token):
+        found = []
+        whole = candidate(piece[0]) if len(piece[0]) >= least else None
+        if whole:
+            found.append((piece.start(), piece[0], whole))
+        for part in PART.finditer(piece[0]):
+            if least <= len(part[0]) < len(piece[0]) and (tested := candidate(part[0])):
+                found.append((piece.start() + part.start(), part[0], tested))
+        if found:
+            yield found
+
+
 def length_band(n: int) -> int:
     """Half powers of two, so the bands are few whatever the lengths."""
     return int(2 * math.log2(n))
@@ -192,11 +213,15 @@ def spans_of(
                     found[row].append(("access", *m.span()))
     base = [[(start, end) for _, start, end in spans] for spans in found]
     for row, start, end, token in _long_tokens(column, TOKEN, least):
-        if any(s < end and start < e for s, e in base[row]):
-            continue
-        tested = candidate(token)
-        if tested and tested[2] >= limits.get(tested[:2], 1.0):
-            found[row].append(("random", start, end))
+        for choices in candidates(token, least):
+            taken = -1
+            for offset, text, tested in choices:
+                first, last = start + offset, start + offset + len(text)
+                if last <= taken or any(s < last and first < e for s, e in base[row]):
+                    continue
+                if tested[2] >= limits.get(tested[:2], 1.0):
+                    found[row].append(("random", first, last))
+                    taken = last
     return [sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))) for spans in found]
 
 
@@ -212,19 +237,18 @@ def randomness_histogram(docs: DataFrame, least: int = 20) -> DataFrame:
 
     @workers.lean
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[str] = set()
         for batch in batches:
             rows = []
             for _, _, _, token in _long_tokens(batch.column(0), TOKEN, least):
-                digest = hashlib.blake2b(token.rstrip("=").encode(), digest_size=8).digest()
-                name = int.from_bytes(digest, "little", signed=True)
-                if name in seen:
+                if token in seen:
                     continue
                 if len(seen) >= REMEMBERED:
                     seen.clear()
-                seen.add(name)
-                found = candidate(token)
-                if found:
+                seen.add(token)
+                for _, text, found in (one for choices in candidates(token, least) for one in choices):
+                    digest = hashlib.blake2b(text.rstrip("=").encode(), digest_size=8).digest()
+                    name = int.from_bytes(digest, "little", signed=True)
                     rows.append((name, *found[:2], min(int(found[2] * BINS), BINS - 1)))
             columns = zip(*rows, strict=True) if rows else [()] * len(types)
             yield pa.RecordBatch.from_arrays(
@@ -249,9 +273,9 @@ def fitted_cutoffs(
 def find(docs: DataFrame, rate: float = 0.05, least: int = 20) -> DataFrame:
     """(doc_id, spans) of each row: array of (kind, start, end), code points, end exclusive.
 
-    Kinds are those of the fixed patterns and `random`: maximal tokens of at least `least`
-    characters that fit an encoding, overlap no fixed pattern and pass the battery at the cut-off
-    of their encoding and length band. Two scans, no shuffle but of the hashes of candidates.
+    Kinds are those of the fixed patterns and `random`: tokens of at least `least` characters, values
+    behind a `=`, or parts of them (see candidates) that fit an encoding, overlap no fixed pattern
+    and pass the battery at the cut-off of their encoding and length band. Two scans, no shuffle but of the hashes of candidates.
 
     A null or empty text has no spans. Repeated rows are treated alike (and counted as often as
     they occur); spans that start together go by kind. An empty table gives an empty result.
