@@ -141,3 +141,60 @@ def test_gradients_are_those_of_the_loss():
         low = (run()[1] * aim).sum()
         weights[index] = value
         assert abs((high - low) / (2 * step) - gradient[index]) < 1e-3
+
+
+def test_a_repeated_id_keeps_the_sample_bounded(spark):
+    rows = [(1, f"text number {i} of one id", "en") for i in range(3000)]
+    rows += [(1, "texte", "fr")] * 40 + [(i, "autre texte", "fr") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.examples(docs, per_language=8)
+    per = {lang: sum(1 for x, _ in found if x == lang) for lang in ("en", "fr")}
+    assert 0 < per["en"] <= langid.SEGMENTS_PER_DOC and 8 <= per["fr"] <= 8 * langid.SEGMENTS_PER_DOC
+
+
+def test_pooled_labels_equal_a_walk_byte_by_byte():
+    rng = np.random.default_rng(7)
+    net = langid.Network(["a", "b", "c"], langid.Direction(rng, 6), langid.Direction(rng, 6))
+    net.out = [rng.normal(size=(6, 3)).astype(np.float32) for _ in range(2)] + [np.ones(3, np.float32)]
+    given = [b"", b"x", b"some text", bytes(rng.integers(0, 256, langid.SEGMENT * 2 + 5, dtype=np.uint8))]
+    given.append(bytes(rng.integers(0, 256, langid.SEGMENT, dtype=np.uint8)))
+
+    def walk(layer, data):
+        h, states = np.zeros((1, 6), np.float32), []
+        for byte in data:
+            h = layer.step(np.array([byte]), h)[-1]
+            states.append(h[0])
+        return states
+
+    want = []
+    for raw in given:
+        total = np.zeros(3)
+        for at in range(0, len(raw), langid.SEGMENT):
+            piece = raw[at : at + langid.SEGMENT]
+            ahead, behind = walk(net.forward, piece), walk(net.backward, piece[::-1])[::-1]
+            for f, b in zip(ahead, behind, strict=True):
+                z = np.exp(f @ net.out[0] + b @ net.out[1] + net.out[2])
+                total += z / z.sum()
+        want.append(total / max(len(raw), 1))
+    offsets = np.cumsum([0, *map(len, given)])
+    got = net.pooled(content_array(b"".join(given)), offsets)
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_fit_solves_the_ridge_equations(spark):
+    rng = np.random.default_rng(8)
+    given = rng.normal(size=(400, quality.STATISTICS))
+    marks = (given[:, 0] + given[:, 1] * given[:, 2] > 0).astype(float)
+    rows = [(r.tobytes(), float(q)) for r, q in zip(given, marks, strict=True)]
+    quality.workers.ready(spark)
+    model = quality.fit(spark.createDataFrame(rows, "statistics binary, quality double").repartition(5), fourier=32)
+    assert np.allclose(model.mean, given.mean(axis=0)) and np.allclose(model.scale, given.std(axis=0))
+    z = model.features(given)
+    ridge = quality.RIDGE * len(given) / 32 * np.eye(33)
+    ridge[-1, -1] = 0
+    assert np.allclose(model.weights, np.linalg.solve(z.T @ z + ridge, z.T @ marks), atol=1e-6)
+    bins = np.minimum((np.clip((z @ model.weights + 0.5) / 2, 0, 1) * quality.BINS).astype(int), quality.BINS - 1)
+    held = np.unique(bins)
+    hits = np.array([marks[bins == b].sum() for b in held])
+    want = quality.isotonic(hits, np.array([(bins == b).sum() for b in held], float))
+    assert np.allclose(model.steps[1], want)

@@ -204,15 +204,19 @@ def examples(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list:
 
     Documents are taken by the hash of their id, among those not held out (crc32(doc_id) mod 5 is
     not 0) with a language and a text; of each, SEGMENTS_PER_DOC segments spread over its whole text.
+    Rows that repeat an id in a language are one document, that of the smallest text hash, then text,
+    so however often an id repeats, the bound holds.
     """
     rows = docs.select("doc_id", "text", "lang").filter(
         "lang is not null and length(text) > 0 and doc_id is not null"
     )
     rows = rows.filter(~held_out(F.col("doc_id"), 5, 0))
-    drawn = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("langid")).alias("draw"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    drawn = rows.groupBy("doc_id", "lang").agg(F.min("hash").alias("hash"))
+    drawn = drawn.withColumn("draw", F.xxhash64("doc_id", F.lit("langid")))
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     drawn = drawn.withColumn("turn", F.row_number().over(order))
-    drawn = stored(drawn.filter(F.col("turn") <= per_language).select("doc_id").distinct())
+    drawn = stored(drawn.filter(F.col("turn") <= per_language).select("doc_id", "lang", "hash"))
 
     @workers.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +233,9 @@ def examples(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list:
                 names=["lang", "segment"],
             )
 
-    chosen = rows.join(drawn, "doc_id", "left_semi").select("lang", "text")
+    # at most per_language rows a language, so the texts that meet in the shuffle are few
+    chosen = rows.join(F.broadcast(drawn), ["doc_id", "lang", "hash"], "left_semi")
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
     found = chosen.mapInArrow(cut, "lang string, segment binary").collect()
     return sorted((r.lang, bytes(r.segment)) for r in found)
 
