@@ -92,4 +92,16 @@ def stored(df: DataFrame) -> DataFrame:
     """The same rows, written to and read back from the shared folder."""
     path = shared_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what `stored` wrote for these frames, once all that reads them is written itself; other
+    frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path is not None:
+            place = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
