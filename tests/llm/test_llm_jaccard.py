@@ -14,13 +14,13 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(docs):
+def brute(docs, percent=75):
     """doc_id -> (size, component) by comparing all pairs."""
     sets = [shingles(t) for _, t in docs]
     label = list(range(len(docs)))
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 old, new = label[i], label[j]
                 label = [new if x == old else x for x in label]
     out = []
@@ -66,6 +66,16 @@ def test_links_of_a_corpus_with_many_borderline_pairs(spark, corpus, monkeypatch
     assert table(jaccard_join.near_duplicates(docs)) == brute(corpus)
 
 
+@pytest.mark.parametrize("percent", [84, 85, 98, 99, 100])
+def test_links_at_any_share(spark, percent):
+    """At high shares there are many size bands; sizes about the 256th and the 512th of 99 link."""
+    words = [f"w{i}" for i in range(700)]
+    sizes = [*range(168, 182), 16, 17, 300, 301, 302, 600, 606, 612, 175, 600]
+    docs = [(k, " ".join(words[:n])) for k, n in enumerate(sizes)]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=percent)
+    assert table(found) == brute(docs, percent)
+
+
 def test_odd_docs(odd_docs, texts_of):
     assert table(jaccard_join.near_duplicates(odd_docs)) == brute(texts_of)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import workers
-from tidemark.session import stored
+from tidemark.session import discard, stored
 
 HELD_EDGES = 1 << 20
 
@@ -66,17 +66,19 @@ def components(edges: DataFrame) -> DataFrame:
     """
     workers.ready(edges.sparkSession)
     edges = stored(_local_forests(edges.filter("a <> b")).distinct())
-    state = None
+    state, spent = None, []
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.min("b").alias("near")))
-        least = least.withColumn("low", F.least("a", "near")).select("a", "low")
+        spent = [edges, stored(both.groupBy("a").agg(F.min("b").alias("near")))]
+        least = spent[-1].withColumn("low", F.least("a", "near")).select("a", "low")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), "low")
         large = stored(large.withColumnRenamed("low", "b").filter("a <> b").distinct())
         least = stored(large.groupBy("a").agg(F.min("b").alias("low")))
+        spent += [large, least]
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b")
         edges = stored(small.unionByName(least.withColumnRenamed("low", "b")).distinct())
+        discard(*spent)  # the new edges are written
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == state:
             break

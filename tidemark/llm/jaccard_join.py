@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import texts, workers
 from tidemark.llm.components import components
-from tidemark.session import stored
+from tidemark.session import discard, stored
 
 WORDS, PERCENT = 5, 75
 BUCKET_KEYS = 1 << 19  # shingles sorted by one task at a time
@@ -104,11 +104,22 @@ def bitmap(own: np.ndarray) -> np.ndarray:
 
 def band(size: Column, percent: int) -> Column:
     """Sizes whose ratio allows a link lie in the same or in neighbouring bands."""
-    return F.floor(F.log(size.cast("double")) / F.lit(math.log(100 / percent) + 1e-9)).cast("int")
+    return F.floor(F.log(size.cast("double")) / F.lit(_band_width(percent))).cast("int")
+
+
+def _band_width(percent: int) -> float:
+    # those of 99 hold equal sizes together, too, and are few enough to count by
+    return math.log(100 / min(percent, 99)) + 1e-9
 
 
 def _bands(sizes: np.ndarray, percent: int) -> np.ndarray:
-    return np.floor(np.log(sizes) / (math.log(100 / percent) + 1e-9)).astype(np.int32)
+    return np.floor(np.log(sizes) / _band_width(percent)).astype(np.int64)
+
+
+def _band_type(percent: int) -> np.dtype:
+    """A type that tells the bands of all sizes apart: a byte as long as 2^63 shingles have fewer."""
+    largest = _bands(np.array([2.0**63]), percent)[0]
+    return np.dtype(np.uint8 if largest < 256 else np.uint16)
 
 
 def _by_part(column: pa.Array, n: int) -> Iterator[Sets]:
@@ -184,6 +195,8 @@ def frequency_order(described_rows: DataFrame) -> Order:
 def prefix_blobs(docs: DataFrame, order: Order, buckets: int, n: int, percent: int) -> DataFrame:
     """(bucket, blob): the prefix keys of every set, its name and its size band, by bucket."""
 
+    kind = _band_type(percent)
+
     @workers.lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +219,7 @@ def prefix_blobs(docs: DataFrame, order: Order, buckets: int, n: int, percent: i
                 bucket, keys, names, bands = (x[by_bucket] for x in (bucket, keys, names, bands))
                 start, end = texts.groups(bucket)
                 blobs = [
-                    keys[a:b].tobytes() + names[a:b].tobytes() + bands[a:b].astype(np.uint8).tobytes()
+                    keys[a:b].tobytes() + names[a:b].tobytes() + bands[a:b].astype(kind).tobytes()
                     for a, b in zip(start, end, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -217,21 +230,20 @@ def prefix_blobs(docs: DataFrame, order: Order, buckets: int, n: int, percent: i
     return docs.select("text").mapInArrow(spread, "bucket long, blob binary")
 
 
-def _unpacked(blobs: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    counts = [len(b) // 17 for b in blobs]
+def _unpacked(blobs: pd.Series, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts = [len(b) // (16 + kind.itemsize) for b in blobs]
     keys = [np.frombuffer(b, np.uint64, c) for b, c in zip(blobs, counts, strict=True)]
     names = [np.frombuffer(b, np.int64, c, 8 * c) for b, c in zip(blobs, counts, strict=True)]
-    bands = [np.frombuffer(b, np.uint8, c, 16 * c) for b, c in zip(blobs, counts, strict=True)]
+    bands = [np.frombuffer(b, kind, c, 16 * c) for b, c in zip(blobs, counts, strict=True)]
     return np.concatenate(keys), np.concatenate(names), np.concatenate(bands)
 
 
-@workers.lean_group
-def _shared_lists(frame: pd.DataFrame) -> pd.DataFrame:
+def _shared_lists(frame: pd.DataFrame, kind: np.dtype) -> pd.DataFrame:
     """Sorted names of the sets that share a prefix shingle, each different list once.
 
     Within a list, a set stays only beside another one of its size band or a neighbouring band.
     """
-    keys, names, bands = _unpacked(frame.blob)
+    keys, names, bands = _unpacked(frame.blob, kind)
     order = np.lexsort((names, keys))
     keys, names, bands = keys[order], names[order], bands[order].astype(np.int64)
     new = np.ones(len(keys), dtype=bool)
@@ -442,9 +454,16 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     total = known.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, math.ceil(total * (100 - percent) / 100 / BUCKET_KEYS))
     blobs = prefix_blobs(docs, order, buckets, n, percent)
-    lists = stored(blobs.groupBy("bucket").applyInPandas(_shared_lists, "members binary").distinct())
-    possible = _candidate_forest(stored(_unnested(lists)), known, percent)
-    clusters = components(possible).select(
+    kind = _band_type(percent)
+    shared = workers.lean_group(lambda frame: _shared_lists(frame, kind))
+    lists = stored(blobs.groupBy("bucket").applyInPandas(shared, "members binary").distinct())
+    unnested = stored(_unnested(lists))
+    discard(lists)
+    possible, parts = _candidate_forest(unnested, known, percent)
+    discard(unnested)
+    found = components(possible)
+    discard(*parts)
+    clusters = found.select(
         F.col("node").alias("sig"), F.col("component").alias("list")
     )
     clusters = stored(clusters.join(known.select("sig", "doc_id", "size"), "sig"))
@@ -490,8 +509,11 @@ def _unnested(lists: DataFrame) -> DataFrame:
     return named.mapInArrow(unnest, "list long, sig long, rows long")
 
 
-def _candidate_forest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that join all sets whose bitmaps allow a link within a list.
+def _candidate_forest(
+    lists: DataFrame, known: DataFrame, percent: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(a, b): pairs that join all sets whose bitmaps allow a link within a list; and the written
+    tables they are read from.
 
     Near copies share many lists that differ a little. So one in SEED_LISTS of the long lists is
     compared first, and lists whose members that has joined already are left out of the rest.
@@ -500,14 +522,18 @@ def _candidate_forest(lists: DataFrame, known: DataFrame, percent: int) -> DataF
 
     def compared(members: DataFrame) -> DataFrame:
         rows = stored(members.join(described_sets, "sig"))
-        rows = stored(tiled(rows, percent))
-        held = rows.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
-        return stored(_forests(rows, 1 + held // GROUP_BYTES, percent, "bits", exact=False))
+        tiles = stored(tiled(rows, percent))
+        discard(rows)
+        held = tiles.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
+        links = stored(_forests(tiles, 1 + held // GROUP_BYTES, percent, "bits", exact=False))
+        discard(tiles)
+        return links
 
     seeds = lists.filter((F.col("rows") >= LONG_LIST) & (F.col("list") % SEED_LISTS == 0))
     alone = lists.select("list", "sig", F.col("sig").alias("joined"))
     if seeds.isEmpty():
-        return compared(alone)
+        links = compared(alone)
+        return links, [links]
     first = compared(seeds.select("list", "sig", F.col("sig").alias("joined")))
     joined = stored(components(first))
     labelled = lists.join(joined, lists["sig"] == joined["node"], "left")
@@ -516,7 +542,9 @@ def _candidate_forest(lists: DataFrame, known: DataFrame, percent: int) -> DataF
     )
     apart = labelled.groupBy("list").agg(F.min("joined").alias("low"), F.max("joined").alias("high"))
     apart = stored(apart.filter("low <> high").select("list"))
-    return first.unionByName(compared(labelled.join(apart, "list", "left_semi")))
+    rest = compared(labelled.join(apart, "list", "left_semi"))
+    discard(labelled, apart)
+    return first.unionByName(rest), [first, rest]
 
 
 def one_per_group(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
