@@ -65,6 +65,56 @@ def test_top_k_of_odd_vectors(odd_vectors):
     assert table(found) == brute(rows, 50, 5, whole_product, zeros=True)
 
 
+def few_postings(n=5000, dims=8):
+    """Rows of which few have the strong component; the others are weak everywhere."""
+    rng = np.random.default_rng(5)
+    weights = rng.integers(-3, 4, (n, dims)).astype(float)
+    weights[:, 0] = np.where(rng.random(n) < 0.02, rng.integers(500, 900, n), 0)
+    return np.arange(n), weights, np.array([90.0, 2, -1, 3, 0, -2, 1, 1])
+
+
+def test_only_essential_postings_are_scored_and_few_rows_probed_further():
+    """Beyond the leaders that give the first threshold."""
+    ids, weights, query = few_postings()
+    expected = np.lexsort((ids, -(weights @ query)))[:5]
+    postings = maxscore.Postings(ids, weights)
+    scored, partial = [], postings._partial
+    postings._partial = lambda rows, q, terms: scored.append((rows, len(terms))) or partial(rows, q, terms)
+    found, scores = postings.top(-1, query, 5)
+    assert found.tolist() == expected.tolist()
+    assert scores.tolist() == (weights @ query)[expected].tolist()
+    assert all((weights[rows, 0] > 0).all() for rows, _ in scored)
+    assert sum(len(rows) * n for rows, n in scored) < 0.01 * weights.size
+
+
+def test_a_threshold_of_another_shard_rules_out_all_but_ties():
+    ids, weights, query = few_postings()
+    scores = np.sort(weights @ query)[::-1]
+    postings = maxscore.Postings(ids, weights)
+    assert len(postings.top(-1, query, 5, scores[0] + 1)[0]) == 0
+    assert postings.top(-1, query, 5, scores[2])[1].tolist() == scores[scores >= scores[2]][:5].tolist()
+
+
+@pytest.mark.parametrize("dims", [1, 3, 16])
+def test_top_of_ties_negatives_and_zeros_equals_a_full_sort(dims):
+    rng = np.random.default_rng(dims)
+    ids = rng.permutation(4500)
+    weights = rng.integers(-2, 3, (4500, dims)).astype(float)
+    postings = maxscore.Postings(ids, weights)
+    for query in [*rng.integers(-2, 3, (6, dims)), np.zeros(dims), -np.ones(dims)]:
+        score = weights @ query
+        best = [j for j in np.lexsort((ids, -score)) if ids[j] != 7][:9]
+        found = postings.top(7, query.astype(float), 9)
+        assert found[0].tolist() == ids[best].tolist() and found[1].tolist() == score[best].tolist()
+
+
+def test_negative_scores_only(spark):
+    rows = [(i, [1.0 if i % 50 == 0 else -float(i)]) for i in range(0, 60)]
+    given = maxscore.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = maxscore.top_k(given.filter("vec_id % 50 = 0"), given, k=5, shard_rows=9)
+    assert table(found) == brute(rows, 50, 5, whole_product, zeros=True)
+
+
 @pytest.mark.parametrize("scale", [1.0, 3e5])
 def test_top_k_of_random_vectors(spark, scale):
     rng = np.random.default_rng(1)

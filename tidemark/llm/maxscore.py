@@ -1,4 +1,4 @@
-"""Exact top-k inner products: rows pruned by MaxScore's bounds over signed impact lists."""
+"""Exact top-k inner products by MaxScore over signed impact lists, shard by shard."""
 
 from __future__ import annotations
 
@@ -10,62 +10,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors
+from tidemark.session import stored
 
 EXACT = 2.0**53  # products below this are exact in double precision
+BLOCK_ROWS = 2048  # rows between two looks at the threshold
+PROBES = 4  # non-essential terms probed between two looks at the bounds left
+LEADERS = 8  # strongest terms, and rows of each list, that give the first threshold
 
 
 class Postings:
-    """Signed impact lists of a shard: a term is a component with a sign."""
+    """Signed impact lists of a shard: a term is a component with a sign, its list the rows that have
+    a component of that sign, by row number."""
 
     def __init__(self, ids: np.ndarray, weights: np.ndarray):
         order = np.argsort(ids)
         self.ids, self.weights = ids[order], weights[order]
+        self.has = np.stack([self.weights > 0, self.weights < 0]).transpose(0, 2, 1).copy()
         parts = (np.maximum(self.weights, 0), np.maximum(-self.weights, 0))
-        self.impacts = [np.ascontiguousarray(p.T) for p in parts]  # [sign][component, row]
-        self.most = [p.max(axis=1, initial=0) for p in self.impacts]
-
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best rows, best first, ties to the smaller id.
-
-        Every component adds |q| times the impact list of the query's sign and takes off as much
-        of the opposite list. The lists that add are the terms. They are taken by falling bound.
-        The lists are dense, so no border of essential terms is computed: all rows are scored on
-        the first terms, and after every fourth those drop out that the bounds of the rest cannot
-        lift over the threshold.
+        self.most = np.stack([p.max(axis=0, initial=0) for p in parts])
+        lead = min(LEADERS, len(ids))
+        self.leaders = [np.argpartition(-p, lead - 1, axis=0)[:lead] for p in parts] if lead else []
+
+    def top(
+        self, query_id: int, query: np.ndarray, k: int, least: float = -math.inf
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best rows of at least `least`, best first, ties to the smaller id.
+
+        Every component adds |q| times the impact list of the query's sign and takes off as much of
+        the opposite one. The lists that add are the terms, by falling bound. Terms whose bounds add
+        up to less than the threshold are non-essential: no row reaches it by them alone. Only rows
+        found in essential postings are scored, and of these only the ones that the bounds left can
+        still lift to the threshold are probed in the other terms. Rows go by in blocks; each raises
+        the threshold, which moves the border for the next.
         """
-        width = len(query)
-        terms = [(abs(q), int(q < 0), c) for c, q in enumerate(query) if q]
-        terms.sort(key=lambda t: -t[0] * self.most[t[1]][t[2]])
-        bounds = np.array([w * self.most[s][c] for w, s, c in terms])
-        rest = np.concatenate([np.cumsum(bounds[::-1])[::-1], [0.0]])
-        own = np.flatnonzero(self.ids == query_id)
-        seeds = self._seeds(terms, k + len(own))
+        terms = np.flatnonzero(query)
+        signs = (query[terms] < 0).astype(int)
+        bounds = np.abs(query[terms]) * self.most[signs, terms]
+        order = np.argsort(-bounds, kind="stable")
+        terms, signs, bounds = terms[order], signs[order], bounds[order]
+        rest = np.append(np.cumsum(bounds[::-1])[::-1], 0.0)  # rest[n]: what terms n.. add at most
+        least = max(least, self._seeded(query_id, query, k, terms, signs))
+        best, scores = np.zeros(0, int), np.zeros(0)
+        for start in range(0, len(self.ids), BLOCK_ROWS):
+            # the first terms, as many as leave less than the threshold to the rest
+            border = int(np.searchsorted(-rest, -least, side="right"))
+            rows = self._candidates(start, terms, signs, border)
+            rows = rows[self.ids[rows] != query_id]
+            score = self._partial(rows, query, terms[:border])
+            for n in range(border, len(terms), PROBES):
+                within = score + rest[n] >= least
+                rows, score = rows[within], score[within]
+                score += self._partial(rows, query, terms[n : n + PROBES])
+            within = score >= least
+            best, scores = np.append(best, rows[within]), np.append(scores, score[within])
+            order = np.lexsort((self.ids[best], -scores))[:k]
+            best, scores = best[order], scores[order]
+            if len(best) == k:
+                least = max(least, scores[-1])
+        return self.ids[best], scores
+
+    def _candidates(self, start: int, terms, signs, border: int) -> np.ndarray:
+        """Rows of a block with a posting of an essential term; all, if no term is needed."""
+        stop = min(start + BLOCK_ROWS, len(self.ids))
+        if border > len(terms):
+            return np.arange(start, stop)
+        found = np.zeros(stop - start, bool)
+        for sign, term in zip(signs[:border], terms[:border], strict=True):
+            found |= self.has[sign, term, start:stop]
+        return start + np.flatnonzero(found)
+
+    def _partial(self, rows: np.ndarray, query: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        return self.weights[np.ix_(rows, terms)] @ query[terms]
+
+    def _seeded(self, query_id: int, query: np.ndarray, k: int, terms, signs) -> float:
+        """A first threshold: the k-th score of rows that lead the lists of the strongest terms."""
+        if not len(terms) or not len(self.ids):
+            return -math.inf
+        lists = [self.leaders[s][:, c] for s, c in zip(signs[:LEADERS], terms[:LEADERS], strict=True)]
+        seeds = np.unique(np.concatenate(lists))
         seeds = seeds[self.ids[seeds] != query_id]
-        known = np.sort(self.weights[seeds, :width] @ query)[::-1]
-        least = known[k - 1] if len(known) >= k else -math.inf
-        alive = np.flatnonzero(self.ids != query_id)
-        score = np.zeros(len(alive))
-        for n, (weight, sign, c) in enumerate(terms):
-            adds, takes = self.impacts[sign][c], self.impacts[1 - sign][c]
-            if len(alive) == len(self.ids):
-                score += weight * (adds - takes)
-            else:
-                score += weight * (adds[alive] - takes[alive])
-            # a score can still grow by the bounds of the terms not yet seen
-            if n % 4 == 3 and len(alive) > 4 * k:
-                keep = score + rest[n + 1] >= least
-                if not keep.all():
-                    alive, score = alive[keep], score[keep]
-        best = np.lexsort((self.ids[alive], -score))[:k]
-        return self.ids[alive[best]], score[best]
-
-    def _seeds(self, terms: list, k: int) -> np.ndarray:
-        """Rows that lead the strongest terms; their scores give the first threshold."""
-        leaders = [
-            np.argpartition(-self.impacts[s][c], min(k, len(self.ids)) - 1)[:k]
-            for _, s, c in terms[:8]
-        ]
-        return np.unique(np.concatenate(leaders)) if leaders else np.arange(min(k, len(self.ids)))
+        known = np.sort(self.weights[seeds] @ query)[::-1]
+        return known[k - 1] if len(known) >= k else -math.inf
 
 
 def _exactly(rows: np.ndarray, ids: np.ndarray, query_id: int, query: np.ndarray, k: int):
@@ -87,9 +112,9 @@ def _best_in_shard(k: int) -> vectors.Search:
         ids = rows.vec_id.to_numpy()
         limit = np.abs(asked).max() * np.abs(held).max() * both.shape[1]
         postings = Postings(ids, held) if limit < EXACT else None
-        for query_id, query in zip(queries.vec_id, asked, strict=True):
+        for query_id, query, least in zip(queries.vec_id, asked, queries.least, strict=True):
             if postings:
-                best = postings.top(query_id, query, k)
+                best = postings.top(query_id, query, k, least)
             else:
                 best = _exactly(held, ids, query_id, query, k)
             found += [(query_id, int(i), int(s)) for i, s in zip(*best, strict=True)]
@@ -116,16 +141,24 @@ def top_k(
 
     Rows are cut into shards and queries into blocks by hash, both of bounded size; every block
     meets every shard once, which yields k rows a query, and the shards' lists are merged by score.
+    The first shard is searched ahead of all: its k-th score is where a query's threshold starts in
+    every shard, so the others return only rows that may be among the k best of all.
     """
-    return vectors.search(
-        vectors.partaking(queries),
-        vectors.partaking(rows),
-        k,
-        _best_in_shard(k),
-        "long",
-        shard_rows,
-        query_rows,
-    )
+    asked, held = vectors.partaking(queries), vectors.partaking(rows)
+    unbounded = asked.withColumn("least", F.lit(-math.inf))
+
+    def found(some: DataFrame, among: DataFrame) -> DataFrame:
+        return vectors.search(some, among, k, _best_in_shard(k), "long", shard_rows, query_rows)
+
+    shards = vectors.pieces(held, shard_rows)
+    if shards > 1:
+        first = found(unbounded, held.filter(vectors.dealt(shards) == 0)).filter(F.col("rank") == k)
+        least = F.col("score").cast("double").alias("least")
+        reached = stored(first.select(F.col("query_id").alias("vec_id"), least))
+        asked = asked.join(reached, "vec_id", "left").fillna(-math.inf, ["least"])
+        # both sides stem from one frame, so the columns get new identities
+        return found(asked.toDF(*asked.columns), held)
+    return found(unbounded, held)
 
 
 def quantised(embeddings: DataFrame, levels: float = 256.0) -> DataFrame:

@@ -47,6 +47,16 @@ def dense(vectors: pd.Series) -> np.ndarray:
     return out
 
 
+def pieces(rows: DataFrame, size: int) -> int:
+    """How many pieces of about `size` rows a table is cut into."""
+    return max(1, math.ceil(rows.count() / size))
+
+
+def dealt(n: int) -> Column:
+    """The piece of n that a row goes to."""
+    return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+
+
 def search(
     queries: DataFrame,
     rows: DataFrame,
@@ -64,11 +74,7 @@ def search(
     task.
     """
     workers.ready(rows.sparkSession)
-    shards = max(1, math.ceil(rows.count() / shard_rows))
-    blocks = max(1, math.ceil(queries.count() / query_rows))
-
-    def dealt(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    shards, blocks = pieces(rows, shard_rows), pieces(queries, query_rows)
 
     def everywhere(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
