@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import profile, quality, setops
+from tidemark.operators import profile, quality, setops, summaries
 from tidemark.plans import driver_tables as tables
 from tidemark.plans.registry import query
+from tidemark.session import stored
 from tidemark.sources.tables import read_table
 
 
@@ -131,6 +132,41 @@ def facet_profile(spark, folder):
     return profile.facet_profile(tables.filings(spark, folder), "cik", "status")
 
 
+_MONTH_SQL = "strftime(o_orderdate, '%Y-%m')"
+
+
+def _month_profile_sql(month):
+    distinct = {"form_type": "count(DISTINCT o_orderpriority)", "status": "count(DISTINCT o_orderstatus)"}
+    return " UNION ALL ".join(
+        f"""SELECT {month} AS month, '{name}' AS column_name, {distinct.get(name, 'NULL')} AS n_distinct,
+            min({sql})::VARCHAR AS min_value, max({sql})::VARCHAR AS max_value,
+            count(*) FILTER ({sql} IS NULL) AS n_missing, count(*) AS n_rows FROM orders"""
+        + ("" if month == "NULL" else " GROUP BY 1")
+        for name, sql in {**_TYPED, "status": "o_orderstatus"}.items()
+    )
+
+
+@query(
+    "profile_by_month",
+    f"{_month_profile_sql('NULL')} UNION ALL {_month_profile_sql(_MONTH_SQL)}",
+)
+def profile_by_month(spark, folder):
+    """Months profiled in two loads, stored, and merged to months and to the whole. Few distinct
+    values are counted exactly by the sketches; the estimates of the others are left out."""
+    filings = tables.filings(spark, folder)
+    filings = filings.withColumn("total", F.col("total").cast("decimal(12,2)"))
+    first = F.coalesce(F.col("status") == "F", F.lit(False))
+    month = F.date_format("filing_date", "yyyy-MM")
+    loads = [
+        summaries.part_profiles(filings.where(load), month, *_TYPED, "status") for load in (first, ~first)
+    ]
+    parts = stored(loads[0].unionByName(loads[1]))
+    months = summaries.merged_profiles(parts, F.col("part"))
+    rows = summaries.profile_rows(months.unionByName(summaries.merged_profiles(parts)))
+    counted = F.when(F.col("column_name").isin("form_type", "status"), F.col("n_distinct"))
+    return rows.withColumn("n_distinct", counted).withColumnRenamed("part", "month")
+
+
 @query("rows_per_filer", "SELECT o_custkey AS cik, count(*) AS n_rows FROM orders GROUP BY 1")
 def rows_per_filer(spark, folder):
     return profile.rows_per_key(tables.filings(spark, folder), "cik")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tidemark.plans.registry import query
 from tidemark.session import shared_folder, written_once
 from tidemark.sources import files, pages
 from tidemark.sources.tables import read_table
-from tidemark.streaming import sync
+from tidemark.streaming import marks, sync
 
 PAGE_ROWS = 500
 PAGE = "_page"
@@ -352,6 +354,30 @@ def incremental_since(spark, folder):
     return sync.rows_since(events, "ts", sync.high_water(loaded, "ts")).drop("event_type")
 
 
+@query(
+    "incremental_ties",
+    """WITH drop1 AS (SELECT * FROM orders
+                      WHERE o_orderstatus <> 'O' AND o_orderdate < TIMESTAMP '1997-01-01'),
+            mark AS (SELECT max(o_orderdate) AS instant FROM drop1)
+       SELECT o_orderkey AS uuid, o_orderdate AS filing_date, 0 AS load FROM drop1
+       UNION ALL
+       SELECT o_orderkey, o_orderdate, 1 FROM orders, mark
+       WHERE o_orderdate > instant
+          OR (o_orderdate = instant AND o_orderkey NOT IN (SELECT o_orderkey FROM drop1))""",
+)
+def incremental_ties(spark, folder):
+    """Filings in three loads by a mark that knows its ties: what the first drop held, what the whole
+    table holds beyond that, also at the mark's instant, and nothing when it is loaded again."""
+    target = shared_folder(spark, "loads")
+    filings = tables.filings(spark, folder).select("uuid", "filing_date", "status")
+    drop = filings.where("status <> 'O' AND filing_date < timestamp_ntz'1997-01-01'")
+    loads = [marks.load_once(rows, "filing_date", ["uuid"], target) for rows in (drop, filings, filings)]
+    found = [
+        marks.read_load(spark, target, filings.schema, n).withColumn("load", F.lit(n)) for n in loads
+    ]
+    return reduce(DataFrame.unionByName, found).drop("status")
+
+
 @query(
     "late_knowledge",
     """SELECT l_orderkey AS uuid, o_orderdate AS filing_date,
