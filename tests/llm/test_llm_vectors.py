@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import ann, maxscore
@@ -170,6 +171,51 @@ def test_recall_on_the_driver_table(spark):
     assert len(found) == sum(i % 20 == 0 for i in held) and hits >= 0.9 * 20 * len(found)
 
 
+def clustered(rng, clusters=100, size=50):
+    centres = rng.normal(size=(clusters, 64))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    rows = np.repeat(centres, size, axis=0) + rng.normal(size=(clusters * size, 64)) * 0.03
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("longer", [1.0, 10.0])
+def test_few_rows_are_scored_where_vectors_are_clustered(longer):
+    held = clustered(np.random.default_rng(8))
+    held[5] *= longer
+    rows = pd.DataFrame({"vec_id": np.arange(len(held)), "vector": list(held)})
+    asked = rows[rows.vec_id % 20 == 0]
+    tally: list = []
+    search = ann._nearest_in_shard(20, 800, ann.Hashes(64, 4, 8, 2.0, 11), 0.01, tally)
+    found = search(asked, rows).groupby("query_id").vec_id.apply(set)
+    score = held[asked.vec_id] @ held.T
+    score[np.arange(len(asked)), asked.vec_id] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    assert sum(len(found[q] & set(b)) for q, b in zip(asked.vec_id, best, strict=True)) >= 0.9 * best.size
+    assert sum(tally) < 0.2 * len(asked) * len(held)
+
+
+def test_no_row_is_scored_twice_for_a_query():
+    held = np.random.default_rng(9).normal(size=(2000, 16))
+    held /= np.linalg.norm(held, axis=1)[:, None]
+    rows = pd.DataFrame({"vec_id": np.arange(len(held)), "vector": list(held)})
+    tally: list = []
+    ann._nearest_in_shard(20, 6561, ann.Hashes(16, 4, 8, 2.0, 11), 0.0, tally)(rows[:50], rows)
+    assert 0 < sum(tally) <= 50 * len(held)
+
+
+def test_chances_are_those_of_random_projections():
+    rng = np.random.default_rng(10)
+    hashes = ann.Hashes(16, 400, 3, 1.0, 3)
+    query = rng.normal(size=(1, 17))
+    near = query + 0.4 * (step := rng.normal(size=(1, 17))) / np.linalg.norm(step)
+    hits = chances = 0.0
+    for table in range(400):
+        keys, steps, inside = hashes.probes(query, table, 5)
+        hits += hashes.place(near, table)[0][0] in keys[0]
+        chances += hashes.chance(inside, steps, np.array([0.4]))[0]
+    assert abs(hits - chances) < 0.08 * 400
+
+
 def test_equal_vectors_rank_by_id(spark):
     rows = [(i, [0.1 * (i % 3 + 1), 0.7, -0.3]) for i in range(300)]
     given = spark.createDataFrame(rows, "vec_id long, vector array<double>")

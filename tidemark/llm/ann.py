@@ -16,6 +16,8 @@ MOST_FUNCTIONS = 10  # a query weighs 3 ** functions buckets
 PENDING = 1 << 21
 RANGE = 1.25  # the norms of rows that are hashed together differ by this factor at most
 FEW = 256  # rows that are scored exactly, as they are too few to hash
+ROUNDS = (4, 16, 64, 256)  # probes of each table after which a query may be done
+TOGETHER = 256  # queries that visit their buckets together
 SLACK = 1e-9
 
 
@@ -49,8 +51,10 @@ class Hashes:
         cell = np.floor(at)
         return cell.astype(np.int64) @ self.odd[table], at - cell
 
-    def probes(self, lifted: np.ndarray, table: int, count: int) -> np.ndarray:
-        """Keys of the `count` likeliest buckets of every query.
+    def probes(
+        self, lifted: np.ndarray, table: int, count: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, steps, positions): the `count` likeliest buckets of every query, likeliest first.
 
         A bucket one step away in some functions is the likelier to hold near rows, the smaller
         the sum of squared distances to the boundaries that those steps cross.
@@ -63,7 +67,46 @@ class Hashes:
             cost = (cost[:, :, None] + step[:, None, :]).reshape(len(lifted), -1)
         count = min(count, cost.shape[1])
         chosen = np.argpartition(cost, count - 1, axis=1)[:, :count]
-        return keys[:, None] + self.offsets[table][chosen]
+        order = np.argsort(np.take_along_axis(cost, chosen, axis=1), axis=1)
+        chosen = np.take_along_axis(chosen, order, axis=1)
+        return keys[:, None] + self.offsets[table][chosen], chosen, inside
+
+    def chance(self, inside: np.ndarray, chosen: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """How likely a row at a distance from each query lies in one of its `chosen` buckets: its
+        projections differ from the query's by normal deviates of that size."""
+        spread = np.maximum(distance / self.width, 1e-9)[:, None]
+
+        def below(edge: int) -> np.ndarray:
+            z = np.clip((edge - inside) / spread, -30, 30)
+            return 1 / (1 + np.exp(-z * (1.5976 + 0.07056 * z * z)))  # normal, to 0.0002
+
+        low, here, high, more = (below(edge) for edge in (-1, 0, 1, 2))
+        each = np.stack([high - here, here - low, more - high], axis=2)  # steps 0, -1, 1
+        found = np.ones(chosen.shape)
+        for f in range(self.functions):
+            step = chosen // 3 ** (self.functions - 1 - f) % 3
+            found *= np.take_along_axis(each[:, f], step, axis=1)
+        return found.sum(axis=1)
+
+
+class Buckets:
+    """The rows of one table by bucket."""
+
+    def __init__(self, keys: np.ndarray):
+        self.members = np.argsort(keys, kind="stable")
+        self.keys, self.begin = np.unique(keys[self.members], return_index=True)
+        self.size = np.diff(np.append(self.begin, len(keys)))
+
+    def rows(self, visited: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line of `visited`, row) of every row in a visited bucket."""
+        wanted = visited.ravel()
+        at = np.searchsorted(self.keys, wanted)
+        at[at == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[at] == wanted)
+        at = at[hit]
+        size = self.size[at]
+        first = np.repeat(self.begin[at] - np.cumsum(size) + size, size)
+        return np.repeat(hit // visited.shape[1], size), self.members[first + np.arange(len(first))]
 
 
 def _compact(parts: list[tuple], k: int, queries: int) -> tuple[tuple, np.ndarray]:
@@ -102,7 +145,11 @@ def _ranges(norms: np.ndarray) -> Iterator[tuple[int, int, bool]]:
         begin = end
 
 
-def _nearest_in_shard(k: int, probes: int, hashes: Hashes) -> vectors.Search:
+def _nearest_in_shard(
+    k: int, probes: int, hashes: Hashes, miss: float, tally: list[int] | None = None
+) -> vectors.Search:
+    """The search of a query block in a shard; `tally` is told how many rows were scored."""
+
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
         both = vectors.dense(pd.concat([queries.vector, rows.vector]))
@@ -123,6 +170,8 @@ def _nearest_in_shard(k: int, probes: int, hashes: Hashes) -> vectors.Search:
 
         def score(asking: np.ndarray, inside: np.ndarray) -> None:
             nonlocal pending
+            if tally is not None:
+                tally.append(len(asking) * len(inside))
             score = asked[asking] @ held[inside].T
             i, j = np.nonzero(
                 (score >= least[asking][:, None]) & (own[asking][:, None] != inside[None, :])
@@ -137,23 +186,33 @@ def _nearest_in_shard(k: int, probes: int, hashes: Hashes) -> vectors.Search:
                 score(asking, inside[at : at + FEW])
 
         def score_hashed(asking: np.ndarray, together: np.ndarray) -> None:
-            lifted_rows = hashes.lift(held[together], norms[together].max())
-            for table in range(len(hashes.axes)):
-                keys, _ = hashes.place(lifted_rows, table)
-                members = np.argsort(keys, kind="stable")
-                buckets, begin = np.unique(keys[members], return_index=True)
-                end = np.append(begin[1:], len(members))
-                visited = hashes.probes(lifted_queries[asking], table, probes)
-                bucket = np.searchsorted(buckets, visited.ravel())
-                bucket[bucket == len(buckets)] = 0
-                hit = np.flatnonzero(buckets[bucket] == visited.ravel())
-                visitor, bucket = asking[hit // visited.shape[1]], bucket[hit]
-                order = np.argsort(bucket, kind="stable")
-                visitor, bucket = visitor[order], bucket[order]
-                for group in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
-                    if len(group):
-                        b = bucket[group[0]]
-                        score(visitor[group], together[members[begin[b] : end[b]]])
+            norm = norms[together].max()
+            lifted_rows = hashes.lift(held[together], norm)
+            tables = [Buckets(hashes.place(lifted_rows, t)[0]) for t in range(len(hashes.axes))]
+            for at in range(0, len(asking), TOGETHER):
+                visit(asking[at : at + TOGETHER], together, norm, tables)
+
+        def visit(asking: np.ndarray, together: np.ndarray, norm: float, tables: list) -> None:
+            """Rounds of probes, in all tables; a row that several buckets hold is scored once."""
+            order = [hashes.probes(lifted_queries[asking], t, probes) for t in range(len(tables))]
+            seen = np.zeros((len(asking), len(together)), dtype=bool)
+            active, start = np.arange(len(asking)), 0
+            for stop in [*(r for r in ROUNDS if r < probes), probes]:
+                before = seen[active]
+                for buckets, (keys, _, _) in zip(tables, order, strict=True):
+                    line, row = buckets.rows(keys[active, start:stop])
+                    seen[active[line], row] = True
+                for q, new in zip(asking[active], seen[active] & ~before, strict=True):
+                    score(np.array([q]), together[new])
+                compact()
+                # as likely as this, a row that beats the k-th lies in no bucket visited so far
+                near = least[asking[active]] / (lengths[asking[active]] * norm)
+                distance = np.sqrt(np.maximum(2 - 2 * np.maximum(near, -1), 0))
+                missed = np.ones(len(active))
+                if stop < probes:
+                    for _, steps, inside in order:
+                        missed *= 1 - hashes.chance(inside[active], steps[active, :stop], distance)
+                active, start = active[(missed > miss) | np.isinf(near)], stop
 
         falling = np.argsort(-norms, kind="stable")
         for begin, end, few in _ranges(norms[falling]):
@@ -193,6 +252,7 @@ def nearest(
     functions: int = 8,
     width: float = 2.0,
     probes: int = 800,
+    miss: float = 0.01,
     seed: int = 11,
     shard_rows: int = vectors.SHARD_ROWS,
     query_rows: int = vectors.QUERY_ROWS,
@@ -200,8 +260,10 @@ def nearest(
     """query_id, rank, vec_id, score: the k rows of largest inner product found for each query.
 
     Every row is hashed into `tables` tables of `functions` p-stable functions; a query visits its
-    own bucket and the perturbed ones in the order of estimated success, `probes` in each table,
-    and the union of their rows is ranked by the exact inner product in double precision. Rows are
+    own bucket and the perturbed ones in the order of estimated success, up to `probes` in each table,
+    and the union of their rows is ranked by the exact inner product in double precision, each row
+    scored once. A query is done earlier once a row that beats its k-th lies in none of the buckets
+    visited so far with a probability of at most `miss`, by the distance that such a row has. Rows are
     hashed by ranges of norm, with widths relative to the largest norm of a range, from large to
     small; a query leaves out ranges whose norms are too small for its k rows so far. Ranges of few
     rows are scored exactly, and so are all rows of a shard for a query that found fewer than k of
@@ -227,5 +289,5 @@ def nearest(
     asked = queries.agg(F.max(F.size("vector")).alias("dims")).first()
     dims = max(known["dims"] or 1, asked["dims"] or 1)
     hashes = Hashes(dims, tables, functions, width, seed)
-    within = _nearest_in_shard(k, probes, hashes)
+    within = _nearest_in_shard(k, probes, hashes, miss)
     return vectors.search(queries, rows, k, within, "double", shard_rows, query_rows)
