@@ -66,6 +66,27 @@ def test_links_of_a_corpus_with_many_borderline_pairs(spark, corpus, monkeypatch
     assert table(jaccard_join.near_duplicates(docs)) == brute(corpus)
 
 
+def test_tiles_of_few_bytes(spark, corpus, monkeypatch):
+    """Very long texts cut a cluster by bytes, with few rows a tile; links are the same."""
+    monkeypatch.setattr(jaccard_join, "TILE_BYTES", 2000)
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 6)
+    docs = spark.createDataFrame(corpus, "doc_id long, text string")
+    assert table(jaccard_join.near_duplicates(docs)) == brute(corpus)
+
+
+def test_tiles_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE_BYTES", 10_000)
+    sets = [(1, k, 100 + k % 3) for k in range(200)] + [(1, 900, 9000), (1, 901, 9001), (2, 7, 90), (2, 8, 90)]
+    members = spark.createDataFrame(sets, "list long, sig long, size long")
+    tiles = jaccard_join.tiled(members, 75, 8 * members["size"]).toPandas()
+    by_tile = tiles.groupby(["list", "tile"])
+    held = by_tile["size"].sum() * 8
+    assert held[by_tile["sig"].nunique() > 2].max() < 2.5 * 20_000
+    assert set(tiles[tiles.list == 2].tile) == {""}
+    meet = {(a, b) for _, rows in by_tile for a in rows.sig for b in rows.sig}
+    assert {(a, b) for a in range(200) for b in range(200)} | {(900, 901), (7, 8)} <= meet
+
+
 @pytest.mark.parametrize("percent", [84, 85, 98, 99, 100])
 def test_links_at_any_share(spark, percent):
     """At high shares there are many size bands; sizes about the 256th and the 512th of 99 link."""

@@ -18,7 +18,7 @@ from tidemark.session import discard, stored
 
 WORDS, PERCENT = 5, 75
 BUCKET_KEYS = 1 << 19  # shingles sorted by one task at a time
-TILE_ROWS = 1024  # of one size band; a tile holds two such parts at most
+TILE_ROWS, TILE_BYTES = 1024, 32 << 20  # of one size band; a tile holds two such parts at most
 GROUP_BYTES = 16 << 20
 LONG_LIST, SEED_LISTS = 64, 8  # of the lists so long, one in so many is compared first
 FREQUENT_IN_PART, FREQUENT, FREQUENT_MOST, COMMON_WORDS = 4, 32, 1 << 18, 1 << 10
@@ -330,18 +330,22 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def tiled(members: DataFrame, percent: int) -> DataFrame:
-    """(tile, part, all columns) of members (list, sig, size, ...).
+def tiled(members: DataFrame, percent: int, weight: Column) -> DataFrame:
+    """(tile, part, all columns) of members (list, sig, size, ...) that take `weight` bytes each.
 
-    Lists are cut by size band, and a band of a list by hash into parts of about TILE_ROWS rows. A
-    tile holds two parts whose bands allow links, or one part by itself; a list that is small as a
-    whole is one tile.
+    Lists are cut by size band, and a band of a list by hash into parts of about TILE_ROWS rows or
+    TILE_BYTES bytes, whichever is less; a set that is longer is a part of its own. A tile holds two
+    parts whose bands allow links, or one part by itself; a list that is small as a whole is one tile.
     """
     members = members.withColumn("band", band(F.col("size"), percent))
-    counts = stored(members.groupBy("list", "band").agg(F.count("*").alias("rows")))
-    totals = counts.groupBy("list").agg(F.sum("rows").alias("all"))
-    long = counts.join(totals.filter(F.col("all") > 2 * TILE_ROWS).select("list"), "list")
-    long = stored(long.withColumn("cuts", F.ceil(F.col("rows") / TILE_ROWS).cast("int")).drop("rows"))
+    counts = members.groupBy("list", "band")
+    counts = stored(counts.agg(F.count("*").alias("rows"), F.sum(weight).alias("bytes")))
+    totals = counts.groupBy("list").agg(F.sum("rows").alias("all"), F.sum("bytes").alias("held"))
+    large = (F.col("all") > 2 * TILE_ROWS) | (F.col("held") > 2 * TILE_BYTES)
+    long = counts.join(totals.filter(large).select("list"), "list")
+    cuts = F.greatest(F.ceil(F.col("rows") / TILE_ROWS), F.ceil(F.col("bytes") / TILE_BYTES))
+    long = long.withColumn("cuts", F.least(cuts, F.col("rows")).cast("int"))
+    long = stored(long.drop("rows", "bytes"))
     short = members.join(long.select("list").distinct(), "list", "left_anti")
     one = short.withColumns({"part": F.lit(-1).cast("long"), "tile": F.lit("")})
     parts = members.join(long, ["list", "band"])
@@ -436,7 +440,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
 
     The texts meet the ids by hash, whatever the number of ids: texts are not sorted, and no plan
     depends on a broadcast that the next size no longer allows. No pairs are listed: tiles return
-    forests. Lists and clusters of any size are cut into tiles.
+    forests. Lists and clusters of any size are cut into tiles, of rows and of bytes.
 
     Null and empty texts have no shingles and link with nothing. Repeated rows and equal texts have
     equal sets and so one component. Null doc_ids do not count as smallest; a component without
@@ -473,8 +477,10 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     )
     arrays = _set_arrays(texts_of, n)
     members = clusters.select("list", "sig", "size", F.col("sig").alias("joined"))
-    members = tiled(members, percent).join(arrays, "sig")
-    held = clusters.agg(F.sum(8 * F.col("size") + 64)).first()[0] or 0
+    weight = 8 * F.col("size") + 64
+    tiles = stored(tiled(members, percent, weight))
+    held = tiles.agg(F.sum(weight)).first()[0] or 0
+    members = tiles.join(arrays, "sig")
     links = _forests(members, 1 + held // GROUP_BYTES, percent, "members", exact=True)
     linked = stored(components(links))
     named = known.join(linked, known["sig"] == linked["node"], "left")
@@ -522,9 +528,10 @@ def _candidate_forest(
 
     def compared(members: DataFrame) -> DataFrame:
         rows = stored(members.join(described_sets, "sig"))
-        tiles = stored(tiled(rows, percent))
+        weight = F.octet_length("bits").cast("long") + 64
+        tiles = stored(tiled(rows, percent, weight))
         discard(rows)
-        held = tiles.agg(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
+        held = tiles.agg(F.sum(weight)).first()[0] or 0
         links = stored(_forests(tiles, 1 + held // GROUP_BYTES, percent, "bits", exact=False))
         discard(tiles)
         return links
