@@ -95,9 +95,18 @@ def integer_list(column) -> Column:
     return F.when(inner != "", parts.try_cast("array<int>"))
 
 
+def text_list(column) -> Column:
+    """`"F1, F2"`, `"['F1', 'F2']"` to an array of texts; blank to NULL. An entry that holds a comma
+    cannot be told from two."""
+    inner = F.regexp_replace(_column(column), r"^\s*[(\[]|[)\]]\s*$", "")
+    entries = F.split(F.regexp_replace(inner, r",\s*$", ""), r"\s*,\s*")
+    bare = F.transform(entries, lambda e: F.regexp_replace(F.trim(e), "^(['\"])(.*)\\1$", "$2"))
+    return F.when(F.trim(inner) != "", bare)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Any vintage of a table in its declared schema: absent columns are NULL,
-    number and list texts are read, `NA` and blanks in text columns are NULL."""
+    number, list and document texts are read, `NA` and blanks in text columns are NULL."""
     found = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[_conform(f, found.get(f.name)).alias(f.name) for f in schema.fields])
 
@@ -111,7 +120,12 @@ def _conform(field: T.StructField, found: T.DataType | None) -> Column:
     if isinstance(want, T.IntegralType):
         return integer(c, want.simpleString())
     if isinstance(want, T.ArrayType):
-        return c.cast(want) if isinstance(found, T.ArrayType) else integer_list(c)
+        if isinstance(found, T.ArrayType):
+            return c.cast(want)
+        read = text_list if isinstance(want.elementType, T.StringType) else integer_list
+        return read(clean_token(c))
+    if isinstance(want, T.VariantType) and isinstance(found, T.StringType):
+        return F.try_parse_json(clean_token(c, empty_too=True))
     if isinstance(want, T.StringType):
         return F.nullif(clean_token(F.trim(c.cast("string"))), F.lit(""))
     return c.try_cast(want)

@@ -87,6 +87,35 @@ def write_filings(df: DataFrame, path: str, family: str) -> None:
     )
 
 
+def write_catalog(catalog: list[DataFrame], points: list[DataFrame], folder: str) -> DataFrame:
+    """Store the vintages of a series catalog and of its points in their declared schemas; what did
+    not read comes back as (table_name, vintage, column_name, n_failed).
+
+    Both lie by series, the points of a long one over several files, so a look-up by id skips files
+    and row groups.
+    """
+    lost = []
+    for name, vintages, schema in (
+        ("catalog", catalog, schemas.CATALOG),
+        ("series", points, schemas.SERIES_VALUES),
+    ):
+        order = ["payload_id", "commodity" if name == "catalog" else "original_period"]
+        (
+            conform_union(vintages, schema)
+            .repartitionByRange(*order, "name" if name == "catalog" else "value")
+            .sortWithinPartitions(*order)
+            .write.option("parquet.bloom.filter.enabled#payload_id", "true")
+            .parquet(f"{folder}/{name}.parquet")
+        )
+        lost += [
+            conform_failures(df, schema).select(
+                F.lit(name).alias("table_name"), F.lit(k).alias("vintage"), "*"
+            )
+            for k, df in enumerate(vintages)
+        ]
+    return reduce(DataFrame.unionByName, lost).where("n_failed > 0")
+
+
 def read_filings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored filing table with its two layout columns, which filters prune by."""
     layout = schemas.struct(

@@ -223,6 +223,10 @@ class SeriesCatalog:
         first = next(self._pages, None)
         return found.limit(0) if first is None else first
 
+    def search_all(self, **query) -> DataFrame:
+        """All rows of a search as one frame, to go on with in Spark."""
+        return catalog.search(self.rows, **query)
+
     def search_scroll(self) -> DataFrame | None:
         """The next page, None behind the last one."""
         if self._pages is None:
