@@ -43,6 +43,22 @@ def test_monotonic_violations_equal_brute_force(spark, frame, ranges):
     assert {r["s"]: tuple(r)[1:] for r in got} == expected
 
 
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_falls_across_missing_values(spark, frame, ranges):
+    values = {"a": [5, None, 3, None, None, 3, 4], "b": [None, None], "c": [None, 2, None, 1, None]}
+    rows = [(s, i, v) for s, held in values.items() for i, v in enumerate(held)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = quality.monotonic_violations(frame(rows, "s string, pos int, v int"), ["s"], ["pos"], "v")
+        got = {r["s"]: tuple(r)[1:] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {"a": (7, 1, 1), "b": (2, 0, 0), "c": (5, 1, 0)}
+
+
 def test_range_missing_and_allowed(frame):
     rows = frame([(1, "a"), (5, None), (None, "z")], "k int, v string")
     row = quality.range_conformance(rows, "k", F.lit(1), F.lit(5)).first()

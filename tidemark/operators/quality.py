@@ -61,7 +61,8 @@ def monotonic_violations(
 
     Rows are range-partitioned by (series, position), so a long series spans
     many tasks; neighbours are compared inside a range, and the ranges are joined
-    up over one summary row per (range, series). Positions are unique per series.
+    up over one summary row per (range, series). Positions are unique per series. A row
+    without a value is counted and passed over: its neighbours are compared with each other.
     """
     ranged = (
         df.select(*series, *position, F.col(value).alias("_value"))
@@ -69,8 +70,9 @@ def monotonic_violations(
         .withColumn("_range", F.spark_partition_id())
     )
     inside = Window.partitionBy("_range", *series).orderBy(*position)
-    previous = F.lag("_value").over(inside)
-    at = F.struct(*position)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.last("_value", ignorenulls=True).over(earlier)
+    at = F.when(F.col("_value").isNotNull(), F.struct(*position))
     ranges = (
         ranged.withColumn("_before", previous)
         .groupBy("_range", *series)
@@ -83,7 +85,8 @@ def monotonic_violations(
         )
     )
     across = Window.partitionBy(*series).orderBy("_range")
-    seam = ranges.withColumn("_before", F.lag("_tail").over(across))
+    across = across.rowsBetween(Window.unboundedPreceding, -1)
+    seam = ranges.withColumn("_before", F.last("_tail", ignorenulls=True).over(across))
     falls = F.sum("falls") + F.count_if(F.col("_head") < F.col("_before"))
     repeats = F.sum("repeats") + F.count_if(F.col("_head") == F.col("_before"))
     return seam.groupBy(*series).agg(

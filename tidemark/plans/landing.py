@@ -314,7 +314,7 @@ def text_roundtrip(spark, folder):
     lines = read_table(spark, folder, "documents").select(
         "lang", F.explode(F.split("text", "\n")).alias("value")
     )
-    english = F.col("lang") == "en"
+    english = F.col("lang").eqNullSafe("en")
     files.write_text(lines.where(english).select("value"), path, gzip=True)
     files.write_text(lines.where(~english).select("value"), path, gzip=True, append=True)
     read = files.read_text(spark, path)
