@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,7 +84,7 @@ def integer(column, dtype: str = "bigint") -> Column:
     """`1091`, `"1091.0"`, `"1.091E3"` as a whole number, without passing through double; a number
     with a fraction is unreadable, so NULL."""
     text = _column(column).cast("string")
-    plain = F.when(text.rlike(WHOLE_TEXT), F.regexp_extract(text, WHOLE_TEXT, 1))
+    plain = F.nullif(F.regexp_extract(text, WHOLE_TEXT, 1), F.lit(""))
     power = F.when(text.rlike(POWER_TEXT), text.try_cast("decimal(38,10)"))
     whole = F.when(power == F.round(power), power).cast("decimal(28,0)").cast("string")
     return F.coalesce(plain, whole).try_cast(dtype)
@@ -134,20 +136,53 @@ def _conform(field: T.StructField, found: T.DataType | None) -> Column:
 def conform_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per declared column that a vintage has: how many values it holds that do not read as the
     declared type. Blanks, `NA` and NaN are no values."""
+    lost = _lost(df, schema)
+    counts = [F.count_if(failed).alias(name) for name, failed in lost.items()]
+    pairs = [
+        F.struct(F.lit(name).alias("column_name"), F.col(name).alias("n_failed")) for name in lost
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*pairs)))
+
+
+def _lost(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """Per declared column that a vintage has: whether a value does not read as the declared type."""
     found = {f.name: f.dataType for f in df.schema.fields}
-    fields = [f for f in schema.fields if f.name in found]
-    counts = []
-    for field in fields:
+    lost = {}
+    for field in [f for f in schema.fields if f.name in found]:
         text = F.col(field.name)
         if not isinstance(found[field.name], (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
             text = clean_token(F.trim(text.cast("string")), empty_too=True)
             text = F.when(text != "NaN", text)
-        lost = text.isNotNull() & _conform(field, found[field.name]).isNull()
-        counts.append(F.count_if(lost).alias(field.name))
-    pairs = [
-        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("n_failed")) for f in fields
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*pairs)))
+        lost[field.name] = text.isNotNull() & _conform(field, found[field.name]).isNull()
+    return lost
+
+
+VINTAGE, LOST = "_vintage", "_lost"
+
+
+def conform_marked(vintages: list[DataFrame], schema: T.StructType) -> DataFrame:
+    """`conform_union` with the number of the vintage, and the names of the columns whose value did not
+    read, a line each, NULL where all did."""
+    marked = []
+    for k, df in enumerate(vintages):
+        found = {f.name: f.dataType for f in df.schema.fields}
+        names = [F.when(failed, F.lit(name)) for name, failed in _lost(df, schema).items()]
+        lost = F.concat_ws("\n", *names)
+        marked.append(
+            df.select(
+                *[_conform(f, found.get(f.name)).alias(f.name) for f in schema.fields],
+                F.lit(k).alias(VINTAGE),
+                F.nullif(lost, F.lit("")).alias(LOST),
+            )
+        )
+    return reduce(DataFrame.unionByName, marked)
+
+
+def marked_failures(marked: DataFrame) -> DataFrame:
+    """(vintage, column_name, n_failed) of the columns of marked rows with values that did not read."""
+    lines = F.explode(F.split(LOST, "\n"))
+    names = marked.select(F.col(VINTAGE).alias("vintage"), lines.alias("column_name"))
+    return names.groupBy("vintage", "column_name").agg(F.count("*").alias("n_failed"))
 
 
 def conform_union(vintages: list[DataFrame], schema: T.StructType) -> DataFrame:

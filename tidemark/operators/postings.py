@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keywords import query_tokens, tokens
 from tidemark.operators.catalog import TEXT_COLUMNS
 from tidemark.operators.joins import member_rows
+from tidemark.session import discard, stored
 
 BUCKETS = 64
 BUCKET, TERM = "bucket", "term"
@@ -30,8 +31,17 @@ def _bucket(term: Column, buckets: int) -> Column:
     return (positive % buckets).cast("int")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores: a small file of few row groups is scanned by few tasks, and its postings
+    are many times as large."""
+    context, conf = rows.sparkSession.sparkContext, rows.sparkSession.conf
+    tasks = max(2 * context.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, *rows.columns)
+
+
 def _write(postings: DataFrame, key: list[str], path: str, buckets: int) -> None:
-    laid_out = postings.withColumn(BUCKET, _bucket(F.col(TERM), buckets))
+    """Terms are made once and written: the ranges are drawn from what was written and dealt from it."""
+    laid_out = stored(postings.withColumn(BUCKET, _bucket(F.col(TERM), buckets)))
     order = [BUCKET, TERM, *key]
     (
         laid_out.repartitionByRange(*order)
@@ -40,6 +50,7 @@ def _write(postings: DataFrame, key: list[str], path: str, buckets: int) -> None
         .partitionBy(BUCKET)
         .parquet(path)
     )
+    discard(laid_out)
 
 
 def _read(spark: SparkSession, path: str, terms: list[str], buckets: int) -> DataFrame:
@@ -51,7 +62,7 @@ def write_keywords(
     rows: DataFrame, key: list[str], text: str, path: str, buckets: int = BUCKETS
 ) -> None:
     """Postings (term, key, n_tokens) of the distinct tokens of a text; rows without one have none."""
-    held = rows.select(*key, tokens(text).alias("_tokens"))
+    held = _spread(rows.select(*key, text)).select(*key, tokens(text).alias("_tokens"))
     postings = held.select(
         *key,
         F.size("_tokens").cast("bigint").alias("n_tokens"),
@@ -88,8 +99,8 @@ def write_grams(
     buckets: int = BUCKETS,
 ) -> None:
     """Postings (term, key) of the three-letter runs of the searched columns, in lower case."""
-    text = _haystack(rows, columns or TEXT_COLUMNS)
-    _write(rows.select(*key, F.explode(_grams(text)).alias(TERM)), key, path, buckets)
+    held = _spread(rows.select(*key, _haystack(rows, columns or TEXT_COLUMNS).alias("_text")))
+    _write(held.select(*key, F.explode(_grams(F.col("_text"))).alias(TERM)), key, path, buckets)
 
 
 def search_substring(

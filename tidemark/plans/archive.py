@@ -21,7 +21,7 @@ from tidemark.plans.lake import (
 )
 from tidemark.plans.registry import query
 from tidemark.plans.series import series as series_points
-from tidemark.session import shared_folder, written_once
+from tidemark.session import shared_folder, stored, written_once
 from tidemark.sources import pages
 from tidemark.sources.tables import (
     read_table,
@@ -104,9 +104,12 @@ def stored_document_failures(spark, folder):
 
 
 def insider_rows(spark, folder) -> dict[str, DataFrame]:
-    """Lines by their flag as the two securities tables; no filing has a reporting owner."""
+    """Lines by their flag as the two securities tables; no filing has a reporting owner.
+
+    Forms and lines are written once, as each of the tables goes through them several times.
+    """
     forms = family_rows(header_rows(spark, folder), "form4")
-    forms = forms.withColumn("form_availability_timestamp", F.col("header_availability_timestamp"))
+    forms = stored(forms.withColumn("form_availability_timestamp", F.col("header_availability_timestamp")))
     lines = tables.holding_lines(spark, folder).select(
         F.col("uuid").cast("string").alias("uuid"),
         F.col("put_call").alias("flag"),
@@ -114,7 +117,7 @@ def insider_rows(spark, folder) -> dict[str, DataFrame]:
         F.concat(F.lit("Note "), "line").alias("footnote"),
     )
     lines = with_filing_day(lines, forms).join(forms.select("uuid", "status"), "uuid")
-    lines = lines.withColumn("footnote_ids", F.array("footnote_id", F.lit("F0")))
+    lines = stored(lines).withColumn("footnote_ids", F.array("footnote_id", F.lit("F0")))
     return {
         "metadata": forms,
         "derivative_table": lines.where("flag = 'A'"),

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import payloads
 from tidemark.plans import driver_tables as tables
-from tidemark.plans.landing import PAGE, by_row, paged
+from tidemark.plans.landing import paged_by_row
 from tidemark.plans.registry import query
-from tidemark.session import shared_folder, written_once
+from tidemark.session import shared_folder, stored, written_once
 from tidemark.sources import files, pages
 from tidemark.sources.tables import read_filings, read_table, store_vintages, with_filing_day
 from tidemark.store import FilingStore
@@ -61,7 +61,7 @@ def header_rows(spark, folder) -> DataFrame:
 
 def land(rows: DataFrame, path: str, table: str | None = None) -> None:
     link = F.lit("https://filings.example.org/lake")
-    files.write_json(paged(by_row(rows), F.col(PAGE), link, table), path)
+    files.write_page_texts(paged_by_row(rows, link, table), path)
 
 
 def family_rows(rows: DataFrame, family: str) -> DataFrame:
@@ -144,7 +144,7 @@ def store_holdings(spark, folder, path) -> None:
         F.nullif("put_call", F.lit("N")).alias("put_call"),
         F.concat(F.lit("("), "line", F.lit(",)")).alias("other_manager"),
     )
-    dated = with_filing_day(lines, reports)
+    dated = stored(with_filing_day(lines, reports))
     for name, schema in schemas.HOLDINGS.items():
         rows = dated if name == "information_table" else reports
         kept = [f.name for f in schema if f.name in rows.columns]

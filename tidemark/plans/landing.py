@@ -50,15 +50,79 @@ FACT_ROW = schemas.struct(
 
 
 def paged(rows: DataFrame, number: Column, request: Column, table: str | None = None) -> DataFrame:
-    """Envelopes of at most 500 rows; `number` must give no page more than that.
-
-    With `table`, the rows sit under that name, as in multi-table payloads. There
-    are at most five requests (one per form type), so their totals are broadcast.
-    """
+    """Envelopes of at most 500 rows; `number` must give no page more than that."""
     body = F.struct(*[F.col(c) for c in rows.columns if c != PAGE])
     listed = rows.groupBy(request.alias("request"), number.alias("page")).agg(
         F.collect_list(body).alias("data")
     )
+    return _envelopes(rows, listed, number, request, table)
+
+
+def paged_by_row(rows: DataFrame, request: Column, table: str | None = None) -> DataFrame:
+    """Texts of envelopes of at most 500 rows that lie next to each other in the scan.
+
+    A page is made where its rows are: each task joins the JSON of its rows page by page, batch by
+    batch, so nothing is shuffled or sorted and a task holds a batch, however many rows it reads.
+    """
+    number = by_row(rows)
+    text = F.to_json(F.struct(*rows.columns), files.MICROSECONDS)
+    found = number.select(request.alias("request"), F.col(PAGE).alias("page"), text.alias("text"))
+    listed = found.mapInArrow(_joiner(), "request string, page bigint, data string")
+    pages = _envelopes(number, listed, F.col(PAGE), request, None)
+    before, behind = (f'{{"{table}":[', "]}}") if table else ("[", "]}")
+    head = F.to_json(F.struct("links", "count"))
+    head = F.substring(head, F.lit(1), F.length(head) - 1)
+    return pages.select(
+        F.concat(head, F.lit(f',"data":{before}'), "data", F.lit(behind)).alias("value")
+    )
+
+
+def _joiner():
+    """Function of the Arrow batches of one task, rows in order of their pages, to the joined texts of
+    each page and request; a page that a batch breaks off goes on with the next one."""
+
+    def join(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def joined(rows):
+            if pc.count_distinct(rows["request"], mode="all").as_py() > 1:
+                rows = rows.take(pc.sort_indices(rows, [("page", "ascending"), ("request", "ascending")]))
+            request = rows["request"].combine_chunks()
+            page = rows["page"].to_numpy()
+            asked = pc.fill_null(request.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+            begins = np.ones(len(page), dtype=bool)
+            begins[1:] = (page[1:] != page[:-1]) | (asked[1:] != asked[:-1])
+            starts = np.flatnonzero(begins)
+            ends = pa.array([*starts, len(page)], pa.int32())
+            lists = pa.ListArray.from_arrays(ends, rows["text"].combine_chunks())
+            columns = [request.take(pa.array(starts)), pa.array(page[starts]), pc.binary_join(lists, ",")]
+            return pa.RecordBatch.from_arrays(columns, ["request", "page", "data"])
+
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            if rows.num_rows:
+                end = pc.index(rows["page"], rows["page"][-1]).as_py()
+                if end:
+                    yield joined(rows.slice(0, end))
+                rest = rows.slice(end)
+        if rest is not None and rest.num_rows:
+            yield joined(rest)
+
+    return join
+
+
+def _envelopes(
+    rows: DataFrame, listed: DataFrame, number: Column, request: Column, table: str | None
+) -> DataFrame:
+    """Lists of rows with the links and totals of their request.
+
+    With `table`, the rows sit under that name, as in multi-table payloads. There
+    are at most five requests (one per form type), so their totals are broadcast.
+    """
     totals = rows.groupBy(request.alias("request")).agg(
         F.count("*").alias("count"),
         F.max(number).alias("last_page"),
@@ -100,7 +164,7 @@ def land_filings(spark, folder) -> str:
     pages = paged(tables.filings(spark, folder), by_key("uuid"), form_request())
     moved = F.regexp_replace("links.self", r"\?(form_type=\d)&(offset=\d+)$", "?$2&$1")
     pages = pages.withColumn("links", F.col("links").withField("self", moved))
-    return written_once(spark, "filing-pages", folder, lambda path: files.write_json(pages, path))
+    return written_once(spark, "filing-pages", folder, lambda path: files.write_pages(pages, path))
 
 
 _FILING_SQL = """o_orderkey AS uuid, o_custkey AS cik, o_orderdate AS filing_date,
@@ -109,9 +173,8 @@ _FILING_SQL = """o_orderkey AS uuid, o_custkey AS cik, o_orderdate AS filing_dat
 
 @query("page_ingest", f"SELECT {_FILING_SQL} FROM orders")
 def page_ingest(spark, folder):
-    filings = by_row(tables.filings(spark, folder))
-    landed = paged(filings, F.col(PAGE), form_request())
-    path = written_once(spark, "row-pages", folder, lambda path: files.write_json(landed, path))
+    landed = paged_by_row(tables.filings(spark, folder), form_request())
+    path = written_once(spark, "row-pages", folder, lambda path: files.write_page_texts(landed, path))
     return pages.page_rows(pages.read_pages(spark, path, FILING_ROW))
 
 
@@ -215,9 +278,8 @@ TABLE_ROWS = {"metadata": FILING_ROW, "information_table": LINE_ROW}
 def land_table(spark, folder, name) -> str:
     """Multi-table pages that hold one of the tables."""
     source = {"metadata": tables.filings, "information_table": tables.holding_lines}[name]
-    rows = by_row(source(spark, folder))
-    landed = paged(rows, F.col(PAGE), F.lit(f"{BASE}?table=all"), name)
-    return written_once(spark, f"{name}-pages", folder, lambda path: files.write_json(landed, path))
+    landed = paged_by_row(source(spark, folder), F.lit(f"{BASE}?table=all"), name)
+    return written_once(spark, f"{name}-pages", folder, lambda path: files.write_page_texts(landed, path))
 
 
 @query("table_merge_metadata", f"SELECT {_FILING_SQL} FROM orders")
@@ -405,12 +467,13 @@ def land_drops(spark, folder, root) -> None:
 
     def page_texts(items, name):
         rows = facts.where(F.col("item_name").isin(items))
-        return paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}"))
+        return paged_by_row(rows, F.lit(f"{BASE}?drop={name}"))
 
-    files.write_json(page_texts(["purchase", "signup", "view"], "first"), f"{root}/first/lines")
-    files.write_json(page_texts(["view", "error"], "second"), f"{root}/second/lines")
+    files.write_page_texts(page_texts(["purchase", "signup", "view"], "first"), f"{root}/first/lines")
+    files.write_page_texts(page_texts(["view", "error"], "second"), f"{root}/second/lines")
     form = {"pretty": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    pretty = page_texts(["click"], "third").select(
+    clicks = by_row(facts.where("item_name = 'click'"))
+    pretty = paged(clicks, F.col(PAGE), F.lit(f"{BASE}?drop=third")).select(
         F.to_json(F.struct("links", "count", "data"), form).alias("value")
     )
     pretty.write.option("maxRecordsPerFile", 1).text(f"{root}/second/pretty")
@@ -477,7 +540,7 @@ def stream_sync_restated(spark, folder):
 
     def land(path):
         for name, rows in (("first", facts), ("later", later), ("again", facts.where("form_uuid % 3 = 0"))):
-            files.write_json(paged(by_row(rows), F.col(PAGE), F.lit(f"{BASE}?drop={name}")), f"{path}/{name}")
+            files.write_page_texts(paged_by_row(rows, F.lit(f"{BASE}?drop={name}")), f"{path}/{name}")
 
     drops = written_once(spark, "restated", folder, land)
     root = shared_folder(spark, "sync-restated")

@@ -18,6 +18,23 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**MICROSECONDS).json(path)
 
 
+# A file of pages is read by one task, whole where it may be one pretty-printed page, so its size
+# must not grow with the table.
+PAGES_PER_FILE = 100
+
+
+def write_pages(pages: DataFrame, path: str, pages_per_file: int = PAGES_PER_FILE) -> None:
+    """Landed pages, one a line, gzipped in files of a bounded number of pages."""
+    writer = pages.write.mode("overwrite").options(**MICROSECONDS)
+    writer.option("maxRecordsPerFile", pages_per_file).option("compression", "gzip").json(path)
+
+
+def write_page_texts(pages: DataFrame, path: str, pages_per_file: int = PAGES_PER_FILE) -> None:
+    """`write_pages` of pages that are texts already."""
+    writer = pages.write.mode("overwrite").option("lineSep", "\n").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", pages_per_file).text(path)
+
+
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:

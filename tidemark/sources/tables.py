@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.functions.conform import conform_failures, conform_union
+from tidemark.functions.conform import conform_marked, marked_failures
 from tidemark.operators.windows import FILING_ZONE
+from tidemark.session import stored
 
 
 def read_table(
@@ -59,13 +60,14 @@ def store_vintages(
     vintages: list[DataFrame], schema: T.StructType, path: str, family: str
 ) -> DataFrame:
     """Store the vintages of a table in its declared schema; the values that did not read as
-    declared come back as (vintage, column_name, n_failed)."""
-    write_filings(conform_union(vintages, schema), path, family)
-    counted = [
-        conform_failures(df, schema).select(F.lit(k).alias("vintage"), "*")
-        for k, df in enumerate(vintages)
-    ]
-    return reduce(DataFrame.unionByName, counted).where("n_failed > 0")
+    declared come back as (vintage, column_name, n_failed).
+
+    A vintage is read and conformed once: its rows are written with the names of what did not read,
+    and laid out and counted from there.
+    """
+    conformed = stored(conform_marked(vintages, schema))
+    write_filings(conformed.select(*schema.names), path, family)
+    return marked_failures(conformed)
 
 
 def write_filings(df: DataFrame, path: str, family: str) -> None:
@@ -100,20 +102,16 @@ def write_catalog(catalog: list[DataFrame], points: list[DataFrame], folder: str
         ("series", points, schemas.SERIES_VALUES),
     ):
         order = ["payload_id", "commodity" if name == "catalog" else "original_period"]
+        conformed = stored(conform_marked(vintages, schema))
         (
-            conform_union(vintages, schema)
+            conformed.select(*schema.names)
             .repartitionByRange(*order, "name" if name == "catalog" else "value")
             .sortWithinPartitions(*order)
             .write.option("parquet.bloom.filter.enabled#payload_id", "true")
             .parquet(f"{folder}/{name}.parquet")
         )
-        lost += [
-            conform_failures(df, schema).select(
-                F.lit(name).alias("table_name"), F.lit(k).alias("vintage"), "*"
-            )
-            for k, df in enumerate(vintages)
-        ]
-    return reduce(DataFrame.unionByName, lost).where("n_failed > 0")
+        lost.append(marked_failures(conformed).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, lost)
 
 
 def read_filings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
