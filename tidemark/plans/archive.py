@@ -141,7 +141,8 @@ def store_insider(spark, folder, path) -> None:
         for kind, found, declared in (("old", old, as_text(schema)), ("live", live, schema)):
             landing = shared_folder(spark, f"insider-{name}-{kind}")
             land(found.select(*kept), landing, name)
-            vintages.append(pages.read_tables(spark, landing, {name: declared})[name])
+            read = pages.read_tables(spark, landing, {name: declared}, at_once=False)
+            vintages.append(read[name])
         store_vintages(vintages, schema, f"{path}/insider/{name}", "form4")
 
 

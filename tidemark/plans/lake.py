@@ -150,7 +150,7 @@ def store_holdings(spark, folder, path) -> None:
         kept = [f.name for f in schema if f.name in rows.columns]
         landing = shared_folder(spark, f"{name}-pages")
         land(rows.select(*kept), landing, name)
-        landed = pages.read_tables(spark, landing, {name: as_text(schema)})[name]
+        landed = pages.read_tables(spark, landing, {name: as_text(schema)}, at_once=False)[name]
         store_vintages([landed], schema, f"{path}/holdings/{name}", "form13")
 
 

@@ -82,12 +82,15 @@ def read_pages(
 
     A page that cannot be read raises an error; `split_pages` sets such pages aside.
     """
-    bodies = spark.read.text(path, wholetext=multi_line)
-    parsed, bad = parsed_bodies(bodies, schemas.envelope(row), "value", ("data",))
+    return _readable(spark.read.text(path, wholetext=multi_line), schemas.envelope(row))
+
+
+def _readable(bodies: DataFrame, envelope: T.StructType) -> DataFrame:
+    parsed, bad = parsed_bodies(bodies, envelope, "value", ("data",))
     message = F.concat(F.lit("unreadable page: "), F.left("value", F.lit(200)))
     checked = F.when(bad, F.raise_error(message)).otherwise(F.col("_row"))
     pages = parsed.select(F.explode(F.array(checked)).alias("page"))
-    return pages.select(*[f"page.{f.name}" for f in schemas.envelope(row).fields])
+    return pages.select(*[f"page.{f.name}" for f in envelope.fields])
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -227,9 +230,22 @@ def table_rows(landed: DataFrame, tables: dict[str, T.StructType]) -> dict[str,
 
 
 def read_tables(
-    spark: SparkSession, paths, tables: dict[str, T.StructType], multi_line: bool = False
+    spark: SparkSession,
+    paths,
+    tables: dict[str, T.StructType],
+    multi_line: bool = False,
+    at_once: bool = True,
 ) -> dict[str, DataFrame]:
-    """One DataFrame per table name of multi-table pages; an unreadable page raises an error."""
+    """One DataFrame per table name of multi-table pages; an unreadable page raises an error.
+
+    The pages are parsed and checked here and kept for all tables. With `at_once` off nothing is
+    written: whoever reads a table parses the pages, and stops at one that cannot be read, which
+    is cheaper where one table is read, and once.
+    """
+    if not at_once:
+        paths = [paths] if isinstance(paths, str) else list(paths)
+        bodies = spark.read.text(paths, wholetext=multi_line)
+        return table_rows(_readable(bodies, schemas.table_envelope(tables)), tables)
     found, rejects = split_tables(spark, paths, tables, multi_line)
     bad = rejects.first()
     if bad is not None:
