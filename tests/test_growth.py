@@ -114,3 +114,9 @@ def test_one_table_is_read_without_a_copy_and_still_strictly(spark, tmp_path):
     read = pages.read_tables(spark, str(tmp_path / "p"), {"lines": ROW}, at_once=False)["lines"]
     with pytest.raises(Exception, match="unreadable page"):
         read.collect()
+
+
+def test_lines_of_a_file_are_told_apart_once(frame):
+    read = sync.page_bodies(frame([("{}\n \n{}", "f")], "value string, file_path string"))
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [r.value for r in read.collect()] == ["{}", "{}"]
