@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import conform
-from tidemark.operators import postings
+from tidemark.operators import catalog, postings
 from tidemark.plans.landing import paged_by_row
 from tidemark.sources import files, pages
 from tidemark.streaming import sync
@@ -81,6 +81,32 @@ def test_postings_of_one_small_file_are_made_by_all_tasks(spark, tmp_path):
     assert postings.search_substring(rows, path, ["id"], "e 99", buckets=4).count() == 11
 
 
+def test_runs_of_letters_are_stored_as_lists_of_keys_not_one_row_each(spark, tmp_path):
+    rows = spark.range(0, 30_000, 1, 1).select("id", F.concat(F.lit("ababab "), "id").alias("name"))
+    path, tasks = str(tmp_path / "g"), postings._spread(rows).rdd.getNumPartitions()
+    postings.write_grams(rows, ["id"], path, buckets=4)
+    lists = spark.read.parquet(path)
+    every = lists.where("term IN ('aba', 'bab', 'ab ')").select("term", F.explode("keys.id").alias("id"))
+    assert every.count() == every.distinct().count() == 90_000
+    assert every.groupBy("term").count().collect()[0]["count"] == 30_000
+    assert lists.agg(F.max(F.size("keys"))).first()[0] <= postings.LIST_KEYS
+    assert lists.groupBy("term").count().agg(F.max("count")).first()[0] <= tasks + 30_000 // postings.LIST_KEYS
+    assert postings.search_substring(rows, path, ["id"], "BAB 2999", buckets=4).count() == 11
+
+
+def test_lists_of_keys_hold_odd_texts_and_keys_of_several_columns(spark, tmp_path):
+    texts = ["", None, "ab", "\U0001f600\U0001f601x\U0001f600", "é ring" * 300_000, "ring", "x\nrin", "g", "Ring\0ring"]
+    rows = spark.createDataFrame(
+        [(i % 4 or None, f"k{i}", t) for i, t in enumerate(texts * 2)], "a int, b string, name string"
+    )
+    path = str(tmp_path / "g")
+    postings.write_grams(rows.coalesce(1), ["a", "b"], path, buckets=2)
+    for text in ("ring", "\U0001f600\U0001f601X", "gé ri", "\nri", "g\0r", "rinx"):
+        want = catalog.search(rows, text).where("a IS NOT NULL")  # a missing key is not looked up
+        found = postings.search_substring(rows, path, ["a", "b"], text, buckets=2)
+        assert sorted(found.select("b").collect()) == sorted(want.select("b").collect()), text
+
+
 def test_a_value_is_read_once_and_whole_numbers_by_one_expression(frame):
     schema = schemas.struct(a=schemas.STRING, b=schemas.LONG, c=schemas.LONG, d=schemas.INT, e=schemas.STRINGS)
     old = frame(
